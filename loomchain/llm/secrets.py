@@ -1,0 +1,108 @@
+"""Secret scan: an Aho-Corasick automaton finds keywords, anchored patterns run only where one stands, and tokens that
+carry a checksum are kept only if it is right.
+
+Null or empty text: no spans.  Rows are judged alone, so repeated rows give repeated results, and an empty table gives an
+empty one.  Only ``doc_id`` and ``text`` are read.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections.abc import Iterable, Iterator
+
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+
+from loomchain.llm.common import rows_of, table, texts
+
+# The keyword patterns of the contract, and the kinds in the order in which they are listed.
+ASSIGN = re.compile(rb"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
+HEX = re.compile(rb"[0-9a-f]{24,}")
+ASSIGN_KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
+KINDS = ("assign", "access", "hex", "github", "npm")
+#: Published token forms whose last six characters are the CRC-32 of what stands before, in base 62.
+CHECKED = {b"ghp_": "github", b"gho_": "github", b"ghu_": "github", b"ghs_": "github", b"ghr_": "github", b"npm_": "npm"}
+CHECKED_BODY = re.compile(rb"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
+BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+
+
+def checksum62(body: bytes) -> bytes:
+    n, out = zlib.crc32(body), b""
+    while n:
+        n, d = divmod(n, 62)
+        out = BASE62[d : d + 1] + out
+    return out.rjust(6, b"0")
+
+
+def automaton() -> ahocorasick.Automaton:
+    a = ahocorasick.Automaton()
+    for kind, words in (("assign", ASSIGN_KEYWORDS), ("access", (b"akia",)), ("checked", CHECKED)):
+        for w in words:
+            a.add_word(w.decode("latin-1"), (kind, len(w)))
+    a.make_automaton()
+    return a
+
+
+def find(text: bytes, words: ahocorasick.Automaton) -> list[tuple[int, str, int]]:
+    """(start, kind, end) in bytes, in the order of start, then kind."""
+    spans: list[tuple[int, str, int]] = []
+    ended = {"assign": 0, "access": 0, "checked": 0}
+    hits = sorted((end - n + 1, kind) for end, (kind, n) in words.iter(text.lower().decode("latin-1")))
+    for start, kind in hits:
+        if start < ended[kind]:
+            continue
+        if kind == "assign":
+            if m := ASSIGN.match(text, start):
+                ended[kind] = m.end()
+                if len(m[1]) >= 6:
+                    spans.append((start, kind, m.end()))
+        elif kind == "access":
+            if m := ACCESS.match(text, start):
+                ended[kind] = m.end()
+                if m.end() - start >= 20:
+                    spans.append((start, kind, m.end()))
+        elif (m := CHECKED_BODY.match(text, start)) and checksum62(m[1]) == m[2]:
+            ended[kind] = m.end()
+            spans.append((start, CHECKED[text[start : start + 4]], m.end()))
+    spans += [(m.start(), "hex", m.end()) for m in HEX.finditer(text)]
+    return sorted(spans, key=lambda x: (x[0], KINDS.index(x[1])))
+
+
+def _in_code_points(text: bytes, spans: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
+    if not spans or text.isascii():
+        return spans
+    at, seen, out = 0, 0, {}
+    for cut in sorted({x for s in spans for x in (s[0], s[2])}):
+        seen += len(text[at:cut].decode("utf-8", "replace"))
+        at = cut
+        out[cut] = seen
+    return [(out[a], kind, out[b]) for a, kind, b in spans]
+
+
+def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = automaton()
+    for ids, held in rows_of(batches):
+        rows = []
+        for text in held:
+            spans = _in_code_points(text, find(text, words))
+            said = [(kind, f"{kind}:{a}:{b}") for a, kind, b in spans]
+            base = ",".join(x for kind, x in said if kind in KINDS[:3])
+            count = [sum(kind == k for kind, _ in said) for k in KINDS[:3]]
+            rows.append((*count, hashlib.sha256(base.encode()).hexdigest(), ",".join(x for _, x in said)))
+        cols = list(zip(*rows)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in cols[:3]), *(pa.array(c, pa.string()) for c in cols[3:])], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+
+
+def secret_spans(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: the counts of the base kinds, the digest of their spans, and all spans (code points)."""
+    return texts(docs).mapInArrow(scan, SCHEMA)
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))
