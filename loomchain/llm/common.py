@@ -11,6 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomchain.shipping import ship
+
 #: Bytes of text that one block holds at most, but for a single longer text.
 BLOCK_BYTES = 4 << 20
 #: Rows that one block holds at most.
@@ -23,6 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id (long) and the text's UTF-8 bytes (null: empty); other columns, whatever their names, stay out."""
+    ship(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"))
 
 

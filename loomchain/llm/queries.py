@@ -1,8 +1,10 @@
 """The registered queries of this subpackage."""
 
 from loomchain.llm.secrets import op9_secret_scan
+from loomchain.llm.token_counts import op2_token_counts
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
     "op9_secret_scan": op9_secret_scan,
 }
 
