@@ -1,5 +1,6 @@
 """The registered queries of this subpackage."""
 
+from loomchain.llm.decontamination import op7_benchmark_hits
 from loomchain.llm.packing import op5_hilbert_packing
 from loomchain.llm.secret_scan import op9_secret_scan
 from loomchain.llm.token_counts import op2_token_counts
@@ -7,6 +8,7 @@ from loomchain.llm.token_counts import op2_token_counts
 QUERIES = {
     "op5_hilbert_packing": op5_hilbert_packing,
     "op2_token_counts": op2_token_counts,
+    "op7_benchmark_hits": op7_benchmark_hits,
     "op9_secret_scan": op9_secret_scan,
 }
 
