@@ -3,9 +3,11 @@
 from loomchain.llm.decontamination import op7_benchmark_hits
 from loomchain.llm.packing import op5_hilbert_packing
 from loomchain.llm.secret_scan import op9_secret_scan
+from loomchain.llm.simhash import op3_simhash
 from loomchain.llm.token_counts import op2_token_counts
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op5_hilbert_packing": op5_hilbert_packing,
     "op2_token_counts": op2_token_counts,
     "op7_benchmark_hits": op7_benchmark_hits,
