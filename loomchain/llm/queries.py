@@ -1,6 +1,7 @@
 """The registered queries of this subpackage."""
 
 from loomchain.llm.decontamination import op7_benchmark_hits
+from loomchain.llm.line_dedup import OP10_SQL, op10_line_dedup
 from loomchain.llm.packing import op5_hilbert_packing
 from loomchain.llm.secret_scan import op9_secret_scan
 from loomchain.llm.simhash import op3_simhash
@@ -12,6 +13,9 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op7_benchmark_hits": op7_benchmark_hits,
     "op9_secret_scan": op9_secret_scan,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_line_dedup": OP10_SQL,
+}
