@@ -3,12 +3,14 @@
 from loomchain.llm.decontamination import op7_benchmark_hits
 from loomchain.llm.line_dedup import OP10_SQL, op10_line_dedup
 from loomchain.llm.packing import op5_hilbert_packing
+from loomchain.llm.quality_rules import OP4_SQL, op4_quality_rules
 from loomchain.llm.secret_scan import op9_secret_scan
 from loomchain.llm.simhash import op3_simhash
 from loomchain.llm.token_counts import op2_token_counts
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op4_quality_rules": op4_quality_rules,
     "op5_hilbert_packing": op5_hilbert_packing,
     "op2_token_counts": op2_token_counts,
     "op7_benchmark_hits": op7_benchmark_hits,
@@ -17,5 +19,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_quality_rules": OP4_SQL,
     "op10_line_dedup": OP10_SQL,
 }
