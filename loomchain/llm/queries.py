@@ -6,12 +6,14 @@ from loomchain.llm.packing import op5_hilbert_packing
 from loomchain.llm.quality_rules import OP4_SQL, op4_quality_rules
 from loomchain.llm.secret_scan import op9_secret_scan
 from loomchain.llm.simhash import op3_simhash
+from loomchain.llm.suffix_dedup import op1_suffix_dedup
 from loomchain.llm.token_counts import op2_token_counts
 
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op5_hilbert_packing": op5_hilbert_packing,
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
     "op7_benchmark_hits": op7_benchmark_hits,
     "op9_secret_scan": op9_secret_scan,
