@@ -3,6 +3,7 @@
 from loomchain.llm.decontamination import op7_benchmark_hits
 from loomchain.llm.line_dedup import OP10_SQL, op10_line_dedup
 from loomchain.llm.packing import op5_hilbert_packing
+from loomchain.llm.quality_classifier import op6_quality_classifier
 from loomchain.llm.quality_rules import OP4_SQL, op4_quality_rules
 from loomchain.llm.secret_scan import op9_secret_scan
 from loomchain.llm.simhash import op3_simhash
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_hilbert_packing": op5_hilbert_packing,
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_benchmark_hits": op7_benchmark_hits,
     "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": op10_line_dedup,
