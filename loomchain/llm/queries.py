@@ -1,6 +1,7 @@
 """The registered queries of this subpackage."""
 
 from loomchain.llm.decontamination import op7_benchmark_hits
+from loomchain.llm.licenses import op8_license_scan
 from loomchain.llm.line_dedup import OP10_SQL, op10_line_dedup
 from loomchain.llm.packing import op5_hilbert_packing
 from loomchain.llm.quality_classifier import op6_quality_classifier
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_benchmark_hits": op7_benchmark_hits,
+    "op8_license_scan": op8_license_scan,
     "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": op10_line_dedup,
 }
