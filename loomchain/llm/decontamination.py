@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomchain.llm.common import blocks, table, texts
+from loomchain.shipping import ship
 
 WINDOW = 13
 #: Bytes of benchmark text that are sent to the tasks at once.
@@ -34,7 +35,6 @@ SAMPLE = 8
 #: A document is contaminated if at least one word in so many is hit.
 CONTAMINATED_ONE_IN = 20
 
-STATE_SCHEMA = "doc_id long, text binary, hits binary, items array<string>"
 RESULT_SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, removal_spans string"
 
 _LETTERS = bytes((c | 0x20 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20) for c in range(256))
@@ -172,8 +172,8 @@ def _search(phrases):
         own: Phrases = phrases.value
         number = own.vocabulary.get
         for batch in batches:
-            state = iter(zip(batch["hits"], batch["items"]))
-            for _, ids, held in blocks([batch]):
+            state, out_hits, out_items = iter(zip(batch["hits"], batch["items"])), [], []
+            for _, _, held in blocks([batch.select(["doc_id", "text"])]):
                 found = []
                 for text in held:
                     words = words_of(text)
@@ -188,7 +188,6 @@ def _search(phrases):
                 items: dict[int, set] = defaultdict(set)
                 for d, p in set(zip(document.tolist(), phrase.tolist())):
                     items[d].update(own.items[p])
-                out_hits, out_items = [], []
                 for i in range(len(held)):
                     before, listed = (x.as_py() for x in next(state))
                     now = hit[starts[i] : starts[i + 1]]
@@ -196,7 +195,8 @@ def _search(phrases):
                         now = now | np.unpackbits(np.frombuffer(before, np.uint8), count=len(now)).astype(bool)
                     out_hits.append(np.packbits(now).tobytes())
                     out_items.append(sorted(items[i].union(listed or ())))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held, pa.binary()), pa.array(out_hits, pa.binary()), pa.array(out_items, pa.list_(pa.string()))], names=["doc_id", "text", "hits", "items"])
+            now = {"hits": pa.array(out_hits, pa.binary()), "items": pa.array(out_items, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([now.get(name, batch[name]) for name in batch.schema.names], names=batch.schema.names)
 
     return run
 
@@ -220,18 +220,43 @@ def _judge(one_in: int):
     return run
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
-    """Per row of ``docs``: its words, those hit, the items found, the verdict, and the merged spans of hit words (from:to)."""
-    spark = docs.sparkSession
+def _marked(rows: DataFrame, benchmark: DataFrame, window: int, part_bytes: int) -> DataFrame:
+    """``rows(doc_id, text, ...)`` with the words hit (bits) and the items found, part by part of the benchmark."""
+    spark = rows.sparkSession
     items = benchmark.select(benchmark["item_id"].cast("string").alias("item_id"), F.coalesce(benchmark["text"], F.lit("")).cast("binary").alias("text")).distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     parts = max(1, -(-size // part_bytes))
-    state = texts(docs).select("doc_id", "text", F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("array<string>").alias("items"))
+    state = rows.withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")})
     for k in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()
         phrases = spark.sparkContext.broadcast(Phrases([(r["item_id"], bytes(r["text"])) for r in own], window))
-        state = state.mapInArrow(_search(phrases), STATE_SCHEMA)
-    return state.mapInArrow(_judge(one_in), RESULT_SCHEMA)
+        state = state.mapInArrow(_search(phrases), state.schema)
+    return state
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
+    """Per row of ``docs``: its words, those hit, the items found, the verdict, and the merged spans of hit words (from:to)."""
+    return _marked(texts(docs), benchmark, window, part_bytes).mapInArrow(_judge(one_in), RESULT_SCHEMA)
+
+
+def _clean_rows(one_in: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = []
+            for text, hits in zip(batch["text"], batch["hits"]):
+                n_hit = int(np.unpackbits(np.frombuffer(hits.as_py() or b"", np.uint8)).sum())
+                clean.append(not n_hit or one_in * n_hit < len(words_of(text.as_py())))
+            yield batch.select(["row"]).filter(pa.array(clean, pa.bool_()))
+
+    return run
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
+    """The rows of ``docs``, all their columns, that are not contaminated."""
+    ship(docs.sparkSession)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"), F.struct("*").alias("row"))
+    marked = _marked(rows, benchmark, window, part_bytes)
+    return marked.mapInArrow(_clean_rows(one_in), marked.select("row").schema).select("row.*")
 
 
 def op7_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:

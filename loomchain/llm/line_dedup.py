@@ -73,6 +73,14 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES, most_lost: float =
     )
 
 
+def clean_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with cross-site boilerplate taken out of text, and n_chars following it."""
+    cleaned = without_boilerplate(docs)
+    taken = F.col("n_removed") > 0
+    columns = {"text": F.when(taken, F.col("kept")).otherwise(F.col("row.text")), "n_chars": F.when(taken, F.length("kept")).otherwise(F.col("row.n_chars"))}
+    return cleaned.select(*(columns.get(f.name, F.col("row")[f.name]).cast(f.dataType).alias(f.name) for f in docs.schema))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = without_boilerplate(table(spark, sf_dir, "documents"))
     return cleaned.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_boilerplate", "n_removed", F.length("kept").cast("long").alias("kept_chars"), F.md5("kept").alias("kept_md5"))

@@ -226,5 +226,23 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts(docs).mapInArrow(_score_rows(vectors, network), RESULT_SCHEMA)
 
 
+def _keep_rows(words, network, at: int) -> object:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, (vectors, weights) = Cells(), words.value
+        for batch in batches:
+            score = network.value.score(np.stack([pooled(cells.of((t.as_py() or "").encode()), vectors, weights) for t in batch.column(at)]) if batch.num_rows else np.zeros((0, 2 * DIMS)))
+            yield batch.filter(pa.array(score >= THRESHOLD))
+
+    return run
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all their columns, that are predicted to be of quality 1."""
+    context = docs.sparkSession.sparkContext
+    vectors = context.broadcast(word_vectors(docs))
+    network = context.broadcast(fit(docs, labels, vectors))
+    return docs.mapInArrow(_keep_rows(vectors, network, docs.columns.index("text")), docs.schema)
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

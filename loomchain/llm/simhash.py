@@ -62,6 +62,12 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
 
 
+def _keyed_fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = np.fromiter((fingerprint(t.as_py()) for t in batch["text"]), np.uint64, batch.num_rows)
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64)), batch["t1"], batch["t2"]], names=["doc_id", "fp", "t1", "t2"])
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     return texts(docs).mapInArrow(_fingerprints, "doc_id long, fp long")
 
@@ -135,18 +141,41 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def _placed(prints: DataFrame, threshold: int) -> DataFrame:
+    """(fp, least: its smallest doc_id, root: its component) for each distinct fingerprint of ``prints(doc_id, fp)``."""
+    roots = components(links(prints.select("fp").distinct(), threshold))
+    # Each distinct fingerprint's smallest doc_id: later steps see one row for a fingerprint.
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    return least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
     prints = cut(fingerprints(docs), "fingerprints")
-    distinct = prints.select("fp").distinct()
-    roots = components(links(distinct, threshold))
-    # Each distinct fingerprint's smallest doc_id, then each component's: no step sees more than one row for a fingerprint and task.
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    placed = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = _placed(prints, threshold)
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = placed.select("fp", "root").join(named, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all their columns, of which each component keeps one: the smallest doc_id, then the least text hash."""
+    rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    keyed = texts(docs).select("doc_id", "text", F.xxhash64(F.col("text").cast("string")).alias("t1"), F.hash(F.col("text").cast("string")).alias("t2"))
+    prints = cut(keyed.mapInArrow(_keyed_fingerprints, "doc_id long, fp long, t1 long, t2 int"), "fingerprints")
+    mark = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t1", "t2")
+    # First one row for each fingerprint, so that a large group of copies is a few rows when components meet.
+    best = prints.groupBy("fp").agg(F.min(mark).alias("mark"))
+    kept = best.join(_placed(prints, threshold).select("fp", "root"), "fp").groupBy("root").agg(F.min("mark").alias("mark")).select("mark.doc_id", "mark.t1", "mark.t2")
+    counts = prints.groupBy("doc_id", "t1", "t2").agg(F.count("*").alias("n"))
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["t1"] == b["t1"]) & (a["t2"] == b["t2"])
+    kept = kept.join(counts, same(kept, counts)).select(kept["doc_id"], kept["t1"], kept["t2"], "n")
+    own = rows.select("row", "doc_id", *(h.alias(f"t{i + 1}") for i, h in enumerate([F.xxhash64(F.coalesce("text", F.lit(""))), F.hash(F.coalesce("text", F.lit("")))])))
+    found = own.join(kept, same(own, kept)).select("row", own["doc_id"], own["t1"], own["t2"], "n")
+    # Rows that stand several times, doc_id and text alike, are the only ones that need looking at together.
+    repeated = found.where("n > 1").dropDuplicates(["doc_id", "t1", "t2"])
+    return found.where("n = 1").unionAll(repeated).select("row.*")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
