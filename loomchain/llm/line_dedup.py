@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import table
+from loomchain.llm.common import cut, table
 
 #: Distinct sites from which on a line is boilerplate.
 SITES = 8
@@ -58,7 +58,9 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES, most_lost: float =
     """(row: all of ``docs`` as a struct, n_lines, n_boilerplate, n_removed, kept: the text that is left)."""
     own = docs.select(F.struct("*").alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"), docs["source"].cast("string").alias("site"))
     lines = _lines(own)
-    found = lines.join(boilerplate_lines(lines, sites), ["h1", "h2"], "left_semi")
+    # Written first, so that the next join reads a plain table: sent if it is small, and else its frequent lines are split.
+    spread = cut(boilerplate_lines(lines, sites), "lines")
+    found = lines.join(spread, ["h1", "h2"], "left_semi")
     marks = found.groupBy("t1", "t2").agg(F.collect_set("pos").alias("marked"))
     t1, t2 = _keys(F.col("text"))
     rows = own.select("row", "text", t1.alias("t1"), t2.alias("t2")).join(marks, ["t1", "t2"], "left")
