@@ -14,8 +14,10 @@ MAX_DIGITS = 78
 #: Largest shift that an exponent may ask for; beyond it no value fits 256 bits.
 MAX_EXPONENT = 400
 
-_PLAIN = "^[+-]?[0-9]+$"
-_SCIENTIFIC = "^([+-]?)([0-9]*)[.]?([0-9]*)[eE]([+-]?[0-9]{1,6})$"
+_PLAIN = "^[+-]?[0-9]+\\z"
+_SCIENTIFIC = "^([+-]?)([0-9]*)[.]?([0-9]*)[eE]([+-]?[0-9]{1,6})\\z"
+#: Both forms, the exponent within its bound.
+_NUMBER = "^[+-]?([0-9]+|([0-9]+[.]?[0-9]*|[.][0-9]+)[eE](-[0-9]{1,6}|[+]?0{0,3}([0-3]?[0-9]{1,2}|400)))\\z"
 
 
 def hex_bytes(text: Column, size: int) -> Column:
@@ -31,7 +33,7 @@ def hex_text(value: Column) -> Column:
 
 def is_fixed_hex(text: Column, size: int) -> Column:
     """0x and exactly so many bytes."""
-    return F.coalesce(text.rlike(f"^0x[0-9a-fA-F]{{{2 * size}}}$"), F.lit(False))
+    return F.coalesce(text.rlike(f"^0x[0-9a-fA-F]{{{2 * size}}}\\z"), F.lit(False))
 
 
 def _canonical(sign: Column, digits: Column) -> Column:
@@ -55,7 +57,13 @@ def big_integer(text: Column) -> Column:
 
 
 def is_bad_integer(text: Column) -> Column:
-    return text.isNotNull() & (text != "") & big_integer(text).isNull()
+    """Neither absent nor a number, by one match: classification asks this of every integer of a message."""
+    return F.coalesce((text != "") & ~text.rlike(_NUMBER), F.lit(False))
+
+
+def is_bad_hex(text: Column, size: int) -> Column:
+    """Where ``hex_bytes`` gives NULL: a character that is no hex digit in the part that is kept."""
+    return F.coalesce(~text.rlike(f"(?s)^(0x)?([0-9a-fA-F]{{0,{2 * size - 1}}}|[0-9a-fA-F]{{{2 * size}}}.*)\\z"), F.lit(False))
 
 
 def small_decimal(text: Column) -> Column:

@@ -15,9 +15,13 @@ _HASHES = ("hash", "parentHash", "stateRoot", "transactionsRoot", "receiptsRoot"
 
 
 def decode_blocks(messages: DataFrame) -> DataFrame:
-    """Adds the typed nested record ``block`` to messages with a JSON ``value``; what doesn't parse is kept as text inside it."""
+    """Adds the typed nested record ``block`` to messages with a JSON ``value``; what doesn't parse is kept as text inside it.
+
+    The record comes from a generator of one row, which the optimizer doesn't copy into the filters and projections above it: as a
+    plain column it would be parsed once for each of their references.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT}
-    return messages.withColumn("block", F.from_json("value", S.struct_of(S.BLOCK), options))
+    return messages.select("*", F.explode(F.array(F.from_json("value", S.struct_of(S.BLOCK), options))).alias("block"))
 
 
 def _any(array: str, bad) -> Column:
@@ -31,10 +35,10 @@ def error_class() -> Column:
     integers = C.is_bad_integer(b("number")) | C.is_bad_integer(b("evmChainId")) | C.is_bad_integer(b("difficulty")) | C.is_bad_integer(b("baseFeePerGas"))
     unsigned = negative(b("gasLimit")) | negative(b("gasUsed")) | negative(b("timestamp")) | negative(b("nonce")) | (b("number").isNotNull() & (b("number") != "") & C.unsigned64(b("number")).isNull())
     tx_integers = _any("block.transactions", lambda t: C.is_bad_integer(t["value"]) | C.is_bad_integer(t["gasPrice"]) | C.is_bad_integer(t["maxFeePerGas"]) | C.is_bad_integer(t["maxPriorityFeePerGas"]))
-    hexes = C.hex_bytes(b("miner"), 20).isNull()
+    hexes = C.is_bad_hex(b("miner"), 20)
     for name in _HASHES:
-        hexes = hexes | C.hex_bytes(b(name), 32).isNull()
-    tx_hexes = _any("block.transactions", lambda t: C.hex_bytes(t["hash"], 32).isNull() | C.hex_bytes(t["from"], 20).isNull() | C.hex_bytes(t["to"], 20).isNull())
+        hexes = hexes | C.is_bad_hex(b(name), 32)
+    tx_hexes = _any("block.transactions", lambda t: C.is_bad_hex(t["hash"], 32) | C.is_bad_hex(t["from"], 20) | C.is_bad_hex(t["to"], 20))
     bad_log = lambda g: (~C.is_fixed_hex(g["address"], 20) | ~C.is_fixed_hex(g["txHash"], 32) | ~C.is_fixed_hex(g["blockHash"], 32) | C.base64_bytes(g["data"]).isNull() | F.exists(F.coalesce(g["topics"], F.array()), lambda x: ~C.is_fixed_hex(x, 32)))
     logs = lambda t: F.coalesce(t["receipt"]["logs"], F.array())
     has_logs = _any("block.transactions", lambda t: F.size(logs(t)) > 0)
