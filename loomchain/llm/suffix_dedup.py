@@ -35,7 +35,7 @@ from loomchain.llm.common import blocks, cut, shared_dir, shuffle_partitions, ta
 #: Bytes of a repeated string.
 LENGTH = 50
 #: Bytes of an anchor: long enough to be rare, short enough to leave few anchors.
-GRAM = 20
+GRAM = 32
 #: Window starts that are hashed at once.
 SLICE = 2 << 20
 #: Bytes of text in a block.
