@@ -261,3 +261,31 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 def op7_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP7_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(len(ws), {WINDOW}) AS n, array_to_string(ws[i:i + least(len(ws), {WINDOW}) - 1], ' ') AS phrase
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - {WINDOW} + 2, 2))) AS i FROM items WHERE len(ws) > 0)
+), places AS (
+  SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows))
+), found AS (
+  SELECT r, p.n, i, item FROM places p JOIN windows w ON p.n = w.n AND p.phrase = w.phrase
+), hit AS (
+  SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM found
+), spans AS (
+  SELECT r, min(p) - 1 AS a, max(p) AS b, count(*) AS c FROM (SELECT r, p, p - row_number() OVER (PARTITION BY r ORDER BY p) AS island FROM hit) GROUP BY r, island
+), hits AS (
+  SELECT r, sum(c) AS n_hit, string_agg(a || ':' || b, ',' ORDER BY a) AS removal_spans FROM spans GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found WHERE item IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {CONTAMINATED_ONE_IN} * coalesce(n_hit, 0) >= len(ws) AS contaminated, coalesce(removal_spans, '') AS removal_spans
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage."""
 
-from loomchain.llm.decontamination import op7_benchmark_hits
+from loomchain.llm.decontamination import OP7_SQL, op7_benchmark_hits
 from loomchain.llm.licenses import op8_license_scan
 from loomchain.llm.line_dedup import OP10_SQL, op10_line_dedup
 from loomchain.llm.packing import op5_hilbert_packing
@@ -8,15 +8,15 @@ from loomchain.llm.quality_classifier import op6_quality_classifier
 from loomchain.llm.quality_rules import OP4_SQL, op4_quality_rules
 from loomchain.llm.secret_scan import op9_secret_scan
 from loomchain.llm.simhash import op3_simhash
-from loomchain.llm.suffix_dedup import op1_suffix_dedup
+from loomchain.llm.suffix_dedup import OP1_SQL, op1_suffix_dedup
 from loomchain.llm.token_counts import op2_token_counts
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op5_hilbert_packing": op5_hilbert_packing,
-    "op1_suffix_dedup": op1_suffix_dedup,
-    "op2_token_counts": op2_token_counts,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_benchmark_hits": op7_benchmark_hits,
     "op8_license_scan": op8_license_scan,
@@ -25,6 +25,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": OP1_SQL,
     "op4_quality_rules": OP4_SQL,
+    "op7_benchmark_hits": OP7_SQL,
     "op10_line_dedup": OP10_SQL,
 }

@@ -349,3 +349,31 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), sized AS (
+  SELECT *, octet_length(b) AS n FROM docs
+), windows AS (
+  SELECT r, doc_id, i, b[i:i + {LENGTH - 1}] AS w FROM (SELECT *, unnest(range(1, n - {LENGTH - 2})) AS i FROM sized)
+), least AS (
+  SELECT w, min(doc_id) AS least FROM windows GROUP BY w HAVING count(*) > 1
+), gone AS (
+  SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM windows JOIN least USING (w) WHERE least < doc_id
+), runs AS (
+  SELECT r, min(i) AS a, max(i) + {LENGTH - 1} AS z FROM (
+    SELECT r, i, sum(CASE WHEN before IS NULL OR i > before + {LENGTH} THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM gone)
+  GROUP BY r, run
+), pieces AS (
+  SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) + 1 AS x, a - 1 AS y FROM runs
+  UNION ALL SELECT s.r, coalesce(max(z), 0) + 1, any_value(n) FROM sized s LEFT JOIN runs USING (r) GROUP BY s.r
+), kept AS (
+  SELECT r, sha256(from_hex(coalesce(string_agg(hex(b[x:y]), '' ORDER BY x) FILTER (WHERE x <= y), ''))) AS kept_sha256 FROM pieces JOIN sized USING (r) GROUP BY r
+), sums AS (
+  SELECT r, CAST(sum(z - a + 1) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
+FROM sized LEFT JOIN sums USING (r) JOIN kept USING (r)
+"""
