@@ -295,9 +295,9 @@ def nonce_bytes(spark, d):
     return L.headers(spark, d).select("block_number", C.hex_text(C.nonce_bytes(F.col("nonce"))).alias("nonce"))
 
 
-@query("SELECT o_orderkey AS block_number, CAST(o_orderdate AS VARCHAR) AS block_time FROM orders")
+@query("SELECT o_orderkey AS block_number, CAST(epoch_ms(o_orderdate) AS BIGINT) AS block_time_ms FROM orders")
 def block_time(spark, d):
-    return L.headers(spark, d).select("block_number", F.date_format(C.block_time(F.col("timestamp")), "yyyy-MM-dd HH:mm:ss").alias("block_time"))
+    return L.headers(spark, d).select("block_number", F.unix_millis(C.block_time(F.col("timestamp"))).alias("block_time_ms"))
 
 
 @query(with_(TX) + "SELECT block_number, transaction_index, nullif(to_address, '') AS to_address FROM tx")

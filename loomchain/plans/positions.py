@@ -179,7 +179,7 @@ def failed_heights(spark, d):
 @query(with_(CHECKPOINTS) + "SELECT c.chain_id, coalesce(m.lowest, 0) AS lowest, m.lowest IS NOT NULL AS exists FROM (SELECT DISTINCT chain_id FROM checkpoints UNION ALL SELECT 99) c LEFT JOIN (SELECT chain_id, arg_max(lowest_unprocessed_block, (timestamp, lowest_unprocessed_block)) AS lowest FROM checkpoints GROUP BY 1) m USING (chain_id)")
 def latest_checkpoint(spark, d):
     c = L.checkpoints(spark, d)
-    wanted = c.select("chain_id").distinct().unionByName(c.select(F.lit(99).cast("bigint").alias("chain_id")).limit(1))
+    wanted = c.select("chain_id").distinct().unionByName(c.agg(F.max(F.lit(99)).cast("bigint").alias("chain_id")))
     return R.latest_checkpoint(c, wanted)
 
 

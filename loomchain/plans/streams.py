@@ -36,8 +36,8 @@ def _collected(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return stream.sparkSession.read.parquet(f"{root}/rows")
 
 
-def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return M.stream_files(spark, _land(L.message_log(spark, d), name))
+def _stream(spark: SparkSession, d: str, name: str, files_per_trigger: int = 1) -> DataFrame:
+    return M.stream_files(spark, _land(L.message_log(spark, d), name), files_per_trigger)
 
 
 @query(with_(MESSAGES) + """SELECT partition, count(*) AS n, count(*) FILTER (WHERE error_class IS NULL OR error_class <> 'nil_message') AS n_values, max("offset") AS last FROM messages GROUP BY 1""")
@@ -52,7 +52,7 @@ UNION ALL SELECT 'logs', count(*) FROM messages WHERE error_class IS NULL AND ev
 
 def _ingested(spark: SparkSession, d: str) -> str:
     root = T.new_path(spark, "ingest")
-    I.start(_stream(spark, d, "ingest_messages"), root).awaitTermination()
+    I.start(_stream(spark, d, "ingest_messages", FILES // 2), root).awaitTermination()
     return root
 
 

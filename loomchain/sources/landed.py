@@ -18,6 +18,11 @@ def seconds(column: str) -> Column:
     return F.expr(f"timestampdiff(SECOND, {_EPOCH}, CAST({column} AS TIMESTAMP_NTZ))")
 
 
+def instant(column: str) -> Column:
+    """The time as an instant in UTC, whatever the session's time zone."""
+    return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, CAST({column} AS TIMESTAMP_NTZ))"))
+
+
 def sha(column: Column | str) -> Column:
     return F.sha2(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"), 256)
 
@@ -108,7 +113,7 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy(F.col("user_id") % 4).orderBy("event_id")
     return e.select(
         F.col("event_id").cast("string").alias("key"), F.when(kind == 0, F.lit(None)).when(kind == 1, "not json").otherwise(body).alias("value"), F.lit("blocks").alias("topic"),
-        (F.col("user_id") % 4).cast("int").alias("partition"), (F.row_number().over(order) - 1).cast("bigint").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+        (F.col("user_id") % 4).cast("int").alias("partition"), (F.row_number().over(order) - 1).cast("bigint").alias("offset"), instant("ts").alias("timestamp"),
         "event_type", "event_id", "user_id",
     )
 
@@ -126,6 +131,6 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     labels = F.create_map(F.lit("type"), "event_type", F.lit("region"), F.concat(F.lit("r"), (F.col("user_id") % 3).cast("string")), F.lit("job"), F.concat(F.lit("j"), (F.col("user_id") % 2).cast("string")))
     return e.select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), seconds("ts").alias("at"), "event_type", F.when(F.col("event_type") == "error", "error").otherwise("success").alias("status"),
+        "event_id", instant("ts").alias("ts"), seconds("ts").alias("at"), "event_type", F.when(F.col("event_type") == "error", "error").otherwise("success").alias("status"),
         (F.col("value") / 100).alias("seconds"), labels.alias("labels"),
     )
