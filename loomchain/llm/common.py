@@ -43,9 +43,16 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
+    drop_on_exit(spark, at)
     return spark.read.schema(df.schema).parquet(at)
 
 
+def drop_on_exit(spark: SparkSession, at: str) -> None:
+    """Has the file system remove a folder of ours when the driver ends."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import blocks, cut, shared_dir, shuffle_partitions, table, texts
+from loomchain.llm.common import blocks, cut, drop_on_exit, shared_dir, shuffle_partitions, table, texts
 
 #: Bytes of a repeated string.
 LENGTH = 50
@@ -326,7 +326,9 @@ def _block_table(docs: DataFrame, block_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     name = f"loomchain_blocks_{uuid.uuid4().hex}"
     packed = texts(docs).mapInArrow(_pack(block_bytes), BLOCK_SCHEMA)
-    packed.write.bucketBy(shuffle_partitions(spark), "block").sortBy("block").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    at = f"{shared_dir(spark)}/{name}"
+    packed.write.bucketBy(shuffle_partitions(spark), "block").sortBy("block").option("path", at).saveAsTable(name)
+    drop_on_exit(spark, at)
     held = spark.table(name)
     held.schema  # resolved before the name goes; the files stay
     spark.sql(f"DROP TABLE {name}")
