@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomchain.operators.ranges import running
+from loomchain.operators.ranges import previous, running
 
 # The upper bounds of the latency buckets, in seconds.
 BOUNDS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
@@ -42,10 +42,14 @@ def quantile(histogram: DataFrame, keys: list[str], q: float) -> DataFrame:
     return first.select(*keys, F.round(value, 6).alias("value"))
 
 
-def increases(counter: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The increase at each sample of a counter (column v): a fall is a restart from zero, and the first sample counts nothing."""
-    before = F.lag("v").over(Window.partitionBy(*keys).orderBy(*order))
-    return counter.withColumn("increase", F.when(before.isNull(), 0).when(F.col("v") >= before, F.col("v") - before).otherwise(F.col("v")))
+def increases(counter: DataFrame, keys: list[str], order: list[str], bucket_seconds: int = 3600) -> DataFrame:
+    """The increase at each sample of a counter (columns ts, v): a fall is a restart from zero, and the first sample counts nothing.
+
+    A label with very many samples is ordered hour by hour, not as a whole.
+    """
+    found = previous(counter, keys, F.floor(F.unix_timestamp("ts") / bucket_seconds), order, F.col("v"), "_previous")
+    before = F.col("_previous")
+    return found.withColumn("increase", F.when(before.isNull(), 0).when(F.col("v") >= before, F.col("v") - before).otherwise(F.col("v"))).drop("_previous")
 
 
 def rate(increased: DataFrame, keys: list[str], window: str, slide: str, seconds: int) -> DataFrame:

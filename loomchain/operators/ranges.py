@@ -128,3 +128,14 @@ def running(rows: DataFrame, keys: list[str], bucket: Column, order: list[str],
     both = local.join(carried, [*keys, "_bucket"])
     result = F.col("_local") + F.coalesce("_carried", seed) if how == "sum" else F.greatest("_local", "_carried")
     return both.withColumn(name, result).drop("_bucket", "_value", "_local", "_carried")
+
+
+def previous(rows: DataFrame, keys: list[str], bucket: Column, order: list[str], value: Column, name: str) -> DataFrame:
+    """Adds the value of the row before along ``order``: from the same bucket, or the last one of the bucket before."""
+    placed = rows.withColumns({"_bucket": bucket, "_value": value})
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    local = placed.withColumns({"_nth": F.row_number().over(inside), "_before": F.lag("_value").over(inside)})
+    lasts = placed.groupBy(*keys, "_bucket").agg(F.max_by("_value", F.struct(*order)).alias("_last"))
+    carried = lasts.withColumn("_carried", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket"))).drop("_last")
+    both = local.join(carried, [*keys, "_bucket"])
+    return both.withColumn(name, F.when(F.col("_nth") == 1, F.col("_carried")).otherwise(F.col("_before"))).drop("_bucket", "_value", "_nth", "_before", "_carried")
