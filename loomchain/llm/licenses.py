@@ -84,12 +84,14 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
-def band_keys(hashes: np.ndarray, width: int) -> Iterator[np.ndarray]:
-    """For each band, the key of every window of ``width`` shingles."""
+def band_keys(hashes: np.ndarray, widths: Iterable[int]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(width, band, the keys of every window of ``width`` shingles)."""
     factors = np.random.default_rng(5).integers(0, 1 << 62, 2 * BANDS, dtype=U) * U(2) + U(1)
-    for b in range(BANDS):
-        one, two = (_sliding_min(_mixed(hashes * f), width) for f in factors[2 * b : 2 * b + 2])
-        yield _mixed(one * _BASE + two)
+    for band in range(BANDS):
+        one, two = (_mixed(hashes * f) for f in factors[2 * band : 2 * band + 2])
+        for width in widths:
+            if len(hashes) >= width:
+                yield width, band, _mixed(_sliding_min(one, width) * _BASE + _sliding_min(two, width))
 
 
 class Templates:
@@ -101,41 +103,41 @@ class Templates:
         words = WordHashes()
         self.parts = [shingles(np.fromiter((words[w] for w in words_of(texts_of[n].encode())), U)) for n in self.names]
         self.sets = [np.unique(p) for p in self.parts]
-        found: dict[int, list[tuple[list, list]]] = {}
+        self.widths = sorted({min(len(p), WINDOW) for p in self.parts if len(p)})
+        found: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for t, p in enumerate(self.parts):
-            if not len(p):
-                continue
-            width = min(len(p), WINDOW)
-            for b, keys in enumerate(band_keys(p, width)):
-                k, owner = found.setdefault(width, [([], []) for _ in range(BANDS)])[b]
-                k += keys.tolist()
-                owner += [t] * len(keys)
-        self.bands = {w: [(np.asarray(k, U)[o := np.argsort(np.asarray(k, U), kind="stable")], np.asarray(owner)[o]) for k, owner in bands] for w, bands in found.items()}
-
-    def retrieve(self, hashes: np.ndarray, width: int) -> set[tuple[int, int]]:
-        """(template, window) that share a band key."""
-        out: set[tuple[int, int]] = set()
-        for (keys, owner), own in zip(self.bands[width], band_keys(hashes, width)):
-            lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-            for at in np.flatnonzero(hi > lo):
-                out.update((int(t), int(at)) for t in owner[lo[at] : hi[at]])
+            for width, band, keys in band_keys(p, [min(len(p), WINDOW)] if len(p) else []):
+                found.setdefault((width, band), []).extend((k, t) for k in keys.tolist())
+        self.bands = {at: (np.asarray([k for k, _ in sorted(own)], U), np.asarray([t for _, t in sorted(own)])) for at, own in found.items()}
+        # Which high bits any key has: one look-up rules out nearly every window.
+        self.filters = {}
+        for at, (keys, _) in self.bands.items():
+            self.filters[at] = np.zeros(1 << 16, bool)
+            self.filters[at][(keys >> U(48)).astype(np.int64)] = True
+
+    def retrieve(self, hashes: np.ndarray) -> set[tuple[int, int, int]]:
+        """(width, template, window) that share a band key."""
+        out: set[tuple[int, int, int]] = set()
+        for width, band, own in band_keys(hashes, self.widths):
+            keys, owner = self.bands[width, band]
+            likely = np.flatnonzero(self.filters[width, band][(own >> U(48)).astype(np.int64)])
+            lo, hi = np.searchsorted(keys, own[likely], "left"), np.searchsorted(keys, own[likely], "right")
+            for i in np.flatnonzero(hi > lo):
+                out.update((width, int(t), int(likely[i])) for t in owner[lo[i] : hi[i]])
         return out
 
     def find(self, hashes: np.ndarray, starts: np.ndarray) -> list[dict[int, tuple[int, int]]]:
         """For each document (its shingles from ``starts``): template -> (first shingle, last shingle) of its first occurrence."""
         out: list[dict[int, tuple[int, int]]] = [{} for _ in starts[:-1]]
-        for width in self.bands:
-            if len(hashes) < width:
+        for width, t, at in sorted(self.retrieve(hashes), key=lambda x: x[2]):
+            d = int(np.searchsorted(starts, at, "right")) - 1
+            if t in out[d]:
                 continue
-            for t, at in sorted(self.retrieve(hashes, width), key=lambda x: x[1]):
-                d = int(np.searchsorted(starts, at, "right")) - 1
-                if t in out[d]:
-                    continue
-                m = len(self.parts[t])
-                lo, hi = max(int(starts[d]), at - m), min(int(starts[d + 1]), at + m + width)
-                near = np.flatnonzero(np.isin(hashes[lo:hi], self.sets[t]))
-                if len(np.unique(hashes[lo:hi][near])) >= self.containment * len(self.sets[t]):
-                    out[d][t] = (lo + int(near[0]) - int(starts[d]), lo + int(near[-1]) - int(starts[d]))
+            m = len(self.parts[t])
+            lo, hi = max(int(starts[d]), at - m), min(int(starts[d + 1]), at + m + width)
+            near = np.flatnonzero(np.isin(hashes[lo:hi], self.sets[t]))
+            if len(np.unique(hashes[lo:hi][near])) >= self.containment * len(self.sets[t]):
+                out[d][t] = (lo + int(near[0]) - int(starts[d]), lo + int(near[-1]) - int(starts[d]))
         return out
 
 
