@@ -17,15 +17,24 @@ from loomchain.shipping import ship
 BLOCK_BYTES = 4 << 20
 #: Rows that one block holds at most.
 BLOCK_ROWS = 8192
+#: Rows of documents that go to a Python worker at once, where the session has Spark's own number, which is meant for short rows.
+ARROW_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def prepare(spark: SparkSession) -> None:
+    """Ships the package and bounds what workers are sent at once."""
+    ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id (long) and the text's UTF-8 bytes (null: empty); other columns, whatever their names, stay out."""
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"))
 
 
@@ -78,9 +87,11 @@ def blocks(batches: Iterable[pa.RecordBatch], most_bytes: int = BLOCK_BYTES, mos
             size += len(text)
     if held:
         yield block_id(nth), ids, held
+    pa.default_memory_pool().release_unused()
 
 
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, Iterator[bytes]]]:
     """(doc_ids, texts) of each Arrow batch; texts come one by one, so that one copy is held at a time."""
     for batch in batches:
         yield batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1))
+    pa.default_memory_pool().release_unused()

@@ -24,8 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import blocks, table, texts
-from loomchain.shipping import ship
+from loomchain.llm.common import blocks, prepare, table, texts
 
 WINDOW = 13
 #: Bytes of benchmark text that are sent to the tasks at once.
@@ -253,7 +252,7 @@ def _clean_rows(one_in: int):
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
     """The rows of ``docs``, all their columns, that are not contaminated."""
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"), F.struct("*").alias("row"))
     marked = _marked(rows, benchmark, window, part_bytes)
     return marked.mapInArrow(_clean_rows(one_in), marked.select("row").schema).select("row.*")

@@ -17,6 +17,7 @@ import base64
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -61,14 +62,20 @@ class Ids:
 
     def __init__(self, name: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.name = name
         with open(public_tokenizers.path(name.removesuffix(".json") + ".tiktoken"), "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         self.ranks = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.parts: dict[str, bytes] = {}
 
+    @cached_property
+    def tokenizer(self):
+        """Loaded where a text first asks for it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(public_tokenizers.path(self.name))
+
     def _part(self, part: str) -> bytes:
         if (ids := self.parts.get(part)) is None:
             ids = np.asarray(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u2").tobytes()
@@ -214,6 +221,7 @@ def _pack(sequence: int):
                 need -= min(need, len(ids))
             close(pieces)
         yield batch()
+        pa.default_memory_pool().release_unused()
 
     return run
 
