@@ -29,7 +29,7 @@ from loomchain.llm.common import blocks, table, texts
 
 WORDS = 1 << 14
 DIMS = 64
-NONZERO = 4
+NONZERO = 2
 REACH = 2
 #: Bound of the labelled documents that are gathered to train on.
 TRAIN_ROWS = 20_000
@@ -77,27 +77,25 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """(places, signs) of each cell's nonzero entries."""
     rng = np.random.default_rng(7)
     places = np.argsort(rng.random((WORDS, DIMS)), axis=1)[:, :NONZERO]
-    return places, np.where(rng.random((WORDS, NONZERO)) < 0.5, -1, 1)
+    return places.astype(np.int32), np.where(rng.random((WORDS, NONZERO)) < 0.5, -1, 1).astype(np.int8)
 
 
 def _add_contexts(total: np.ndarray, cells: np.ndarray, row: np.ndarray, places: np.ndarray, signs: np.ndarray) -> None:
     """Adds to each cell the index vectors of its neighbours in the same document, and its own."""
-    keys = [cells * WORDS + cells]
-    for d in range(1, REACH + 1):
-        same = row[d:] == row[:-d]
-        a, b = cells[:-d][same], cells[d:][same]
-        keys += [a * WORDS + b, b * WORDS + a]
-    for k in keys:
-        pairs, counts = np.unique(k, return_counts=True)
-        a, b = np.divmod(pairs, WORDS)
-        for j in range(NONZERO):
-            total += np.bincount(a * DIMS + places[b, j], weights=counts * signs[b, j], minlength=WORDS * DIMS).astype(np.int64)
+    places, signs, own = places[cells], signs[cells], cells * DIMS
+    for j in range(NONZERO):
+        at, weights = [own + places[:, j]], [signs[:, j]]
+        for d in range(1, REACH + 1):
+            same = row[d:] == row[:-d]
+            at += [(own[:-d] + places[d:, j])[same], (own[d:] + places[:-d, j])[same]]
+            weights += [signs[d:, j][same], signs[:-d, j][same]]
+        total += np.bincount(np.concatenate(at), weights=np.concatenate(weights), minlength=WORDS * DIMS).astype(np.int64)
 
 
 def _sum_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cells, (places, signs) = Cells(), index_vectors()
     total, seen = np.zeros(WORDS * DIMS, np.int64), np.zeros(WORDS, np.int64)
-    for _, _, held in blocks(batches, 2 << 20):
+    for _, _, held in blocks(batches):
         found = [cells.of(t) for t in held]
         flat = np.concatenate(found)
         _add_contexts(total, flat, np.repeat(np.arange(len(found)), [len(f) for f in found]), places, signs)
@@ -232,6 +230,7 @@ def _keep_rows(words, network, at: int) -> object:
         for batch in batches:
             score = network.value.score(np.stack([pooled(cells.of((t.as_py() or "").encode()), vectors, weights) for t in batch.column(at)]) if batch.num_rows else np.zeros((0, 2 * DIMS)))
             yield batch.filter(pa.array(score >= THRESHOLD))
+        pa.default_memory_pool().release_unused()
 
     return run
 
