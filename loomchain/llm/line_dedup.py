@@ -5,8 +5,11 @@ document is one small row for each task.  Lines whose estimate is near the thres
 estimate decides.  The lines found are joined back to the lines of the distinct texts; a frequent line is a skewed key of a plain
 join, which Spark splits.
 
-A text that would lose more than ``MOST_LOST`` of its characters is left whole: it is a copy of a document that is spread over the
-sites, not a page with boilerplate, and near-duplicate removal is there for it.
+``op10_line_dedup`` leaves a text whole that would lose more than ``MOST_LOST`` of its characters, as its SQL does, whether it is a copy
+or a page of boilerplate.  ``clean_lines``, which the pipeline runs, has no such exemption.  It tells copies by what they are: the lines found
+are counted again with one site for each distinct text, and then one for each class of near copies among the texts that would still lose
+more than half.  Those classes are connected by MinHash bands of word shingles.  Whatever line passes leaves every text that has
+something else; a text of nothing but boilerplate stays as it is.
 
 Null text: no lines.  Lines without anything but white space are neither counted nor removed.  A null source is no site.  What is
 removed depends on the text alone, so repeated rows and null or repeated doc_ids are treated alike.  Empty table: empty result.
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomchain.llm.common import cut, table
+from loomchain.llm.components import components
 
 #: Distinct sites from which on a line is boilerplate.
 SITES = 8
@@ -27,6 +31,8 @@ SKETCH_BITS = 8
 BAND = 0.26
 #: Share of its characters that a text may lose.
 MOST_LOST = 0.5
+#: Words in a shingle; bands and rows of the near copies' MinHash: texts are linked from a Jaccard similarity of about 0.88 on.
+SHINGLE, BANDS, BAND_ROWS = 3, 8, 16
 
 _NOT_BLANK = "[^ \\t\\x0B\\f\\r]"
 
@@ -54,19 +60,27 @@ def boilerplate_lines(lines: DataFrame, sites: int = SITES) -> DataFrame:
     return sure.unionAll(exact)
 
 
-def without_boilerplate(docs: DataFrame, sites: int = SITES, most_lost: float = MOST_LOST) -> DataFrame:
-    """(row: all of ``docs`` as a struct, n_lines, n_boilerplate, n_removed, kept: the text that is left)."""
-    own = docs.select(F.struct("*").alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"), docs["source"].cast("string").alias("site"))
-    lines = _lines(own)
-    # Written first, so that the next join reads a plain table: sent if it is small, and else its frequent lines are split.
-    spread = cut(boilerplate_lines(lines, sites), "lines")
-    found = lines.join(spread, ["h1", "h2"], "left_semi")
+def _own(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct("*").alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"), docs["source"].cast("string").alias("site"))
+
+
+def _cleaned(own: DataFrame, found: DataFrame) -> DataFrame:
+    """``own`` with lines, marked (places of the lines of ``found(t1, t2, pos)``) and cleaned (the text without them)."""
     marks = found.groupBy("t1", "t2").agg(F.collect_set("pos").alias("marked"))
     t1, t2 = _keys(F.col("text"))
     rows = own.select("row", "text", t1.alias("t1"), t2.alias("t2")).join(marks, ["t1", "t2"], "left")
     split = rows.select("row", "text", F.split("text", "\n").alias("lines"), F.coalesce("marked", F.array().cast("array<int>")).alias("marked"))
     places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("marked"))
-    cleaned = split.withColumn("cleaned", F.when(F.size("marked") == 0, F.col("text")).otherwise(F.array_join(F.transform(places, lambda i: F.get("lines", i)), "\n")))
+    return split.withColumn("cleaned", F.when(F.size("marked") == 0, F.col("text")).otherwise(F.array_join(F.transform(places, lambda i: F.get("lines", i)), "\n")))
+
+
+def without_boilerplate(docs: DataFrame, sites: int = SITES, most_lost: float = MOST_LOST) -> DataFrame:
+    """(row: all of ``docs`` as a struct, n_lines, n_boilerplate, n_removed, kept: the text that is left)."""
+    own = _own(docs)
+    lines = _lines(own)
+    # Written first, so that the next join reads a plain table: sent if it is small, and else its frequent lines are split.
+    spread = cut(boilerplate_lines(lines, sites), "lines")
+    cleaned = _cleaned(own, lines.join(spread, ["h1", "h2"], "left_semi"))
     takes = (F.size("marked") > 0) & (F.length("cleaned") >= (1 - most_lost) * F.length("text"))
     n_lines = F.size(F.filter("lines", lambda x: x.rlike(_NOT_BLANK)))
     return cleaned.select(
@@ -75,11 +89,56 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES, most_lost: float =
     )
 
 
+def _on_sites(held: DataFrame, site_of: DataFrame, sites: int) -> DataFrame:
+    """(h1, h2) of the lines of ``held(t1, t2, h1, h2)`` that stand on so many sites, each text having the one in ``site_of(t1, t2, site)``."""
+    pairs = held.join(site_of.where(F.col("site").isNotNull()), ["t1", "t2"]).select("h1", "h2", "site").distinct()
+    return pairs.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= sites).select("h1", "h2")
+
+
+def _near_copies(texts: DataFrame) -> DataFrame:
+    """(node: t1, root) of the texts of ``texts(t1, text)`` that are near copies of others."""
+    words = F.split(F.trim("text"), "\\s+")
+    shingled = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - SHINGLE + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, SHINGLE)))
+    # Written, so that each of the minima below reads the shingles instead of making them.
+    shingles = cut(texts.select("t1", words.alias("words")).select("t1", F.array_distinct(shingled).alias("shingles")), "shingles")
+
+    def least_of(k: int) -> Column:
+        return F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.lit(k))))
+
+    least = [least_of(k) for k in range(BANDS * BAND_ROWS)]
+    bands = F.array(*(F.xxhash64(F.lit(b), *least[b * BAND_ROWS : (b + 1) * BAND_ROWS]) for b in range(BANDS)))
+    keyed = cut(shingles.select("t1", F.explode(bands).alias("key")).distinct(), "bands")
+    first = keyed.groupBy("key").agg(F.min("t1").alias("b"))
+    return components(keyed.join(first, "key").select(F.col("t1").alias("a"), "b"))
+
+
+def proven_boilerplate(docs: DataFrame, sites: int = SITES) -> tuple[DataFrame, DataFrame]:
+    """``_own(docs)`` and (t1, t2, pos) of the lines in it that stand on so many sites when copies and near copies of a text count once."""
+    own = _own(docs)
+    lines = _lines(own)
+    spread = cut(boilerplate_lines(lines, sites), "lines")
+    t1, t2 = _keys(F.col("text"))
+    split = own.select(t1.alias("t1"), t2.alias("t2"), "site", F.length("text").alias("n"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    h1, h2 = _keys(F.col("line"))
+    sized = split.where(F.col("line").rlike(_NOT_BLANK)).select("t1", "t2", "site", "n", "pos", (F.length("line") + 1).alias("size"), h1.alias("h1"), h2.alias("h2"))
+    # One row for each line of a distinct text.
+    found = cut(sized.join(spread, ["h1", "h2"], "left_semi").groupBy("t1", "t2", "n", "pos", "size", "h1", "h2").agg(F.min("site").alias("site")), "found")
+    held, site_of = found.select("t1", "t2", "h1", "h2").distinct(), found.groupBy("t1", "t2").agg(F.min("site").alias("site"))
+    distinct = found.join(cut(_on_sites(held, site_of, sites), "lines"), ["h1", "h2"], "left_semi")
+    doubtful = cut(distinct.groupBy("t1", "t2", "n").agg(F.sum("size").alias("lost")).where(F.col("lost") * 2 > F.col("n")).select("t1", "t2"), "doubtful")
+    texts = own.select(t1.alias("t1"), t2.alias("t2"), "text").join(doubtful, ["t1", "t2"], "left_semi")
+    roots = _near_copies(texts.select("t1", "text"))
+    classed = cut(site_of.join(roots, F.col("t1") == F.col("node"), "left").select("t1", "t2", "site", F.coalesce("root", "t1").alias("class")), "classes")
+    one = classed.groupBy("class").agg(F.min("site").alias("site"))
+    proven = cut(_on_sites(held, classed.select("t1", "t2", "class").join(one, "class").select("t1", "t2", "site"), sites), "lines")
+    return own, found.join(proven, ["h1", "h2"], "left_semi").select("t1", "t2", "pos")
+
+
 def clean_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with cross-site boilerplate taken out of text, and n_chars following it."""
-    cleaned = without_boilerplate(docs)
-    taken = F.col("n_removed") > 0
-    columns = {"text": F.when(taken, F.col("kept")).otherwise(F.col("row.text")), "n_chars": F.when(taken, F.length("kept")).otherwise(F.col("row.n_chars"))}
+    cleaned = _cleaned(*proven_boilerplate(docs))
+    taken = (F.size("marked") > 0) & F.col("cleaned").rlike("[^ \\t\\x0B\\f\\r\\n]")
+    columns = {"text": F.when(taken, F.col("cleaned")).otherwise(F.col("row.text")), "n_chars": F.when(taken, F.length("cleaned")).otherwise(F.col("row.n_chars"))}
     return cleaned.select(*(columns.get(f.name, F.col("row")[f.name]).cast(f.dataType).alias(f.name) for f in docs.schema))
 
 

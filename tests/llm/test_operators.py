@@ -250,6 +250,18 @@ def test_line_dedup_rules(spark):
     assert got[105].text == "The same text.\nOn every site." and got[200].text is None and got[201].text == "Boiler."
 
 
+def test_line_dedup_tells_copies_from_pages_of_boilerplate(spark):
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    pages = [(i, " ".join(word() for _ in range(5)) + "\nA long line of boilerplate that stands on the page of every site.", f"s{i % 12}") for i in range(24)]
+    body = [" ".join(word() for _ in range(12)) for _ in range(20)]
+    near = [(100 + i, "\n".join([*body, f"Copy {i}."]), f"s{i}") for i in range(12)]
+    docs = spark.createDataFrame(pages + near, "doc_id long, text string, source string")
+    got = {x.doc_id: x.text for x in line_dedup.clean_lines(docs).collect()}
+    assert all(got[i] == t.split("\n")[0] for i, t, _ in pages)
+    assert all(got[i] == t for i, t, _ in near)
+
+
 CLASHING = "doc_id long, text string, row string, hits int, items int, source string, n_chars int, site int, t1 int, h1 int, fp int"
 
 
