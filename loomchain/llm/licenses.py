@@ -1,21 +1,26 @@
 """License scan: MinHash bands over overlapping text windows retrieve templates, exact shingle containment verifies them.
 
-Words make five-word shingles.  A template is retrieved by windows of as many shingles as it has, or of ``WINDOW`` of its own where
-it is longer; documents are seen through windows of the same sizes at every place, so that one of them lies over any occurrence.
-A window that holds at least 0.8 of a template's shingles has a Jaccard similarity of 2/3 or more with it; with bands of two rows
+Words make five-word shingles.  A template of ``WINDOW`` shingles or more is retrieved by windows of so many; documents are seen through
+windows of the same size at every place, so that some of them lie over any occurrence.  Shorter templates need no sketch: any shingle of
+theirs retrieves them.  A window that holds at least 0.8 of a template's shingles has a Jaccard similarity of 2/3 or more with it; with bands of two rows
 out of ``2 * BANDS`` it is missed with a probability of at most (1 - 4/9) ** BANDS, under one in ten thousand for 16 bands.
 What is retrieved counts only if the shingles around the place hold at least ``CONTAINMENT`` of the template's.
 
+A license has several templates: ``ID-whole`` is its whole text (``license_texts``), the others are its notices; a name begins with the
+license's id.  ``SPDX-License-Identifier`` tags, which can be shorter than a shingle, are read as such and give ``ID-spdx``.
+
 Templates are a fixed, small set, so their bands go to every task.  Documents are never shuffled and no sets are compared pairwise.
 
-Null text: no licenses.  Texts of fewer than five words hold no shingle and match nothing.  Rows are judged alone: repeated rows, null
+Null text: no licenses.  Texts of fewer than five words hold no shingle and match nothing but SPDX tags.  Rows are judged alone: repeated rows, null
 and repeated doc_ids each give their row.  Empty table: empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +45,37 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
 }
 
+# Other wordings of the notices, by license; the list's places number the templates.  Each has five words at least.
+NOTICES = {
+    "AGPL-3.0": ["licensed under the GNU Affero General Public License", "GNU Affero General Public License v3.0", "GNU Affero General Public License, version 3", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
+    "Apache-2.0": ["under the Apache License, Version 2.0", "licensed under the Apache License 2.0", "licensed under the Apache 2.0 license", "released under the Apache License 2.0", "under the Apache 2.0 license", "under the Apache-2.0 License"],
+    "BSD": ["licensed under the BSD License", "released under the BSD License", "governed by a BSD-style license", "under the 3-clause BSD license", "under the BSD 3-Clause License", "under the 2-clause BSD license", "under the BSD 2-Clause License", "distributed under the BSD License"],
+    "CC-BY-4.0": ["licensed under a Creative Commons Attribution 4.0", "licensed under CC BY 4.0", "under the Creative Commons Attribution 4.0 International", "Creative Commons Attribution 4.0 International License", "creativecommons.org/licenses/by/4.0"],
+    "CC-BY-NC-4.0": ["under the CC BY-NC 4.0 license", "Creative Commons Attribution-NonCommercial 4.0 International", "creativecommons.org/licenses/by-nc/4.0"],
+    "CC-BY-SA-4.0": ["licensed under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International", "creativecommons.org/licenses/by-sa/4.0"],
+    "CC0-1.0": ["CC0 1.0 Universal Public Domain Dedication", "creativecommons.org/publicdomain/zero/1.0", "released under CC0 1.0"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU General Public License v2.0", "GNU General Public License version 2", "either version 2 of the License, or (at your option) any later version", "licensed under the GPL v2", "is licensed under the GPLv2"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GNU General Public License v3", "licensed under the GPL v3", "is licensed under the GPLv3", "released under the GPL v3", "released under the GNU GPL v3"],
+    "ISC": ["licensed under the ISC License", "released under the ISC License", "distributed under the ISC License", "under the terms of the ISC License"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "licensed under the LGPL v2.1", "licensed under the LGPLv2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0", "GNU Lesser General Public License v3", "licensed under the LGPL v3", "is licensed under the LGPLv3"],
+    "MIT": ["licensed under the MIT License", "distributed under the MIT License", "available under the MIT License", "provided under the MIT License", "published under the MIT License", "covered by the MIT License", "licensed under an MIT license", "licensed under the terms of the MIT license", "under the terms of the MIT license", "subject to the MIT License", "use of this source code is governed by an MIT-style license"],
+    "MPL-2.0": ["Mozilla Public License, v. 2.0", "Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "licensed under the MPL 2.0"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain", "released under the Unlicense license"],
+}
+TEMPLATES |= {f"{name}-notice-{n}": text for name, held in NOTICES.items() for n, text in enumerate(held, 1)}
+
+
+def all_templates() -> dict[str, str]:
+    """The notices and the whole texts; the files are read by the driver alone."""
+    return TEMPLATES | {f"{p.stem}-whole": p.read_text() for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+
 SHINGLE = 5
 CONTAINMENT = 0.8
 WINDOW = 16
+#: Where short templates' shingles are kept among the bands: windows of one shingle.
+SHORT = (1, -1)
 BANDS = 16
 #: Words that a worker's table of hashes may hold before it starts anew.
 CACHE_ENTRIES = 100_000
@@ -50,6 +83,8 @@ CACHE_ENTRIES = 100_000
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
+#: A tag's ids end where its line does or another sign comes.
+SPDX = re.compile(rb"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+() \t-]+)", re.I)
 RESULT_SCHEMA = "doc_id long, n_licenses long, licenses string, places string"
 
 
@@ -57,6 +92,27 @@ def words_of(text: bytes) -> list[bytes]:
     return WORD.findall(text.lower())
 
 
+def spdx_tags(text: bytes) -> list[tuple[str, int, int]]:
+    """(name, first word, word after the last) of the ids in SPDX tags; without exceptions, which follow WITH."""
+    found = []
+    for tag in SPDX.finditer(text):
+        at, operand = tag.start(1), True
+        for x in re.finditer(rb"[A-Za-z0-9.+-]+", tag[1]):
+            if x[0] in (b"AND", b"OR", b"WITH"):
+                operand = x[0] != b"WITH"
+            elif operand:
+                # What follows an id without an operator is no part of the expression.
+                a = len(words_of(text[: at + x.start()]))
+                if name := x[0].decode().strip(".-"):
+                    found.append((f"{name}-spdx", a, a + len(words_of(x[0]))))
+                operand = None
+            elif operand is None:
+                break
+            else:
+                operand = None
+    return found
+
+
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh64_intdigest(word, 1)
@@ -103,36 +159,51 @@ class Templates:
         words = WordHashes()
         self.parts = [shingles(np.fromiter((words[w] for w in words_of(texts_of[n].encode())), U)) for n in self.names]
         self.sets = [np.unique(p) for p in self.parts]
-        self.widths = sorted({min(len(p), WINDOW) for p in self.parts if len(p)})
-        found: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        self.widths = sorted({WINDOW for p in self.parts if len(p) >= WINDOW})
+        found: dict[tuple[int, int], list[tuple[np.ndarray, int]]] = {}
         for t, p in enumerate(self.parts):
-            for width, band, keys in band_keys(p, [min(len(p), WINDOW)] if len(p) else []):
-                found.setdefault((width, band), []).extend((k, t) for k in keys.tolist())
-        self.bands = {at: (np.asarray([k for k, _ in sorted(own)], U), np.asarray([t for _, t in sorted(own)])) for at, own in found.items()}
+            if len(p) < WINDOW:
+                found.setdefault(SHORT, []).append((self.sets[t], t))
+            for width, band, keys in band_keys(p, self.widths):
+                found.setdefault((width, band), []).append((np.unique(keys), t))
+        self.bands = {}
+        for at, own in found.items():
+            keys, owner = np.concatenate([k for k, _ in own]), np.concatenate([np.full(len(k), t) for k, t in own])
+            order = np.argsort(keys, kind="stable")
+            self.bands[at] = keys[order], owner[order]
         # Which high bits any key has: one look-up rules out nearly every window.
         self.filters = {}
         for at, (keys, _) in self.bands.items():
-            self.filters[at] = np.zeros(1 << 16, bool)
-            self.filters[at][(keys >> U(48)).astype(np.int64)] = True
+            shift = U(64 - max(16, (16 * len(keys)).bit_length()))
+            self.filters[at] = np.zeros(1 << (64 - int(shift)), bool), shift
+            self.filters[at][0][(keys >> shift).astype(np.int64)] = True
 
     def retrieve(self, hashes: np.ndarray) -> set[tuple[int, int, int]]:
-        """(width, template, window) that share a band key."""
+        """(width, template, window) that share a band key, or a shingle with a short template."""
         out: set[tuple[int, int, int]] = set()
-        for width, band, own in band_keys(hashes, self.widths):
-            keys, owner = self.bands[width, band]
-            likely = np.flatnonzero(self.filters[width, band][(own >> U(48)).astype(np.int64)])
+        windows = [(SHORT, hashes)] if SHORT in self.bands else []
+        for at, own in itertools.chain(windows, (((width, band), own) for width, band, own in band_keys(hashes, self.widths))):
+            (keys, owner), (held, shift) = self.bands[at], self.filters[at]
+            likely = np.flatnonzero(held[(own >> shift).astype(np.int64)])
             lo, hi = np.searchsorted(keys, own[likely], "left"), np.searchsorted(keys, own[likely], "right")
             for i in np.flatnonzero(hi > lo):
-                out.update((width, int(t), int(likely[i])) for t in owner[lo[i] : hi[i]])
+                out.update((at[0], int(t), int(likely[i])) for t in owner[lo[i] : hi[i]])
         return out
 
     def find(self, hashes: np.ndarray, starts: np.ndarray) -> list[dict[int, tuple[int, int]]]:
         """For each document (its shingles from ``starts``): template -> (first shingle, last shingle) of its first occurrence."""
         out: list[dict[int, tuple[int, int]]] = [{} for _ in starts[:-1]]
+        # Whether the whole document holds enough of a template: else no place in it does.
+        enough: dict[tuple[int, int], bool] = {}
         for width, t, at in sorted(self.retrieve(hashes), key=lambda x: x[2]):
             d = int(np.searchsorted(starts, at, "right")) - 1
             if t in out[d]:
                 continue
+            if (t, d) not in enough:
+                own = hashes[starts[d] : starts[d + 1]]
+                enough[t, d] = len(np.unique(own[np.isin(own, self.sets[t])])) >= self.containment * len(self.sets[t])
+            if not enough[t, d]:
+                continue
             m = len(self.parts[t])
             lo, hi = max(int(starts[d]), at - m), min(int(starts[d + 1]), at + m + width)
             near = np.flatnonzero(np.isin(hashes[lo:hi], self.sets[t]))
@@ -153,19 +224,22 @@ def _scan(templates):
                 parts.append(shingles(np.fromiter(map(words.__getitem__, found), U, len(found))))
             starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
             rows = []
-            for at in own.find(np.concatenate(parts), starts):
-                names = sorted((own.names[t], a, b) for t, (a, b) in at.items())
+            for at, text in zip(own.find(np.concatenate(parts), starts), held):
                 # Places are words: from a shingle's first word to past another's last.
-                rows.append((len(names), ",".join(n for n, _, _ in names), ",".join(f"{n}:{a}:{b + SHINGLE}" for n, a, b in names)))
+                tags: dict[str, tuple[int, int]] = {}
+                for n, a, b in spdx_tags(text):
+                    tags.setdefault(n, (a, b))
+                names = sorted([(own.names[t], a, b + SHINGLE) for t, (a, b) in at.items()] + [(n, a, b) for n, (a, b) in tags.items()])
+                rows.append((len(names), ",".join(n for n, _, _ in names), ",".join(f"{n}:{a}:{b}" for n, a, b in names)))
             n, licenses, places = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(licenses), pa.array(places)], names=["doc_id", "n_licenses", "licenses", "places"])
 
     return run
 
 
-def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
     """Per row of ``docs``: the templates found, by name, and where each stands first (words, end exclusive)."""
-    own = docs.sparkSession.sparkContext.broadcast(Templates(templates, containment))
+    own = docs.sparkSession.sparkContext.broadcast(Templates(all_templates() if templates is None else templates, containment))
     return texts(docs).mapInArrow(_scan(own), RESULT_SCHEMA)
 
 

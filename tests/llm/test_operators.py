@@ -228,6 +228,20 @@ def test_licenses(spark):
         assert close <= got[d] <= whole
 
 
+def test_licenses_in_other_wordings(spark):
+    whole = [(n.removesuffix("-whole"), t) for n, t in licenses.all_templates().items() if n.endswith("-whole")]
+    docs = [
+        ("MIT", "This package is licensed under the MIT License, see LICENSE."), ("GPL-3.0", "Free under the GNU General Public License v3.0 or later."), ("Apache-2.0", "All code here is licensed under the Apache License 2.0."),
+        ("MIT", "// SPDX-License-Identifier: MIT"), ("GPL-2.0-or-later", "# SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0 OR MIT)"), ("BSD", "The whole is distributed under the BSD License."),
+        *((n, "some words before " + t + " and after") for n, t in whole), *((n, " ".join(t.split()[: int(0.93 * len(t.split()))])) for n, t in whole),
+    ]
+    got = {r.doc_id: r.licenses.split(",") for r in licenses.license_matches(frame(spark, [(i, t) for i, (_, t) in enumerate(docs)])).collect()}
+    for i, (name, _) in enumerate(docs):
+        assert any(x.startswith(f"{name}-") for x in got[i]), (name, got[i])
+    assert [f"{n}-whole" in got[i + 6] for i, (n, _) in enumerate(whole)] == [True] * len(whole)
+    assert got[4] == ["GPL-2.0-or-later-spdx", "MIT-spdx"]
+
+
 @pytest.mark.parametrize("texts, n, covered", [("a b c a b c", 6, 6), ("a b c d", 4, 0), ("x x x x", 4, 4), ("a b c q a b c", 7, 6), ("a b", 2, 0), (None, 0, 0)])
 def test_repeated_words(spark, texts, n, covered):
     r = quality_rules.judged(frame(spark, [(1, texts)])).first()
