@@ -190,27 +190,47 @@ class Templates:
                 out.update((at[0], int(t), int(likely[i])) for t in owner[lo[i] : hi[i]])
         return out
 
-    def find(self, hashes: np.ndarray, starts: np.ndarray) -> list[dict[int, tuple[int, int]]]:
-        """For each document (its shingles from ``starts``): template -> (first shingle, last shingle) of its first occurrence."""
-        out: list[dict[int, tuple[int, int]]] = [{} for _ in starts[:-1]]
-        # Whether the whole document holds enough of a template: else no place in it does.
-        enough: dict[tuple[int, int], bool] = {}
+    def find(self, hashes: np.ndarray, starts: np.ndarray) -> list[dict[int, list[tuple[int, int]]]]:
+        """For each document (its shingles from ``starts``): template -> (first shingle, last shingle) of its occurrences, which are disjoint."""
+        out: list[dict[int, list[tuple[int, int]]]] = [{} for _ in starts[:-1]]
+        # Where a document's shingles are a template's; None: not enough in the whole document, so no place in it has enough.
+        held: dict[tuple[int, int], np.ndarray | None] = {}
         for width, t, at in sorted(self.retrieve(hashes), key=lambda x: x[2]):
             d = int(np.searchsorted(starts, at, "right")) - 1
-            if t in out[d]:
-                continue
-            if (t, d) not in enough:
-                own = hashes[starts[d] : starts[d + 1]]
-                enough[t, d] = len(np.unique(own[np.isin(own, self.sets[t])])) >= self.containment * len(self.sets[t])
-            if not enough[t, d]:
+            begin, need = int(starts[d]), self.containment * len(self.sets[t])
+            if (t, d) not in held:
+                near = begin + np.flatnonzero(np.isin(hashes[begin : starts[d + 1]], self.sets[t]))
+                held[t, d] = near if len(np.unique(hashes[near])) >= need else None
+            past = begin + out[d][t][-1][1] + 1 if t in out[d] else begin
+            if (near := held[t, d]) is None or at < past:
                 continue
             m = len(self.parts[t])
-            lo, hi = max(int(starts[d]), at - m), min(int(starts[d + 1]), at + m + width)
-            near = np.flatnonzero(np.isin(hashes[lo:hi], self.sets[t]))
-            if len(np.unique(hashes[lo:hi][near])) >= self.containment * len(self.sets[t]):
-                out[d][t] = (lo + int(near[0]) - int(starts[d]), lo + int(near[-1]) - int(starts[d]))
+            lo, hi = max(past, at - m), min(int(starts[d + 1]), at + m + width)
+            near = near[np.searchsorted(near, lo) : np.searchsorted(near, hi)]
+            if len(np.unique(hashes[near])) >= need:
+                a, b = self._first(hashes[near], near, m, need)
+                out[d].setdefault(t, []).append((a - begin, b - begin))
         return out
 
+    @staticmethod
+    def _first(own: np.ndarray, near: np.ndarray, m: int, need: float) -> tuple[int, int]:
+        """The first stretch of ``m`` shingles that holds enough of the template (``own``: its shingles, at ``near``); all of ``near`` if none does."""
+        count: dict[int, int] = {}
+        i = 0
+        for j, x in enumerate(own.tolist()):
+            count[x] = count.get(x, 0) + 1
+            while near[j] - near[i] >= m:
+                y = int(own[i])
+                count[y] -= 1
+                if not count[y]:
+                    del count[y]
+                i += 1
+            if len(count) >= need:
+                # To the stretch's end, from where it is still enough.
+                end = int(np.searchsorted(near, near[i] + m)) - 1
+                return int(near[i]), int(near[end])
+        return int(near[0]), int(near[-1])
+
 
 def _scan(templates):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,11 +246,9 @@ def _scan(templates):
             rows = []
             for at, text in zip(own.find(np.concatenate(parts), starts), held):
                 # Places are words: from a shingle's first word to past another's last.
-                tags: dict[str, tuple[int, int]] = {}
-                for n, a, b in spdx_tags(text):
-                    tags.setdefault(n, (a, b))
-                names = sorted([(own.names[t], a, b + SHINGLE) for t, (a, b) in at.items()] + [(n, a, b) for n, (a, b) in tags.items()])
-                rows.append((len(names), ",".join(n for n, _, _ in names), ",".join(f"{n}:{a}:{b}" for n, a, b in names)))
+                found = sorted([(own.names[t], a, b + SHINGLE) for t, spans in at.items() for a, b in spans] + spdx_tags(text))
+                names = list(dict.fromkeys(n for n, _, _ in found))
+                rows.append((len(names), ",".join(names), ",".join(f"{n}:{a}:{b}" for n, a, b in found)))
             n, licenses, places = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(licenses), pa.array(places)], names=["doc_id", "n_licenses", "licenses", "places"])
 
@@ -238,7 +256,7 @@ def _scan(templates):
 
 
 def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
-    """Per row of ``docs``: the templates found, by name, and where each stands first (words, end exclusive)."""
+    """Per row of ``docs``: the templates found, by name, and every place where each stands (words, end exclusive)."""
     own = docs.sparkSession.sparkContext.broadcast(Templates(all_templates() if templates is None else templates, containment))
     return texts(docs).mapInArrow(_scan(own), RESULT_SCHEMA)
 

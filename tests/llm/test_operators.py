@@ -242,6 +242,16 @@ def test_licenses_in_other_wordings(spark):
     assert got[4] == ["GPL-2.0-or-later-spdx", "MIT-spdx"]
 
 
+def test_licenses_every_place(spark):
+    notice, mit = "Released under the MIT License.", licenses.all_templates()["MIT-whole"]
+    n = len(licenses.words_of(mit.encode()))
+    docs = [(1, f"{notice} a b {notice} {notice}"), (2, f"{mit} x y z {mit}"), (3, "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: MIT")]
+    got = {r.doc_id: r for r in licenses.license_matches(frame(spark, docs)).collect()}
+    assert (got[1].n_licenses, got[1].places) == (1, "MIT:0:5,MIT:7:12,MIT:12:17")
+    assert [p for p in got[2].places.split(",") if p.startswith("MIT-whole")] == [f"MIT-whole:0:{n}", f"MIT-whole:{n + 3}:{2 * n + 3}"]
+    assert (got[3].n_licenses, got[3].places) == (1, "MIT-spdx:3:4,MIT-spdx:7:8")
+
+
 @pytest.mark.parametrize("texts, n, covered", [("a b c a b c", 6, 6), ("a b c d", 4, 0), ("x x x x", 4, 4), ("a b c q a b c", 7, 6), ("a b", 2, 0), (None, 0, 0)])
 def test_repeated_words(spark, texts, n, covered):
     r = quality_rules.judged(frame(spark, [(1, texts)])).first()
