@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -12,54 +11,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomchain.shipping import ship
+from loomchain.sources.tables import shared_dir
 
 #: Bytes of text that one block holds at most, but for a single longer text.
 BLOCK_BYTES = 4 << 20
 #: Rows that one block holds at most.
 BLOCK_ROWS = 8192
-#: Rows of documents that go to a Python worker at once, where the session has Spark's own number, which is meant for short rows.
-ARROW_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def prepare(spark: SparkSession) -> None:
-    """Ships the package and bounds what workers are sent at once."""
-    ship(spark)
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-
-
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id (long) and the text's UTF-8 bytes (null: empty); other columns, whatever their names, stay out."""
-    prepare(docs.sparkSession)
+    ship(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where that is unset (tests), one of our own."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='loomchain-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
 def cut(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it again: later failures go back to these files, not to the source."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
     drop_on_exit(spark, at)
-    return spark.read.schema(df.schema).parquet(at)
+    held = spark.read.schema(df.schema).parquet(at)
+    held.cut_at = at
+    return held
+
+
+def free(held: DataFrame) -> None:
+    """Removes the files of a table that ``cut`` wrote and that no plan reads any more; others are left alone."""
+    if at := getattr(held, "cut_at", None):
+        path, files = _path(held.sparkSession, at)
+        files.delete(path, True)
+
+
+def _path(spark: SparkSession, at: str) -> tuple:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def drop_on_exit(spark: SparkSession, at: str) -> None:
     """Has the file system remove a folder of ours when the driver ends."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    path, files = _path(spark, at)
+    files.deleteOnExit(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

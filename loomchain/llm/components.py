@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import cut
+from loomchain.llm.common import cut, free
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
     while True:
-        now = cut(_small_star(_large_star(now)), "stars")
+        last, now = now, cut(_small_star(_large_star(now)), "stars")
+        free(last)
         mark = tuple(now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
         if mark == before:
             break
