@@ -1,15 +1,18 @@
 """Token counts without token ids: pieces are counted once per distinct pre-token and joined to pre-token frequencies.
 
 The vocabulary's pieces never hold a space mark after another character, so a text falls apart at every place where a space
-follows something else, and each part is encoded alike wherever it stands.  Blocks of documents give the distinct pre-tokens
-with their frequencies per document, dealt by the pre-token's hash; one bucket has all occurrences of its pre-tokens, encodes
-each once, and returns per block the sum for each document.  What is returned is summed per block.
-
-A bucket holds one entry per block for a pre-token however often it occurs, so frequent words do not make it large; the number
-of buckets follows spark.sql.shuffle.partitions, which is to follow the input.
-
-Null or empty text: no bytes, no tokens.  Rows are counted by their place in a block, not by doc_id, so repeated rows, null and
-repeated doc_ids each give their row.  Empty table: empty result.
+follows something else, and each part is encoded alike wherever it stands.  Blocks of documents are written once, as their distinct
+pre-tokens and the frequencies of these in each document.  The pre-tokens alone are dealt by their hash; a bucket has all blocks'
+occurrences of its pre-tokens, encodes each once, and sends a block one small number for each that it asked for.  There they meet the
+frequencies, which stay with their block, and are summed by document.
+
+A block asks for a pre-token once however often it holds it, so frequent words do not make a bucket large, and what is sent either way
+is one entry for each distinct pre-token of a block, whatever the number of buckets; this follows spark.sql.shuffle.partitions, which is
+to follow the input.
+
+Null or empty text: no bytes, no tokens.  A very long text is a block of its own, counted whole.  Rows are counted by their place in a
+block, not by doc_id, so repeated rows, null and repeated doc_ids each give their row.  Other columns, whatever their names, are not
+read.  Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -22,18 +25,21 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import blocks, shuffle_partitions, table, texts
+from loomchain.llm.common import blocks, cut, shuffle_partitions, table, texts
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 #: Buckets of pre-tokens for each shuffle partition.
 BUCKETS_PER_PARTITION = 2
 
-PART_SCHEMA = "bucket int, block long, doc_ids array<long>, n_bytes array<long>, tokens array<binary>, n_docs array<int>, docs binary, freqs binary"
-SUM_SCHEMA = "block long, doc_ids array<long>, n_bytes array<long>, sums binary"
+#: A block: its rows, its distinct pre-tokens in the order of their buckets, and how often each stands in each document.
+BLOCK_SCHEMA = "block long, doc_ids array<long>, n_bytes array<long>, names binary, entries binary"
+REQUEST_SCHEMA = "bucket int, block long, tokens array<binary>"
+REPLY_SCHEMA = "block long, bucket int, pieces binary"
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
@@ -76,41 +82,66 @@ def pre_tokens(text: bytes) -> list[bytes]:
     return out
 
 
-def _by_bucket(n_buckets: int, most_bytes: int):
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32 with their low bytes first, then the next ones: small numbers compress well."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
+
+
+def _pack(n_buckets: int, most_bytes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
         for block, ids, held in blocks(batches, most_bytes):
-            seen = _Numbers()
-            lens = np.zeros(len(held), np.int64)
-            found = []
-            for i, text in enumerate(held):
+            seen, found = _Numbers(), []
+            for text in held:
                 parts = pre_tokens(text)
-                lens[i] = len(parts)
                 found.append(np.fromiter(map(seen.__getitem__, parts), np.int64, len(parts)))
-            words = np.concatenate(found) if found else np.zeros(0, np.int64)
             names = list(seen)
             buckets = np.fromiter((zlib.crc32(x) % n_buckets for x in names), np.int64, len(names))
-            keys, freqs = np.unique((buckets[words] * len(names) + words) * len(held) + np.repeat(np.arange(len(held)), lens), return_counts=True)
-            token, doc = np.divmod(keys, len(held))
-            bucket, token = np.divmod(token, max(1, len(names)))
-            cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
-            own = block % n_buckets  # the bucket that also carries the block's doc_ids
-            rows = []
-            for b in range(n_buckets):
-                lo, hi = cuts[b], cuts[b + 1]
-                if lo == hi and b != own:
-                    continue
-                at = np.flatnonzero(np.diff(token[lo:hi], prepend=-1))
-                rows.append((b, block, ids if b == own else None, [len(x) for x in held] if b == own else None, [names[t] for t in token[lo:hi][at]], np.diff(at, append=hi - lo).tolist(), doc[lo:hi].astype("<u2").tobytes(), freqs[lo:hi].astype("<u4").tobytes()))
-            cols = list(zip(*rows))
-            types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["bucket", "block", "doc_ids", "n_bytes", "tokens", "n_docs", "docs", "freqs"])
+            order = np.argsort(buckets, kind="stable")
+            place = np.empty(len(names), np.int64)
+            place[order] = np.arange(len(names))
+            n = max(1, len(names))
+            keys, freqs = np.unique(np.repeat(np.arange(len(held)), [len(f) for f in found]) * n + place[np.concatenate(found)], return_counts=True)
+            doc, token = np.divmod(keys, n)
+            # A document's pre-tokens by their distances, from its first one on.
+            steps = np.where(np.diff(doc, prepend=-1) > 0, token, np.diff(token, prepend=0))
+            entries = _planes(np.concatenate([np.bincount(doc, minlength=len(held)), steps, freqs]))
+            sizes = np.fromiter(map(len, names), np.int64, len(names))[order]
+            columns = [[block], [ids], [[len(x) for x in held]], [squeeze.compress(len(names).to_bytes(8, "little") + _planes(sizes) + b"".join(names[i] for i in order))], [squeeze.compress(entries)]]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "doc_ids", "n_bytes", "names", "entries"])
+
+    return run
+
+
+def _ask(n_buckets: int):
+    """A block's distinct pre-tokens, one row for each bucket that has any."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for block, packed in zip(batch["block"].to_pylist(), batch["names"]):
+                raw = unpack.decompress(packed.as_py())
+                n = int.from_bytes(raw[:8], "little")
+                ends = 8 + 4 * n + np.cumsum(_from_planes(raw[8 : 8 + 4 * n]))
+                names = [raw[a:z] for a, z in zip([8 + 4 * n, *ends[:-1].tolist()], ends.tolist())]
+                buckets = np.fromiter((zlib.crc32(x) % n_buckets for x in names), np.int64, n)
+                cuts = np.searchsorted(buckets, np.arange(n_buckets + 1))
+                own = np.flatnonzero(np.diff(cuts))
+                offsets = pa.array(np.concatenate([cuts[own], [n]]).astype(np.int32), pa.int32())
+                tokens = pa.ListArray.from_arrays(offsets, pa.array(names, pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(np.full(len(own), block), pa.int64()), tokens], names=["bucket", "block", "tokens"])
 
     return run
 
 
 def _count_pieces(model: str):
     def run(part: pa.Table) -> pa.Table:
-        """Of one bucket: each distinct pre-token's pieces, then per block and document the sum."""
+        """Of one bucket: each distinct pre-token's number of pieces, given to every block in the order in which it asked."""
         sp = processor(model)
         tokens = pc.list_flatten(part["tokens"]).combine_chunks()
         if isinstance(tokens, pa.ChunkedArray):
@@ -123,39 +154,53 @@ def _count_pieces(model: str):
         # An empty pre-token is a single space mark.
         pieces[[i for i, x in enumerate(distinct) if not x]] = 1
         weights = pieces[coded.indices.to_numpy(zero_copy_only=False)]
-        out, at = [], 0
-        for row in part.select(["block", "doc_ids", "n_bytes", "n_docs", "docs", "freqs"]).to_pylist():
-            each = np.asarray(row["n_docs"], np.int64)
-            own = weights[at : at + len(each)]
-            at += len(each)
-            sums = np.bincount(np.frombuffer(row["docs"], "<u2"), weights=np.repeat(own, each) * np.frombuffer(row["freqs"], "<u4").astype(np.float64))
-            out.append((row["block"], row["doc_ids"], row["n_bytes"], sums.astype("<u4" if sums.max(initial=0) < 2**32 else "<u8").tobytes() + (b"" if sums.max(initial=0) < 2**32 else b"x")))
-        cols = list(zip(*out))
-        return pa.table([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()])], names=["block", "doc_ids", "n_bytes", "sums"])
+        cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(part["tokens"]).to_numpy())])
+        replies = []
+        for a, z in zip(cuts[:-1], cuts[1:]):
+            kind = "<u1" if weights[a:z].max(initial=0) < 256 else "<u4"
+            replies.append(kind[2].encode() + weights[a:z].astype(kind).tobytes())
+        return pa.table([part["block"].combine_chunks(), part["bucket"].combine_chunks(), pa.array(replies, pa.binary())], names=["block", "bucket", "pieces"])
 
     return run
 
 
 def _sum_block(limit: int):
-    def run(part: pa.Table) -> pa.Table:
-        rows = part.to_pylist()
-        head = next(r for r in rows if r["doc_ids"] is not None)
-        total = np.zeros(len(head["doc_ids"]), np.int64)
-        for r in rows:
-            wide = len(r["sums"]) % 4 == 1
-            sums = np.frombuffer(r["sums"][:-1] if wide else r["sums"], "<u8" if wide else "<u4").astype(np.int64)
-            total[: len(sums)] += sums
-        return pa.table([pa.array(head["doc_ids"], pa.int64()), pa.array(head["n_bytes"], pa.int64()), pa.array(total), pa.array(total > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:  # replies without their block: none
+            return pa.table([pa.array([], pa.int64())] * 3 + [pa.array([], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+        replies = sorted((r["bucket"], r["pieces"]) for r in right.to_pylist())
+        pieces = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, f"<u{x[:1].decode()}", offset=1).astype(np.int64) for _, x in replies)])
+        doc_ids, n_bytes = left["doc_ids"][0].as_py(), left["n_bytes"][0].as_py()
+        numbers = _from_planes(zstandard.ZstdDecompressor().decompress(left["entries"][0].as_py()))
+        each, rest = numbers[: len(doc_ids)], numbers[len(doc_ids) :]
+        steps, freqs, ends = rest[: len(rest) // 2], rest[len(rest) // 2 :], np.cumsum(each)
+        walked = np.concatenate([[0], np.cumsum(steps)])
+        token = walked[1:] - np.repeat(walked[ends - each], each)
+        sums = np.concatenate([[0], np.cumsum(pieces[token] * freqs)])
+        total = sums[ends] - sums[ends - each]
+        return pa.table([pa.array(doc_ids, pa.int64()), pa.array(n_bytes, pa.int64()), pa.array(total, pa.int64()), pa.array(total > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return run
 
 
+def requests(parts: DataFrame, n_buckets: int) -> DataFrame:
+    return parts.select("block", "names").mapInArrow(_ask(n_buckets), REQUEST_SCHEMA)
+
+
+def replies(asked: DataFrame, model: str) -> DataFrame:
+    return asked.groupBy("bucket").applyInArrow(_count_pieces(model), REPLY_SCHEMA)
+
+
+def packed(docs: DataFrame, n_buckets: int, block_bytes: int) -> DataFrame:
+    return cut(texts(docs).mapInArrow(_pack(n_buckets, block_bytes), BLOCK_SCHEMA), "blocks")
+
+
 def token_counts(docs: DataFrame, model: str = MODEL, limit: int = TOKEN_LIMIT, block_bytes: int = 12 << 20) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_tokens and whether these are over ``limit``."""
     n = BUCKETS_PER_PARTITION * shuffle_partitions(docs.sparkSession)
-    parts = texts(docs).mapInArrow(_by_bucket(n, block_bytes), PART_SCHEMA)
-    sums = parts.groupBy("bucket").applyInArrow(_count_pieces(model), SUM_SCHEMA)
-    return sums.groupBy("block").applyInArrow(_sum_block(limit), RESULT_SCHEMA)
+    parts = packed(docs, n, block_bytes)
+    counted = replies(requests(parts, n), model)
+    return parts.drop("names").groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(_sum_block(limit), RESULT_SCHEMA)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

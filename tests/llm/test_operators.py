@@ -64,6 +64,24 @@ def test_token_counts(spark):
     assert rows(token_counts.token_counts(frame(spark, docs), block_bytes=4000)) == sorted(want, key=str)
 
 
+def test_token_counts_send_as_much_to_many_buckets_as_to_few(spark, sf):
+    docs, size = spark.read.parquet(f"{sf}/documents.parquet"), {}
+    for n in (32, 8192):
+        parts = token_counts.packed(docs, n, 2 << 20)
+        back = token_counts.replies(token_counts.requests(parts, n), token_counts.MODEL).toPandas()
+        size[n] = sum(len(x) - 1 for x in back.pieces)
+        assert back.groupby("block").bucket.nunique().min() > n / 4
+    assert size[32] == size[8192]
+
+
+def test_token_counts_of_wide_blocks(spark):
+    """Few documents with all the words, many without any between them."""
+    sp = token_counts.processor(token_counts.MODEL)
+    docs = [(i, " ".join(f"w{i}x{j}" for j in range(3000)) if i % 2000 == 7 else "") for i in range(6000)]
+    want = [(i, len(t), len(sp.encode(t)), len(sp.encode(t)) > 4096) for i, t in docs]
+    assert rows(token_counts.token_counts(frame(spark, docs).coalesce(1))) == sorted(want, key=str)
+
+
 def test_simhash(spark):
     r = random.Random(5)
     base = [[r.choice(WORDS) + str(r.randint(0, 99)) for _ in range(300)] for _ in range(4)]
