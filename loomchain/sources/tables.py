@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,13 +12,23 @@ from pyspark.sql import functions as F
 from loomchain.sources import schemas as S
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def shared_folder(named: str | None, master: str, application: str) -> str:
+    """The folder ``named`` in spark.checkpoint.dir.  Only in local mode, where it may be unset, one of the application's own."""
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = f"file://{tempfile.mkdtemp(prefix='loomchain-')}"
+    return _OWN_FOLDERS[application]
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: the one named in spark.checkpoint.dir, or our own where that is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='loomchain-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+    context = spark.sparkContext
+    return shared_folder(spark.conf.get("spark.checkpoint.dir", None), context.master, context.applicationId)
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -72,3 +72,12 @@ def test_connector_options():
     options = M.connector_options("b:9092", "blocks", '{"blocks":{"0":5}}', max_per_trigger=100)
     assert options["subscribe"] == "blocks" and options["startingOffsets"] == '{"blocks":{"0":5}}' and options["maxOffsetsPerTrigger"] == "100"
     assert "endingOffsets" not in options
+
+
+def test_shared_folder_is_named_but_in_local_mode():
+    assert T.shared_folder("hdfs://x/y/", "yarn", "a") == "hdfs://x/y"
+    for master in ("yarn", "spark://h:7077", "k8s://h", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            T.shared_folder(None, master, "a")
+    for master in ("local", "local[*]", "local[4]"):
+        assert T.shared_folder(None, master, "a") == T.shared_folder(None, master, "a") != T.shared_folder(None, master, "b")
