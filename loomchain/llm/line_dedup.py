@@ -1,22 +1,26 @@
 """Cross-site boilerplate: lines that stand on many distinct sites are removed.  DataFrame functions only.
 
-A HyperLogLog sketch of the sites (``source``) is kept for each line hash and merged by aggregation, so a line that stands in every
-document is one small row for each task.  Lines whose estimate is near the threshold get an exact distinct count; for the others the
-estimate decides.  The lines found are joined back to the lines of the distinct texts; a frequent line is a skewed key of a plain
-join, which Spark splits.
+Copies of a text count as one site, the least ``source`` among them: a text that many sites hold is a copy, not boilerplate.  A
+HyperLogLog sketch of the sites is kept for each line hash and merged by aggregation, so a line that stands in every document is one
+small row for each task.  Lines whose estimate is near the threshold get an exact distinct count; for the others the estimate decides.
 
-``op10_line_dedup`` leaves a text whole that would lose more than ``MOST_LOST`` of its characters, as its SQL does, whether it is a copy
-or a page of boilerplate.  ``clean_lines``, which the pipeline runs, has no such exemption.  It tells copies by what they are: the lines found
-are counted again with one site for each distinct text, and then one for each class of near copies among the texts that would still lose
-more than half.  Those classes are connected by MinHash bands of word shingles.  Whatever line passes leaves every text that has
-something else; a text of nothing but boilerplate stays as it is.
+Up to ``LINES_SENT`` lines found go to the tasks, which clean the texts in place; beyond that each text meets the lines found in it by
+a join on the text's hash.  Both ways give the same rows.
+
+``clean_lines``, which the pipeline runs, also tells near copies by what they are: texts that would lose more than half are linked by
+MinHash bands of five-word shingles from a similarity of about 0.8 on, each class of near copies counts as one site, and only lines that
+still stand on enough sites leave.  Whatever line leaves, leaves every text.
 
 Null text: no lines.  Lines without anything but white space are neither counted nor removed.  A null source is no site.  What is
-removed depends on the text alone, so repeated rows and null or repeated doc_ids are treated alike.  Empty table: empty result.
+removed depends on the text alone, so repeated rows and null or repeated doc_ids are treated alike; a text of nothing but boilerplate
+becomes empty.  A very long text is a row like any other, cleaned whole.  Other columns, whatever their names, are not read.  Empty
+table: empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +33,11 @@ SITES = 8
 SKETCH_BITS = 8
 #: Estimates within this share of the threshold are counted exactly: four times the error.
 BAND = 0.26
-#: Share of its characters that a text may lose.
-MOST_LOST = 0.5
-#: Words in a shingle; bands and rows of the near copies' MinHash: texts are linked from a Jaccard similarity of about 0.88 on.
-SHINGLE, BANDS, BAND_ROWS = 3, 8, 16
+#: Lines (two numbers each) that are sent to the tasks; more are joined.
+LINES_SENT = 20_000
+#: Words in a shingle of near copies; bands and rows of their MinHash.  Texts that share a band are linked if enough of all hashes agree.
+SHINGLE, BANDS, BAND_ROWS = 5, 16, 8
+SIMILARITY = 0.8
 
 _NOT_BLANK = "[^ \\t\\x0B\\f\\r]"
 
@@ -42,62 +47,65 @@ def _keys(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.hash(text)]
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(t1, t2: the text's hashes, site, pos, h1, h2: the line's hashes) of all lines that are not blank."""
+def _own(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct("*").alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"), docs["source"].cast("string").alias("site"))
+
+
+def text_lines(own: DataFrame) -> DataFrame:
+    """(h1, h2: a line's hashes, t1, t2: its text's hashes, site) once for each line of a distinct text that is not blank."""
     t1, t2 = _keys(F.col("text"))
-    split = docs.select(t1.alias("t1"), t2.alias("t2"), "site", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    split = own.select(t1.alias("t1"), t2.alias("t2"), "site", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(_NOT_BLANK))
     h1, h2 = _keys(F.col("line"))
-    return split.where(F.col("line").rlike(_NOT_BLANK)).select("t1", "t2", "site", "pos", h1.alias("h1"), h2.alias("h2"))
+    # Neither a frequent line nor a frequent text is a hot key here: only copies meet, and each task has combined its own.
+    return split.select("t1", "t2", "site", h1.alias("h1"), h2.alias("h2")).groupBy("h1", "h2", "t1", "t2").agg(F.min("site").alias("site"))
 
 
 def boilerplate_lines(lines: DataFrame, sites: int = SITES) -> DataFrame:
     """(h1, h2) of the lines of ``lines(h1, h2, site)`` that stand on at least so many distinct sites."""
     sketched = lines.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_BITS)).alias("estimate"))
-    sure = sketched.where(F.col("estimate") > sites * (1 + BAND)).select("h1", "h2")
-    near = sketched.where(F.col("estimate").between(sites * (1 - BAND), sites * (1 + BAND))).select("h1", "h2")
-    pairs = lines.where(F.col("site").isNotNull()).join(near, ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct()
-    exact = pairs.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= sites).select("h1", "h2")
-    return sure.unionAll(exact)
+    likely = cut(sketched.where(F.col("estimate") >= sites * (1 - BAND)), "estimates")
+    sure, near = likely.where(F.col("estimate") > sites * (1 + BAND)), likely.where(F.col("estimate") <= sites * (1 + BAND))
+    # Distinct before the join, so that a line with very many texts on few sites is a few rows.
+    return sure.select("h1", "h2").unionAll(_on_sites(lines.select("h1", "h2", "site").distinct().join(near.select("h1", "h2"), ["h1", "h2"]), sites))
 
 
-def _own(docs: DataFrame) -> DataFrame:
-    return docs.select(F.struct("*").alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"), docs["source"].cast("string").alias("site"))
+def _on_sites(pairs: DataFrame, sites: int) -> DataFrame:
+    counted = pairs.where(F.col("site").isNotNull()).select("h1", "h2", "site").distinct().groupBy("h1", "h2").agg(F.count("*").alias("n"))
+    return counted.where(F.col("n") >= sites).select("h1", "h2")
+
+
+def _listed(held: list) -> Callable[[Column], Column]:
+    """Whether a line is among those in ``held(h1, h2)``, as two look-ups in sets of numbers."""
+    one, two = (sorted({r[i] for r in held}) for i in range(2))
+    return lambda x: _keys(x)[0].isin(one) & _keys(x)[1].isin(two) if held else F.lit(False)
 
 
-def _cleaned(own: DataFrame, found: DataFrame) -> DataFrame:
-    """``own`` with lines, marked (places of the lines of ``found(t1, t2, pos)``) and cleaned (the text without them)."""
-    marks = found.groupBy("t1", "t2").agg(F.collect_set("pos").alias("marked"))
+def _cleaned(own: DataFrame, lines: DataFrame, spread: DataFrame, most_sent: int = LINES_SENT) -> DataFrame:
+    """``own`` with lines (all, as an array) and left (those not in ``spread(h1, h2)``)."""
+    held = spread.limit(most_sent + 1).collect()
+    split = F.split("text", "\n")
+    if len(held) <= most_sent:
+        found = _listed(held)
+        return own.select("row", "text", split.alias("lines")).withColumn("left", F.filter("lines", lambda x: ~found(x)))
+    marks = lines.join(spread, ["h1", "h2"], "left_semi").groupBy("t1", "t2").agg(F.collect_set(F.struct("h1", "h2")).alias("marks"))
     t1, t2 = _keys(F.col("text"))
-    rows = own.select("row", "text", t1.alias("t1"), t2.alias("t2")).join(marks, ["t1", "t2"], "left")
-    split = rows.select("row", "text", F.split("text", "\n").alias("lines"), F.coalesce("marked", F.array().cast("array<int>")).alias("marked"))
-    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("marked"))
-    return split.withColumn("cleaned", F.when(F.size("marked") == 0, F.col("text")).otherwise(F.array_join(F.transform(places, lambda i: F.get("lines", i)), "\n")))
+    rows = own.select("row", "text", split.alias("lines"), t1.alias("t1"), t2.alias("t2")).join(marks, ["t1", "t2"], "left")
+    in_marks = lambda x: F.array_contains("marks", F.struct(*(k.alias(n) for k, n in zip(_keys(x), ("h1", "h2")))))
+    return rows.select("row", "text", "lines", F.when(F.col("marks").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~in_marks(x))).alias("left"))
 
 
-def without_boilerplate(docs: DataFrame, sites: int = SITES, most_lost: float = MOST_LOST) -> DataFrame:
-    """(row: all of ``docs`` as a struct, n_lines, n_boilerplate, n_removed, kept: the text that is left)."""
+def without_boilerplate(docs: DataFrame, sites: int = SITES, most_sent: int = LINES_SENT) -> DataFrame:
+    """(row: all of ``docs`` as a struct, n_lines, n_removed, kept: the text that is left)."""
     own = _own(docs)
-    lines = _lines(own)
-    # Written first, so that the next join reads a plain table: sent if it is small, and else its frequent lines are split.
-    spread = cut(boilerplate_lines(lines, sites), "lines")
-    cleaned = _cleaned(own, lines.join(spread, ["h1", "h2"], "left_semi"))
-    takes = (F.size("marked") > 0) & (F.length("cleaned") >= (1 - most_lost) * F.length("text"))
+    lines = cut(text_lines(own), "lines")
+    cleaned = _cleaned(own, lines, cut(boilerplate_lines(lines, sites), "boilerplate"), most_sent)
     n_lines = F.size(F.filter("lines", lambda x: x.rlike(_NOT_BLANK)))
-    return cleaned.select(
-        "row", n_lines.cast("long").alias("n_lines"), F.size("marked").cast("long").alias("n_boilerplate"),
-        F.when(takes, F.size("marked")).otherwise(0).cast("long").alias("n_removed"), F.when(takes, F.col("cleaned")).otherwise(F.col("text")).alias("kept"),
-    )
+    return cleaned.select("row", n_lines.cast("long").alias("n_lines"), (F.size("lines") - F.size("left")).cast("long").alias("n_removed"), F.array_join("left", "\n").alias("kept"))
 
 
-def _on_sites(held: DataFrame, site_of: DataFrame, sites: int) -> DataFrame:
-    """(h1, h2) of the lines of ``held(t1, t2, h1, h2)`` that stand on so many sites, each text having the one in ``site_of(t1, t2, site)``."""
-    pairs = held.join(site_of.where(F.col("site").isNotNull()), ["t1", "t2"]).select("h1", "h2", "site").distinct()
-    return pairs.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= sites).select("h1", "h2")
-
-
-def _near_copies(texts: DataFrame) -> DataFrame:
+def near_copies(texts: DataFrame) -> DataFrame:
     """(node: t1, root) of the texts of ``texts(t1, text)`` that are near copies of others."""
-    words = F.split(F.trim("text"), "\\s+")
+    words = F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
     shingled = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - SHINGLE + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, SHINGLE)))
     # Written, so that each of the minima below reads the shingles instead of making them.
     shingles = cut(texts.select("t1", words.alias("words")).select("t1", F.array_distinct(shingled).alias("shingles")), "shingles")
@@ -105,69 +113,59 @@ def _near_copies(texts: DataFrame) -> DataFrame:
     def least_of(k: int) -> Column:
         return F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.lit(k))))
 
-    least = [least_of(k) for k in range(BANDS * BAND_ROWS)]
-    bands = F.array(*(F.xxhash64(F.lit(b), *least[b * BAND_ROWS : (b + 1) * BAND_ROWS]) for b in range(BANDS)))
-    keyed = cut(shingles.select("t1", F.explode(bands).alias("key")).distinct(), "bands")
-    first = keyed.groupBy("key").agg(F.min("t1").alias("b"))
-    return components(keyed.join(first, "key").select(F.col("t1").alias("a"), "b"))
-
-
-def proven_boilerplate(docs: DataFrame, sites: int = SITES) -> tuple[DataFrame, DataFrame]:
-    """``_own(docs)`` and (t1, t2, pos) of the lines in it that stand on so many sites when copies and near copies of a text count once."""
-    own = _own(docs)
-    lines = _lines(own)
-    spread = cut(boilerplate_lines(lines, sites), "lines")
-    t1, t2 = _keys(F.col("text"))
-    split = own.select(t1.alias("t1"), t2.alias("t2"), "site", F.length("text").alias("n"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    h1, h2 = _keys(F.col("line"))
-    sized = split.where(F.col("line").rlike(_NOT_BLANK)).select("t1", "t2", "site", "n", "pos", (F.length("line") + 1).alias("size"), h1.alias("h1"), h2.alias("h2"))
-    # One row for each line of a distinct text.
-    found = cut(sized.join(spread, ["h1", "h2"], "left_semi").groupBy("t1", "t2", "n", "pos", "size", "h1", "h2").agg(F.min("site").alias("site")), "found")
-    held, site_of = found.select("t1", "t2", "h1", "h2").distinct(), found.groupBy("t1", "t2").agg(F.min("site").alias("site"))
-    distinct = found.join(cut(_on_sites(held, site_of, sites), "lines"), ["h1", "h2"], "left_semi")
-    doubtful = cut(distinct.groupBy("t1", "t2", "n").agg(F.sum("size").alias("lost")).where(F.col("lost") * 2 > F.col("n")).select("t1", "t2"), "doubtful")
-    texts = own.select(t1.alias("t1"), t2.alias("t2"), "text").join(doubtful, ["t1", "t2"], "left_semi")
-    roots = _near_copies(texts.select("t1", "text"))
-    classed = cut(site_of.join(roots, F.col("t1") == F.col("node"), "left").select("t1", "t2", "site", F.coalesce("root", "t1").alias("class")), "classes")
+    signed = cut(shingles.select("t1", F.array(*(least_of(k) for k in range(BANDS * BAND_ROWS))).alias("least")), "minima")
+    bands = F.array(*(F.xxhash64(F.lit(b), F.slice("least", b * BAND_ROWS + 1, BAND_ROWS)) for b in range(BANDS)))
+    keyed = signed.select("t1", "least", F.explode(bands).alias("key"))
+    # Each text meets one other of its band, so a group of copies costs its size.
+    first = keyed.groupBy("key").agg(F.min(F.struct("t1", "least")).alias("first"))
+    pairs = keyed.join(first, "key").where(F.col("t1") != F.col("first.t1"))
+    agree = F.size(F.filter(F.arrays_zip("least", F.col("first.least").alias("other")), lambda x: x["least"] == x["other"]))
+    return components(pairs.where(agree >= SIMILARITY * BANDS * BAND_ROWS).select(F.col("t1").alias("a"), F.col("first.t1").alias("b")))
+
+
+def proven_boilerplate(own: DataFrame, lines: DataFrame, sites: int = SITES) -> DataFrame:
+    """(h1, h2) of the lines that stand on so many sites when near copies of a text, too, count once."""
+    spread = cut(boilerplate_lines(lines, sites), "boilerplate")
+    left = _cleaned(own, lines, spread).select("text", F.array_join("left", "\n").alias("left"))
+    doubtful = left.where(2 * F.length("left") < F.length("text")).select(*(k.alias(n) for k, n in zip(_keys(F.col("text")), ("t1", "t2"))), "text").dropDuplicates(["t1", "t2"])
+    roots = near_copies(doubtful.select("t1", "text"))
+    found = cut(lines.join(spread, ["h1", "h2"], "left_semi"), "found")
+    classed = found.join(roots, F.col("t1") == F.col("node"), "left").select("h1", "h2", "site", F.coalesce("root", "t1").alias("class"))
     one = classed.groupBy("class").agg(F.min("site").alias("site"))
-    proven = cut(_on_sites(held, classed.select("t1", "t2", "class").join(one, "class").select("t1", "t2", "site"), sites), "lines")
-    return own, found.join(proven, ["h1", "h2"], "left_semi").select("t1", "t2", "pos")
+    return cut(_on_sites(classed.select("h1", "h2", "class").distinct().join(one, "class"), sites), "boilerplate")
 
 
 def clean_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with cross-site boilerplate taken out of text, and n_chars following it."""
-    cleaned = _cleaned(*proven_boilerplate(docs))
-    taken = (F.size("marked") > 0) & F.col("cleaned").rlike("[^ \\t\\x0B\\f\\r\\n]")
-    columns = {"text": F.when(taken, F.col("cleaned")).otherwise(F.col("row.text")), "n_chars": F.when(taken, F.length("cleaned")).otherwise(F.col("row.n_chars"))}
+    """``docs`` with cross-site boilerplate taken out of text, and n_chars, where there is one, following it."""
+    own = _own(docs)
+    lines = cut(text_lines(own), "lines")
+    cleaned = _cleaned(own, lines, proven_boilerplate(own, lines)).withColumn("kept", F.array_join("left", "\n"))
+    taken = F.size("left") < F.size("lines")
+    columns = {"text": F.when(taken, F.col("kept")).otherwise(F.col("row.text"))}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(taken, F.length("kept")).otherwise(F.col("row.n_chars"))
     return cleaned.select(*(columns.get(f.name, F.col("row")[f.name]).cast(f.dataType).alias(f.name) for f in docs.schema))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = without_boilerplate(table(spark, sf_dir, "documents"))
-    return cleaned.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_boilerplate", "n_removed", F.length("kept").cast("long").alias("kept_chars"), F.md5("kept").alias("kept_md5"))
+    return cleaned.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_removed", F.length("kept").cast("long").alias("kept_chars"), F.md5("kept").alias("kept_md5"))
 
 
 OP10_SQL = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, source AS site, coalesce(text, '') AS text FROM documents
-), lines AS (
-  SELECT r, doc_id, site, text, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs
+), texts AS (
+  SELECT text, min(site) AS site FROM docs GROUP BY text
 ), spread AS (
-  SELECT line FROM lines WHERE regexp_matches(line, '[^ \\t\\x0B\\f\\r]')
-  GROUP BY line HAVING count(DISTINCT site) >= {SITES}
-), marked AS (
-  SELECT l.*, s.line IS NOT NULL AS boilerplate, regexp_matches(l.line, '[^ \\t\\x0B\\f\\r]') AS full_line
-  FROM lines l LEFT JOIN spread s ON l.line = s.line
+  SELECT line FROM (SELECT site, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^ \\t\\x0B\\f\\r]') GROUP BY line HAVING count(DISTINCT site) >= {SITES}
+), lines AS (
+  SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs
 ), judged AS (
-  SELECT r, any_value(doc_id) AS doc_id, any_value(text) AS text, count(*) FILTER (WHERE full_line) AS n_lines,
-         count(*) FILTER (WHERE boilerplate) AS n_boilerplate,
-         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT boilerplate), '') AS cleaned
-  FROM marked GROUP BY r
-), kept AS (
-  SELECT *, n_boilerplate > 0 AND length(cleaned) >= {1 - MOST_LOST} * length(text) AS takes FROM judged
+  SELECT r, any_value(doc_id) AS doc_id, count(*) FILTER (WHERE regexp_matches(l.line, '[^ \\t\\x0B\\f\\r]')) AS n_lines,
+         count(s.line) AS n_removed, coalesce(string_agg(l.line, chr(10) ORDER BY pos) FILTER (WHERE s.line IS NULL), '') AS kept
+  FROM lines l LEFT JOIN spread s ON l.line = s.line GROUP BY r
 )
-SELECT doc_id, n_lines, n_boilerplate, CASE WHEN takes THEN n_boilerplate ELSE 0 END AS n_removed,
-       length(CASE WHEN takes THEN cleaned ELSE text END) AS kept_chars, md5(CASE WHEN takes THEN cleaned ELSE text END) AS kept_md5
-FROM kept
+SELECT doc_id, n_lines, n_removed, length(kept) AS kept_chars, md5(kept) AS kept_md5 FROM judged
 """

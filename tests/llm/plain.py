@@ -85,3 +85,20 @@ def secrets(text):
     found += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
     found += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer(r"[0-9a-f]+", text) if m.end() - m.start() >= 24]
     return ",".join(x for _, _, x in sorted(found))
+
+
+def without_boilerplate(docs, sites=8):
+    site_of, on = {}, {}
+    for _, t, s in docs:
+        if s is not None:
+            site_of[t or ""] = min(s, site_of.get(t or "", s))
+    for t, s in site_of.items():
+        for line in t.split("\n"):
+            on.setdefault(line, set()).add(s)
+    out = []
+    for d, t, _ in docs:
+        lines = (t or "").split("\n")
+        full = [bool(re.search(r"[^ \t\x0B\f\r]", x)) for x in lines]
+        left = [x for x, f in zip(lines, full) if not (f and len(on.get(x, ())) >= sites)]
+        out.append((d, sum(full), len(lines) - len(left), "\n".join(left)))
+    return out

@@ -289,7 +289,24 @@ def test_line_dedup_rules(spark):
     docs = spark.createDataFrame([*lines, *copies, (200, None, "s1", None), (201, "Boiler.", None, 3)], "doc_id long, text string, source string, n_chars int")
     got = {r.doc_id: r for r in line_dedup.clean_lines(docs).collect()}
     assert got[3].text == "Own line 3 is longer than what repeats here.\n\nShared 0." and got[3].n_chars == len(got[3].text)
-    assert got[105].text == "The same text.\nOn every site." and got[200].text is None and got[201].text == "Boiler."
+    assert got[105].text == "The same text.\nOn every site." and got[200].text is None and (got[201].text, got[201].n_chars) == ("", 0)
+
+
+def test_line_dedup_against_plain(spark):
+    """Nulls, repeated rows and ids, blank and very long texts, sites about the threshold; sent lines and joined ones."""
+    r, docs = random.Random(11), []
+    for i in range(400):
+        own = [f"own {i} {j}" for j in range(r.randint(0, 2))]
+        shared = [f"line {k}" for k in range(14) if r.random() < 0.3]
+        docs.append((i, "\n".join(r.sample(own + shared + ["", "  "], len(own + shared) + 2)), f"s{r.randint(0, 1 + i % 14)}" if r.random() < 0.95 else None))
+    docs += [docs[3], docs[3], (3, "other\nline 1", "s1"), (None, None, "s1"), (None, "line 1\nx", None), (900, "", "s2"), (901, "\n".join(f"long {i}" for i in range(60_000)) + "\nline 2", "s3")]
+    docs += [(1000 + i, "copied line a\ncopied line b", f"s{i}") for i in range(13)]
+    want = plain.without_boilerplate(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    for most in (line_dedup.LINES_SENT, 0):
+        got = line_dedup.without_boilerplate(df, most_sent=most).selectExpr("row.doc_id", "n_lines", "n_removed", "kept")
+        assert rows(got) == sorted(want, key=str)
+    assert sum(w[2] for w in want) > 300
 
 
 def test_line_dedup_tells_copies_from_pages_of_boilerplate(spark):
