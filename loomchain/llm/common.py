@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -91,3 +92,12 @@ def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, Iterator[
     for batch in batches:
         yield batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1))
     pa.default_memory_pool().release_unused()
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32 with their low bytes first, then the next ones: small numbers compress well."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)

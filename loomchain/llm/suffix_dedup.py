@@ -4,18 +4,20 @@ Suffixes are ordered only through their first ``LENGTH`` bytes, in three digits,
 each.  What is left equal after the last digit are exactly the repeated windows.
 
 * Digit 1 is the window's anchor: the ``GRAM``-byte string with the least hash in it.  Equal windows have equal anchors at equal
-  places.  Neighbouring windows share an anchor occurrence and go on together as one segment, so about one suffix in sixteen is
+  places.  Neighbouring windows share an anchor occurrence and go on together as one segment, so about one suffix in ten is
   moved at all.
 * Digit 2 is the whole segment, the bytes of all its windows.  If all segments of an anchor are equal, their windows are decided.
 * Digit 3 is the single window, for the segments of anchors with several different ones.
 
 Each pass sends hashes from blocks of documents to buckets of digits and gets back one or two bits for each.  A block sends a digit
 once however often it holds it, with its smallest doc_id, so a passage that stands in every document is one entry for each block.
-The texts themselves are written once, as a table bucketed by block, and every pass joins its bits to that table in place; no text
-is shuffled.  Digits are hashes of 40 bits and more for the first pass, which only prunes, and of over 100 bits for the others.
+The texts are packed into blocks, whose segments are found once, and dealt once into a table bucketed by block, one file for each
+bucket; every pass joins its bits to that table in place.  Digits are hashes of 40 bits and more for the first pass, which only prunes,
+and of over 100 bits for the others.
 
 Null or empty text: nothing to remove.  Texts shorter than the length have no windows.  Rows with a null doc_id neither remove nor
-lose anything; rows that repeat a doc_id don't remove from each other, as neither id is smaller.  Empty table: empty result.
+lose anything; rows that repeat a doc_id don't remove from each other, as neither id is smaller.  A very long text is a block of its
+own, handled whole in slices.  Other columns, whatever their names, are not read.  Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import blocks, cut, drop_on_exit, shared_dir, shuffle_partitions, table, texts
+from loomchain.llm.common import blocks, cut, drop_on_exit, from_planes, planes, shared_dir, shuffle_partitions, table, texts
 
 #: Bytes of a repeated string.
 LENGTH = 50
@@ -44,7 +46,7 @@ BLOCK = 4 << 20
 U = np.uint64
 _POSITION_BITS = 24
 
-BLOCK_SCHEMA = "block long, payload binary"
+BLOCK_SCHEMA = "block long, payload binary, segments binary"
 REQUEST_SCHEMA = "bucket int, block long, low binary, key binary, doc_id binary, several binary"
 REPLY_SCHEMA = "block long, digit int, bucket int, bits binary, mixed binary"
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -99,45 +101,61 @@ def window_hash(data: np.ndarray, at: np.ndarray, values: np.ndarray, base: np.u
     return _mixed(out)
 
 
+def cut_segments(data: np.ndarray, starts: np.ndarray, known: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, last window, the anchor's place behind the first) of the segments of texts that begin at ``starts``; none of those not ``known``."""
+    parts = [(np.zeros(0, np.int64),) * 3]
+    for lo in range(0, max(0, len(data) - length + 1), SLICE):
+        parts.append(_slice_segments(data, starts, known, lo, min(lo + SLICE, len(data) - length + 1), length, gram))
+    first, last, place = (np.concatenate(x) for x in zip(*parts))
+    return first, last, place
+
+
+def _slice_segments(data: np.ndarray, starts: np.ndarray, known: np.ndarray, lo: int, hi: int, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """The same for windows from ``lo`` to before ``hi``."""
+    hashes = _mixed(rolling(data[lo : hi + length - 1], gram))
+    # The hash's high bits give the order and the position below them the leftmost of equal ones.
+    places = (hashes & ~U((1 << _POSITION_BITS) - 1)) | np.arange(len(hashes), dtype=U)
+    least = (sliding_min(places, length - gram + 1) & U((1 << _POSITION_BITS) - 1)).astype(np.int64)
+    valid = np.ones(hi - lo + 1, bool)  # a window past the end closes the last run
+    valid[-1] = False
+    for d in range(np.searchsorted(starts, lo, "right") - 1, np.searchsorted(starts, hi, "left")):
+        a, b = int(starts[d]), int(starts[d + 1])
+        if known[d]:
+            a = max(a, b - length + 1)
+        valid[max(0, a - lo) : max(0, b - lo)] = False
+    where = np.flatnonzero(valid)
+    if not len(where):
+        return (np.zeros(0, np.int64),) * 3
+    at = least[where]
+    fresh = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    first, last = where[fresh], where[np.concatenate([fresh[1:], [len(at)]]) - 1]
+    return first + lo, last + lo, at[fresh] - first
+
+
 class Block:
     """A block's texts, and the segments of windows that share an anchor occurrence."""
 
-    def __init__(self, payload: bytes, length: int, gram: int):
-        raw = zstandard.ZstdDecompressor().decompress(payload)
+    def __init__(self, payload: bytes, segments: bytes, length: int, gram: int):
+        unpack = zstandard.ZstdDecompressor()
+        raw = unpack.decompress(payload)
         n = int.from_bytes(raw[:8], "little")
         self.ids = np.frombuffer(raw, np.int64, n, 8)
         self.known = np.frombuffer(raw, np.uint8, n, 8 + 8 * n).astype(bool)
         self.sizes = np.frombuffer(raw, np.int64, n, 8 + 9 * n)
         self.data = np.frombuffer(raw, np.uint8, offset=8 + 17 * n)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.length = length
-        parts = []
-        for lo in range(0, max(0, len(self.data) - length + 1), SLICE):
-            parts.append(self._segments(lo, min(lo + SLICE, len(self.data) - length + 1), gram))
-        none = np.zeros(0, np.int64)
-        self.anchor, self.first, self.last, self.place = (np.concatenate(x) for x in zip(*parts)) if parts else (none.astype(U), none, none, none)
+        steps, spans, self.place = np.split(from_planes(unpack.decompress(segments)), 3)
+        self.last = np.cumsum(steps + spans)
+        self.first = self.last - spans
+        self.anchor = window_hash(self.data, self.first + self.place, _GRAM_TABLE, _GRAM_BASE, gram)
         self.row = np.searchsorted(self.starts, self.first, "right") - 1
         self.doc = self.ids[self.row]
 
-    def _segments(self, lo: int, hi: int, gram: int) -> tuple[np.ndarray, ...]:
-        """(anchor hash, first and last window, the anchor's place behind the first) for windows from ``lo`` to before ``hi``."""
-        hashes = _mixed(rolling(self.data[lo : hi + self.length - 1], gram))
-        # The hash's high bits give the order and the position below them the leftmost of equal ones.
-        places = (hashes & ~U((1 << _POSITION_BITS) - 1)) | np.arange(len(hashes), dtype=U)
-        least = (sliding_min(places, self.length - gram + 1) & U((1 << _POSITION_BITS) - 1)).astype(np.int64)
-        valid = np.ones(hi - lo + 1, bool)  # a window past the end closes the last run
-        valid[-1] = False
-        for d in range(np.searchsorted(self.starts, lo, "right") - 1, np.searchsorted(self.starts, hi, "left")):
-            a, b = int(self.starts[d]), int(self.starts[d + 1])
-            if self.known[d]:
-                a = max(a, b - self.length + 1)
-            valid[max(0, a - lo) : max(0, b - lo)] = False
-        where = np.flatnonzero(valid)
-        at = least[where]
-        fresh = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, np.int64)
-        ends = np.concatenate([fresh[1:], [len(at)]]) - 1 if len(at) else fresh
-        first, last = where[fresh], where[ends]
-        return hashes[at[fresh]], first + lo, last + lo, at[fresh] - first
+
+def packed_segments(first: np.ndarray, last: np.ndarray, place: np.ndarray) -> bytes:
+    """Segments as (steps from the last window before to the first, windows after the first, place of the anchor), all small."""
+    before = np.concatenate([[0], last[:-1]]) if len(last) else last
+    return planes(np.concatenate([first - before, last - first, place]))
 
 
 class Digits:
@@ -146,17 +164,19 @@ class Digits:
     def __init__(self, high: np.ndarray, key: np.ndarray | None, doc: np.ndarray, bits: int):
         high = _mixed(high ^ U(0x5851F42D4C957F2D))
         bucket, low = (high >> U(64 - bits)).astype(np.int64), (high >> U(24 - bits)) & U((1 << 40) - 1)
-        order = np.lexsort((doc, low, bucket) if key is None else (doc, key, low, bucket))
+        # By bucket and then by one number for the whole digit: any order will do that brings equal digits together.
+        rest = low if key is None else _mixed(low ^ (key * _SECOND_BASE)) >> U(bits)
+        order = np.argsort(rest | (bucket.astype(U) << U(64 - bits)))
         same = (bucket[order][1:] == bucket[order][:-1]) & (low[order][1:] == low[order][:-1])
         if key is not None:
             same &= key[order][1:] == key[order][:-1]
         head = np.flatnonzero(np.concatenate([[True], ~same])) if len(order) else np.zeros(0, np.int64)
         self.of = np.empty(len(order), np.int64)
         self.of[order] = np.cumsum(np.concatenate([[0], ~same])) if len(order) else 0
-        self.bucket, self.low, self.doc = bucket[order][head], low[order][head], doc[order][head]
+        self.bucket, self.low = bucket[order][head], low[order][head]
+        self.doc = np.minimum.reduceat(doc[order], head) if len(order) else doc
+        self.several = (np.maximum.reduceat(doc[order], head) if len(order) else doc) != self.doc
         self.key = None if key is None else key[order][head]
-        tails = np.concatenate([head[1:], [len(order)]]) - 1 if len(order) else head
-        self.several = doc[order][tails] != self.doc
         self.cuts = np.searchsorted(self.bucket, np.arange((1 << bits) + 1))
 
     def requests(self, block: int) -> list[tuple]:
@@ -183,13 +203,15 @@ class Digits:
         return bits[self.of]
 
 
-def _pack(block_bytes: int):
+def _pack(block_bytes: int, length: int, gram: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         for block, ids, held in blocks(batches, block_bytes):
-            head = np.asarray([x or 0 for x in ids], np.int64).tobytes() + bytes(x is not None for x in ids) + np.asarray([len(x) for x in held], np.int64).tobytes()
-            payload = squeeze.compress(len(ids).to_bytes(8, "little") + head + b"".join(held))
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([payload], pa.binary())], names=["block", "payload"])
+            known, sizes, data = np.asarray([x is not None for x in ids]), np.asarray([len(x) for x in held], np.int64), b"".join(held)
+            segments = cut_segments(np.frombuffer(data, np.uint8), np.concatenate([[0], np.cumsum(sizes)]), known, length, gram)
+            head = np.asarray([x or 0 for x in ids], np.int64).tobytes() + known.tobytes() + sizes.tobytes()
+            columns = [block], [squeeze.compress(len(ids).to_bytes(8, "little") + head + data)], [squeeze.compress(packed_segments(*segments))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()))], names=["block", "payload", "segments"])
 
     return run
 
@@ -208,8 +230,8 @@ class Passes:
 
     def first(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, payload in zip(batch["block"].to_pylist(), batch["payload"]):
-                block = Block(payload.as_py(), self.length, self.gram)
+            for number, payload, segments in zip(batch["block"].to_pylist(), batch["payload"], batch["segments"]):
+                block = Block(payload.as_py(), segments.as_py(), self.length, self.gram)
                 yield from _request_table(Digits(block.anchor, None, block.doc, self.bits).requests(number)).to_batches()
 
     def _second(self, block: Block, replies: dict) -> tuple[np.ndarray, Digits]:
@@ -232,7 +254,7 @@ class Passes:
         replies: dict[int, dict] = {}
         for r in right.to_pylist():
             replies.setdefault(r["digit"], {})[r["bucket"]] = (r["bits"], r["mixed"])
-        return left["block"][0].as_py(), Block(left["payload"][0].as_py(), self.length, self.gram), replies
+        return left["block"][0].as_py(), Block(left["payload"][0].as_py(), left["segments"][0].as_py(), self.length, self.gram), replies
 
     def second(self, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
@@ -321,16 +343,17 @@ def _ranked(digit: int):
     return run
 
 
-def _block_table(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """The texts as a table that is bucketed by block, so that passes join to it without moving it."""
+def _block_table(docs: DataFrame, block_bytes: int, length: int, gram: int) -> DataFrame:
+    """The blocks as a table that is bucketed by block, so that passes join to it without moving it."""
     spark = docs.sparkSession
-    name = f"loomchain_blocks_{uuid.uuid4().hex}"
-    packed = texts(docs).mapInArrow(_pack(block_bytes), BLOCK_SCHEMA)
+    name, n = f"loomchain_blocks_{uuid.uuid4().hex}", shuffle_partitions(spark)
+    packed = texts(docs).mapInArrow(_pack(block_bytes, length, gram), BLOCK_SCHEMA)
     at = f"{shared_dir(spark)}/{name}"
-    packed.write.bucketBy(shuffle_partitions(spark), "block").sortBy("block").option("path", at).saveAsTable(name)
+    # Dealt first, so that a bucket is one file and not one for each task that has blocks for it.
+    packed.repartition(n, "block").write.bucketBy(n, "block").sortBy("block").option("path", at).saveAsTable(name)
     drop_on_exit(spark, at)
     held = spark.table(name)
-    held.schema  # resolved before the name goes; the files stay
+    held.schema  # resolved, with its files and buckets, before the name goes; the files stay
     spark.sql(f"DROP TABLE {name}")
     return held
 
@@ -340,7 +363,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     spark = docs.sparkSession
     bits = (2 * shuffle_partitions(spark) - 1).bit_length()
     passes = Passes(length, gram, bits)
-    held = _block_table(docs, block_bytes)
+    held = _block_table(docs, block_bytes, length, gram)
     by_block = lambda replies, f, schema: held.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(lambda left, right: f(left, right), schema)
     replies = cut(held.mapInArrow(passes.first, REQUEST_SCHEMA).groupBy("bucket").applyInArrow(_shared_anchors, REPLY_SCHEMA), "anchors")
     for digit, ask in ((2, passes.second), (3, passes.third)):

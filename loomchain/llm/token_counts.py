@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import blocks, cut, shuffle_partitions, table, texts
+from loomchain.llm.common import blocks, cut, from_planes, planes, shuffle_partitions, table, texts
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -82,15 +82,6 @@ def pre_tokens(text: bytes) -> list[bytes]:
     return out
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**32 with their low bytes first, then the next ones: small numbers compress well."""
-    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _from_planes(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
-
-
 def _pack(n_buckets: int, most_bytes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
@@ -109,9 +100,9 @@ def _pack(n_buckets: int, most_bytes: int):
             doc, token = np.divmod(keys, n)
             # A document's pre-tokens by their distances, from its first one on.
             steps = np.where(np.diff(doc, prepend=-1) > 0, token, np.diff(token, prepend=0))
-            entries = _planes(np.concatenate([np.bincount(doc, minlength=len(held)), steps, freqs]))
+            entries = planes(np.concatenate([np.bincount(doc, minlength=len(held)), steps, freqs]))
             sizes = np.fromiter(map(len, names), np.int64, len(names))[order]
-            columns = [[block], [ids], [[len(x) for x in held]], [squeeze.compress(len(names).to_bytes(8, "little") + _planes(sizes) + b"".join(names[i] for i in order))], [squeeze.compress(entries)]]
+            columns = [[block], [ids], [[len(x) for x in held]], [squeeze.compress(len(names).to_bytes(8, "little") + planes(sizes) + b"".join(names[i] for i in order))], [squeeze.compress(entries)]]
             types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "doc_ids", "n_bytes", "names", "entries"])
 
@@ -127,7 +118,7 @@ def _ask(n_buckets: int):
             for block, packed in zip(batch["block"].to_pylist(), batch["names"]):
                 raw = unpack.decompress(packed.as_py())
                 n = int.from_bytes(raw[:8], "little")
-                ends = 8 + 4 * n + np.cumsum(_from_planes(raw[8 : 8 + 4 * n]))
+                ends = 8 + 4 * n + np.cumsum(from_planes(raw[8 : 8 + 4 * n]))
                 names = [raw[a:z] for a, z in zip([8 + 4 * n, *ends[:-1].tolist()], ends.tolist())]
                 buckets = np.fromiter((zlib.crc32(x) % n_buckets for x in names), np.int64, n)
                 cuts = np.searchsorted(buckets, np.arange(n_buckets + 1))
@@ -171,7 +162,7 @@ def _sum_block(limit: int):
         replies = sorted((r["bucket"], r["pieces"]) for r in right.to_pylist())
         pieces = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, f"<u{x[:1].decode()}", offset=1).astype(np.int64) for _, x in replies)])
         doc_ids, n_bytes = left["doc_ids"][0].as_py(), left["n_bytes"][0].as_py()
-        numbers = _from_planes(zstandard.ZstdDecompressor().decompress(left["entries"][0].as_py()))
+        numbers = from_planes(zstandard.ZstdDecompressor().decompress(left["entries"][0].as_py()))
         each, rest = numbers[: len(doc_ids)], numbers[len(doc_ids) :]
         steps, freqs, ends = rest[: len(rest) // 2], rest[len(rest) // 2 :], np.cumsum(each)
         walked = np.concatenate([[0], np.cumsum(steps)])

@@ -50,10 +50,24 @@ def test_suffix_dedup(spark):
 
 def test_suffix_dedup_slices(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SLICE", 64)
-    text = ("words that repeat " * 30).encode()
-    payload = __import__("zstandard").compress((1).to_bytes(8, "little") + np.asarray([5]).tobytes() + b"\1" + np.asarray([len(text)]).tobytes() + text)
-    b = suffix_dedup.Block(payload, 50, 20)
-    assert sum(b.last - b.first + 1) == len(text) - 49 and (b.first[1:] == b.last[:-1] + 1).all()
+    text = np.frombuffer(("words that repeat " * 30).encode(), np.uint8)
+    first, last, _ = suffix_dedup.cut_segments(text, np.asarray([0, len(text)]), np.asarray([True]), 50, 20)
+    assert sum(last - first + 1) == len(text) - 49 and (first[1:] == last[:-1] + 1).all()
+
+
+def test_suffix_dedup_of_a_very_long_text(spark):
+    r = random.Random(4)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(400))
+    long = "".join(r.choice("ijklmnop ") for _ in range(5_000_000))
+    docs = [(1, passage), (2, long[:3_000_000] + passage + long[3_000_000:]), (3, long[100:400] + "!" + passage)]
+    got = {x.doc_id: x for x in suffix_dedup.repeated_bytes(frame(spark, docs)).collect()}
+    assert [got[i].n_removed for i in (1, 2, 3)] == [0, 400, 700] and got[2].kept_sha256 == hashlib.sha256(long.encode()).hexdigest()
+
+
+def test_suffix_dedup_writes_one_file_for_a_bucket(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(7)
+    held = suffix_dedup._block_table(docs, 4000, 50, 32)
+    assert held.count() > 20 and len(held.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_token_counts(spark):
