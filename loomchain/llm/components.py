@@ -24,7 +24,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges(a long, b long)``; root is the smallest node reachable.
+    """(node, root) for every node of ``edges(a, b)``, numbers or structs of them; root is the smallest node reachable.
 
     Each round shortens paths by half at least and is written to the shared folder; the driver only compares two numbers.
     Self-links and repeated edges do no harm; an empty table gives an empty one.  A node with very many links is a star that

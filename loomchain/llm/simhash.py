@@ -1,40 +1,51 @@
 """SimHash near-duplicates, with candidates pruned by chains of segments on a ring.
 
-A fingerprint of 64 bits falls into ``SEGMENTS`` segments on a ring.  Two that differ in at most ``THRESHOLD`` bits have a segment
-from which every chain of l segments differs in at most l * THRESHOLD / SEGMENTS bits; its first segment is therefore equal, and as
-fewer bits differ than there are segments, so is at least one more.  Distinct fingerprints are dealt by each pair of equal segments;
-within such a bucket a pair counts as a candidate only if the chain that starts at one of the two keeps all its budgets, and only
-candidates get the full Hamming check.
-
-A bucket never lists its pairs: it is walked from fingerprint to near fingerprint, each one leaving the rest once reached, and gives
-one link for each reached one.  So a group of thousands of copies costs its size, not its square.  Equal fingerprints are one node.
-Components come from links between fingerprints; documents join them at the end by fingerprint.
-
-Null or blank text: fingerprint zero, linked like any other.  Rows are judged alone: repeated rows and doc_ids each give their row.  A
-null doc_id is never a component_id unless its whole component has none.  Empty table: empty result.
+A fingerprint of 64 bits falls into ``SEGMENTS`` segments on a ring.  Two that differ in at most ``threshold`` bits have a segment from
+which every chain of l segments differs in at most l * threshold / SEGMENTS bits.  A pair counts as a candidate only if some chain keeps
+all its budgets, and only candidates get the full Hamming check.
+
+With at most four differing bits three of the seven segments are equal.  Distinct fingerprints are dealt by each pair of equal segments
+that may be the first two of them.  The few buckets with more than ``LARGE`` fingerprints are dealt again, by a third equal segment as
+well, so that none is walked that is long because of two frequent segments.  Small buckets are compared as arrays; longer ones are
+walked from fingerprint to near fingerprint, each one leaving the rest once reached, with one link for each reached one.  So a group of
+thousands of copies costs its size, not its square, and no bucket lists its pairs.  Equal fingerprints are one node.
+
+Components come from links between fingerprints.  A node is its smallest document and its fingerprint, and so is a component's root:
+what a fingerprint's component is called comes with its root, and no join gathers a component.
+
+Null or blank text: fingerprint zero, linked like any other.  A very long text is hashed whole.  Rows are judged alone: repeated rows and
+doc_ids each give their row.  A null doc_id is never a component_id unless its whole component has none.  Other columns, whatever their
+names, are not read.  Empty table: empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomchain.llm.common import cut, rows_of, table, texts
 from loomchain.llm.components import components
 
+U = np.uint64
 SHINGLE = 4
 SEED = 42
 THRESHOLD = 4
-SEGMENTS = 6
-
-_WIDTHS = [11, 11, 11, 11, 10, 10]
-_SHIFTS = [0, 11, 22, 33, 44, 54]
+SEGMENTS = 7
+#: Fingerprints in a bucket of two segments from which on it is dealt by a third one.
+LARGE = 4096
+#: Fingerprints in a bucket up to which all are compared at once.
+SMALL = 48
+#: Keys of dropped rows (28 bytes each) that are sent to the tasks; more are joined.
+DROPPED_SENT = 1_000_000
+
+_WIDTHS = [10, 9, 9, 9, 9, 9, 9]
+_SHIFTS = [0, 10, 19, 28, 37, 46, 55]
 _MASKS = [((1 << w) - 1) << s for w, s in zip(_WIDTHS, _SHIFTS)]
 
 
@@ -72,109 +83,152 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return texts(docs).mapInArrow(_fingerprints, "doc_id long, fp long")
 
 
-def _budgets(first: int, threshold: int) -> list[tuple[np.uint64, int]]:
-    """(mask of the chain of l segments from ``first``, bits in which it may differ), for growing l."""
-    out, mask = [], 0
-    for l in range(1, SEGMENTS + 1):
-        mask |= _MASKS[(first + l - 1) % SEGMENTS]
-        out.append((np.uint64(mask), l * threshold // SEGMENTS))
-    return out
-
-
-def _near(one: np.uint64, rest: np.ndarray, firsts: tuple[int, int], threshold: int) -> np.ndarray:
-    """Places in ``rest`` within the threshold; a chain from one of the two equal segments has to keep its budgets first."""
-    differ = rest ^ one
-    passed = np.zeros(len(rest), bool)
-    for first in firsts:
-        at = np.arange(len(rest))
-        for mask, budget in _budgets(first, threshold):
-            at = at[np.bitwise_count(differ[at] & mask) <= budget]
+def keeps_budgets(differ: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
+    """Of pairs, given by their differing bits: whether a chain keeps its budget at each of its lengths."""
+    apart = [np.bitwise_count(differ & U(m)) for m in _MASKS]
+    passed = np.zeros(len(differ), bool)
+    for first in range(SEGMENTS):
+        at = np.flatnonzero(apart[first] <= threshold // SEGMENTS)
+        sums = apart[first][at]
+        for l in range(2, SEGMENTS + 1):
             if not len(at):
                 break
+            sums = sums + apart[(first + l - 1) % SEGMENTS][at]
+            keep = sums <= l * threshold // SEGMENTS
+            at, sums = at[keep], sums[keep]
         passed[at] = True
-    at = np.flatnonzero(passed)
+    return passed
+
+
+def _near(differ: np.ndarray, threshold: int) -> np.ndarray:
+    """Places of the pairs within the threshold; a chain has to keep its budgets first."""
+    at = np.flatnonzero(keeps_budgets(differ, threshold))
     return at[np.bitwise_count(differ[at]) <= threshold]
 
 
-def _links(fps: np.ndarray, firsts: tuple[int, int], threshold: int) -> tuple[np.ndarray, np.ndarray]:
+def _walk(fps: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is near in a bucket: at most one for each fingerprint."""
     rest, a, b = fps, [], []
     while len(rest):
         open_, rest = [rest[0]], rest[1:]
         while open_ and len(rest):
             one = open_.pop()
-            at = _near(one, rest, firsts, threshold)
+            at = _near(rest ^ one, threshold)
             if len(at):
                 open_ += list(rest[at])
                 a.append(np.full(len(at), one))
                 b.append(rest[at])
                 rest = np.delete(rest, at)
-    none = np.zeros(0, np.uint64)
+    none = np.zeros(0, U)
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
-def _pairs_of_segments() -> list[tuple[int, int]]:
-    return list(combinations(range(SEGMENTS), 2))
+def bucket_links(bucket: np.ndarray, fps: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within buckets, given as the number of each fingerprint's bucket, equal ones side by side."""
+    heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+    sizes = np.diff(np.concatenate([heads, [len(bucket)]]))
+    a, b = [np.zeros(0, U)], [np.zeros(0, U)]
+    left = np.repeat(sizes, sizes) - (np.arange(len(bucket)) - np.repeat(heads, sizes)) - 1  # how many follow in the bucket
+    left[np.repeat(sizes, sizes) > SMALL] = 0
+    for distance in range(1, SMALL):
+        at = np.flatnonzero(left >= distance)
+        if not len(at):
+            break
+        near = at[_near(fps[at] ^ fps[at + distance], threshold)]
+        a.append(fps[near])
+        b.append(fps[near + distance])
+    for i in np.flatnonzero(sizes > SMALL):
+        for out, found in zip((a, b), _walk(np.sort(fps[heads[i] : heads[i] + sizes[i]]), threshold)):
+            out.append(found)
+    return np.concatenate(a), np.concatenate(b)
 
 
-def _bucket_links(threshold: int):
-    def run(part: pa.Table) -> pa.Table:
-        fps = np.sort(part["fp"].to_numpy().astype(np.int64).view(np.uint64))
-        a, b = _links(fps, _pairs_of_segments()[part["pair"][0].as_py()], threshold)
-        return pa.table([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+def _pairs_of_segments() -> list[tuple[int, int]]:
+    """The pairs that can be the first two of three equal segments."""
+    return list(combinations(range(SEGMENTS - 1), 2))
+
+
+def _walk_buckets(threshold: int):
+    """Links of all buckets of a partition that is sorted by bucket; the last bucket of a batch waits for the next."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((4, 0), np.int64)
+        none = np.zeros((4, 0), np.int64)
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held = np.concatenate([held, [batch[name].to_numpy(zero_copy_only=False).astype(np.int64) for name in ("pair", "third", "key", "fp")]], axis=1)
+                if not held.shape[1]:
+                    continue
+                new = np.concatenate([[True], (held[:3, 1:] != held[:3, :-1]).any(axis=0)])
+                end = int(np.flatnonzero(new)[-1])
+            else:
+                new, end = np.concatenate([np.ones(min(1, held.shape[1]), bool), (held[:3, 1:] != held[:3, :-1]).any(axis=0)]), held.shape[1]
+            if end:
+                a, b = bucket_links(np.cumsum(new[:end]), held[3, :end].astype(np.int64).view(U), threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+            held = held[:, end:] if end < held.shape[1] else none
 
     return run
 
 
-def links(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def links(distinct: DataFrame, threshold: int = THRESHOLD, large: int = LARGE) -> DataFrame:
     """Links (a, b) that connect all fingerprints of ``distinct(fp)`` within the threshold."""
-    if threshold > SEGMENTS - 2:
-        raise ValueError("two equal segments are certain only up to SEGMENTS - 2 differing bits")
-    # (pair, the bits of its two segments): the pair's masks as literals, one row for each pair.
-    keys = [F.struct(F.lit(k).alias("pair"), F.col("fp").bitwiseAND(F.lit(_signed(_MASKS[i] | _MASKS[j]))).alias("key")) for k, (i, j) in enumerate(_pairs_of_segments())]
+    if threshold > SEGMENTS - 3:
+        raise ValueError("three equal segments are certain only up to SEGMENTS - 3 differing bits")
+    pairs = _pairs_of_segments()
+    masked = lambda *segments: F.col("fp").bitwiseAND(F.lit(_signed(sum(_MASKS[i] for i in segments))))
+    keys = [F.struct(F.lit(k).alias("pair"), masked(i, j).alias("key")) for k, (i, j) in enumerate(pairs)]
     dealt = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.pair", "k.key")
-    shared = dealt.groupBy("pair", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return dealt.join(shared, ["pair", "key"]).groupBy("pair", "key").applyInArrow(_bucket_links(threshold), "a long, b long")
+    # Frequent keys are combined in each task; what is over the bound is written, so that the joins know how little it is.
+    long = cut(dealt.groupBy("pair", "key").agg(F.count("*").alias("n")).where(F.col("n") > large).select("pair", "key"), "long_buckets")
+    thirds = [F.when(F.col("pair") == k, F.array(*(F.struct(F.lit(z).alias("third"), masked(i, j, z).alias("key")) for z in range(j + 1, SEGMENTS)))) for k, (i, j) in enumerate(pairs)]
+    split = dealt.join(long, ["pair", "key"], "left_semi").select("fp", "pair", F.explode(F.coalesce(*thirds)).alias("k")).select("fp", "pair", "k.third", "k.key")
+    whole = dealt.join(long, ["pair", "key"], "left_anti").select("fp", "pair", F.lit(-1).alias("third"), "key")
+    buckets = whole.unionByName(split).repartition("pair", "third", "key").sortWithinPartitions("pair", "third", "key")
+    return buckets.mapInArrow(_walk_buckets(threshold), "a long, b long")
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _placed(prints: DataFrame, threshold: int) -> DataFrame:
-    """(fp, least: its smallest doc_id, root: its component) for each distinct fingerprint of ``prints(doc_id, fp)``."""
-    roots = components(links(prints.select("fp").distinct(), threshold))
-    # Each distinct fingerprint's smallest doc_id: later steps see one row for a fingerprint.
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    return least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+def _classes(prints: DataFrame, mark: Column, threshold: int) -> DataFrame:
+    """(fp, best: the least ``mark`` of its component) for each distinct fingerprint of ``prints``."""
+    # One row for each fingerprint, so that a large group of copies is one when components meet.
+    least = prints.groupBy("fp").agg(F.min(mark).alias("mark"))
+    found = cut(links(least.select("fp"), threshold).distinct(), "links")
+    node = lambda name, end: least.select(F.col("fp").alias(end), F.struct("mark", "fp").alias(name))
+    edges = found.join(node("one", "a"), "a").join(node("two", "b"), "b").select(F.col("one").alias("a"), F.col("two").alias("b"))
+    named = components(edges).select(F.col("node.fp").alias("fp"), F.col("root.mark").alias("best"))
+    return least.join(named, "fp", "left").select("fp", F.coalesce("best", "mark").alias("best"))
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
     prints = cut(fingerprints(docs), "fingerprints")
-    placed = _placed(prints, threshold)
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = placed.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    # A row without an id names a component only if it has no other.
+    placed = _classes(prints, F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id"), threshold)
+    return prints.join(placed, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best.doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all their columns, of which each component keeps one: the smallest doc_id, then the least text hash."""
-    rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     keyed = texts(docs).select("doc_id", "text", F.xxhash64(F.col("text").cast("string")).alias("t1"), F.hash(F.col("text").cast("string")).alias("t2"))
     prints = cut(keyed.mapInArrow(_keyed_fingerprints, "doc_id long, fp long, t1 long, t2 int"), "fingerprints")
     mark = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t1", "t2")
-    # First one row for each fingerprint, so that a large group of copies is a few rows when components meet.
-    best = prints.groupBy("fp").agg(F.min(mark).alias("mark"))
-    kept = best.join(_placed(prints, threshold).select("fp", "root"), "fp").groupBy("root").agg(F.min("mark").alias("mark")).select("mark.doc_id", "mark.t1", "mark.t2")
-    counts = prints.groupBy("doc_id", "t1", "t2").agg(F.count("*").alias("n"))
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["t1"] == b["t1"]) & (a["t2"] == b["t2"])
-    kept = kept.join(counts, same(kept, counts)).select(kept["doc_id"], kept["t1"], kept["t2"], "n")
-    own = rows.select("row", "doc_id", *(h.alias(f"t{i + 1}") for i, h in enumerate([F.xxhash64(F.coalesce("text", F.lit(""))), F.hash(F.coalesce("text", F.lit("")))])))
-    found = own.join(kept, same(own, kept)).select("row", own["doc_id"], own["t1"], own["t2"], "n")
+    marked = prints.join(_classes(prints, mark, threshold), "fp").select("doc_id", "t1", "t2", (~mark.eqNullSafe(F.col("best"))).alias("goes"))
+    judged = cut(marked.groupBy("doc_id", "t1", "t2").agg(F.max("goes").alias("goes"), F.count("*").alias("n")).where("goes OR n > 1"), "judged")
+    goes, repeated = judged.where("goes").drop("goes", "n"), judged.where("NOT goes").drop("goes", "n")
+    text = F.coalesce(docs["text"], F.lit(""))
+    own = docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"), F.hash(text).alias("t2"))
+    same = lambda b: own["doc_id"].eqNullSafe(b["doc_id"]) & (own["t1"] == b["t1"]) & (own["t2"] == b["t2"])
+    sent = F.broadcast(goes) if goes.limit(DROPPED_SENT + 1).count() <= DROPPED_SENT else goes
+    left = own.join(sent, same(sent), "left_anti")
+    if repeated.isEmpty():
+        return left.select("row.*")
     # Rows that stand several times, doc_id and text alike, are the only ones that need looking at together.
-    repeated = found.where("n > 1").dropDuplicates(["doc_id", "t1", "t2"])
-    return found.where("n = 1").unionAll(repeated).select("row.*")
+    twice = left.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "t1", "t2"])
+    return left.join(repeated, same(repeated), "left_anti").unionAll(twice).select("row.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

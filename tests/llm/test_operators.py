@@ -116,7 +116,7 @@ def test_simhash(spark):
     assert {k[0] for k in kept} == set(groups)
 
 
-def test_simhash_links_keep_every_connection():
+def test_simhash_links_keep_every_connection(monkeypatch):
     r = np.random.default_rng(2)
     seeds = r.integers(0, 1 << 63, 40, dtype=np.uint64)
     fps = {int(s) for s in seeds}
@@ -134,20 +134,39 @@ def test_simhash_links_keep_every_connection():
             x = root[x]
         return x
 
-    for i, j in simhash._pairs_of_segments():
-        mask = simhash._MASKS[i] | simhash._MASKS[j]
-        buckets = defaultdict(list)
-        for f in fps:
-            buckets[f & mask].append(f)
-        for own in buckets.values():
-            a, b = simhash._links(np.asarray(sorted(own), np.uint64), (i, j), 4)
-            assert len(a) < len(own)
+    for small in (simhash.SMALL, 3):
+        monkeypatch.setattr(simhash, "SMALL", small)
+        root = {f: f for f in fps}
+        for i, j in simhash._pairs_of_segments():
+            mask = np.uint64(simhash._MASKS[i] | simhash._MASKS[j])
+            own = np.asarray(sorted(fps, key=lambda f: f & int(mask)), np.uint64)
+            a, b = simhash.bucket_links(own & mask, own, 4)
             for x, y in zip(a.tolist(), b.tolist()):
                 assert (x ^ y).bit_count() <= 4
                 root[find(x)] = find(y)
-    for x in fps:
-        for y in fps:
-            assert (x ^ y).bit_count() > 4 or find(x) == find(y)
+        for x in fps:
+            for y in fps:
+                assert (x ^ y).bit_count() > 4 or find(x) == find(y)
+
+
+def test_simhash_chains_let_near_pairs_pass():
+    r = np.random.default_rng(3)
+    differ = [0, *(sum(1 << int(b) for b in r.choice(64, r.integers(1, 5), replace=False)) for _ in range(20_000))]
+    assert simhash.keeps_budgets(np.asarray(differ, np.uint64)).all()
+    assert simhash.keeps_budgets(r.integers(0, 1 << 63, 20_000, dtype=np.uint64)).mean() < 0.01
+
+
+def test_simhash_large_buckets_are_dealt_by_a_third_segment(spark):
+    """Fingerprints that share two segments in their hundreds, some of them near."""
+    r = random.Random(9)
+    base = [r.getrandbits(45) << 19 for _ in range(150)]
+    fps = sorted({b ^ sum(1 << k for k in r.sample(range(64), r.choice([0, 1, 2, 4]))) for b in base for _ in range(3)})
+    want = {frozenset((x, y)) for x in fps for y in fps if x < y and (x ^ y).bit_count() <= 4}
+    df = spark.createDataFrame([(simhash._signed(f),) for f in fps], "fp long")
+    for large in (10, 4096):
+        got = {frozenset((x.a % (1 << 64), x.b % (1 << 64))) for x in simhash.links(df, 4, large).collect()}
+        assert got <= want
+        assert {r.node: r.root for r in components(spark.createDataFrame([tuple(map(simhash._signed, p)) for p in got], "a long, b long")).collect()} == {r.node: r.root for r in components(spark.createDataFrame([tuple(map(simhash._signed, p)) for p in want], "a long, b long")).collect()}
 
 
 def test_components(spark):
