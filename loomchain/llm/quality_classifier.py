@@ -1,16 +1,21 @@
 """Quality classifier: random-indexing word vectors, pooled per document, then a two-layer network with calibrated probabilities.
 
-Words fall into ``WORDS`` hash cells and each cell has a fixed sparse index vector of +1 and -1.  A cell's vector is the sum of the
-index vectors of the words around it, counted over the whole text of all documents: each task sums its own, one row for each group of
-cells, and the sums are added by group.  The table of vectors has a fixed size whatever the input, so it may be sent to every task.
+Every word has a fixed sparse index vector of +1 and -1 that its hash gives.  A word's vector is the sum of the index vectors of the
+words around it, counted over the whole text of all documents.  The ``FREQUENT`` most frequent words of the corpus have vectors of their
+own; the others share ``CELLS`` rows by hash, so the table has a fixed size whatever the input and may be sent to every task.
+
+Texts are split into words once and written as numbers.  Words are counted over all of them; each task sums the contexts of its own, one
+row for each group of words, and the sums are added by group in rounds, of at most ``FAN`` rows at once however many tasks there are.
 
 The network learns from at most ``TRAIN_ROWS`` labelled documents outside the held-out fold (those whose id has the least hashes); a
 part of them sets the temperature.  Everything else, word statistics and scores, covers all documents.  Sums are of integers, rows
 are sorted and seeds are fixed, so a run gives the same scores again.
 
-Null or empty text: the score of a document without words.  A null doc_id is in no fold that learns and is not held out (its remainder
-is null, given as false).  Labels that are null, or whose document is missing, teach nothing; of documents
-that repeat a doc_id one is learned from.  Without labels of both kinds all scores are the share of label 1, or 0.5.  Empty table: empty result.
+Null or empty text: the score of a document without words.  A very long text is a block of its own, counted and scored whole.  A null
+doc_id is in no fold that learns and is not held out (its remainder is null, given as false).  Labels that are null, or whose document is
+missing, teach nothing; of documents that repeat a doc_id one is learned from, and labels that disagree on one doc_id all count.  Without
+labels of both kinds all scores are the share of label 1, or 0.5.  Other columns, whatever their names, are not read.  Empty table: empty
+result.
 """
 
 from __future__ import annotations
@@ -22,12 +27,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import blocks, table, texts
+from loomchain.llm.common import blocks, cut, free, from_planes, planes, table, texts
 
-WORDS = 1 << 14
+#: Words with vectors of their own, and rows that the others share.
+FREQUENT = 1 << 14
+CELLS = 1 << 14
 DIMS = 64
 NONZERO = 2
 REACH = 2
@@ -37,88 +45,169 @@ FOLDS = 5
 THRESHOLD = 0.3
 HIDDEN = 32
 EPOCHS = 60
+#: Groups of rows in which sums travel, and how many tasks' rows of one group are added at once.
 GROUPS = 64
-#: Words that a worker's table of cells may hold before it starts anew.
-CACHE_ENTRIES = 100_000
+FAN = 128
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
+BLOCK_SCHEMA = "block long, doc_ids array<long>, words array<string>, counts array<long>, tokens binary"
 RESULT_SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
-_MARKS = {"upper": 0, "repeat": 1, "long": 2}
+#: Words that no text has, for capitals, repetition and overlong words.
+MARKS = ("upper ", "repeat ", "long ")
+
 
+class _Numbers(dict):
+    """Numbers its keys in the order in which they are first asked for."""
 
-class Cells(dict):
-    """Word -> hash cell."""
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        return n
 
-    def __missing__(self, word: str) -> int:
-        cell = self[word] = zlib.crc32(word.lower().encode("utf-8", "replace")) % (WORDS - len(_MARKS)) + len(_MARKS)
-        return cell
 
-    def of(self, text: bytes) -> np.ndarray:
-        """The cells of a text's words and runs of marks; capitals, repetition and overlong words are words of their own."""
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
+def numbered(held: Iterable[bytes]) -> tuple[list[str], list[np.ndarray]]:
+    """(distinct words and runs of marks, the numbers of each text's)."""
+    seen, found = _Numbers(), []
+    for text in held:
         words = TOKEN.findall(text.decode("utf-8", "replace"))
-        cells = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        upper = np.fromiter(map(str.isupper, words), bool, len(words))
-        long_ = np.fromiter(map(len, words), np.int64, len(words)) > 30
-        again = np.zeros(len(words), bool)
-        again[1:] = cells[1:] == cells[:-1]
-        extra = upper.astype(np.int64) + again + long_
-        out = np.repeat(cells, 1 + extra)
-        at = np.cumsum(1 + extra) - extra
-        for flag, name in ((upper, "upper"), (again, "repeat"), (long_, "long")):
-            out[at[flag]] = _MARKS[name]
+        found.append(np.fromiter(map(seen.__getitem__, words), np.int64, len(words)))
+    return list(seen), found
+
+
+class Rows:
+    """Word -> row of the table of vectors: of its own for a frequent word, else one shared by hash."""
+
+    def __init__(self, frequent: Iterable[str], cells: int = CELLS):
+        self.own = {w: i for i, w in enumerate(dict.fromkeys([*MARKS, *frequent]))}
+        self.cells = cells
+        self.size = len(self.own) + cells
+
+    def of(self, words: list[str]) -> np.ndarray:
+        lower = [w.lower() for w in words]
+        own, shared = self.own.get, len(self.own)
+        return np.fromiter((shared + zlib.crc32(w.encode("utf-8", "replace")) % self.cells if (r := own(w)) is None else r for w in lower), np.int64, len(words))
+
+    def index_vectors(self) -> tuple[np.ndarray, np.ndarray]:
+        """(places, signs) of each row's nonzero entries, by the hash of its word or cell."""
+        names = [*self.own, *(f" {i}" for i in range(self.cells))]
+        seeds = np.fromiter((zlib.crc32(w.encode("utf-8", "replace"), j) for w in names for j in range(NONZERO)), np.int64).reshape(len(names), NONZERO)
+        return (seeds >> 8) % DIMS, np.where(seeds & 1, 1, -1)
+
+
+class Marked:
+    """Distinct words by their rows, and texts as rows in which marks follow the words that have them."""
+
+    def __init__(self, words: list[str], rows: Rows):
+        self.row = rows.of(words)
+        self.upper = np.fromiter(map(str.isupper, words), bool, len(words))
+        self.long = np.fromiter(map(len, words), np.int64, len(words)) > 30
+        self.mark = [rows.own[m] for m in MARKS]
+
+    def of(self, numbers: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows of all texts on end, how many each text has) of word numbers whose texts begin at ``starts``."""
+        row = self.row[numbers]
+        again = np.zeros(len(row), bool)
+        again[1:] = row[1:] == row[:-1]
+        again[starts[:-1][starts[:-1] < len(row)]] = False
+        flags = self.upper[numbers], again, self.long[numbers]
+        width = 1 + sum(f.astype(np.int64) for f in flags)
+        ends = np.concatenate([[0], np.cumsum(width)])
+        out = np.repeat(row, width)
+        at = ends[:-1] + 1
+        for flag, mark in zip(flags, self.mark):
+            out[at[flag]] = mark
             at = at + flag
-        return out
+        return out, np.diff(ends[starts])
+
+
+def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of texts as numbers of their distinct words, with how often each word, lower-cased, stands in the block."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for block, ids, held in blocks(batches):
+        words, found = numbered(held)
+        flat = np.concatenate(found)
+        tokens = squeeze.compress(planes(np.concatenate([[len(f) for f in found], flat])))
+        columns = [[block], [ids], [words], [np.bincount(flat, minlength=len(words)).tolist()], [tokens]]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "doc_ids", "words", "counts", "tokens"])
+    pa.default_memory_pool().release_unused()
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    return cut(texts(docs).mapInArrow(_pack, BLOCK_SCHEMA), "words")
+
 
+def frequent_words(parts: DataFrame, most: int = FREQUENT) -> list[str]:
+    """The most frequent words of all texts, lower-cased; ties go by the word.  At most ``most`` of them come to the driver."""
+    pairs = parts.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(F.lower("x.words").alias("word"), "x.counts")
+    counted = pairs.groupBy("word").agg(F.sum("counts").alias("n"))
+    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()]
 
-def index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """(places, signs) of each cell's nonzero entries."""
-    rng = np.random.default_rng(7)
-    places = np.argsort(rng.random((WORDS, DIMS)), axis=1)[:, :NONZERO]
-    return places.astype(np.int32), np.where(rng.random((WORDS, NONZERO)) < 0.5, -1, 1).astype(np.int8)
+
+def texts_of(batch: pa.RecordBatch, rows: Rows) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(doc_ids, rows of all texts on end, how many each has) of packed blocks."""
+    unpack = zstandard.ZstdDecompressor()
+    for ids, words, tokens in zip(batch["doc_ids"], batch["words"], batch["tokens"]):
+        ids, numbers = ids.as_py(), from_planes(unpack.decompress(tokens.as_py()))
+        starts = np.concatenate([[0], np.cumsum(numbers[: len(ids)])])
+        yield ids, *Marked(words.as_py(), rows).of(numbers[len(ids) :], starts)
 
 
-def _add_contexts(total: np.ndarray, cells: np.ndarray, row: np.ndarray, places: np.ndarray, signs: np.ndarray) -> None:
-    """Adds to each cell the index vectors of its neighbours in the same document, and its own."""
+def add_contexts(total: np.ndarray, cells: np.ndarray, sizes: np.ndarray, places: np.ndarray, signs: np.ndarray) -> None:
+    """Adds to each row the index vectors of its neighbours in the same text, and its own."""
+    text = np.repeat(np.arange(len(sizes)), sizes)
     places, signs, own = places[cells], signs[cells], cells * DIMS
     for j in range(NONZERO):
         at, weights = [own + places[:, j]], [signs[:, j]]
         for d in range(1, REACH + 1):
-            same = row[d:] == row[:-d]
+            same = text[d:] == text[:-d]
             at += [(own[:-d] + places[d:, j])[same], (own[d:] + places[:-d, j])[same]]
             weights += [signs[d:, j][same], signs[:-d, j][same]]
-        total += np.bincount(np.concatenate(at), weights=np.concatenate(weights), minlength=WORDS * DIMS).astype(np.int64)
+        total += np.bincount(np.concatenate(at), weights=np.concatenate(weights), minlength=len(total)).astype(np.int64)
 
 
-def _sum_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cells, (places, signs) = Cells(), index_vectors()
-    total, seen = np.zeros(WORDS * DIMS, np.int64), np.zeros(WORDS, np.int64)
-    for _, _, held in blocks(batches):
-        found = [cells.of(t) for t in held]
-        flat = np.concatenate(found)
-        _add_contexts(total, flat, np.repeat(np.arange(len(found)), [len(f) for f in found]), places, signs)
-        seen += np.bincount(flat, minlength=WORDS)
-    if seen.any():
-        squeeze, both = zstandard.ZstdCompressor(level=1), np.concatenate([total.reshape(WORDS, DIMS), seen[:, None]], axis=1)
-        parts = [squeeze.compress(x.tobytes()) for x in np.split(both, GROUPS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(GROUPS), pa.int32()), pa.array(parts, pa.binary())], names=["part", "sums"])
+def _sum_contexts(held) -> object:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: Rows = held.value
+        places, signs = rows.index_vectors()
+        total, seen = np.zeros(rows.size * DIMS, np.int64), np.zeros(rows.size, np.int64)
+        for batch in batches:
+            for _, cells, sizes in texts_of(batch, rows):
+                add_contexts(total, cells, sizes, places, signs)
+                seen += np.bincount(cells, minlength=rows.size)
+        if seen.any():
+            squeeze, both = zstandard.ZstdCompressor(level=1), np.concatenate([total.reshape(-1, DIMS), seen[:, None]], axis=1)
+            parts = [squeeze.compress(x.tobytes()) for x in np.array_split(both, GROUPS)]
+            task = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array(range(GROUPS), pa.int32()), pa.array([task] * GROUPS, pa.int64()), pa.array(parts, pa.binary())], names=["part", "task", "sums"])
+
+    return run
 
 
-def _sums(part: pa.Table) -> pa.Table:
-    unpack = zstandard.ZstdDecompressor()
-    total = sum(np.frombuffer(unpack.decompress(x.as_py()), np.int64) for x in part["sums"])
-    return pa.table([part["part"].combine_chunks()[:1], pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+def _add_up(part: pa.Table) -> pa.Table:
+    unpack, total = zstandard.ZstdDecompressor(), 0
+    for x in part["sums"]:
+        total = total + np.frombuffer(unpack.decompress(x.as_py()), np.int64)
+    packed_sum = zstandard.ZstdCompressor(level=1).compress(total.tobytes())
+    return pa.table([part["part"].combine_chunks()[:1], pa.array([part["task"][0].as_py()], pa.int64()), pa.array([packed_sum], pa.binary())], names=["part", "task", "sums"])
 
 
-def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(vector, weight) of each cell, from the contexts of all words of all documents."""
-    sums = texts(docs).mapInArrow(_sum_contexts, "part int, sums binary").groupBy("part").applyInArrow(_sums, "part int, sums binary")
-    both = np.zeros((WORDS, DIMS + 1))
-    for r in sums.collect():  # GROUPS rows of a fixed size
-        both[r["part"] * (WORDS // GROUPS) : (r["part"] + 1) * (WORDS // GROUPS)] = np.frombuffer(r["sums"], np.int64).reshape(-1, DIMS + 1)
-    vectors, seen = both[:, :DIMS], both[:, DIMS]
+def added_up(sums: DataFrame) -> DataFrame:
+    """One row for each part of ``sums(part, task, sums)``, in rounds of at most FAN rows in a group, for up to FAN ** 3 tasks; more only make the last groups longer."""
+    for last in (False, False, True):
+        sums = sums.withColumn("task", F.lit(0).cast("long") if last else F.floor(F.col("task") / FAN))
+        sums = sums.groupBy("part", "task").applyInArrow(_add_up, "part int, task long, sums binary")
+    return sums
+
+
+def word_vectors(parts: DataFrame, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
+    """(vector, weight) of each row, from the contexts of all words of all documents."""
+    held = parts.sparkSession.sparkContext.broadcast(rows)
+    sums = added_up(parts.select("doc_ids", "words", "tokens").mapInArrow(_sum_contexts(held), "part int, task long, sums binary"))
+    found = {r["part"]: bytes(r["sums"]) for r in sums.select("part", "sums").collect()}  # GROUPS rows of a fixed size
+    unpack = zstandard.ZstdDecompressor()
+    both = np.concatenate([np.frombuffer(unpack.decompress(found[i]), np.int64) for i in sorted(found)]).reshape(-1, DIMS + 1) if found else np.zeros((rows.size, DIMS + 1))
+    vectors, seen = both[:, :DIMS].astype(float), both[:, DIMS].astype(float)
     vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     share = seen / max(1.0, seen.sum())
     return vectors.astype(np.float32), (1e-3 / (1e-3 + share) * (seen > 0) + 1e-6).astype(np.float32)
@@ -133,6 +222,19 @@ def pooled(text_cells: np.ndarray, vectors: np.ndarray, weights: np.ndarray) ->
     return np.concatenate([w @ v / w.sum(), counts @ v / counts.sum()]).astype(np.float32)
 
 
+def loss(w: list[np.ndarray], x: np.ndarray, y: np.ndarray, decay: float = 1e-4) -> float:
+    z = np.tanh(x @ w[0] + w[1]) @ w[2] + w[3][0]
+    return float(np.mean(np.logaddexp(0, z) - y * z) + decay / 2 * sum((a * a).sum() for a in (w[0], w[2])))
+
+
+def gradients(w: list[np.ndarray], x: np.ndarray, y: np.ndarray, decay: float = 1e-4) -> tuple[np.ndarray, ...]:
+    """Of ``loss``, by each of the weights."""
+    h = np.tanh(x @ w[0] + w[1])
+    d = (1 / (1 + np.exp(-np.clip(h @ w[2] + w[3], -30, 30))) - y) / len(y)
+    dh = np.outer(d, w[2]) * (1 - h * h)
+    return x.T @ dh + decay * w[0], dh.sum(0), h.T @ d + decay * w[2], d.sum(keepdims=True)
+
+
 class Network:
     """Inputs -> tanh layer -> one logit, divided by the temperature."""
 
@@ -152,11 +254,8 @@ class Network:
         xt, yt = x[~held], y[~held].astype(float)
         for _ in range(EPOCHS):
             for at in np.array_split(rng.permutation(len(xt)), max(1, len(xt) // 256)):
-                h = np.tanh(xt[at] @ w[0] + w[1])
-                d = (1 / (1 + np.exp(-np.clip(h @ w[2] + w[3], -30, 30))) - yt[at]) / len(at)
-                dh = np.outer(d, w[2]) * (1 - h * h)
                 step += 1
-                for i, g in enumerate((xt[at].T @ dh + 1e-4 * w[0], dh.sum(0), h.T @ d + 1e-4 * w[2], d.sum(keepdims=True))):
+                for i, g in enumerate(gradients(w, xt[at], yt[at])):
                     m[i] = 0.9 * m[i] + 0.1 * g
                     v[i] = 0.999 * v[i] + 0.001 * g * g
                     w[i] = w[i] - 3e-3 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
@@ -178,23 +277,34 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self._logits((x - self.mean) / self.scale) / self.temperature, -30, 30)))
 
 
+def _inputs(held: Iterable[bytes], words) -> np.ndarray:
+    """The network's inputs for texts as they are."""
+    rows, vectors, weights = words.value
+    names, found = numbered(held)
+    starts = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
+    return _pooled_texts(*Marked(names, rows).of(np.concatenate([np.zeros(0, np.int64), *found]), starts), vectors, weights)
+
+
+def _pooled_texts(cells: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.stack([pooled(x, vectors, weights) for x in np.split(cells, np.cumsum(sizes)[:-1])]) if len(sizes) else np.zeros((0, 2 * DIMS), np.float32)
+
+
 def _pool_rows(words) -> object:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, (vectors, weights) = Cells(), words.value
         for _, ids, held in blocks(batches):
-            x = [pooled(cells.of(t), vectors, weights).tobytes() for t in held]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(x, pa.binary())], names=["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x.tobytes() for x in _inputs(held, words)], pa.binary())], names=["doc_id", "x"])
 
     return run
 
 
-def _score_rows(words, network) -> object:
+def _score_blocks(words, network) -> object:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, (vectors, weights) = Cells(), words.value
-        for _, ids, held in blocks(batches):
-            score = network.value.score(np.stack([pooled(cells.of(t), vectors, weights) for t in held]))
-            out = [i is not None and zlib.crc32(str(i).encode()) % FOLDS == 0 for i in ids]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out), pa.array(score, pa.float64()), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+        rows, vectors, weights = words.value
+        for batch in batches:
+            for ids, cells, sizes in texts_of(batch, rows):
+                score = network.value.score(_pooled_texts(cells, sizes, vectors, weights))
+                out = [i is not None and zlib.crc32(str(i).encode()) % FOLDS == 0 for i in ids]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out), pa.array(score, pa.float64()), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     return run
 
@@ -203,32 +313,37 @@ def in_learning_fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS != 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, vectors) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, words) -> Network:
     """Trains on at most TRAIN_ROWS labelled documents of ``docs`` outside the held-out fold."""
     known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("y")).where(in_learning_fold(F.col("doc_id")) & F.col("y").isNotNull())
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(TRAIN_ROWS)
     # At most TRAIN_ROWS rows of two numbers: small enough to send, so that no text is shuffled.
     wanted = F.broadcast(sample.select("doc_id").distinct())
-    pools = texts(docs).join(wanted, "doc_id", "left_semi").mapInArrow(_pool_rows(vectors), "doc_id long, x binary")
+    pools = texts(docs).join(wanted, "doc_id", "left_semi").mapInArrow(_pool_rows(words), "doc_id long, x binary")
     at = {r["doc_id"]: bytes(r["x"]) for r in pools.groupBy("doc_id").agg(F.min("x").alias("x")).collect()}
     pairs = sorted((r["doc_id"], at[r["doc_id"]], r["y"]) for r in sample.collect() if r["doc_id"] in at)
     x = np.stack([np.frombuffer(p[1], np.float32) for p in pairs]).astype(float) if pairs else np.zeros((0, 2 * DIMS))
     return Network(x, np.asarray([p[2] for p in pairs], np.int64))
 
 
+def _fitted(docs: DataFrame, labels: DataFrame, parts: DataFrame) -> tuple:
+    """(words: rows, vectors and weights; network), both broadcast, from the texts ``docs`` that ``parts`` holds as numbers."""
+    context, rows = docs.sparkSession.sparkContext, Rows(frequent_words(parts))
+    words = context.broadcast((rows, *word_vectors(parts, rows)))
+    return words, context.broadcast(fit(docs, labels, words))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score, predicted."""
-    context = docs.sparkSession.sparkContext
-    vectors = context.broadcast(word_vectors(docs))
-    network = context.broadcast(fit(docs, labels, vectors))
-    return texts(docs).mapInArrow(_score_rows(vectors, network), RESULT_SCHEMA)
+    parts = packed(docs)
+    words, network = _fitted(docs, labels, parts)
+    return parts.select("doc_ids", "words", "tokens").mapInArrow(_score_blocks(words, network), RESULT_SCHEMA)
 
 
 def _keep_rows(words, network, at: int) -> object:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, (vectors, weights) = Cells(), words.value
         for batch in batches:
-            score = network.value.score(np.stack([pooled(cells.of((t.as_py() or "").encode()), vectors, weights) for t in batch.column(at)]) if batch.num_rows else np.zeros((0, 2 * DIMS)))
+            score = network.value.score(_inputs(((t.as_py() or "").encode() for t in batch.column(at)), words))
             yield batch.filter(pa.array(score >= THRESHOLD))
         pa.default_memory_pool().release_unused()
 
@@ -237,10 +352,10 @@ def _keep_rows(words, network, at: int) -> object:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all their columns, that are predicted to be of quality 1."""
-    context = docs.sparkSession.sparkContext
-    vectors = context.broadcast(word_vectors(docs))
-    network = context.broadcast(fit(docs, labels, vectors))
-    return docs.mapInArrow(_keep_rows(vectors, network, docs.columns.index("text")), docs.schema)
+    parts = packed(docs)
+    words, network = _fitted(docs, labels, parts)
+    free(parts)
+    return docs.mapInArrow(_keep_rows(words, network, docs.columns.index("text")), docs.schema)
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

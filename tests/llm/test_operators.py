@@ -250,10 +250,72 @@ def test_quality_classifier_learns(spark, sf):
     assert quality_classifier.accepted(docs, labels).count() == sum(r.predicted for r in got.values())
 
 
+def test_quality_classifier_is_calibrated(spark):
+    """On held-out rows of the larger table, scores in ten bins against the share of label 1 in each."""
+    at = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{at}/labels.parquet").collect()}
+    got = [(r.score, labels[r.doc_id]) for r in quality_classifier.quality_scores(spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")).collect() if r.held_out and labels.get(r.doc_id) is not None]
+    score, y = np.asarray(got).T
+    bins = np.minimum((score * 10).astype(int), 9)
+    error = sum(abs(score[bins == b].mean() - y[bins == b].mean()) * (bins == b).mean() for b in set(bins.tolist()))
+    assert len(y) > 30 and error < 0.1 and ((score >= 0.3) == y).mean() >= 0.9
+
+
+def test_quality_classifier_sums_of_contexts(spark):
+    """Summed over tasks, blocks and rounds against sums by hand."""
+    r = random.Random(2)
+    vocabulary = ["Alpha", "ALPHA", "beta", "beta", "--", "é", "x" * 40, "rare1", "rare2", "Rare3"]
+    docs = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(0, 30)))) for i in range(200)] + odd_rows("beta beta c")
+    parts = quality_classifier.packed(frame(spark, docs).repartition(5))
+    frequent = quality_classifier.frequent_words(parts, 4)
+    counts = defaultdict(int)
+    for _, t in docs:
+        for w in quality_classifier.TOKEN.findall(t or ""):
+            counts[w.lower()] += 1
+    assert frequent == sorted(counts, key=lambda w: (-counts[w], w))[:4]
+    rows_ = quality_classifier.Rows(frequent, 8)
+    places, signs = rows_.index_vectors()
+    total, seen = np.zeros((rows_.size, 64)), np.zeros(rows_.size)
+    for _, t in docs:
+        said, last = [], None
+        for w in quality_classifier.TOKEN.findall(t or ""):
+            row = rows_.own.get(w.lower(), len(rows_.own) + zlib.crc32(w.lower().encode()) % 8)
+            said.append(row)
+            said += [rows_.own[m] for m, on in zip(quality_classifier.MARKS, (w.isupper(), row == last, len(w) > 30)) if on]
+            last = row
+        for i, a in enumerate(said):
+            seen[a] += 1
+            for b in said[max(0, i - 2) : i + 3]:
+                for j in range(2):
+                    total[a, places[b, j]] += signs[b, j]
+    vectors, weights = quality_classifier.word_vectors(parts, rows_)
+    assert np.allclose(vectors, total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9), atol=1e-6)
+    assert np.allclose(weights, 1e-3 / (1e-3 + seen / seen.sum()) * (seen > 0) + 1e-6)
+
+
+def test_quality_classifier_gradients():
+    r = np.random.default_rng(1)
+    x, y = r.standard_normal((9, 6)), r.integers(0, 2, 9).astype(float)
+    w = [r.standard_normal((6, 4)), r.standard_normal(4), r.standard_normal(4), r.standard_normal(1)]
+    for a, g in zip(w, quality_classifier.gradients(w, x, y)):
+        for at in np.ndindex(a.shape):
+            a[at] += 1e-6
+            up = quality_classifier.loss(w, x, y)
+            a[at] -= 2e-6
+            down = quality_classifier.loss(w, x, y)
+            a[at] += 1e-6
+            assert abs((up - down) / 2e-6 - g[at]) < 1e-6
+
+
 def test_quality_classifier_edges(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     got = rows(quality_classifier.quality_scores(frame(spark, odd_rows("a b c")), none))
     assert len(got) == 8 and {g[2] for g in got} == {0.5}
+    # Labels that disagree on one doc_id, labels without a document, and a text of many blocks' length.
+    docs = [(i, "good words here" if i % 2 else "BAD BAD !!") for i in range(60)] + [(2000, "good " * 2_000_000)] + odd_rows("good words")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1, 0), (1, None), (None, 1), (7777, 1)], "doc_id long, quality int")
+    scores = {x.doc_id: x.score for x in quality_classifier.quality_scores(frame(spark, docs), labels).collect()}
+    assert scores[1] > 0.5 > scores[2] and len(scores) == 60 + 1 + 5
 
 
 def test_licenses(spark):
