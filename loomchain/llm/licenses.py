@@ -4,7 +4,7 @@ Words make five-word shingles.  A template of ``WINDOW`` shingles or more is ret
 windows of the same size at every place, so that some of them lie over any occurrence.  Shorter templates need no sketch: any shingle of
 theirs retrieves them.  A window that holds at least 0.8 of a template's shingles has a Jaccard similarity of 2/3 or more with it; with bands of two rows
 out of ``2 * BANDS`` it is missed with a probability of at most (1 - 4/9) ** BANDS, under one in ten thousand for 16 bands.
-What is retrieved counts only if the shingles around the place hold at least ``CONTAINMENT`` of the template's.
+What is retrieved counts only if a stretch of as many shingles as the template has holds at least ``CONTAINMENT`` of its distinct ones.
 
 A license has several templates: ``ID-whole`` is its whole text (``license_texts``), the others are its notices; a name begins with the
 license's id.  ``SPDX-License-Identifier`` tags, which can be shorter than a shingle, are read as such and give ``ID-spdx``.
@@ -12,7 +12,8 @@ license's id.  ``SPDX-License-Identifier`` tags, which can be shorter than a shi
 Templates are a fixed, small set, so their bands go to every task.  Documents are never shuffled and no sets are compared pairwise.
 
 Null text: no licenses.  Texts of fewer than five words hold no shingle and match nothing but SPDX tags.  Rows are judged alone: repeated rows, null
-and repeated doc_ids each give their row.  Empty table: empty result.
+and repeated doc_ids each give their row.  A very long text is a block of its own, scanned whole.  Other columns, whatever their names, are
+not read.  Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ TEMPLATES = {
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "MIT": "Released under the MIT License.",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
 }
 
@@ -56,6 +58,8 @@ NOTICES = {
     "CC0-1.0": ["CC0 1.0 Universal Public Domain Dedication", "creativecommons.org/publicdomain/zero/1.0", "released under CC0 1.0"],
     "GPL-2.0": ["GNU General Public License, version 2", "GNU General Public License v2.0", "GNU General Public License version 2", "either version 2 of the License, or (at your option) any later version", "licensed under the GPL v2", "is licensed under the GPLv2"],
     "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GNU General Public License v3", "licensed under the GPL v3", "is licensed under the GPLv3", "released under the GPL v3", "released under the GNU GPL v3"],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0", "licensed under the Boost Software License 1.0"],
+    "EPL-2.0": ["under the terms of the Eclipse Public License 2.0", "under the terms of the Eclipse Public License v. 2.0", "licensed under the Eclipse Public License"],
     "ISC": ["licensed under the ISC License", "released under the ISC License", "distributed under the ISC License", "under the terms of the ISC License"],
     "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "licensed under the LGPL v2.1", "licensed under the LGPLv2.1"],
     "LGPL-3.0": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0", "GNU Lesser General Public License v3", "licensed under the LGPL v3", "is licensed under the LGPLv3"],
@@ -207,14 +211,13 @@ class Templates:
             m = len(self.parts[t])
             lo, hi = max(past, at - m), min(int(starts[d + 1]), at + m + width)
             near = near[np.searchsorted(near, lo) : np.searchsorted(near, hi)]
-            if len(np.unique(hashes[near])) >= need:
-                a, b = self._first(hashes[near], near, m, need)
-                out[d].setdefault(t, []).append((a - begin, b - begin))
+            if len(np.unique(hashes[near])) >= need and (place := self._first(hashes[near], near, m, need)):
+                out[d].setdefault(t, []).append((place[0] - begin, place[1] - begin))
         return out
 
     @staticmethod
-    def _first(own: np.ndarray, near: np.ndarray, m: int, need: float) -> tuple[int, int]:
-        """The first stretch of ``m`` shingles that holds enough of the template (``own``: its shingles, at ``near``); all of ``near`` if none does."""
+    def _first(own: np.ndarray, near: np.ndarray, m: int, need: float) -> tuple[int, int] | None:
+        """The first stretch of ``m`` shingles that holds enough of the template (``own``: its shingles, at ``near``), if there is any."""
         count: dict[int, int] = {}
         i = 0
         for j, x in enumerate(own.tolist()):
@@ -229,7 +232,7 @@ class Templates:
                 # To the stretch's end, from where it is still enough.
                 end = int(np.searchsorted(near, near[i] + m)) - 1
                 return int(near[i]), int(near[end])
-        return int(near[0]), int(near[-1])
+        return None
 
 
 def _scan(templates):
