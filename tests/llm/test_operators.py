@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import plain
@@ -384,6 +385,45 @@ def test_line_rules(spark):
     assert {r.row.doc_id: r.kept for r in quality_rules.judged(docs).collect()} == {1: True, 2: False, 3: True, 4: False}
 
 
+LINES = {
+    True: [
+        "A sentence in plain words that ends.", "Wer weiß das schon?", "« Une phrase entre guillemets. »", "यह एक वाक्य है।", "هل هذا سؤال؟", "これは文です。", "She said (quite rightly) \"no!\"", "Ends with spaces.   ",
+        "- a list item of several words", "12. another item with some words", "    indented = code(here)", "while (x) { y(); }", "def f(x):", "import os",
+        "a long line of wrapped prose that goes on in the next line without any mark at", "See https://example.org/a for the whole of the story that is told here.", "He signed the terms of the treaty.",
+        "One could write at length about how a privacy policy is read by nobody, and yet " + "many words follow here " * 8 + "until the end.",
+    ],
+    False: [
+        "Home | About | Contact", "Start › Shop › Shoes", "Home > Docs > API", "About Us Contact Imprint Jobs", "Über Uns Kontakt", "Login", "no mark here", "!!! Buy now!! Only today!! Really!!", "What?? Who?? Why??",
+        "All rights reserved.", "Alle Rechte vorbehalten.", "Read more about it here.", "https://example.org/one https://example.org/two https://example.org/three.", "### $$$ &&& done.", "2023 - 11 - 04.", "- short",
+    ],
+}
+
+
+def test_each_line_rule(spark):
+    for want, lines in LINES.items():
+        got = {r.text: r.passes for r in frame(spark, list(enumerate(lines))).select("text", quality_rules.line_passes(F.col("text")).alias("passes")).collect()}
+        assert {t for t, passes in got.items() if passes != want} == set()
+
+
+def test_quality_rules_edges(spark):
+    """Nulls, repeated rows and ids, lines that repeat, a very long text; against the SQL."""
+    good = "\n".join(" ".join(f"word{i}x{j}" for j in range(9)) + "." for i in range(10))
+    docs = odd_rows(good) + [(1, good), (2, "The same line stands here again and again.\n" * 40), (3, "\n".join(f"Sentence {i} of a very long text has its own number {i * i}." for i in range(60_000)))]
+    docs += [(10 + i, "\n".join(k for k in (LINES[True] * 2 + LINES[False])[i::3])) for i in range(3)] + [(20, good + "\n" + good)]
+    df = frame(spark, docs)
+    got = rows(quality_rules.judged(df).select("row.doc_id", "n_words", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "kept_chars"))
+    import duckdb
+
+    c = duckdb.connect()
+    documents = df.toPandas()
+    documents["doc_id"] = documents["doc_id"].astype("Int64")
+    c.register("documents", documents)
+    want = c.execute(f"SELECT doc_id, n_words, n_dup_lines, n_repeat_words, base_failed, kept, kept_chars FROM ({quality_rules.OP4_SQL})").fetchall()
+    assert got == sorted(want, key=str)
+    kept = {g[0]: g[5] for g in got}
+    assert kept[1] and not kept[2] and kept[3] and not kept[20]
+
+
 def test_line_dedup_rules(spark):
     lines = [(i, f"Own line {i} is longer than what repeats here.\nBoiler.\n\nShared {i // 4}.", f"s{i % 12}", 1) for i in range(24)]
     copies = [(100 + i, "The same text.\nOn every site.", f"s{i}", 1) for i in range(12)]
