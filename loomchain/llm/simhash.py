@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
     prints = cut(fingerprints(docs), "fingerprints")
     # A row without an id names a component only if it has no other.
-    placed = _classes(prints, F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id"), threshold)
+    placed = cut(_classes(prints, F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id"), threshold), "classes")
     return prints.join(placed, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best.doc_id").alias("component_id"))
 
 
@@ -216,7 +216,8 @@ def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     keyed = texts(docs).select("doc_id", "text", F.xxhash64(F.col("text").cast("string")).alias("t1"), F.hash(F.col("text").cast("string")).alias("t2"))
     prints = cut(keyed.mapInArrow(_keyed_fingerprints, "doc_id long, fp long, t1 long, t2 int"), "fingerprints")
     mark = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t1", "t2")
-    marked = prints.join(_classes(prints, mark, threshold), "fp").select("doc_id", "t1", "t2", (~mark.eqNullSafe(F.col("best"))).alias("goes"))
+    # Written before the join, which is then one of two plain tables: a frequent fingerprint is a skewed key that Spark splits.
+    marked = prints.join(cut(_classes(prints, mark, threshold), "classes"), "fp").select("doc_id", "t1", "t2", (~mark.eqNullSafe(F.col("best"))).alias("goes"))
     judged = cut(marked.groupBy("doc_id", "t1", "t2").agg(F.max("goes").alias("goes"), F.count("*").alias("n")).where("goes OR n > 1"), "judged")
     goes, repeated = judged.where("goes").drop("goes", "n"), judged.where("NOT goes").drop("goes", "n")
     text = F.coalesce(docs["text"], F.lit(""))
