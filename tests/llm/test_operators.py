@@ -408,7 +408,7 @@ def test_each_line_rule(spark):
 def test_quality_rules_edges(spark):
     """Nulls, repeated rows and ids, lines that repeat, a very long text; against the SQL."""
     good = "\n".join(" ".join(f"word{i}x{j}" for j in range(9)) + "." for i in range(10))
-    docs = odd_rows(good) + [(1, good), (2, "The same line stands here again and again.\n" * 40), (3, "\n".join(f"Sentence {i} of a very long text has its own number {i * i}." for i in range(60_000)))]
+    docs = odd_rows(good) + [(1, good), (2, "The same line stands here again and again.\n" * 40), (3, "\n".join(f"Sentence{i} opens{i} and{i} goes{i} on{i} until{i} its{i} end{i}." for i in range(60_000)))]
     docs += [(10 + i, "\n".join(k for k in (LINES[True] * 2 + LINES[False])[i::3])) for i in range(3)] + [(20, good + "\n" + good)]
     df = frame(spark, docs)
     got = rows(quality_rules.judged(df).select("row.doc_id", "n_words", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "kept_chars"))
