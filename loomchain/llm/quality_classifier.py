@@ -26,6 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,11 +51,13 @@ GROUPS = 64
 FAN = 128
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-BLOCK_SCHEMA = "block long, doc_ids array<long>, words array<string>, counts array<long>, tokens binary"
+BLOCK_SCHEMA = "block long, doc_ids array<long>, hashes array<long>, counts array<long>, flags binary, tokens binary"
 RESULT_SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
-#: Words that no text has, for capitals, repetition and overlong words.
-MARKS = ("upper ", "repeat ", "long ")
+#: Rows of the table for words that no text has: they follow words in capitals, repeated ones and overlong ones.
+UPPER, REPEAT, LONG = MARKS = range(3)
+
+U = np.uint64
 
 
 class _Numbers(dict):
@@ -65,71 +68,76 @@ class _Numbers(dict):
         return n
 
 
-def numbered(held: Iterable[bytes]) -> tuple[list[str], list[np.ndarray]]:
-    """(distinct words and runs of marks, the numbers of each text's)."""
+def word_hash(word: str) -> int:
+    """Of a word in small letters, signed."""
+    return xxhash.xxh64_intdigest(word.lower().encode("utf-8", "replace")) - (1 << 63)
+
+
+def numbered(held: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(hashes and flags of the distinct words and runs of marks, the numbers of each text's)."""
     seen, found = _Numbers(), []
     for text in held:
         words = TOKEN.findall(text.decode("utf-8", "replace"))
-        found.append(np.fromiter(map(seen.__getitem__, words), np.int64, len(words)))
-    return list(seen), found
+        found.append(np.fromiter(map(seen.__getitem__, words), np.int32, len(words)))
+    hashes = np.fromiter(map(word_hash, seen), np.int64, len(seen))
+    flags = np.fromiter((w.isupper() << UPPER | (len(w) > 30) << LONG for w in seen), np.uint8, len(seen))
+    return hashes, flags, found
 
 
 class Rows:
-    """Word -> row of the table of vectors: of its own for a frequent word, else one shared by hash."""
+    """Word hash -> row of the table of vectors: of its own for a frequent word, else one that words share."""
 
-    def __init__(self, frequent: Iterable[str], cells: int = CELLS):
-        self.own = {w: i for i, w in enumerate(dict.fromkeys([*MARKS, *frequent]))}
+    def __init__(self, frequent: Iterable[int], cells: int = CELLS):
+        self.own = np.unique(np.asarray(list(frequent), np.int64))
         self.cells = cells
-        self.size = len(self.own) + cells
+        self.size = len(MARKS) + len(self.own) + cells
 
-    def of(self, words: list[str]) -> np.ndarray:
-        lower = [w.lower() for w in words]
-        own, shared = self.own.get, len(self.own)
-        return np.fromiter((shared + zlib.crc32(w.encode("utf-8", "replace")) % self.cells if (r := own(w)) is None else r for w in lower), np.int64, len(words))
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        shared = len(MARKS) + len(self.own) + (hashes.view(U) % U(self.cells)).astype(np.int64)
+        if not len(self.own):
+            return shared
+        at = np.minimum(np.searchsorted(self.own, hashes), len(self.own) - 1)
+        return np.where(self.own[at] == hashes, len(MARKS) + at, shared)
 
     def index_vectors(self) -> tuple[np.ndarray, np.ndarray]:
-        """(places, signs) of each row's nonzero entries, by the hash of its word or cell."""
-        names = [*self.own, *(f" {i}" for i in range(self.cells))]
-        seeds = np.fromiter((zlib.crc32(w.encode("utf-8", "replace"), j) for w in names for j in range(NONZERO)), np.int64).reshape(len(names), NONZERO)
-        return (seeds >> 8) % DIMS, np.where(seeds & 1, 1, -1)
-
-
-class Marked:
-    """Distinct words by their rows, and texts as rows in which marks follow the words that have them."""
-
-    def __init__(self, words: list[str], rows: Rows):
-        self.row = rows.of(words)
-        self.upper = np.fromiter(map(str.isupper, words), bool, len(words))
-        self.long = np.fromiter(map(len, words), np.int64, len(words)) > 30
-        self.mark = [rows.own[m] for m in MARKS]
-
-    def of(self, numbers: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rows of all texts on end, how many each text has) of word numbers whose texts begin at ``starts``."""
-        row = self.row[numbers]
-        again = np.zeros(len(row), bool)
-        again[1:] = row[1:] == row[:-1]
-        again[starts[:-1][starts[:-1] < len(row)]] = False
-        flags = self.upper[numbers], again, self.long[numbers]
-        width = 1 + sum(f.astype(np.int64) for f in flags)
-        ends = np.concatenate([[0], np.cumsum(width)])
-        out = np.repeat(row, width)
-        at = ends[:-1] + 1
-        for flag, mark in zip(flags, self.mark):
-            out[at[flag]] = mark
-            at = at + flag
-        return out, np.diff(ends[starts])
+        """(places, signs) of each row's nonzero entries, by the hash of its word or by its cell."""
+        x = np.concatenate([np.asarray(MARKS), self.own, np.arange(self.cells) + (1 << 40)]).view(U)
+        places, signs = [], []
+        for _ in range(NONZERO):
+            x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
+            x = x ^ (x >> U(31))
+            places.append(x % U(DIMS))
+            signs.append(np.where(x >> U(63), -1, 1))
+        return np.stack(places, axis=1).astype(np.int32), np.stack(signs, axis=1).astype(np.int8)
+
+
+def marked(row: np.ndarray, flag: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of all texts on end, how many each text has): marks go behind the words, given by row and flags, of texts that begin at ``starts``."""
+    again = np.zeros(len(row), bool)
+    again[1:] = row[1:] == row[:-1]
+    again[starts[:-1][starts[:-1] < len(row)]] = False
+    on = (flag >> UPPER & 1).astype(bool), again, (flag >> LONG & 1).astype(bool)
+    width = 1 + sum(f.astype(np.int64) for f in on)
+    ends = np.concatenate([[0], np.cumsum(width)])
+    out = np.repeat(row, width)
+    at = ends[:-1] + 1
+    for f, mark in zip(on, MARKS):
+        out[at[f]] = mark
+        at = at + f
+    return out, np.diff(ends[starts])
 
 
 def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of texts as numbers of their distinct words, with how often each word, lower-cased, stands in the block."""
+    """Blocks of texts as numbers of their distinct words, with how often each word stands in the block."""
     squeeze = zstandard.ZstdCompressor(level=3)
-    for block, ids, held in blocks(batches):
-        words, found = numbered(held)
+    for block, ids, held in blocks(batches, 2 << 20):
+        hashes, flags, found = numbered(held)
         flat = np.concatenate(found)
         tokens = squeeze.compress(planes(np.concatenate([[len(f) for f in found], flat])))
-        columns = [[block], [ids], [words], [np.bincount(flat, minlength=len(words)).tolist()], [tokens]]
-        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "doc_ids", "words", "counts", "tokens"])
+        columns = [[block], [ids], [hashes], [np.bincount(flat, minlength=len(hashes))], [flags.tobytes()], [tokens]]
+        types = [pa.int64(), *[pa.list_(pa.int64())] * 3, pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "doc_ids", "hashes", "counts", "flags", "tokens"])
     pa.default_memory_pool().release_unused()
 
 
@@ -137,32 +145,32 @@ def packed(docs: DataFrame) -> DataFrame:
     return cut(texts(docs).mapInArrow(_pack, BLOCK_SCHEMA), "words")
 
 
-def frequent_words(parts: DataFrame, most: int = FREQUENT) -> list[str]:
-    """The most frequent words of all texts, lower-cased; ties go by the word.  At most ``most`` of them come to the driver."""
-    pairs = parts.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(F.lower("x.words").alias("word"), "x.counts")
-    counted = pairs.groupBy("word").agg(F.sum("counts").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()]
+def frequent_words(parts: DataFrame, most: int = FREQUENT) -> list[int]:
+    """Hashes of the most frequent words of all texts; ties go by the hash.  At most ``most`` of them come to the driver."""
+    counted = parts.select(F.explode(F.arrays_zip("hashes", "counts")).alias("x")).groupBy("x.hashes").agg(F.sum("x.counts").alias("n"))
+    return [r["hashes"] for r in counted.orderBy(F.desc("n"), "hashes").limit(most).collect()]
 
 
 def texts_of(batch: pa.RecordBatch, rows: Rows) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """(doc_ids, rows of all texts on end, how many each has) of packed blocks."""
     unpack = zstandard.ZstdDecompressor()
-    for ids, words, tokens in zip(batch["doc_ids"], batch["words"], batch["tokens"]):
+    for ids, hashes, flags, tokens in zip(batch["doc_ids"], batch["hashes"], batch["flags"], batch["tokens"]):
         ids, numbers = ids.as_py(), from_planes(unpack.decompress(tokens.as_py()))
-        starts = np.concatenate([[0], np.cumsum(numbers[: len(ids)])])
-        yield ids, *Marked(words.as_py(), rows).of(numbers[len(ids) :], starts)
+        starts, flat = np.concatenate([[0], np.cumsum(numbers[: len(ids)])]), numbers[len(ids) :]
+        yield ids, *marked(rows.of(hashes.values.to_numpy())[flat], np.frombuffer(flags.as_py(), np.uint8)[flat], starts)
 
 
 def add_contexts(total: np.ndarray, cells: np.ndarray, sizes: np.ndarray, places: np.ndarray, signs: np.ndarray) -> None:
     """Adds to each row the index vectors of its neighbours in the same text, and its own."""
     text = np.repeat(np.arange(len(sizes)), sizes)
-    places, signs, own = places[cells], signs[cells], cells * DIMS
+    own = cells * DIMS
     for j in range(NONZERO):
-        at, weights = [own + places[:, j]], [signs[:, j]]
+        place, sign = places[cells, j], signs[cells, j]
+        at, weights = [own + place], [sign]
         for d in range(1, REACH + 1):
             same = text[d:] == text[:-d]
-            at += [(own[:-d] + places[d:, j])[same], (own[d:] + places[:-d, j])[same]]
-            weights += [signs[d:, j][same], signs[:-d, j][same]]
+            at += [(own[:-d] + place[d:])[same], (own[d:] + place[:-d])[same]]
+            weights += [sign[d:][same], sign[:-d][same]]
         total += np.bincount(np.concatenate(at), weights=np.concatenate(weights), minlength=len(total)).astype(np.int64)
 
 
@@ -203,7 +211,7 @@ def added_up(sums: DataFrame) -> DataFrame:
 def word_vectors(parts: DataFrame, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
     """(vector, weight) of each row, from the contexts of all words of all documents."""
     held = parts.sparkSession.sparkContext.broadcast(rows)
-    sums = added_up(parts.select("doc_ids", "words", "tokens").mapInArrow(_sum_contexts(held), "part int, task long, sums binary"))
+    sums = added_up(parts.select("doc_ids", "hashes", "flags", "tokens").mapInArrow(_sum_contexts(held), "part int, task long, sums binary"))
     found = {r["part"]: bytes(r["sums"]) for r in sums.select("part", "sums").collect()}  # GROUPS rows of a fixed size
     unpack = zstandard.ZstdDecompressor()
     both = np.concatenate([np.frombuffer(unpack.decompress(found[i]), np.int64) for i in sorted(found)]).reshape(-1, DIMS + 1) if found else np.zeros((rows.size, DIMS + 1))
@@ -280,9 +288,9 @@ class Network:
 def _inputs(held: Iterable[bytes], words) -> np.ndarray:
     """The network's inputs for texts as they are."""
     rows, vectors, weights = words.value
-    names, found = numbered(held)
-    starts = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
-    return _pooled_texts(*Marked(names, rows).of(np.concatenate([np.zeros(0, np.int64), *found]), starts), vectors, weights)
+    hashes, flags, found = numbered(held)
+    starts, flat = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64), np.concatenate([np.zeros(0, np.int32), *found])
+    return _pooled_texts(*marked(rows.of(hashes)[flat], flags[flat], starts), vectors, weights)
 
 
 def _pooled_texts(cells: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -337,7 +345,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score, predicted."""
     parts = packed(docs)
     words, network = _fitted(docs, labels, parts)
-    return parts.select("doc_ids", "words", "tokens").mapInArrow(_score_blocks(words, network), RESULT_SCHEMA)
+    return parts.select("doc_ids", "hashes", "flags", "tokens").mapInArrow(_score_blocks(words, network), RESULT_SCHEMA)
 
 
 def _keep_rows(words, network, at: int) -> object:

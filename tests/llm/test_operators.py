@@ -273,16 +273,17 @@ def test_quality_classifier_sums_of_contexts(spark):
     for _, t in docs:
         for w in quality_classifier.TOKEN.findall(t or ""):
             counts[w.lower()] += 1
-    assert frequent == sorted(counts, key=lambda w: (-counts[w], w))[:4]
+    assert frequent == [quality_classifier.word_hash(w) for w in sorted(counts, key=lambda w: (-counts[w], quality_classifier.word_hash(w)))[:4]]
     rows_ = quality_classifier.Rows(frequent, 8)
     places, signs = rows_.index_vectors()
     total, seen = np.zeros((rows_.size, 64)), np.zeros(rows_.size)
     for _, t in docs:
         said, last = [], None
         for w in quality_classifier.TOKEN.findall(t or ""):
-            row = rows_.own.get(w.lower(), len(rows_.own) + zlib.crc32(w.lower().encode()) % 8)
+            h = quality_classifier.word_hash(w)
+            row = 3 + sorted(frequent).index(h) if h in frequent else 3 + 4 + h % (1 << 64) % 8
             said.append(row)
-            said += [rows_.own[m] for m, on in zip(quality_classifier.MARKS, (w.isupper(), row == last, len(w) > 30)) if on]
+            said += [m for m, on in zip(quality_classifier.MARKS, (w.isupper(), row == last, len(w) > 30)) if on]
             last = row
         for i, a in enumerate(said):
             seen[a] += 1
