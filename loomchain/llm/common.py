@@ -34,7 +34,7 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it again: later failures go back to these files, not to the source."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
+    df.write.option("compression", "zstd").parquet(at)
     drop_on_exit(spark, at)
     held = spark.read.schema(df.schema).parquet(at)
     held.cut_at = at

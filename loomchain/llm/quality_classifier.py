@@ -69,8 +69,8 @@ class _Numbers(dict):
 
 
 def word_hash(word: str) -> int:
-    """Of a word in small letters, signed."""
-    return xxhash.xxh64_intdigest(word.lower().encode("utf-8", "replace")) - (1 << 63)
+    """40 bits of a word in small letters."""
+    return xxhash.xxh64_intdigest(word.lower().encode("utf-8", "replace")) >> 24
 
 
 def numbered(held: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -131,7 +131,7 @@ def marked(row: np.ndarray, flag: np.ndarray, starts: np.ndarray) -> tuple[np.nd
 def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of texts as numbers of their distinct words, with how often each word stands in the block."""
     squeeze = zstandard.ZstdCompressor(level=3)
-    for block, ids, held in blocks(batches, 2 << 20):
+    for block, ids, held in blocks(batches):
         hashes, flags, found = numbered(held)
         flat = np.concatenate(found)
         tokens = squeeze.compress(planes(np.concatenate([[len(f) for f in found], flat])))
