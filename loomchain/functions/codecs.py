@@ -71,6 +71,11 @@ def small_decimal(text: Column) -> Column:
     return text.try_cast("decimal(38,0)")
 
 
+def rendered(text: Column) -> Column:
+    """A big integer as messages carry it: its canonical digits, however many, and the empty text where there is none."""
+    return F.coalesce(big_integer(text), F.lit(""))
+
+
 def order_key(text: Column) -> Column:
     """Sorts non-negative big integers as text."""
     return F.lpad(text, MAX_DIGITS, "0")

@@ -56,10 +56,13 @@ def classify(messages: DataFrame) -> DataFrame:
     return decode_blocks(messages).withColumn("error_class", error_class())
 
 
+def split(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good decoded messages, dead letters with unchanged key and value) of classified messages."""
+    return classified.where("error_class IS NULL"), classified.where("error_class IS NOT NULL").select("key", "value", "error_class")
+
+
 def route(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good decoded messages, dead letters with unchanged key and value)."""
-    found = classify(messages)
-    return found.where("error_class IS NULL"), found.where("error_class IS NOT NULL").select("key", "value", "error_class")
+    return split(classify(messages))
 
 
 def block_rows(decoded: DataFrame) -> DataFrame:
@@ -128,10 +131,37 @@ def _as_table(rows: DataFrame, columns: dict[str, Column], ddl: str) -> DataFram
     return rows.select(*(columns[f.name].cast(f.dataType).alias(f.name) for f in S.struct_of(ddl)))
 
 
-def assemble_blocks(headers: DataFrame, transactions: DataFrame, logs: DataFrame | None = None) -> DataFrame:
-    """Flat rows to nested message records (block_number, record), transactions and logs in their order.
+#: Names in a message and the columns they come from.
+HEADER_FIELDS = {
+    "evmChainId": "evm_chain_id", "blockchainId": "blockchain_id", "number": "block_number", "hash": "hash", "parentHash": "parent_hash", "stateRoot": "state_root", "transactionsRoot": "transactions_root",
+    "receiptsRoot": "receipts_root", "sha3Uncles": "sha3_uncles", "miner": "miner", "gasLimit": "gas_limit", "gasUsed": "gas_used", "baseFeePerGas": "base_fee_per_gas", "timestamp": "timestamp",
+    "timestampMs": "timestamp_ms", "minDelayExcess": "min_delay_excess", "size": "size", "difficulty": "difficulty", "mixHash": "mix_hash", "nonce": "nonce", "logsBloom": "logs_bloom", "extraData": "extra_data",
+    "excessBlobGas": "excess_blob_gas", "blobGasUsed": "blob_gas_used", "parentBeaconBlockRoot": "parent_beacon_block_root",
+}
+TRANSACTION_FIELDS = {
+    "hash": "hash", "from": "from_address", "to": "to_address", "nonce": "nonce", "value": "value", "gas": "gas", "gasPrice": "gas_price", "maxFeePerGas": "max_fee_per_gas",
+    "maxPriorityFeePerGas": "max_priority_fee", "input": "input", "type": "type",
+}
+WITHDRAWAL_FIELDS = {"index": "index", "validatorIndex": "validator_index", "address": "address", "amount": "amount"}
+#: Big integers, which messages carry as text.
+_BIG = ("evmChainId", "number", "baseFeePerGas", "difficulty", "value", "gasPrice", "maxFeePerGas", "maxPriorityFeePerGas")
+
+
+def record(fields: dict[str, str], columns: list[str]) -> list[Column]:
+    """The fields whose column is there, under their names in a message; absent ones are left to the reader's defaults."""
+    return [(C.rendered(F.col(c).cast("string")) if name in _BIG else F.col(c)).alias(name) for name, c in fields.items() if c in columns]
+
 
-    Logs meet their transactions first, then transactions their header: two shuffles on block keys, and no payload twice.
+def _in_order(rows: DataFrame, order: list[str], one: Column, name: str) -> DataFrame:
+    """The rows of each block as an array."""
+    held = F.array_sort(F.collect_list(F.struct(*order, one.alias("_one"))))
+    return rows.groupBy("block_number").agg(F.transform(held, lambda x: x["_one"]).alias(name))
+
+
+def assemble_blocks(headers: DataFrame, transactions: DataFrame, logs: DataFrame | None = None, withdrawals: DataFrame | None = None) -> DataFrame:
+    """Flat rows to nested message records (block_number, record): transactions, their receipts' logs and withdrawals in their order.
+
+    Logs meet their transactions first, then transactions and withdrawals their header: shuffles on block keys, and no payload twice.
     """
     tx = transactions
     if logs is None:
@@ -139,18 +169,17 @@ def assemble_blocks(headers: DataFrame, transactions: DataFrame, logs: DataFrame
     else:
         own = logs.withColumnRenamed("tx_index", "transaction_index")
         tx = tx.join(own, ["block_number", "transaction_index"], "left")
-    receipt = F.when(F.col("has_receipt"), F.struct("status", F.col("gas").alias("gasUsed"), F.coalesce("logs", F.array().cast(tx.schema["logs"].dataType)).alias("logs")))
-    one = F.struct(
-        F.col("transaction_index").alias("at"),
-        F.struct("hash", F.col("from_address").alias("from"), F.col("to_address").alias("to"), "nonce", "value", "gas", F.col("gas_price").alias("gasPrice"), F.col("max_fee_per_gas").alias("maxFeePerGas"), "type", receipt.alias("receipt")).alias("tx"),
-    )
-    nested = tx.groupBy("block_number").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["tx"]).alias("transactions"))
-    record = F.struct(
-        F.col("evm_chain_id").cast("string").alias("evmChainId"), F.col("blockchain_id").alias("blockchainId"), F.col("block_number").cast("string").alias("number"), "hash", F.col("parent_hash").alias("parentHash"),
-        "miner", F.lit(8000000).alias("gasLimit"), F.col("gas_used").alias("gasUsed"), F.col("base_fee_per_gas").alias("baseFeePerGas"), "timestamp", F.lit("1").alias("difficulty"), "nonce",
-        F.coalesce("transactions", F.array().cast(nested.schema["transactions"].dataType)).alias("transactions"),
-    )
-    return headers.join(nested, "block_number", "left").select("block_number", record.alias("record"))
+    contract = [F.col("contract_address").alias("contractAddress")] if "contract_address" in tx.columns else []
+    receipt = F.when(F.col("has_receipt"), F.struct(*contract, "status", F.col("gas").alias("gasUsed"), F.coalesce("logs", F.array().cast(tx.schema["logs"].dataType)).alias("logs")))
+    nested = _in_order(tx, ["transaction_index"], F.struct(*record(TRANSACTION_FIELDS, tx.columns), receipt.alias("receipt")), "transactions")
+    joined = headers.join(nested, "block_number", "left")
+    lists = {"transactions": nested}
+    if withdrawals is not None:
+        # Their whole content orders withdrawals of one index, so that ties come out alike.
+        taken = _in_order(withdrawals, list(WITHDRAWAL_FIELDS.values()), F.struct(*record(WITHDRAWAL_FIELDS, withdrawals.columns)), "withdrawals")
+        joined, lists = joined.join(taken, "block_number", "left"), {"withdrawals": taken, **lists}
+    arrays = [F.coalesce(name, F.array().cast(rows.schema[name].dataType)).alias(name) for name, rows in lists.items()]
+    return joined.select("block_number", F.struct(*record(HEADER_FIELDS, headers.columns), *arrays).alias("record"))
 
 
 def publish(records: DataFrame) -> DataFrame:

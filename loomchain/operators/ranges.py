@@ -130,6 +130,11 @@ def running(rows: DataFrame, keys: list[str], bucket: Column, order: list[str],
     return both.withColumn(name, result).drop("_bucket", "_value", "_local", "_carried")
 
 
+def numbered(rows: DataFrame, keys: list[str], bucket: Column, order: list[str], name: str) -> DataFrame:
+    """Adds each row's place, from 0, along ``order`` among the rows with its keys; no window is longer than a bucket."""
+    return running(rows, keys, bucket, order, F.lit(1), "sum", "_place").withColumn(name, (F.col("_place") - 1).cast("bigint")).drop("_place")
+
+
 def previous(rows: DataFrame, keys: list[str], bucket: Column, order: list[str], value: Column, name: str) -> DataFrame:
     """Adds the value of the row before along ``order``: from the same bucket, or the last one of the bucket before."""
     placed = rows.withColumns({"_bucket": bucket, "_value": value})

@@ -33,10 +33,15 @@ def with_header(children: DataFrame, headers: DataFrame, columns: list[str]) ->
     return children.join(headers.select("block_number", *columns), "block_number")
 
 
-def keep_latest(rows: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
-    """The row with the largest sequence of each key.  Aggregated, not windowed: each task sends one row for a key."""
-    payload = F.struct(*(c for c in rows.columns if c not in keys))
-    return rows.groupBy(*keys).agg(F.max_by(payload, F.struct(*sequence)).alias("_row")).select(*keys, "_row.*")
+def keep_latest(rows: DataFrame, keys: list[str], sequence: list[str], columns: list[str] | None = None) -> DataFrame:
+    """The row with the largest sequence of each key.  Aggregated, not windowed: each task sends one row for a key.
+
+    ``columns`` are those wanted beside the keys, all others by default: what is not asked for is neither carried along nor read.
+    """
+    wanted = [c for c in rows.columns if c not in keys] if columns is None else columns
+    if not wanted:
+        return rows.select(*keys).distinct()
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*wanted), F.struct(*sequence)).alias("_row")).select(*keys, "_row.*")
 
 
 def latest_checkpoint(checkpoints: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomchain.functions import codecs as C
 from loomchain.operators import decode as D
 from loomchain.operators import ranges as G
 from loomchain.operators import relations as R
-from loomchain.plans.registry import HEADERS, LOGS, MESSAGES, TX, query, with_
+from loomchain.plans.registry import COMMIT, DONE, FULL_HEADERS, HEADERS, LOGS, MESSAGES, TX, WITHDRAWALS, query, with_
 from loomchain.sources import landed as L
 from loomchain.sources import message_log as M
 from loomchain.sources import tables as T
@@ -20,6 +20,11 @@ def block_messages(spark: SparkSession, d: str) -> DataFrame:
     return D.publish(D.assemble_blocks(L.headers(spark, d), L.transactions(spark, d), L.log_structs(spark, d)))
 
 
+def full_records(spark: SparkSession, d: str) -> DataFrame:
+    """Every block with all that a message carries."""
+    return D.assemble_blocks(L.full_headers(spark, d), L.transactions(spark, d), L.log_structs(spark, d), L.withdrawals(spark, d))
+
+
 def header_messages(spark: SparkSession, d: str) -> DataFrame:
     """Messages of headers with their transactions, without logs."""
     return D.publish(D.assemble_blocks(L.headers(spark, d), L.transactions(spark, d)))
@@ -46,28 +51,45 @@ FROM headers h JOIN tx t ON t.block_number = h.block_number GROUP BY ALL"""
 @query(FLAGSHIP_SQL)
 def flagship(spark, d):
     good, _ = D.route(header_messages(spark, d))
-    rows = R.keep_latest(D.transaction_rows(good), T.S.KEYS["transactions"], ["block_number", "transaction_index"])
+    rows = R.keep_latest(D.transaction_rows(good), T.S.KEYS["transactions"], ["block_number", "transaction_index"], ["block_number"])
     return rows.groupBy(long("block_number"), "blockchain_id").agg(F.count("*").alias("n_transactions"))
 
 
 @query(with_(HEADERS, TX, "n AS (SELECT block_number, count(*) AS n FROM tx GROUP BY 1)") + "SELECT h.block_number, blockchain_id, CAST(evm_chain_id AS VARCHAR) AS evm_chain_id, hash, gas_used, base_fee_per_gas, coalesce(n, 0) AS n_transactions FROM headers h LEFT JOIN n USING (block_number)")
 def decode_blocks(spark, d):
     b = D.decode_blocks(header_messages(spark, d)).select("block.*")
-    return b.select(F.col("number").cast("bigint").alias("block_number"), F.col("blockchainId").alias("blockchain_id"), F.col("evmChainId").alias("evm_chain_id"), "hash", F.col("gasUsed").cast("bigint").alias("gas_used"), F.col("baseFeePerGas").alias("base_fee_per_gas"), F.size("transactions").cast("bigint").alias("n_transactions"))
+    return b.select(F.col("number").cast("bigint").alias("block_number"), F.col("blockchainId").alias("blockchain_id"), F.col("evmChainId").alias("evm_chain_id"), "hash", F.col("gasUsed").cast("bigint").alias("gas_used"), C.null_if_empty(F.col("baseFeePerGas")).alias("base_fee_per_gas"), F.size("transactions").cast("bigint").alias("n_transactions"))
 
 
-@query(with_(MESSAGES) + 'SELECT partition, "offset", key, event_id AS height, error_class IS NOT DISTINCT FROM \'nil_message\' AS empty FROM messages WHERE "offset" BETWEEN 100 AND 1999')
+@query(with_(MESSAGES, DONE, COMMIT) + """SELECT m.partition, "offset", key, event_id AS height, error_class IS NOT DISTINCT FROM 'nil_message' AS empty FROM messages m JOIN commits c ON c.partition = m.partition AND "offset" > committed""")
 def message_log_scan(spark, d):
-    return M.scan(L.message_log(spark, d), 100, 2000).select("partition", "offset", "key", "height", F.col("value").isNull().alias("empty"))
+    """From behind each partition's commit to the end that the log has now."""
+    log = L.message_log(spark, d)
+    commits = G.offset_commit(L.processed_offsets(spark, d), log.select("partition").distinct().withColumn("committed", F.lit(-1).cast("bigint")))
+    ends = log.groupBy("partition").agg((F.max("offset") + 1).alias("high"))
+    bounds = ends.join(commits, "partition").select("partition", (F.col("committed") + 1).alias("low"), "high")
+    return M.scan(log, bounds).select("partition", "offset", "key", "height", F.col("value").isNull().alias("empty"))
+
 
+_WITHDRAWN = """, w AS (SELECT block_number, count(*) AS n_withdrawals, CAST(sum(amount) AS BIGINT) AS withdrawn, string_agg(index || ':' || validator_index || ':' || address || ':' || amount, ',' ORDER BY index, validator_index, address, amount) AS withdrawals FROM withdrawals GROUP BY 1)"""
 
-@query(with_(HEADERS, TX) + """, n AS (SELECT block_number, count(*) AS n, sum(CAST(value AS HUGEINT)) AS total FROM tx GROUP BY 1)
-SELECT CAST(h.block_number AS VARCHAR) AS key, h.parent_hash, coalesce(n, 0) AS n_transactions, CAST(coalesce(total, 0) AS VARCHAR) AS total_value FROM headers h LEFT JOIN n USING (block_number)""")
+
+@query(with_(HEADERS, FULL_HEADERS, TX, WITHDRAWALS) + """, n AS (SELECT block_number, count(*) AS n, sum(CAST(value AS HUGEINT)) AS total, string_agg(coalesce(max_priority_fee, ''), ',' ORDER BY transaction_index) AS tips FROM tx GROUP BY 1)""" + _WITHDRAWN + """
+SELECT CAST(h.block_number AS VARCHAR) AS key, 'blocks' AS topic, h.parent_hash, coalesce(n, 0) AS n_transactions, CAST(coalesce(total, 0) AS VARCHAR) AS total_value, coalesce(tips, '') AS tips,
+  state_root, receipts_root, logs_bloom, extra_data, difficulty, coalesce(base_fee_per_gas, '') AS base_fee, coalesce(n_withdrawals, 0) AS n_withdrawals, coalesce(withdrawn, 0) AS withdrawn
+FROM full_headers h LEFT JOIN n USING (block_number) LEFT JOIN w USING (block_number)""")
 def publish_messages(spark, d):
-    """Records written as messages and decoded again."""
-    b = D.decode_blocks(header_messages(spark, d))
+    """Records written to a message log in files, then read from it and decoded."""
+    at = T.new_path(spark, "published")
+    M.write_files(D.publish(full_records(spark, d)), at, "blocks")
+    b = D.decode_blocks(M.read_files(spark, at))
     total = F.aggregate("block.transactions", F.lit(0).cast("decimal(38,0)"), lambda a, t: (a + t["value"].cast("decimal(38,0)")).cast("decimal(38,0)"))
-    return b.select("key", F.col("block.parentHash").alias("parent_hash"), F.size("block.transactions").cast("bigint").alias("n_transactions"), total.cast("string").alias("total_value"))
+    return b.select(
+        "key", "topic", F.col("block.parentHash").alias("parent_hash"), F.size("block.transactions").cast("bigint").alias("n_transactions"), total.cast("string").alias("total_value"),
+        F.array_join(F.transform("block.transactions", lambda t: t["maxPriorityFeePerGas"]), ",").alias("tips"), F.col("block.stateRoot").alias("state_root"), F.col("block.receiptsRoot").alias("receipts_root"),
+        F.col("block.logsBloom").alias("logs_bloom"), F.col("block.extraData").alias("extra_data"), "block.difficulty", F.col("block.baseFeePerGas").alias("base_fee"),
+        F.size("block.withdrawals").cast("bigint").alias("n_withdrawals"), F.aggregate("block.withdrawals", F.lit(0).cast("bigint"), lambda a, w: a + w["amount"].cast("bigint")).alias("withdrawn"),
+    )
 
 
 _BLOCK_SQL = """SELECT block_number, blockchain_id, CAST(evm_chain_id AS VARCHAR) AS evm_chain_id, hash, parent_hash, miner, timestamp AS seconds, gas_used,
@@ -150,7 +172,9 @@ def block_lookup(spark, d):
 
 @query(with_(HEADERS) + "SELECT block_number, evm_chain_id, gas_used FROM headers WHERE evm_chain_id = 43113")
 def chain_filter(spark, d):
-    return L.headers(spark, d).where("evm_chain_id = 43113").select("block_number", "evm_chain_id", "gas_used")
+    """From a table that is partitioned by chain, of which one partition is read."""
+    rows = T.written(D.block_rows(D.route(bare_headers(spark, d))[0]), "blocks")
+    return rows.where("blockchain_id = 'chain-1'").select(long("block_number"), long("evm_chain_id"), long("gas_used"))
 
 
 @query(with_(HEADERS) + "SELECT block_number, hash AS hash_hex FROM headers")
@@ -176,10 +200,23 @@ def explode_logs(spark, d):
     return rows.groupBy(F.col("log.blockNumber").cast("bigint").alias("block_number"), F.col("log.txIndex").alias("tx_index")).agg(F.count("*").alias("n"))
 
 
-@query(with_(HEADERS, TX) + ", n AS (SELECT block_number, string_agg(hash, ',' ORDER BY transaction_index) AS hashes, count(*) AS n, count(*) FILTER (WHERE has_receipt) AS receipts FROM tx GROUP BY 1) SELECT h.block_number, h.hash, coalesce(n, 0) AS n_transactions, coalesce(receipts, 0) AS n_receipts, coalesce(hashes, '') AS hashes FROM headers h LEFT JOIN n USING (block_number)")
+@query(with_(HEADERS, FULL_HEADERS, TX, WITHDRAWALS) + """, n AS (SELECT block_number, string_agg(hash, ',' ORDER BY transaction_index) AS hashes, string_agg(input, ',' ORDER BY transaction_index) AS inputs,
+  string_agg(CASE WHEN has_receipt THEN coalesce(contract_address, '') ELSE '-' END, ',' ORDER BY transaction_index) AS contracts, count(*) AS n, count(*) FILTER (WHERE has_receipt) AS receipts FROM tx GROUP BY 1)""" + _WITHDRAWN + """
+SELECT h.block_number, h.hash, coalesce(n, 0) AS n_transactions, coalesce(receipts, 0) AS n_receipts, coalesce(hashes, '') AS hashes, coalesce(inputs, '') AS inputs, coalesce(contracts, '') AS contracts, coalesce(withdrawals, '') AS withdrawals,
+  state_root || transactions_root || receipts_root || sha3_uncles || mix_hash AS roots, logs_bloom, extra_data, gas_limit, difficulty, timestamp_ms, min_delay_excess, size, excess_blob_gas, blob_gas_used, parent_beacon_block_root
+FROM full_headers h LEFT JOIN n USING (block_number) LEFT JOIN w USING (block_number)""")
 def assemble_blocks(spark, d):
-    r = D.assemble_blocks(L.headers(spark, d), L.transactions(spark, d)).select("block_number", "record.*")
-    return r.select("block_number", "hash", F.size("transactions").cast("bigint").alias("n_transactions"), F.size(F.filter("transactions", lambda t: t["receipt"].isNotNull())).cast("bigint").alias("n_receipts"), F.array_join(F.transform("transactions", lambda t: t["hash"]), ",").alias("hashes"))
+    r = full_records(spark, d).select("block_number", "record.*")
+    each = lambda of: F.array_join(F.transform("transactions", of), ",")
+    return r.select(
+        "block_number", "hash", F.size("transactions").cast("bigint").alias("n_transactions"), F.size(F.filter("transactions", lambda t: t["receipt"].isNotNull())).cast("bigint").alias("n_receipts"),
+        each(lambda t: t["hash"]).alias("hashes"), each(lambda t: t["input"]).alias("inputs"),
+        each(lambda t: F.when(t["receipt"].isNull(), "-").otherwise(F.coalesce(t["receipt"]["contractAddress"], F.lit("")))).alias("contracts"),
+        F.array_join(F.transform("withdrawals", lambda w: F.concat_ws(":", w["index"], w["validatorIndex"], w["address"], w["amount"])), ",").alias("withdrawals"),
+        F.concat("stateRoot", "transactionsRoot", "receiptsRoot", "sha3Uncles", "mixHash").alias("roots"), F.col("logsBloom").alias("logs_bloom"), F.col("extraData").alias("extra_data"), F.col("gasLimit").alias("gas_limit"),
+        "difficulty", F.col("timestampMs").alias("timestamp_ms"), F.col("minDelayExcess").alias("min_delay_excess"), "size", F.col("excessBlobGas").alias("excess_blob_gas"), F.col("blobGasUsed").alias("blob_gas_used"),
+        F.col("parentBeaconBlockRoot").alias("parent_beacon_block_root"),
+    )
 
 
 @query(with_(TX) + ", n AS (SELECT block_number, count(*) AS n, count(*) FILTER (WHERE has_receipt) AS r, sum(status) FILTER (WHERE has_receipt) AS ok FROM tx GROUP BY 1) SELECT block_number, n = r AS attached, CASE WHEN n = r THEN ok ELSE 0 END AS successes FROM n")
@@ -255,11 +292,63 @@ def shard_by_chain(spark, d):
     return rows.groupBy("blockchain_id", "shard").agg(F.count("*").alias("n")).groupBy("blockchain_id").agg(F.sum("n").alias("n"), F.count("*").alias("n_shards"))
 
 
-@query(with_(HEADERS) + "SELECT evm_chain_id, count(*) AS n FROM headers WHERE evm_chain_id <> 43113 GROUP BY 1")
+def _filled_tables(spark: SparkSession, d: str) -> str:
+    """A database with the four tables and, in them, the rows of all good messages and each chain's checkpoint."""
+    at = T.new_path(spark, "chains")
+    database = at.rsplit("/", 1)[1].replace("-", "_")
+    T.ensure_tables(spark, database, at)
+    good = D.route(L.message_log(spark, d))[0].persist()
+    for name, rows in (("blocks", D.block_rows(good)), ("transactions", D.transaction_rows(good)), ("logs", D.log_rows(good)), ("checkpoints", R.keep_latest(L.checkpoints(spark, d), ["chain_id"], ["timestamp", "lowest_unprocessed_block"]))):
+        T.append(rows, f"{database}.{name}", name)
+    good.unpersist()
+    return database
+
+
+def _counts(spark: SparkSession, database: str) -> DataFrame:
+    """(name, chain, n) over the four tables."""
+    parts = [spark.table(f"{database}.{name}").groupBy(F.col(column).cast("string").alias("chain")).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "chain", "n") for name, column in T.CHAIN_COLUMN.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+
+
+_TABLE_COUNTS = """, stored AS (SELECT 'blocks' AS name, 'chain-' || CAST(user_id % 3 AS VARCHAR) AS chain FROM messages WHERE error_class IS NULL
+  UNION ALL SELECT unnest(['transactions', 'logs']), 'chain-' || CAST(user_id % 3 AS VARCHAR) FROM messages WHERE error_class IS NULL AND event_id % 2 = 1
+  UNION ALL SELECT 'checkpoints', CAST(user_id % 3 AS VARCHAR) FROM messages GROUP BY user_id % 3)"""
+
+
+@query(with_(MESSAGES) + _TABLE_COUNTS + """ SELECT name, CAST(CASE name WHEN 'blocks' THEN 29 WHEN 'transactions' THEN 18 WHEN 'logs' THEN 15 ELSE 3 END AS BIGINT) AS n_columns, count(*) AS n FROM stored GROUP BY 1""")
+def ensure_tables(spark, d):
+    """The tables with their columns; making sure of them again changes neither these nor the rows."""
+    database = _filled_tables(spark, d)
+    T.ensure_tables(spark, database, T.new_path(spark, "chains"))
+    n_columns = F.create_map(*(F.lit(x) for name in T.CHAIN_COLUMN for x in (name, len(spark.table(f"{database}.{name}").columns))))
+    return _counts(spark, database).groupBy("name").agg(F.sum("n").alias("n")).select("name", n_columns[F.col("name")].cast("bigint").alias("n_columns"), "n")
+
+
+@query(with_(MESSAGES) + _TABLE_COUNTS + " SELECT name, chain, count(*) AS n FROM stored WHERE chain NOT IN ('chain-1', '1') GROUP BY ALL")
 def delete_chain(spark, d):
-    at = T.new_path(spark, "chain_blocks")
-    L.headers(spark, d).write.parquet(at)
-    return spark.read.parquet(T.delete_chain(spark, at, "evm_chain_id", 43113)).groupBy("evm_chain_id").agg(F.count("*").alias("n"))
+    """What is left of the four tables without one chain."""
+    database = _filled_tables(spark, d)
+    T.delete_chain(spark, database, "chain-1", 1)
+    return _counts(spark, database)
+
+
+@query(with_(MESSAGES) + _TABLE_COUNTS + " SELECT name, chain, count(*) AS n FROM stored WHERE name <> 'blocks' GROUP BY ALL")
+def truncate_table(spark, d):
+    database = _filled_tables(spark, d)
+    T.truncate(spark, f"{database}.blocks")
+    return _counts(spark, database)
+
+
+@query(with_(HEADERS, TX) + "SELECT blockchain_id, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM tx t JOIN headers h USING (block_number) GROUP BY 1")
+def storage_order(spark, d):
+    """Rows of written files that stand behind one with a larger key: none."""
+    keys = T.S.KEYS["transactions"]
+    rows = D.transaction_rows(D.route(header_messages(spark, d))[0])
+    at = T.new_path(spark, "transactions")
+    T.write_sorted(rows, at, "transactions")
+    placed = spark.read.parquet(at).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("nth"), *keys)
+    before = F.lag(F.struct(*keys)).over(Window.partitionBy("file").orderBy("nth"))
+    return placed.withColumn("worse", F.coalesce(before > F.struct(*keys), F.lit(False))).groupBy("blockchain_id").agg(F.count("*").alias("n"), F.count_if("worse").alias("out_of_order"))
 
 
 @query(with_(HEADERS) + "SELECT block_number, hash AS full_width, '0x' || lpad(substr(miner, 3, 10), 40, '0') AS padded, '0x' || substr(hash, 3, 40) AS trimmed FROM headers")
@@ -279,10 +368,15 @@ def bigint_parse(spark, d):
     return tx.withColumn("text", text).select("block_number", "transaction_index", C.big_integer(F.col("text")).alias("value"), C.is_bad_integer(F.col("text")).alias("bad"))
 
 
-@query(with_(TX) + "SELECT block_number, transaction_index, '{\"value\":\"' || value || '\"}' AS json, lpad(value, 78, '0') AS sort_text FROM tx")
+@query(with_(TX) + """, v AS (SELECT block_number, transaction_index, CASE line_number % 4 WHEN 0 THEN value WHEN 1 THEN value || repeat('7', 60 - length(cents)) WHEN 2 THEN NULL ELSE cents END AS v FROM tx)
+SELECT block_number, transaction_index, '{"value":"' || coalesce(v, '') || '"}' AS json, lpad(v, 78, '0') AS sort_text FROM v""")
 def bigint_render(spark, d):
-    tx = L.transactions(spark, d)
-    return tx.select("block_number", "transaction_index", F.to_json(F.struct(C.small_decimal(F.col("value")).cast("string").alias("value"))).alias("json"), C.order_key(F.col("value")).alias("sort_text"))
+    """Digits of up to 76 places, given plainly, with zeros in front or as powers of ten; the empty text for none."""
+    kind = F.col("line_number") % 4
+    large = F.concat(F.lit("+00"), F.col("value"), F.repeat(F.lit("7"), 60 - F.length("cents")))
+    text = F.when(kind == 0, F.concat("cents", F.lit("e16"))).when(kind == 1, large).when(kind == 3, F.col("cents"))
+    tx = L.transactions(spark, d).withColumn("text", text)
+    return tx.select("block_number", "transaction_index", F.to_json(F.struct(C.rendered(F.col("text")).alias("value"))).alias("json"), C.order_key(C.big_integer(F.col("text"))).alias("sort_text"))
 
 
 @query(with_(TX) + "SELECT block_number % 97 AS bucket, CAST(sum(CAST(value AS HUGEINT)) AS VARCHAR) AS total FROM tx GROUP BY 1")
@@ -316,13 +410,3 @@ def block_number_u64(spark, d):
     top = F.lit(str((1 << 64) - 1)).cast("decimal(38,0)")
     u = lambda x: C.unsigned64(x.cast("string")).cast("string")
     return L.headers(spark, d).select("block_number", u(n).alias("as_u64"), u(top - n).alias("from_top"), u(top + n + 1).alias("beyond"))
-
-
-@query(with_(HEADERS, TX) + "SELECT h.blockchain_id, count(*) AS n, sum(t.gas) AS gas FROM tx t JOIN headers h USING (block_number) GROUP BY 1")
-def custom_processor(spark, d):
-    """A user's processor in place of the default one: gas per chain from the same decoded batch."""
-    def processor(messages: DataFrame) -> dict[str, DataFrame]:
-        good, _ = D.route(messages)
-        return {"gas": D.transaction_rows(good).groupBy("blockchain_id").agg(F.count("*").alias("n"), F.sum("gas").cast("bigint").alias("gas"))}
-
-    return processor(header_messages(spark, d))["gas"]

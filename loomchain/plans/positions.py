@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomchain.operators import ranges as G
 from loomchain.operators import relations as R
-from loomchain.plans.registry import ALL_HEIGHTS, CHECKPOINTS, MESSAGES, MISSING, POSITIONS, query, with_
+from loomchain.plans.registry import ALL_HEIGHTS, CHECKPOINTS, COMMIT, DONE, MESSAGES, MISSING, POSITIONS, query, with_
 from loomchain.shipping import ship
 from loomchain.sources import landed as L
 from loomchain.sources import tables as T
@@ -120,32 +120,27 @@ def seen_heights(spark, d):
     return logged.intersect(L.processed_heights(spark, d).select("h"))
 
 
-_DONE = """done AS (SELECT partition, "offset" AS o FROM messages WHERE event_type <> 'error' OR "offset" < 50)"""
-_COMMIT = """runs AS (SELECT partition, o, row_number() OVER (PARTITION BY partition ORDER BY o) - 1 AS rn FROM done),
-commits AS (SELECT p.partition, coalesce(max(o) FILTER (WHERE o = rn), -1) AS committed FROM (SELECT DISTINCT partition FROM messages) p LEFT JOIN runs USING (partition) GROUP BY 1)"""
-
-
 def _initial(spark: SparkSession, d: str, value: int = -1) -> DataFrame:
     return L.message_log(spark, d).select("partition").distinct().withColumn("committed", F.lit(value).cast("bigint"))
 
 
-@query(with_(MESSAGES, _DONE, _COMMIT) + "SELECT c.partition, committed, count(o) AS pending FROM commits c LEFT JOIN done x ON x.partition = c.partition AND o > committed GROUP BY ALL")
+@query(with_(MESSAGES, DONE, COMMIT) + "SELECT c.partition, committed, count(o) AS pending FROM commits c LEFT JOIN done x ON x.partition = c.partition AND o > committed GROUP BY ALL")
 def offset_commit(spark, d):
     return G.offset_commit(L.processed_offsets(spark, d), _initial(spark, d))
 
 
-@query(with_(MESSAGES, _DONE, _COMMIT) + """SELECT c.partition, max("offset") + 1 AS high, committed + 1 - 10 AS consumed, max("offset") + 1 - (committed + 1) AS lag FROM commits c JOIN messages m ON m.partition = c.partition GROUP BY c.partition, committed""")
+@query(with_(MESSAGES, DONE, COMMIT) + """SELECT c.partition, max("offset") + 1 AS high, committed + 1 - 10 AS consumed, max("offset") + 1 - (committed + 1) AS lag FROM commits c JOIN messages m ON m.partition = c.partition GROUP BY c.partition, committed""")
 def partition_lag(spark, d):
     commits = G.offset_commit(L.processed_offsets(spark, d), _initial(spark, d)).select("partition", (F.col("committed") + 1).alias("committed"))
     return R.partition_lag(L.message_log(spark, d), commits, _initial(spark, d, 10).withColumnRenamed("committed", "initial"))
 
 
-@query(with_(MESSAGES, _DONE) + """SELECT DISTINCT partition, o AS "offset" FROM (SELECT partition, o FROM done UNION ALL SELECT partition, "offset" FROM messages WHERE "offset" % 3 = 0)""")
+@query(with_(MESSAGES, DONE) + """SELECT DISTINCT partition, o AS "offset" FROM (SELECT partition, o FROM done UNION ALL SELECT partition, "offset" FROM messages WHERE "offset" % 3 = 0)""")
 def merge_offsets(spark, d):
     return R.merge(L.processed_offsets(spark, d), L.message_log(spark, d).where("offset % 3 = 0"), ["partition", "offset"])
 
 
-@query(with_(MESSAGES, _DONE, _COMMIT) + """SELECT c.partition, CASE WHEN c.partition <> 3 AND committed + 1 >= low THEN committed + 1 ELSE low END AS start, NOT (c.partition <> 3 AND committed + 1 >= low) AS reset
+@query(with_(MESSAGES, DONE, COMMIT) + """SELECT c.partition, CASE WHEN c.partition <> 3 AND committed + 1 >= low THEN committed + 1 ELSE low END AS start, NOT (c.partition <> 3 AND committed + 1 >= low) AS reset
 FROM commits c JOIN (SELECT partition, min("offset") + 20 AS low FROM messages GROUP BY 1) m USING (partition)""")
 def start_offsets(spark, d):
     """Partition 3 has no commit; the log starts at its 20th message."""
@@ -206,7 +201,7 @@ def commit_progress(spark, d):
     return R.commit_progress(marks)
 
 
-@query(with_(MESSAGES, _DONE, _COMMIT) + "SELECT CAST(partition AS BIGINT) AS chain_id, committed + 1 AS lowest_unprocessed_block, CAST(1700000000 AS BIGINT) AS timestamp FROM commits")
+@query(with_(MESSAGES, DONE, COMMIT) + "SELECT CAST(partition AS BIGINT) AS chain_id, committed + 1 AS lowest_unprocessed_block, CAST(1700000000 AS BIGINT) AS timestamp FROM commits")
 def write_checkpoint(spark, d):
     commits = G.offset_commit(L.processed_offsets(spark, d), _initial(spark, d))
     rows = commits.select(F.col("partition").cast("bigint").alias("chain_id"), (F.col("committed") + 1).alias("lowest_unprocessed_block"), F.lit(1700000000).cast("bigint").alias("timestamp"))

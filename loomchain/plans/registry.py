@@ -36,7 +36,17 @@ TX = """tx AS (
          CASE WHEN l_returnflag = 'R' THEN '' ELSE '0x' || substr(sha256(CAST(l_partkey AS VARCHAR)), 1, 40) END AS to_address, l_partkey AS nonce,
          CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) || '0000000000000000' AS value, CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS cents,
          21000 + CAST(l_quantity AS BIGINT) AS gas, '25000000000' AS gas_price, CASE WHEN l_linenumber % 3 = 2 THEN '30000000000' END AS max_fee_per_gas,
-         l_linenumber % 3 AS type, CASE WHEN l_linestatus <> 'F' THEN 1 ELSE 0 END AS status, l_linenumber <> 7 AS has_receipt, l_linenumber AS line_number FROM lineitem)"""
+         l_linenumber % 3 AS type, CASE WHEN l_linestatus <> 'F' THEN 1 ELSE 0 END AS status, l_linenumber <> 7 AS has_receipt, l_linenumber AS line_number,
+         CASE WHEN l_linenumber % 3 = 2 THEN '2000000000' END AS max_priority_fee, '0x' || substr(sha256(CAST(l_partkey AS VARCHAR)), 1, 8) AS input,
+         CASE WHEN l_returnflag = 'R' THEN '0x' || substr(sha256(CAST(l_suppkey AS VARCHAR)), 5, 40) END AS contract_address FROM lineitem)"""
+_of = lambda what: f"'0x' || sha256('{what}-' || CAST(block_number AS VARCHAR))"
+FULL_HEADERS = f"""full_headers AS (
+  SELECT *, {_of("state")} AS state_root, {_of("transactions")} AS transactions_root, {_of("receipts")} AS receipts_root, {_of("uncles")} AS sha3_uncles, {_of("mix")} AS mix_hash, {_of("bloom")} AS logs_bloom,
+         '0x' || substr(sha256(CAST(nonce AS VARCHAR)), 1, 8) AS extra_data, CASE WHEN block_number % 2 = 0 THEN {_of("beacon")} END AS parent_beacon_block_root, 8000000 + nonce AS gas_limit,
+         '1' || repeat('0', 40) AS difficulty, timestamp * 1000 + 7 AS timestamp_ms, nonce % 9 AS min_delay_excess, gas_used % 100000 AS size,
+         CASE WHEN block_number % 3 = 0 THEN nonce * 2 END AS excess_blob_gas, CASE WHEN block_number % 3 = 0 THEN nonce END AS blob_gas_used FROM headers)"""
+WITHDRAWALS = """withdrawals AS (
+  SELECT l_orderkey AS block_number, l_linenumber AS index, l_suppkey AS validator_index, '0x' || substr(sha256(CAST(l_partkey AS VARCHAR)), 1, 40) AS address, CAST(l_quantity AS BIGINT) AS amount FROM lineitem WHERE l_returnflag = 'R')"""
 LOGS = """logs AS (
   SELECT event_id % 1000 AS block_number, user_id % 4 AS tx_index, event_id AS log_index, event_id % 5 AS n_topics, event_type, user_id, value, event_id, props,
          event_type = 'error' AS removed, '0x' || substr(sha256(CAST(user_id AS VARCHAR)), 1, 40) AS address FROM events)"""
@@ -45,6 +55,9 @@ MESSAGES = """messages AS (
          row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset",
          CASE event_id % 50 WHEN 0 THEN 'nil_message' WHEN 1 THEN 'malformed_json' WHEN 2 THEN 'missing_chain_id' WHEN 3 THEN 'bad_integer' WHEN 4 THEN 'bad_hex'
               ELSE CASE WHEN event_id % 50 = 5 AND event_id % 2 = 1 THEN 'missing_evm_chain_id' END END AS error_class FROM events)"""
+DONE = """done AS (SELECT partition, "offset" AS o FROM messages WHERE event_type <> 'error' OR "offset" < 50)"""
+COMMIT = """runs AS (SELECT partition, o, row_number() OVER (PARTITION BY partition ORDER BY o) - 1 AS rn FROM done),
+commits AS (SELECT p.partition, coalesce(max(o) FILTER (WHERE o = rn), -1) AS committed FROM (SELECT DISTINCT partition FROM messages) p LEFT JOIN runs USING (partition) GROUP BY 1)"""
 POSITIONS = """processed AS (SELECT o_orderkey AS h FROM orders WHERE o_orderstatus <> 'P'),
 inflight AS (SELECT o_orderkey AS h FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 10 = 0),
 bounds AS (SELECT min(o_orderkey) AS lowest, max(o_orderkey) AS highest FROM orders)"""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomchain.operators import decode as D
+from loomchain.operators.ranges import numbered
 from loomchain.plans.registry import MESSAGES, query, with_
 from loomchain.sources import landed as L
 from loomchain.sources import message_log as M
@@ -25,8 +27,7 @@ def _land(messages: DataFrame, name: str) -> str:
 
 
 def _run(stream: DataFrame, root: str, write, mode: str = "append") -> None:
-    q = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{root}/_stream").trigger(availableNow=True).start()
-    q.awaitTermination()
+    P.start(stream, root, write, mode).awaitTermination()
 
 
 def _collected(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -77,16 +78,18 @@ win AS (SELECT e.chain, lowest, max(h) AS highest, count(*) FILTER (WHERE h >= l
 
 def _chain_positions(spark: SparkSession, d: str) -> DataFrame:
     """Messages whose offset is the position in their chain, and whose topic is the chain."""
-    from pyspark.sql import Window
-
-    m = L.message_log(spark, d).withColumn("chain", (F.col("user_id") % 3).cast("string"))
-    placed = m.withColumn("offset", (F.row_number().over(Window.partitionBy("chain").orderBy("event_id")) - 1).cast("bigint"))
+    m = L.message_log(spark, d).withColumn("chain", (F.col("user_id") % 3).cast("string")).drop("offset")
+    placed = numbered(m, ["chain"], F.floor(F.col("event_id") / L.LOG_BUCKET), ["event_id"], "offset")
     return placed.where("event_type <> 'error' OR offset < 50").withColumn("topic", F.col("chain"))
 
 
-def _windows(spark: SparkSession, d: str, name: str) -> DataFrame:
+def _window_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
     stream = M.stream_files(spark, _land(_chain_positions(spark, d), f"{name}_messages"))
-    return _collected(P.stream_watermark(stream.select(F.col("topic").alias("chain"), F.col("offset").alias("h"))), name, "update")
+    return P.stream_watermark(stream.select(F.col("topic").alias("chain"), F.col("offset").alias("h")))
+
+
+def _windows(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return _collected(_window_stream(spark, d, name), name, "update")
 
 
 def _newest(rows: DataFrame) -> DataFrame:
@@ -105,16 +108,31 @@ def stream_offset_window(spark, d):
 
 @query(with_(MESSAGES, _CHAINS) + _STATE + " SELECT chain, lowest AS lowest_unprocessed_block FROM win")
 def stream_checkpoint(spark, d):
-    stream = M.stream_files(spark, _land(_chain_positions(spark, d), "checkpoint_messages"))
     root = T.new_path(spark, "stream_checkpoint")
-    _run(P.stream_watermark(stream.select(F.col("topic").alias("chain"), F.col("offset").alias("h"))), root, P.checkpoint_sink(f"{root}/rows", lambda n: 1700000000 + 60 * n), "update")
+    _run(_window_stream(spark, d, "checkpoint"), root, P.checkpoint_sink(f"{root}/rows", lambda n: 1700000000 + 60 * n), "update")
     rows = spark.read.parquet(f"{root}/rows")
     return rows.groupBy("chain").agg(F.max(F.struct("timestamp", "lowest_unprocessed_block")).alias("m")).select("chain", "m.lowest_unprocessed_block")
 
 
 @query(with_(MESSAGES, _CHAINS) + _STATE + " SELECT chain, highest - lowest AS gap FROM win WHERE highest - lowest > 100")
 def stream_gap_alerts(spark, d):
-    return P.gap_alerts(_newest(_windows(spark, d, "gaps")), 100).select("chain", "gap")
+    """Each batch of windows is judged in the stream; of what it said, the newest counts."""
+    said = _collected(P.gap_alerts(_window_stream(spark, d, "gaps"), 100), "gaps", "update")
+    newest = said.groupBy("chain").agg(F.max_by(F.struct("gap", "alert"), "batch_id").alias("w"))
+    return newest.where("w.alert").select("chain", "w.gap")
+
+
+@query(with_(MESSAGES) + "SELECT 'chain-' || CAST(user_id % 3 AS VARCHAR) AS blockchain_id, count(*) AS n, 21000 * count(*) AS gas FROM messages WHERE error_class IS NULL AND event_id % 2 = 1 GROUP BY 1")
+def custom_processor(spark, d):
+    """A user's processor in the stream in place of the default one: gas for each chain, a table with rows of each batch."""
+
+    def processor(classified: DataFrame) -> dict[str, DataFrame]:
+        good, _ = D.split(classified)
+        return {"gas": D.transaction_rows(good).groupBy("blockchain_id").agg(F.count("*").alias("n"), F.sum("gas").cast("bigint").alias("gas"))}
+
+    root = T.new_path(spark, "processor")
+    I.start(_stream(spark, d, "processor_messages", FILES // 2), root, processor).awaitTermination()
+    return I.table(spark, root, "gas").groupBy("blockchain_id").agg(F.sum("n").alias("n"), F.sum("gas").alias("gas"))
 
 
 @query(with_(MESSAGES) + "SELECT partition, count(*) AS n FROM messages GROUP BY 1")

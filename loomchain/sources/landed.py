@@ -6,6 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomchain.operators.ranges import numbered
+
+#: Events in a bucket of the message log's numbering.
+LOG_BUCKET = 10_000
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -40,6 +44,27 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers with every field that a message carries."""
+    h = headers(spark, sf_dir)
+    of = lambda what: F.concat(F.lit("0x"), sha(F.concat_ws("-", F.lit(what), F.col("block_number"))))
+    return h.withColumns({
+        "state_root": of("state"), "transactions_root": of("transactions"), "receipts_root": of("receipts"), "sha3_uncles": of("uncles"), "mix_hash": of("mix"), "logs_bloom": of("bloom"),
+        "extra_data": F.concat(F.lit("0x"), F.substring(sha("nonce"), 1, 8)), "parent_beacon_block_root": F.when(F.col("block_number") % 2 == 0, of("beacon")),
+        "gas_limit": 8000000 + F.col("nonce"), "difficulty": F.concat(F.lit("1"), F.lit("0" * 40)), "timestamp_ms": F.col("timestamp") * 1000 + 7, "min_delay_excess": F.col("nonce") % 9,
+        "size": F.col("gas_used") % 100000, "excess_blob_gas": F.when(F.col("block_number") % 3 == 0, F.col("nonce") * 2), "blob_gas_used": F.when(F.col("block_number") % 3 == 0, F.col("nonce")),
+    })
+
+
+def withdrawals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One withdrawal for each returned line."""
+    l = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    return l.select(
+        F.col("l_orderkey").alias("block_number"), F.col("l_linenumber").cast("bigint").alias("index"), F.col("l_suppkey").cast("bigint").alias("validator_index"),
+        F.concat(F.lit("0x"), F.substring(sha("l_partkey"), 1, 40)).alias("address"), F.col("l_quantity").cast("bigint").alias("amount"),
+    )
+
+
 def processed_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers(spark, sf_dir).where("status <> 'P'").select(F.lit("all").alias("chain"), F.col("block_number").alias("h"))
 
@@ -65,6 +90,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("nonce"), F.concat(cents, F.lit("0" * 16)).alias("value"), cents.alias("cents"), (21000 + F.col("l_quantity").cast("bigint")).alias("gas"),
         F.lit("25000000000").alias("gas_price"), F.when(F.col("l_linenumber") % 3 == 2, "30000000000").alias("max_fee_per_gas"), (F.col("l_linenumber") % 3).cast("smallint").alias("type"),
         (F.col("l_linestatus") != "F").cast("int").alias("status"), (F.col("l_linenumber") != 7).alias("has_receipt"), F.col("l_linenumber").cast("bigint").alias("line_number"),
+        F.when(F.col("l_linenumber") % 3 == 2, "2000000000").alias("max_priority_fee"), F.concat(F.lit("0x"), F.substring(sha("l_partkey"), 1, 8)).alias("input"),
+        F.when(F.col("l_returnflag") == "R", F.concat(F.lit("0x"), F.substring(sha("l_suppkey"), 5, 40))).alias("contract_address"),
     )
 
 
@@ -110,10 +137,9 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(8000000).alias("gasLimit"), F.col("user_id").alias("gasUsed"), F.lit("25000000000").alias("baseFeePerGas"), seconds("ts").alias("timestamp"), F.lit("1").alias("difficulty"),
         F.col("user_id").alias("nonce"), F.when(F.col("event_id") % 2 == 1, F.array(tx)).alias("transactions"),
     ))
-    order = Window.partitionBy(F.col("user_id") % 4).orderBy("event_id")
-    return e.select(
+    return numbered(e.withColumn("partition", (F.col("user_id") % 4).cast("int")), ["partition"], F.floor(F.col("event_id") / LOG_BUCKET), ["event_id"], "offset").select(
         F.col("event_id").cast("string").alias("key"), F.when(kind == 0, F.lit(None)).when(kind == 1, "not json").otherwise(body).alias("value"), F.lit("blocks").alias("topic"),
-        (F.col("user_id") % 4).cast("int").alias("partition"), (F.row_number().over(order) - 1).cast("bigint").alias("offset"), instant("ts").alias("timestamp"),
+        "partition", "offset", instant("ts").alias("timestamp"),
         "event_type", "event_id", "user_id",
     )
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomchain.operators.ranges import numbered
 from loomchain.sources import schemas as S
 
 
@@ -34,11 +36,29 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.MESSAGES).parquet(path)
 
 
+def write_files(messages: DataFrame, path: str, topic: str, partitions: int = 4, span: int = 100_000) -> None:
+    """Appends messages to a log in files.  A key's hash gives its partition; a partition's offsets follow the keys as numbers.
+
+    Offsets go on behind those that the log has.  One row for each partition of the topic is sent to the tasks.
+    """
+    spark = messages.sparkSession
+    placed = messages.select("key", "value", F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int").alias("partition"), F.coalesce(F.col("key").try_cast("bigint"), F.lit(-1)).alias("_h"))
+    rows = numbered(placed, ["partition"], F.floor(F.col("_h") / span), ["_h", "value"], "_nth")
+    try:
+        ends = read_files(spark, path).where(F.col("topic") == topic).groupBy("partition").agg((F.max("offset") + 1).alias("_end"))
+    except AnalysisException:  # no log yet
+        ends = spark.createDataFrame([], "partition int, _end bigint")
+    offset = (F.col("_nth") + F.coalesce("_end", F.lit(0))).alias("offset")
+    rows.join(F.broadcast(ends), "partition", "left").select("key", "value", F.lit(topic).alias("topic"), "partition", offset, F.current_timestamp().alias("timestamp")).write.mode("append").parquet(path)
+
+
 def stream_files(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """A directory of message files as a stream; new files are new messages."""
     return spark.readStream.schema(S.MESSAGES).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def scan(messages: DataFrame, low: int, high: int) -> DataFrame:
-    """Messages of a bounded range of offsets in every partition; the height is the key as a number, NULL if it is none."""
-    return messages.where(F.col("offset").between(low, high - 1)).withColumn("height", F.col("key").try_cast("bigint"))
+def scan(messages: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Messages from ``low`` to before ``high`` of each partition in ``bounds(partition, low, high)``; the height is the key as a number, NULL if it is none."""
+    # A topic has few partitions, and the bounds one row for each.
+    inside = messages.join(F.broadcast(bounds), "partition").where((F.col("offset") >= F.col("low")) & (F.col("offset") < F.col("high"))).drop("low", "high")
+    return inside.withColumn("height", F.col("key").try_cast("bigint"))

@@ -1,55 +1,82 @@
 """Stateful positions in a stream: the contiguous watermark of each key, kept across batches.
 
 The state of a key is (lowest, highest, the ranges of positions that wait behind a gap).  Ranges, not positions: a gap that stays
-open costs two numbers for each run behind it.  Only keys and positions enter Python.
+open costs two numbers for each run behind it.  Positions become ranges where they are read, before they are grouped by key, so that
+what reaches a key's task is a few rows for each task that read some of its positions.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Callable, Iterable, Iterator
+import time
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loomchain.shipping import ship
 
 STATE = "lowest long, highest long, firsts array<long>, lasts array<long>"
-RESULT = "chain string, lowest long, highest long, pending long, ignored long"
-
-
-def add_positions(lowest: int, ranges: list[tuple[int, int]], positions: Iterable[int]) -> tuple[int, list[tuple[int, int]], int]:
-    """(watermark, waiting ranges, how many positions were below the watermark or known) after new positions."""
-    fresh, ignored = [], 0
-    ranges = sorted(ranges)
-    firsts = [a for a, _ in ranges]
-    for p in sorted(positions):
-        at = bisect_right(firsts, p) - 1
-        if p < lowest or (fresh and fresh[-1] == p) or (at >= 0 and p <= ranges[at][1]):
-            ignored += 1
-        else:
-            fresh.append(p)
-    merged: list[list[int]] = []
-    for a, b in sorted([*ranges, *((p, p) for p in fresh)]):
-        if merged and a <= merged[-1][1] + 1:
-            merged[-1][1] = max(merged[-1][1], b)
-        else:
-            merged.append([a, b])
-    if merged and merged[0][0] == lowest:
-        lowest = merged.pop(0)[1] + 1
-    return lowest, [(a, b) for a, b in merged], ignored
+RESULT = "chain string, lowest long, highest long, pending long, ignored long, crowded boolean"
+RANGES = "chain string, first long, last long, n long"
+#: Positions waiting behind a gap from which on a window is marked as crowded.
+CROWDED = 10_000
+
+
+def merged(firsts: np.ndarray, lasts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges that neither overlap nor touch, in order, with the same positions."""
+    order = np.argsort(firsts, kind="stable")
+    firsts, lasts = firsts[order], np.maximum.accumulate(lasts[order]) if len(order) else lasts
+    heads = np.flatnonzero(np.concatenate([[True], firsts[1:] > lasts[:-1] + 1])) if len(order) else order
+    return firsts[heads], lasts[np.concatenate([heads[1:], [len(firsts)]]) - 1] if len(order) else lasts
+
+
+def as_ranges(positions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return merged(positions, positions)
+
+
+def add_ranges(lowest: int, waiting: tuple[np.ndarray, np.ndarray], new: tuple[np.ndarray, np.ndarray], n: int) -> tuple[int, tuple[np.ndarray, np.ndarray], int]:
+    """(watermark, waiting ranges, how many of ``n`` new positions were below the watermark or known) after new ranges."""
+    size = lambda r: int((r[1] - r[0] + 1).sum())
+    above = new[1] >= lowest
+    firsts, lasts = merged(np.concatenate([waiting[0], np.maximum(new[0][above], lowest)]), np.concatenate([waiting[1], new[1][above]]))
+    ignored = n - (size((firsts, lasts)) - size(waiting))
+    if len(firsts) and firsts[0] == lowest:
+        lowest, firsts, lasts = int(lasts[0]) + 1, firsts[1:], lasts[1:]
+    return lowest, (firsts, lasts), ignored
+
+
+def add_positions(lowest: int, ranges: list[tuple[int, int]], positions: list[int]) -> tuple[int, list[tuple[int, int]], int]:
+    """The same for single positions."""
+    waiting = np.asarray(ranges, np.int64).reshape(-1, 2)
+    at, (firsts, lasts), ignored = add_ranges(lowest, (waiting[:, 0], waiting[:, 1]), as_ranges(np.asarray(positions, np.int64)), len(positions))
+    return at, list(zip(firsts.tolist(), lasts.tolist())), ignored
+
+
+def _to_ranges(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in parts:
+        out = []
+        for chain, h in part.groupby("chain", dropna=False)["h"]:
+            firsts, lasts = as_ranges(h.to_numpy(np.int64))
+            out.append(pd.DataFrame({"chain": chain, "first": firsts, "last": lasts, "n": np.bincount([0], weights=[len(h)], minlength=len(firsts)).astype(np.int64)}))
+        yield pd.concat(out) if out else pd.DataFrame({"chain": [], "first": [], "last": [], "n": []})
 
 
 def _advance(initial: int) -> Callable:
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        lowest, highest, firsts, lasts = state.get if state.exists else (initial, initial - 1, [], [])
-        positions = [int(h) for p in parts for h in p["h"]]
-        highest = max([highest, *positions])  # a new head raises it, a late one doesn't
-        lowest, ranges, ignored = add_positions(lowest, list(zip(firsts, lasts)), positions)
-        state.update((lowest, highest, [a for a, _ in ranges], [b for _, b in ranges]))
-        yield pd.DataFrame({"chain": [key[0]], "lowest": [lowest], "highest": [highest], "pending": [sum(b - a + 1 for a, b in ranges)], "ignored": [ignored]})
+        lowest, highest, *held = state.get if state.exists else (initial, initial - 1, [], [])
+        waiting, ignored = tuple(np.asarray(x, np.int64) for x in held), 0
+        for p in parts:
+            new = p["first"].to_numpy(np.int64), p["last"].to_numpy(np.int64)
+            highest = max([highest, *new[1][-1:].tolist(), int(new[1].max(initial=highest))])  # a new head raises it, a late one doesn't
+            lowest, waiting, known = add_ranges(lowest, waiting, merged(*new), int(p["n"].sum()))
+            ignored += known
+        state.update((lowest, highest, waiting[0].tolist(), waiting[1].tolist()))
+        pending = int((waiting[1] - waiting[0] + 1).sum())
+        yield pd.DataFrame({"chain": [key[0]], "lowest": [lowest], "highest": [highest], "pending": [pending], "ignored": [ignored], "crowded": [pending > CROWDED]})
 
     return run
 
@@ -57,7 +84,8 @@ def _advance(initial: int) -> Callable:
 def stream_watermark(positions: DataFrame, initial: int = 0) -> DataFrame:
     """Each key's window after each batch of the stream ``positions(chain string, h long)``."""
     ship(positions.sparkSession)
-    return positions.groupBy("chain").applyInPandasWithState(_advance(initial), RESULT, STATE, "update", GroupStateTimeout.NoTimeout)
+    ranges = positions.select("chain", "h").mapInPandas(_to_ranges, RANGES)
+    return ranges.groupBy("chain").applyInPandasWithState(_advance(initial), RESULT, STATE, "update", GroupStateTimeout.NoTimeout)
 
 
 def stream_offset_window(messages: DataFrame) -> DataFrame:
@@ -71,22 +99,30 @@ def distinct_messages(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
     return messages.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
 
 
-def checkpoint_sink(path: str, now: Callable[[int], int], retries: int = 3) -> Callable[[DataFrame, int], None]:
-    """A batch function that appends (chain, lowest, time) and tries again a bounded number of times."""
+def checkpoint_sink(path: str, now: Callable[[int], int], retries: int = 3, wait: float = 1.0) -> Callable[[DataFrame, int], None]:
+    """A batch function that writes (chain, lowest, time), and tries again a bounded number of times, waiting twice as long each time."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select("chain", F.col("lowest").alias("lowest_unprocessed_block"), F.lit(now(batch_id)).cast("bigint").alias("timestamp"))
-        for left in range(retries, -1, -1):
+        for tried in range(retries + 1):
             try:
                 rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
                 return
             except Exception:
-                if not left:
+                if tried == retries:
                     raise
+                time.sleep(wait * 2**tried)
 
     return write
 
 
-def gap_alerts(batch: DataFrame, max_gap: int) -> DataFrame:
-    """Windows whose backlog is over the limit."""
-    return batch.where(F.col("highest") - F.col("lowest") > max_gap).select("chain", "lowest", "highest", (F.col("highest") - F.col("lowest")).alias("gap"))
+def gap_alerts(windows: DataFrame, max_gap: int) -> DataFrame:
+    """Windows of a batch or a stream with their backlog, and whether it is over the limit."""
+    gap = F.col("highest") - F.col("lowest")
+    return windows.select("chain", "lowest", "highest", gap.alias("gap"), (gap > max_gap).alias("alert"))
+
+
+def start(stream: DataFrame, root: str, write: Callable[[DataFrame, int], None], mode: str = "append", interval: str | None = None) -> StreamingQuery:
+    """Hands each batch to ``write``: over what is there now, or with an ``interval`` again and again until it is stopped."""
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    return stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{root}/_stream").trigger(**trigger).start()

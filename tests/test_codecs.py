@@ -20,6 +20,10 @@ def test_big_integers(spark):
     assert not any(one(spark, C.is_bad_integer, *text))
 
 
+def test_rendered_integers_keep_every_digit(spark):
+    assert one(spark, C.rendered, str(2**256 - 1), "1.5e77", None, "", "007") == [str(2**256 - 1), "15" + "0" * 76, "", "", "7"]
+
+
 def test_what_is_no_integer(spark):
     text = ["not-a-number", "1.2.3e10", "[]", "{}", "1.5", "5\n", ".e5", "1e401", " 1"]
     assert one(spark, C.big_integer, *text) == [None] * len(text)

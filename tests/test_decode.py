@@ -49,3 +49,15 @@ def test_schemas_hold(spark):
     decoded = D.decode_blocks(messages(spark, GOOD))
     for rows, ddl in ((D.block_rows(decoded), S.BLOCKS), (D.transaction_rows(decoded), S.TRANSACTIONS), (D.log_rows(decoded), S.LOGS)):
         assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in S.struct_of(ddl)]
+
+
+def test_records_survive_publishing(spark):
+    """Every field of a nested record, through JSON and back; absent ones come back as the reader's defaults."""
+    header = {"evm_chain_id": 43114, "blockchain_id": "C", "block_number": 7, "hash": "0x" + "ab" * 32, "state_root": "0x" + "01" * 32, "logs_bloom": "0x02", "extra_data": "0x03", "difficulty": "9" * 70, "excess_blob_gas": 5, "blob_gas_used": 6}
+    headers = spark.createDataFrame([tuple(header.values())], "evm_chain_id long, blockchain_id string, block_number long, hash string, state_root string, logs_bloom string, extra_data string, difficulty string, excess_blob_gas long, blob_gas_used long")
+    tx = spark.createDataFrame([(7, 1, "0x22", "0xffee", "3e9", "0x" + "0c" * 20, 1, 21000, True), (7, 0, "0x11", "0x", None, None, 0, 5, False)], "block_number long, transaction_index long, hash string, input string, max_priority_fee string, contract_address string, status int, gas long, has_receipt boolean")
+    taken = spark.createDataFrame([(7, 2, 9, "0x" + "0d" * 20, 4), (7, 1, 8, "0x" + "0e" * 20, 3), (8, 1, 1, "", 1)], "block_number long, index long, validator_index long, address string, amount long")
+    b = D.decode_blocks(D.publish(D.assemble_blocks(headers, tx, None, taken))).first().block
+    assert (b.evmChainId, b.number, b.stateRoot, b.logsBloom, b.extraData, b.difficulty, b.excessBlobGas, b.blobGasUsed, b.receiptsRoot) == ("43114", "7", header["state_root"], "0x02", "0x03", "9" * 70, 5, 6, None)
+    assert [(w["index"], w.validatorIndex, w.amount) for w in b.withdrawals] == [(1, 8, 3), (2, 9, 4)]
+    assert [(t.hash, t.input, t.maxPriorityFeePerGas, t.receipt and t.receipt.contractAddress) for t in b.transactions] == [("0x11", "0x", "", None), ("0x22", "0xffee", "3000000000", "0x" + "0c" * 20)]

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomchain.operators import ranges as G
 from loomchain.operators import relations as R
@@ -44,6 +45,28 @@ def test_state_of_positions():
     assert (low, ranges, ignored) == (7, [(9, 9)], 3)
 
 
+def test_ranges_in_state_against_sets():
+    r = random.Random(3)
+    for _ in range(200):
+        low, ranges, have, at = 0, [], set(), 0
+        for _ in range(4):
+            new = [r.randint(-3, 40) for _ in range(r.randint(0, 12))]
+            fresh = {h for h in new if h >= at} - have
+            have |= fresh
+            low, ranges, ignored = add_positions(low, ranges, new)
+            while at in have:
+                at += 1
+            assert (low, ignored) == (at, len(new) - len(fresh))
+            assert [h for a, b in ranges for h in range(a, b + 1)] == sorted(h for h in have if h >= at)
+
+
+def test_numbers_by_buckets(spark):
+    rows = [(k, (i * 37) % 101) for k in "ab" for i in range(101)]
+    df = spark.createDataFrame(rows, "k string, at long")
+    for size in (1, 7, 1000):
+        assert all(r.n == r["at"] for r in G.numbered(df, ["k"], F.floor(F.col("at") / size), ["at"], "n").collect())
+
+
 def test_gap_report(spark):
     rows = spark.createDataFrame([("a", 5, 20), ("b", 11, 10), ("c", 15, 10)], "chain string, lowest long, highest long")
     got = {r.chain: (r.gap, r.inconsistent, r.alert) for r in G.gap_report(rows, 5).collect()}
