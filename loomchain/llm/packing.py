@@ -7,8 +7,8 @@ one stream of ids, cut at every 2,048th; what remains at its end is cut at falli
 
 Ids are made once: the encoded rows are written to the shared folder before the range partitioning samples them.
 
-Null or empty text: only the end-of-document id.  Rows are independent: repeated rows and null doc_ids are packed like others.
-Empty table: empty result.
+Null or empty text: only the end-of-document id.  A very long text is encoded whole and cut like any other.  Rows are independent:
+repeated rows and null doc_ids are packed like others.  Other columns, whatever their names, are not read.  Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -48,8 +48,11 @@ PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens
 #: The tokenizer's own split never crosses these places: before a space that a non-space follows, and around other white space.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PARTS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
-#: Texts with these go to the tokenizer itself: its special string, characters beyond extended Latin and general punctuation, on
-#: whose classes two Unicode versions might differ, and very long runs without a space.
+#: Texts with these go to the tokenizer itself: its special string; characters beyond extended Latin and general punctuation, on whose
+#: classes the Unicode versions of the two libraries might differ; and very long runs without a space.  The last are no matter of
+#: results: both split by the same published pattern, classes of the characters let through are the same in all versions, and both then
+#: merge a part by the same ranks, lowest first and leftmost of equal ones.  But one of them merges in a time that grows with the square
+#: of a part's length, and the other does not.
 ITS_OWN = re.compile(r"<\|endoftext\|>|[^\x00-\u024f\u2010-\u2027\u20ac]|[^ \n]{2000}")
 
 

@@ -2,7 +2,8 @@
 carry a checksum are kept only if it is right.
 
 Null or empty text: no spans.  Rows are judged alone, so repeated rows give repeated results, and an empty table gives an
-empty one.  Only ``doc_id`` and ``text`` are read.
+empty one.  A very long text is scanned whole.  Null doc_ids stay null.  Only ``doc_id`` and ``text`` are read, whatever other columns are
+called.
 """
 
 from __future__ import annotations

@@ -102,3 +102,33 @@ def without_boilerplate(docs, sites=8):
         left = [x for x, f in zip(lines, full) if not (f and len(on.get(x, ())) >= sites)]
         out.append((d, sum(full), len(lines) - len(left), "\n".join(left)))
     return out
+
+
+def clean_lines(docs, sites=8):
+    """(doc_id, text) without boilerplate, where copies and near copies of a text (five-word shingles, Jaccard 0.8) count as one site."""
+    first = {d[1]: w for d, w in zip(docs, without_boilerplate(docs, sites))}
+    shingles = {}
+    for t, w in first.items():
+        if t and 2 * len(w[3]) < len(t):
+            words = re.findall(r"[^ \t\n\x0B\f\r]+", t)
+            shingles[t] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+    root = {t: t for t in first}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in shingles:
+        for b in shingles:
+            if a < b and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]):
+                root[find(a)] = find(b)
+    site_of, on = {}, {}
+    for _, t, s in docs:
+        if s is not None:
+            site_of[find(t)] = min(s, site_of.get(find(t), s))
+    for t in first:
+        for line in (t or "").split("\n") if find(t) in site_of else ():
+            on.setdefault(line, set()).add(site_of[find(t)])
+    keep = lambda x: not (re.search(r"[^ \t\x0B\f\r]", x) and len(on.get(x, ())) >= sites)
+    return [(d, t if t is None else "\n".join(filter(keep, t.split("\n")))) for d, t, _ in docs]

@@ -234,6 +234,17 @@ def test_packing(spark):
         assert at <= 2048 and at & (at - 1) == 0
 
 
+def test_packing_encodes_long_runs_alike():
+    """About the length from which a run goes to the tokenizer itself."""
+    from tokenizers import Tokenizer
+
+    t, r, ids = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER)), random.Random(6), packing.Ids(packing.TOKENIZER)
+    for n in (1990, 1998, 1999, 2000, 2001, 2010, 4100):
+        for pool in ("ab", "a1.", "é_'s", "\t\x0b", "aB-\u2019", "中a"):
+            for text in ("".join(r.choice(pool) for _ in range(n)), "x " + "".join(r.choice(pool) for _ in range(n)) + "\n y"):
+                assert np.frombuffer(ids.encode(text), "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_hilbert_curve_is_continuous():
     cells = np.array([[i, j, k] for i in range(8) for j in range(8) for k in range(8)])
     at = packing.hilbert(cells, 3)
