@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import cut, rows_of, shuffle_partitions, table, texts
+from loomchain.llm.common import cut, give_back, rows_of, shuffle_partitions, table, texts
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
@@ -224,7 +224,7 @@ def _pack(sequence: int):
                 need -= min(need, len(ids))
             close(pieces)
         yield batch()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return run
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import blocks, cut, free, from_planes, planes, table, texts
+from loomchain.llm.common import blocks, cut, free, from_planes, give_back, planes, table, texts
 
 #: Words with vectors of their own, and rows that the others share.
 FREQUENT = 1 << 14
@@ -138,7 +138,7 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [[block], [ids], [hashes], [np.bincount(flat, minlength=len(hashes))], [flags.tobytes()], [tokens]]
         types = [pa.int64(), *[pa.list_(pa.int64())] * 3, pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "doc_ids", "hashes", "counts", "flags", "tokens"])
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -165,13 +165,12 @@ def add_contexts(total: np.ndarray, cells: np.ndarray, sizes: np.ndarray, places
     text = np.repeat(np.arange(len(sizes)), sizes)
     own = cells * DIMS
     for j in range(NONZERO):
-        place, sign = places[cells, j], signs[cells, j]
-        at, weights = [own + place], [sign]
+        place, sign = places[cells, j], signs[cells, j].astype(np.int64)
+        np.add.at(total, own + place, sign)
         for d in range(1, REACH + 1):
             same = text[d:] == text[:-d]
-            at += [(own[:-d] + place[d:])[same], (own[d:] + place[:-d])[same]]
-            weights += [sign[d:][same], sign[:-d][same]]
-        total += np.bincount(np.concatenate(at), weights=np.concatenate(weights), minlength=len(total)).astype(np.int64)
+            np.add.at(total, (own[:-d] + place[d:])[same], sign[d:][same])
+            np.add.at(total, (own[d:] + place[:-d])[same], sign[:-d][same])
 
 
 def _sum_contexts(held) -> object:
@@ -183,6 +182,7 @@ def _sum_contexts(held) -> object:
             for _, cells, sizes in texts_of(batch, rows):
                 add_contexts(total, cells, sizes, places, signs)
                 seen += np.bincount(cells, minlength=rows.size)
+        give_back()
         if seen.any():
             squeeze, both = zstandard.ZstdCompressor(level=1), np.concatenate([total.reshape(-1, DIMS), seen[:, None]], axis=1)
             parts = [squeeze.compress(x.tobytes()) for x in np.array_split(both, GROUPS)]
@@ -313,6 +313,7 @@ def _score_blocks(words, network) -> object:
                 score = network.value.score(_pooled_texts(cells, sizes, vectors, weights))
                 out = [i is not None and zlib.crc32(str(i).encode()) % FOLDS == 0 for i in ids]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out), pa.array(score, pa.float64()), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+        give_back()
 
     return run
 
@@ -353,7 +354,7 @@ def _keep_rows(words, network, at: int) -> object:
         for batch in batches:
             score = network.value.score(_inputs(((t.as_py() or "").encode() for t in batch.column(at)), words))
             yield batch.filter(pa.array(score >= THRESHOLD))
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return run
 
