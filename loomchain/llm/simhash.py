@@ -13,6 +13,10 @@ thousands of copies costs its size, not its square, and no bucket lists its pair
 Components come from links between fingerprints.  A node is its smallest document and its fingerprint, and so is a component's root:
 what a fingerprint's component is called comes with its root, and no join gathers a component.
 
+``one_of_each``, which the pipeline runs, also catches near copies that differ in more bits.  ``WORD_PRINTS`` further fingerprints of each
+text are taken of its distinct words, which an edit here and there hardly changes; what is within the threshold by one of them is a
+candidate by the same search, and counts if the texts' five-word shingles have a Jaccard similarity of ``SIMILARITY`` or more.
+
 Null or blank text: fingerprint zero, linked like any other.  A very long text is hashed whole.  Rows are judged alone: repeated rows and
 doc_ids each give their row.  A null doc_id is never a component_id unless its whole component has none.  Other columns, whatever their
 names, are not read.  Empty table: empty result.
@@ -41,8 +45,14 @@ SEGMENTS = 7
 LARGE = 4096
 #: Fingerprints in a bucket up to which all are compared at once.
 SMALL = 48
-#: Keys of dropped rows (28 bytes each) that are sent to the tasks; more are joined.
-DROPPED_SENT = 1_000_000
+#: Keys of rows (28 bytes each at most) that are sent to the tasks; more are joined.
+KEYS_SENT = 1_000_000
+
+#: Fingerprints of words that propose near copies, and the similarity of word shingles that they must have.
+WORD_PRINTS = 3
+SIMILARITY, SIMILAR_SHINGLE = 0.8, 5
+#: Words that a worker's table of hashes may hold before it starts anew.
+CACHE_ENTRIES = 100_000
 
 _WIDTHS = [10, 9, 9, 9, 9, 9, 9]
 _SHIFTS = [0, 10, 19, 28, 37, 46, 55]
@@ -61,10 +71,34 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     last = min(shingle, len(words)) - 1
     view, digest = memoryview(line), xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(view[a:b], SEED) for a, b in zip(starts[:n], ends[last:])), np.uint64, n)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes."""
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, 8192):
+    for at in range(0, len(hashes), 8192):
         ones += np.unpackbits(hashes[at : at + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(U)[0])
+
+
+class WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return h
+
+
+def word_fingerprints(text: bytes, hashes: WordHashes) -> list[int]:
+    """Of the distinct words of a text, by several hashes."""
+    words = text.lower().split()
+    own = np.unique(np.fromiter(map(hashes.__getitem__, words), U, len(words)))
+    out = []
+    for k in range(WORD_PRINTS):
+        x = own ^ U((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+        x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
+        out.append(majority(x ^ (x >> U(31))))
+    return out
 
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,9 +108,17 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _keyed_fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
     for batch in batches:
-        prints = np.fromiter((fingerprint(t.as_py()) for t in batch["text"]), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64)), batch["t1"], batch["t2"]], names=["doc_id", "fp", "t1", "t2"])
+        prints = np.zeros((batch.num_rows, 1 + WORD_PRINTS), U)
+        for i, text in enumerate(batch["text"]):
+            text = text.as_py()
+            prints[i] = [fingerprint(text), *word_fingerprints(text, hashes)]
+        if len(hashes) > CACHE_ENTRIES:
+            hashes.clear()
+        offsets = np.arange(0, prints.size + 1, WORD_PRINTS, dtype=np.int32)[: batch.num_rows + 1]
+        words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(prints[:, 1:].reshape(-1).view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints[:, 0].copy().view(np.int64)), batch["t1"], batch["t2"], words], names=["doc_id", "fp", "t1", "t2", "words"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -163,67 +205,121 @@ def _walk_buckets(threshold: int):
                 end = int(np.flatnonzero(new)[-1])
             else:
                 new, end = np.concatenate([np.ones(min(1, held.shape[1]), bool), (held[:3, 1:] != held[:3, :-1]).any(axis=0)]), held.shape[1]
-            if end:
-                a, b = bucket_links(np.cumsum(new[:end]), held[3, :end].astype(np.int64).view(U), threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+            bucket, kinds = np.cumsum(new[:end]), held[0, :end] // len(_pairs_of_segments())
+            for kind in np.unique(kinds).tolist():
+                at = kinds == kind
+                a, b = bucket_links(bucket[at], np.ascontiguousarray(held[3, :end][at]).view(U), threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["kind", "a", "b"])
             held = held[:, end:] if end < held.shape[1] else none
 
     return run
 
 
 def links(distinct: DataFrame, threshold: int = THRESHOLD, large: int = LARGE) -> DataFrame:
-    """Links (a, b) that connect all fingerprints of ``distinct(fp)`` within the threshold."""
+    """Links (kind, a, b) that connect all fingerprints of ``distinct(kind, fp)`` within the threshold of others of their kind."""
     if threshold > SEGMENTS - 3:
         raise ValueError("three equal segments are certain only up to SEGMENTS - 3 differing bits")
     pairs = _pairs_of_segments()
     masked = lambda *segments: F.col("fp").bitwiseAND(F.lit(_signed(sum(_MASKS[i] for i in segments))))
-    keys = [F.struct(F.lit(k).alias("pair"), masked(i, j).alias("key")) for k, (i, j) in enumerate(pairs)]
+    keys = [F.struct((F.col("kind") * len(pairs) + k).alias("pair"), masked(i, j).alias("key")) for k, (i, j) in enumerate(pairs)]
     dealt = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.pair", "k.key")
     # Frequent keys are combined in each task; what is over the bound is written, so that the joins know how little it is.
     long = cut(dealt.groupBy("pair", "key").agg(F.count("*").alias("n")).where(F.col("n") > large).select("pair", "key"), "long_buckets")
-    thirds = [F.when(F.col("pair") == k, F.array(*(F.struct(F.lit(z).alias("third"), masked(i, j, z).alias("key")) for z in range(j + 1, SEGMENTS)))) for k, (i, j) in enumerate(pairs)]
+    thirds = [F.when(F.col("pair") % len(pairs) == k, F.array(*(F.struct(F.lit(z).alias("third"), masked(i, j, z).alias("key")) for z in range(j + 1, SEGMENTS)))) for k, (i, j) in enumerate(pairs)]
     split = dealt.join(long, ["pair", "key"], "left_semi").select("fp", "pair", F.explode(F.coalesce(*thirds)).alias("k")).select("fp", "pair", "k.third", "k.key")
     whole = dealt.join(long, ["pair", "key"], "left_anti").select("fp", "pair", F.lit(-1).alias("third"), "key")
     buckets = whole.unionByName(split).repartition("pair", "third", "key").sortWithinPartitions("pair", "third", "key")
-    return buckets.mapInArrow(_walk_buckets(threshold), "a long, b long")
+    return buckets.mapInArrow(_walk_buckets(threshold), "kind int, a long, b long")
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _classes(prints: DataFrame, mark: Column, threshold: int) -> DataFrame:
-    """(fp, best: the least ``mark`` of its component) for each distinct fingerprint of ``prints``."""
+def _classes(prints: DataFrame, mark: Column, found: DataFrame) -> DataFrame:
+    """(fp, best: the least ``mark`` of its component) for each distinct fingerprint of ``prints``, given the links ``found(a, b)``."""
     # One row for each fingerprint, so that a large group of copies is one when components meet.
     least = prints.groupBy("fp").agg(F.min(mark).alias("mark"))
-    found = cut(links(least.select("fp"), threshold).distinct(), "links")
     node = lambda name, end: least.select(F.col("fp").alias(end), F.struct("mark", "fp").alias(name))
     edges = found.join(node("one", "a"), "a").join(node("two", "b"), "b").select(F.col("one").alias("a"), F.col("two").alias("b"))
     named = components(edges).select(F.col("node.fp").alias("fp"), F.col("root.mark").alias("best"))
     return least.join(named, "fp", "left").select("fp", F.coalesce("best", "mark").alias("best"))
 
 
+def _shingle_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = []
+        for text in batch["text"]:
+            words = text.as_py().lower().split()
+            n = max(1, len(words) - SIMILAR_SHINGLE + 1) if words else 0
+            hashes = (xxhash.xxh32_intdigest(b" ".join(words[i : i + SIMILAR_SHINGLE]), SEED) for i in range(n))
+            sets.append(np.unique(np.fromiter(hashes, np.uint32, n)).tobytes())
+        yield pa.RecordBatch.from_arrays([batch["t1"], pa.array(sets, pa.binary())], names=["t1", "shingles"])
+
+
+def _similar(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = []
+        for one, two in zip(batch["one"], batch["two"]):
+            one, two = np.frombuffer(one.as_py(), np.uint32), np.frombuffer(two.as_py(), np.uint32)
+            both = len(np.intersect1d(one, two, assume_unique=True))
+            keep.append(both >= SIMILARITY * (len(one) + len(two) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _if_small(keys: DataFrame) -> DataFrame:
+    """Marked to be sent if it has at most KEYS_SENT rows; else Spark chooses the join."""
+    return F.broadcast(keys) if keys.limit(KEYS_SENT + 1).count() <= KEYS_SENT else keys
+
+
+def _near_copies(keyed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """Links (a, b: t1 of texts) of the near copies that fingerprints of words propose.
+
+    ``keyed(t1, text)`` has the texts, ``nodes(t1, words)`` each distinct one's fingerprints and ``found(kind, a, b)`` the links of these.
+    Of texts with an equal fingerprint the least t1 stands for all: each of the others meets it, and it meets those of near fingerprints.
+    """
+    by_print = nodes.select("t1", F.posexplode("words").alias("kind", "fp"))
+    first = by_print.groupBy("kind", "fp").agg(F.min("t1").alias("first"))
+    equal = by_print.join(first, ["kind", "fp"]).where("t1 <> first").select(F.col("t1").alias("a"), F.col("first").alias("b"))
+    end = lambda name: first.select("kind", F.col("fp").alias(name), F.col("first").alias(f"t_{name}"))
+    near = found.join(end("a"), ["kind", "a"]).join(end("b"), ["kind", "b"]).select(F.col("t_a").alias("a"), F.col("t_b").alias("b"))
+    pairs = cut(equal.unionAll(near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
+    wanted = _if_small(cut(pairs.select(F.explode(F.array("a", "b")).alias("t1")).distinct(), "wanted"))
+    sets = cut(keyed.join(wanted, "t1", "left_semi").select("t1", "text").mapInArrow(_shingle_sets, "t1 long, shingles binary").dropDuplicates(["t1"]), "shingles")
+    side = lambda end, name: sets.select(F.col("t1").alias(end), F.col("shingles").alias(name))
+    return pairs.join(side("a", "one"), "a").join(side("b", "two"), "b").select("a", "b", "one", "two").mapInArrow(_similar, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
     prints = cut(fingerprints(docs), "fingerprints")
+    found = cut(links(prints.select(F.lit(0).alias("kind"), "fp").distinct(), threshold).select("a", "b").distinct(), "links")
     # A row without an id names a component only if it has no other.
-    placed = cut(_classes(prints, F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id"), threshold), "classes")
+    placed = cut(_classes(prints, F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id"), found), "classes")
     return prints.join(placed, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best.doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all their columns, of which each component keeps one: the smallest doc_id, then the least text hash."""
     keyed = texts(docs).select("doc_id", "text", F.xxhash64(F.col("text").cast("string")).alias("t1"), F.hash(F.col("text").cast("string")).alias("t2"))
-    prints = cut(keyed.mapInArrow(_keyed_fingerprints, "doc_id long, fp long, t1 long, t2 int"), "fingerprints")
+    prints = cut(keyed.mapInArrow(_keyed_fingerprints, "doc_id long, fp long, t1 long, t2 int, words array<long>"), "fingerprints")
+    nodes = cut(prints.groupBy("t1").agg(F.min("fp").alias("fp"), F.min("words").alias("words")), "texts")
+    # All fingerprints are searched together: kind 0 counts as it is, the other kinds are candidates.
+    kinds = nodes.select(F.posexplode(F.concat(F.array("fp"), F.col("words"))).alias("kind", "fp")).distinct()
+    found = cut(links(kinds, threshold).distinct(), "links")
+    near = _near_copies(keyed.select("t1", "text"), nodes, found.where("kind > 0").withColumn("kind", F.col("kind") - 1))
+    end = lambda name: nodes.select(F.col("t1").alias(name), F.col("fp").alias(f"fp_{name}"))
+    copies = near.join(end("a"), "a").join(end("b"), "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).where("a <> b")
+    linked = cut(found.where("kind = 0").select("a", "b").unionAll(copies).distinct(), "links")
     mark = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t1", "t2")
     # Written before the join, which is then one of two plain tables: a frequent fingerprint is a skewed key that Spark splits.
-    marked = prints.join(cut(_classes(prints, mark, threshold), "classes"), "fp").select("doc_id", "t1", "t2", (~mark.eqNullSafe(F.col("best"))).alias("goes"))
+    marked = prints.join(cut(_classes(prints, mark, linked), "classes"), "fp").select("doc_id", "t1", "t2", (~mark.eqNullSafe(F.col("best"))).alias("goes"))
     judged = cut(marked.groupBy("doc_id", "t1", "t2").agg(F.max("goes").alias("goes"), F.count("*").alias("n")).where("goes OR n > 1"), "judged")
     goes, repeated = judged.where("goes").drop("goes", "n"), judged.where("NOT goes").drop("goes", "n")
     text = F.coalesce(docs["text"], F.lit(""))
     own = docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"), F.hash(text).alias("t2"))
     same = lambda b: own["doc_id"].eqNullSafe(b["doc_id"]) & (own["t1"] == b["t1"]) & (own["t2"] == b["t2"])
-    sent = F.broadcast(goes) if goes.limit(DROPPED_SENT + 1).count() <= DROPPED_SENT else goes
+    sent = _if_small(goes)
     left = own.join(sent, same(sent), "left_anti")
     if repeated.isEmpty():
         return left.select("row.*")

@@ -40,8 +40,11 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def components(docs, threshold=4):
+def components(docs, threshold=4, similar=False):
+    """Linked by fingerprints, and with ``similar`` also by a Jaccard similarity of five-word shingles of 0.8."""
     fps = [fingerprint(t) for _, t in docs]
+    words = [re.findall(rb"[^\x20\x09-\x0D]+", lower(t)) for _, t in docs]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
     root = list(range(len(docs)))
 
     def find(x):
@@ -51,7 +54,7 @@ def components(docs, threshold=4):
 
     for i in range(len(docs)):
         for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= threshold:
+            if (fps[i] ^ fps[j]).bit_count() <= threshold or (similar and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
                 root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(docs):

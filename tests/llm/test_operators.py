@@ -109,12 +109,27 @@ def test_simhash(spark):
     docs += odd_rows(docs[0][1])
     assert rows(simhash.near_duplicates(frame(spark, docs))) == sorted(plain.components(docs), key=str)
     kept = rows(simhash.one_of_each(frame(spark, docs)))
-    groups = defaultdict(set)
-    for (d, t), (_, _, c) in zip(docs, plain.components(docs)):
-        groups[c].add((d, t))
-    assert len(kept) == len(groups) and all(x in set(docs) for x in kept)
-    # A component without ids has no name here but its place; all others keep their smallest id.
-    assert {k[0] for k in kept} == set(groups)
+    # Between what the fingerprints alone drop and what they and all similar pairs together drop.
+    by_print, by_both = ({c for _, _, c in plain.components(docs, 4, similar)} for similar in (False, True))
+    assert by_both <= {k[0] for k in kept} <= by_print and len(kept) == len({k[0] for k in kept}) and all(x in set(docs) for x in kept)
+
+
+def test_simhash_stage_catches_near_copies(spark):
+    """Pairs of a shingle similarity of 0.8 or more, against all of them; texts of their own stay."""
+    r, docs = random.Random(8), []
+    for g in range(150):
+        base = [f"w{r.randint(0, 40) if r.random() < 0.4 else r.randint(100, 9000)}" for _ in range(r.randint(60, 400))]
+        docs.append((10 * g, " ".join(base)))
+        for c in range(g % 3):
+            copy = list(base)
+            for _ in range(r.randint(1, max(1, len(base) // 55))):
+                copy[r.randrange(len(copy))] = f"e{r.randint(0, 99)}"
+            docs.append((10 * g + 1 + c, " ".join(copy)))
+    kept = {k[0] for k in rows(simhash.one_of_each(frame(spark, docs)))}
+    want = {c for _, _, c in plain.components(docs, 4, True)}
+    assert want <= kept
+    assert len(docs) - len(kept) >= 0.9 * (len(docs) - len(want)) > 100
+    assert len(docs) - len({c for _, _, c in plain.components(docs)}) < 0.7 * (len(docs) - len(want))
 
 
 def test_simhash_links_keep_every_connection(monkeypatch):
@@ -163,10 +178,11 @@ def test_simhash_large_buckets_are_dealt_by_a_third_segment(spark):
     base = [r.getrandbits(45) << 19 for _ in range(150)]
     fps = sorted({b ^ sum(1 << k for k in r.sample(range(64), r.choice([0, 1, 2, 4]))) for b in base for _ in range(3)})
     want = {frozenset((x, y)) for x in fps for y in fps if x < y and (x ^ y).bit_count() <= 4}
-    df = spark.createDataFrame([(simhash._signed(f),) for f in fps], "fp long")
+    df = spark.createDataFrame([(k, simhash._signed(f)) for f in fps for k in (0, 2)], "kind int, fp long")
     for large in (10, 4096):
-        got = {frozenset((x.a % (1 << 64), x.b % (1 << 64))) for x in simhash.links(df, 4, large).collect()}
-        assert got <= want
+        both = simhash.links(df, 4, large).collect()
+        got, other = ({frozenset((x.a % (1 << 64), x.b % (1 << 64))) for x in both if x.kind == k} for k in (0, 2))
+        assert got == other and got <= want
         assert {r.node: r.root for r in components(spark.createDataFrame([tuple(map(simhash._signed, p)) for p in got], "a long, b long")).collect()} == {r.node: r.root for r in components(spark.createDataFrame([tuple(map(simhash._signed, p)) for p in want], "a long, b long")).collect()}
 
 
