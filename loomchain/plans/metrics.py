@@ -31,10 +31,23 @@ def metric_counters(spark, d):
     return Q.counters(s, ["event_type", "status", "region"])
 
 
-@query(with_(SAMPLES, _histogram("event_type", Q.BOUNDS)) + "SELECT event_type, CAST(le AS VARCHAR) AS le, c, n FROM (SELECT event_type, CASE WHEN isinf(le) THEN 'inf' ELSE CAST(CAST(round(le * 1000) AS BIGINT) AS VARCHAR) END AS le, c, n FROM hist)")
+_BUCKETS_SQL = "SELECT {keys}, CASE WHEN isinf(le) THEN 'inf' ELSE CAST(CAST(round(le * 1000) AS BIGINT) AS VARCHAR) END AS le, c, n FROM hist"
+
+
+def _buckets(spark, d: str, keys: list[str], bounds: tuple[float, ...]):
+    h = Q.cumulative_histogram(L.samples(spark, d).withColumn("region", F.col("labels")["region"]), keys, "seconds", bounds)
+    return h.select(*keys, F.when(F.col("le") == Q.INFINITE, "inf").otherwise(F.round(F.col("le") * 1000).cast("bigint").cast("string")).alias("le"), "c", "n")
+
+
+@query(with_(SAMPLES, _histogram("event_type", Q.BOUNDS)) + _BUCKETS_SQL.format(keys="event_type"))
 def metric_histogram(spark, d):
-    h = Q.cumulative_histogram(L.samples(spark, d), ["event_type"], "seconds", Q.BOUNDS)
-    return h.select("event_type", F.when(F.col("le") == Q.INFINITE, "inf").otherwise(F.round(F.col("le") * 1000).cast("bigint").cast("string")).alias("le"), "c", "n")
+    return _buckets(spark, d, ["event_type"], Q.BOUNDS)
+
+
+@query(with_(SAMPLES, _histogram("event_type, region", Q.LONG_BOUNDS)) + _BUCKETS_SQL.format(keys="event_type, region"))
+def metric_histogram_long(spark, d):
+    """With the further bound that long operations have."""
+    return _buckets(spark, d, ["event_type", "region"], Q.LONG_BOUNDS)
 
 
 _CHANGES = "changes AS (SELECT event_id % 7 AS worker, CAST(floor(epoch(ts)) AS BIGINT) AS at_s, event_id AS seq, CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END AS delta FROM events)"

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -85,3 +86,5 @@ def test_start_offsets(spark):
     for policy, other in (("earliest", 10), ("latest", 20), ("none", None)):
         got = {r.partition: (r.start, r.reset) for r in R.start_offsets(committed, log, policy).collect()}
         assert got == {0: (15, False), 1: (other, True), 2: (other, True)}
+    starts = R.start_offsets(committed, log, "earliest")
+    assert json.loads(R.starting_offsets_json(starts, "t")) == {"t": {"0": 15, "1": 10, "2": 10}}
