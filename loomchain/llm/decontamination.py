@@ -5,8 +5,9 @@ runs of known words shorter than the shortest phrase go: neither can lie in a ph
 Burrows-Wheeler transform, held as a wavelet matrix; all phrases are searched backward together through its ranks, and the rows
 found are walked to the next sampled suffix to locate them.  Occurrences become per-document removal spans, merged by a running sum.
 
-The benchmark goes to the tasks in parts of at most ``part_bytes`` bytes of text, one narrow pass over the documents each, so what
-is sent at once is bounded however large the benchmark is.  Documents are never shuffled.
+The benchmark goes to the tasks in parts of at most ``part_bytes`` bytes of text (a longer item is a part of its own), one narrow pass
+over the documents each, so what is sent at once is bounded however large the benchmark is.  After every ``PASSES`` parts the documents
+are written with what was found so far.  They are never shuffled.
 
 Null text: no words, no hits, not contaminated.  Items without words match nothing.  Items with a null item_id mark words but are
 not listed; rows that repeat an item_id count as one item.  Repeated documents and null doc_ids each give their row.  An empty
@@ -25,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import blocks, table, texts
+from loomchain.llm.common import blocks, cut, table, texts
 from loomchain.shipping import ship
 
 WINDOW = 13
 #: Bytes of benchmark text that are sent to the tasks at once.
 PART_BYTES = 8 << 20
+#: Parts after which the state of the search is written, which bounds the passes of one task.
+PASSES = 8
 #: Every how many-th text position keeps its suffix position.
 SAMPLE = 8
 #: A document is contaminated if at least one word in so many is hit.
@@ -232,6 +235,8 @@ def _marked(rows: DataFrame, benchmark: DataFrame, window: int, part_bytes: int)
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()
         phrases = spark.sparkContext.broadcast(Phrases([(r["item_id"], bytes(r["text"])) for r in own], window))
         state = state.mapInArrow(_search(phrases), state.schema)
+        if (k + 1) % PASSES == 0 and k + 1 < parts:
+            state = cut(state, "hits")
     return state
 
 

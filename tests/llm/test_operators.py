@@ -192,7 +192,8 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(31)}, 90: 90, 95: 90, 100: 90, **{i: 200 for i in range(200, 260)}}
 
 
-def test_decontamination(spark):
+def test_decontamination(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "PASSES", 2)
     r = random.Random(2)
     v = ["A", "b", "c1", "É", "d-e", "zz"]
     items = [(i, " ".join(r.choice(v) for _ in range(r.choice([0, 3, 4, 5, 9, 14])))) for i in range(12)] + [(50, None), (3, "b b b b")]
@@ -204,6 +205,10 @@ def test_decontamination(spark):
     clean = sorted((d for d, w in zip(docs, plain.hits(docs, items, 4)) if not w[5]), key=str)
     assert rows(decontamination.decontaminated(frame(spark, docs), bench, 4)) == clean
     assert all(not r.n_hit for r in decontamination.benchmark_hits(frame(spark, docs), bench.limit(0)).collect())
+    phrase = "one two three four five six"
+    far = [(1, "q " * 300_000 + phrase + " q" * 300_000), (1, phrase)]
+    got = rows(decontamination.benchmark_hits(frame(spark, far), spark.createDataFrame([(7, phrase)], "item_id long, text string"), 4))
+    assert sorted((g[1], g[2], g[5], g[6]) for g in got) == [(6, 6, True, "0:6"), (600_006, 6, False, "300000:300006")]
 
 
 def test_secrets(spark):
@@ -216,6 +221,11 @@ def test_secrets(spark):
     assert sorted(((x.doc_id, x.base_sha256) for x in secret_scan.secret_spans(frame(spark, docs)).collect()), key=str) == sorted(want, key=str)
 
 
+def test_secrets_in_a_very_long_text(spark):
+    got = secret_scan.secret_spans(frame(spark, [(1, "é " * 400_000 + "token=abcdef1" + " x" * 400_000)])).first()
+    assert got.spans == "assign:800000:800013" and got.n_assign == 1
+
+
 def test_secret_checksums():
     words, body = secret_scan.automaton(), b"zQ" * 15
     good = b"x ghp_" + body + secret_scan.checksum62(body) + b" y"
