@@ -17,7 +17,8 @@ MAX_EXPONENT = 400
 _PLAIN = "^[+-]?[0-9]+\\z"
 _SCIENTIFIC = "^([+-]?)([0-9]*)[.]?([0-9]*)[eE]([+-]?[0-9]{1,6})\\z"
 #: Both forms, the exponent within its bound.
-_NUMBER = "^[+-]?([0-9]+|([0-9]+[.]?[0-9]*|[.][0-9]+)[eE](-[0-9]{1,6}|[+]?0{0,3}([0-3]?[0-9]{1,2}|400)))\\z"
+_DIGITS = "[+-]?([0-9]+|([0-9]+[.]?[0-9]*|[.][0-9]+)[eE](-[0-9]{1,6}|[+]?0{0,3}([0-3]?[0-9]{1,2}|400)))"
+_NUMBER = f"^{_DIGITS}\\z"
 
 
 def hex_bytes(text: Column, size: int) -> Column:
@@ -66,6 +67,38 @@ def is_bad_hex(text: Column, size: int) -> Column:
     return F.coalesce(~text.rlike(f"(?s)^(0x)?([0-9a-fA-F]{{0,{2 * size - 1}}}|[0-9a-fA-F]{{{2 * size}}}.*)\\z"), F.lit(False))
 
 
+def _joined(texts: list[Column]) -> Column:
+    return F.concat_ws("|", *(F.coalesce(t, F.lit("")) for t in texts))
+
+
+def any_bad_integer(texts: list[Column]) -> Column:
+    """Whether one of them is bad, by one match where none is; a text that holds the separator fails that match and is asked alone."""
+    some = is_bad_integer(texts[0])
+    for t in texts[1:]:
+        some = some | is_bad_integer(t)
+    return ~_joined(texts).rlike("^" + "[|]".join([f"({_DIGITS})?"] * len(texts)) + "\\z") & some
+
+
+def any_bad_hex(texts: list[tuple[Column, int]]) -> Column:
+    """The same for ``is_bad_hex`` of texts with their sizes."""
+    some = is_bad_hex(*texts[0])
+    for t, size in texts[1:]:
+        some = some | is_bad_hex(t, size)
+    good = "[|]".join(f"(0x)?([0-9a-fA-F]{{0,{2 * size - 1}}}|[0-9a-fA-F]{{{2 * size}}}[^|]*)" for _, size in texts)
+    return ~_joined([t for t, _ in texts]).rlike(f"^{good}\\z") & some
+
+
+def all_fixed_hex(texts: list[tuple[Column, int]]) -> Column:
+    """Whether each is 0x and exactly so many bytes, by one match."""
+    return _joined([t for t, _ in texts]).rlike("^" + "[|]".join(f"0x[0-9a-fA-F]{{{2 * size}}}" for _, size in texts) + "\\z")
+
+
+def all_fixed_hex_of(texts: Column, size: int) -> Column:
+    """The same for all elements of an array, which may be empty."""
+    one = f"0x[0-9a-fA-F]{{{2 * size}}}"
+    return F.coalesce(F.size(texts) <= 0, F.lit(True)) | F.array_join(texts, "|", "-").rlike(f"^{one}([|]{one})*\\z")
+
+
 def small_decimal(text: Column) -> Column:
     """The companion number of a big integer's text, where it fits 38 digits."""
     return text.try_cast("decimal(38,0)")

@@ -32,14 +32,12 @@ def error_class() -> Column:
     """Class of a decoded message, over the whole record before anything is written; NULL if it is good."""
     b = lambda name: F.col(f"block.{name}")
     negative = lambda x: F.coalesce(x < 0, F.lit(False))
-    integers = C.is_bad_integer(b("number")) | C.is_bad_integer(b("evmChainId")) | C.is_bad_integer(b("difficulty")) | C.is_bad_integer(b("baseFeePerGas"))
+    integers = C.any_bad_integer([b("number"), b("evmChainId"), b("difficulty"), b("baseFeePerGas")])
     unsigned = negative(b("gasLimit")) | negative(b("gasUsed")) | negative(b("timestamp")) | negative(b("nonce")) | (b("number").isNotNull() & (b("number") != "") & C.unsigned64(b("number")).isNull())
-    tx_integers = _any("block.transactions", lambda t: C.is_bad_integer(t["value"]) | C.is_bad_integer(t["gasPrice"]) | C.is_bad_integer(t["maxFeePerGas"]) | C.is_bad_integer(t["maxPriorityFeePerGas"]))
-    hexes = C.is_bad_hex(b("miner"), 20)
-    for name in _HASHES:
-        hexes = hexes | C.is_bad_hex(b(name), 32)
-    tx_hexes = _any("block.transactions", lambda t: C.is_bad_hex(t["hash"], 32) | C.is_bad_hex(t["from"], 20) | C.is_bad_hex(t["to"], 20))
-    bad_log = lambda g: (~C.is_fixed_hex(g["address"], 20) | ~C.is_fixed_hex(g["txHash"], 32) | ~C.is_fixed_hex(g["blockHash"], 32) | C.base64_bytes(g["data"]).isNull() | F.exists(F.coalesce(g["topics"], F.array()), lambda x: ~C.is_fixed_hex(x, 32)))
+    tx_integers = _any("block.transactions", lambda t: C.any_bad_integer([t["value"], t["gasPrice"], t["maxFeePerGas"], t["maxPriorityFeePerGas"]]))
+    hexes = C.any_bad_hex([(b("miner"), 20), *((b(name), 32) for name in _HASHES)])
+    tx_hexes = _any("block.transactions", lambda t: C.any_bad_hex([(t["hash"], 32), (t["from"], 20), (t["to"], 20)]))
+    bad_log = lambda g: ~C.all_fixed_hex([(g["address"], 20), (g["txHash"], 32), (g["blockHash"], 32)]) | C.base64_bytes(g["data"]).isNull() | ~C.all_fixed_hex_of(g["topics"], 32)
     logs = lambda t: F.coalesce(t["receipt"]["logs"], F.array())
     has_logs = _any("block.transactions", lambda t: F.size(logs(t)) > 0)
     return (

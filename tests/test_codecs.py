@@ -57,3 +57,20 @@ def test_sum_of_256_bits(spark):
 def test_base64(spark):
     got = one(spark, C.base64_bytes, "aGk=", "", None, "%%")
     assert [None if x is None else bytes(x) for x in got] == [b"hi", b"", b"", None]
+
+
+def test_checks_of_several_texts_are_those_of_each(spark):
+    import itertools
+
+    texts = [None, "", "0x", "7", "1|2", "ab" * 20, "ab" * 20 + "|zz", "0x" + "ab" * 20, "0xzz", "-3e5", "|"]
+    rows = spark.createDataFrame(list(itertools.product(texts, texts, texts)), "a string, b string, c string")
+    cols = [F.col(c) for c in "abc"]
+    each = lambda f, join: join(join(f(cols[0]), f(cols[1])), f(cols[2]))
+    either, both = (lambda x, y: x | y), (lambda x, y: x & y)
+    pairs = [
+        (C.any_bad_integer(cols), each(C.is_bad_integer, either)), (C.any_bad_hex([(c, 20) for c in cols]), each(lambda c: C.is_bad_hex(c, 20), either)),
+        (C.all_fixed_hex([(c, 20) for c in cols]), each(lambda c: C.is_fixed_hex(c, 20), both)), (C.all_fixed_hex_of(F.array(*cols), 20), each(lambda c: C.is_fixed_hex(c, 20), both)),
+    ]
+    for several, single in pairs:
+        assert rows.where(~several.eqNullSafe(single)).count() == 0
+    assert spark.range(1).select(C.all_fixed_hex_of(F.array().cast("array<string>"), 20), C.all_fixed_hex_of(F.lit(None).cast("array<string>"), 20)).first()[:] == (True, True)
