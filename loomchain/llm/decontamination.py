@@ -5,9 +5,9 @@ runs of known words shorter than the shortest phrase go: neither can lie in a ph
 Burrows-Wheeler transform, held as a wavelet matrix; all phrases are searched backward together through its ranks, and the rows
 found are walked to the next sampled suffix to locate them.  Occurrences become per-document removal spans, merged by a running sum.
 
-The benchmark goes to the tasks in parts of at most ``part_bytes`` bytes of text (a longer item is a part of its own), one narrow pass
-over the documents each, so what is sent at once is bounded however large the benchmark is.  After every ``PASSES`` parts the documents
-are written with what was found so far.  They are never shuffled.
+The benchmark goes to the tasks in parts of at most ``part_bytes`` bytes of text (a longer item is a part of its own), ``PASSES`` of them
+for each pass over the documents, so what is sent at once is bounded however large the benchmark is.  Between passes the documents are
+written with what was found so far.  They are never shuffled.
 
 Null text: no words, no hits, not contaminated.  Items without words match nothing.  Items with a null item_id mark words but are
 not listed; rows that repeat an item_id count as one item.  Repeated documents and null doc_ids each give their row.  An empty
@@ -32,7 +32,7 @@ from loomchain.shipping import ship
 WINDOW = 13
 #: Bytes of benchmark text that are sent to the tasks at once.
 PART_BYTES = 8 << 20
-#: Parts after which the state of the search is written, which bounds the passes of one task.
+#: Parts that one pass over the documents searches for.
 PASSES = 8
 #: Every how many-th text position keeps its suffix position.
 SAMPLE = 8
@@ -171,98 +171,98 @@ def occurrences(found: list[np.ndarray], phrases: Phrases) -> tuple[np.ndarray,
     return np.repeat(phrase, count), where - document - 1
 
 
-def _search(phrases):
+def _hits(found: list[list[bytes]], phrases: Phrases) -> tuple[list[np.ndarray], list[set]]:
+    """Of texts as words: which words occurrences of the phrases cover, and whose these are."""
+    number = phrases.vocabulary.get
+    numbers = [np.fromiter((number(w, 1) for w in words), np.int64, len(words)) for words in found]
+    phrase, where = occurrences(numbers, phrases)
+    starts = np.concatenate([[0], np.cumsum([len(f) for f in found])])
+    delta = np.zeros(starts[-1] + 1, np.int64)
+    np.add.at(delta, where, 1)
+    np.add.at(delta, where + phrases.lengths[phrase], -1)
+    hit = np.cumsum(delta)[:-1] > 0
+    document = np.searchsorted(starts, where, "right") - 1
+    items: list[set] = [set() for _ in found]
+    for d, p in set(zip(document.tolist(), phrase.tolist())):
+        items[d].update(phrases.items[p])
+    return [hit[a:z] for a, z in zip(starts[:-1], starts[1:])], items
+
+
+def _search(parts: list, finish):
+    """Searches parts of the benchmark one after another in each block, and hands what is found so far to ``finish``."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Phrases = phrases.value
-        number = own.vocabulary.get
         for batch in batches:
-            state, out_hits, out_items = iter(zip(batch["hits"], batch["items"])), [], []
+            state, hits, items, n_words = iter(zip(batch["hits"], batch["items"])), [], [], []
             for _, _, held in blocks([batch.select(["doc_id", "text"])]):
-                found = []
-                for text in held:
-                    words = words_of(text)
-                    found.append(np.fromiter((number(w, 1) for w in words), np.int64, len(words)))
-                phrase, where = occurrences(found, own)
-                starts = np.concatenate([[0], np.cumsum([len(f) for f in found])])
-                delta = np.zeros(starts[-1] + 1, np.int64)
-                np.add.at(delta, where, 1)
-                np.add.at(delta, where + own.lengths[phrase], -1)
-                hit = np.cumsum(delta)[:-1] > 0
-                document = np.searchsorted(starts, where, "right") - 1
-                items: dict[int, set] = defaultdict(set)
-                for d, p in set(zip(document.tolist(), phrase.tolist())):
-                    items[d].update(own.items[p])
-                for i in range(len(held)):
-                    before, listed = (x.as_py() for x in next(state))
-                    now = hit[starts[i] : starts[i + 1]]
-                    if before is not None:
-                        now = now | np.unpackbits(np.frombuffer(before, np.uint8), count=len(now)).astype(bool)
-                    out_hits.append(np.packbits(now).tobytes())
-                    out_items.append(sorted(items[i].union(listed or ())))
-            now = {"hits": pa.array(out_hits, pa.binary()), "items": pa.array(out_items, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([now.get(name, batch[name]) for name in batch.schema.names], names=batch.schema.names)
+                found = [words_of(text) for text in held]
+                before = [next(state) for _ in held]
+                hit = [np.unpackbits(np.frombuffer(h.as_py() or b"", np.uint8), count=len(w)).astype(bool) if h.as_py() else np.zeros(len(w), bool) for (h, _), w in zip(before, found)]
+                listed = [set(x.as_py() or ()) for _, x in before]
+                for part in parts:
+                    for i, (now, own) in enumerate(zip(*_hits(found, part.value))):
+                        hit[i] = hit[i] | now
+                        listed[i] |= own
+                hits += hit
+                items += [sorted(x) for x in listed]
+                n_words += [len(w) for w in found]
+            yield finish(batch, hits, items, n_words)
 
     return run
 
 
+def _held(batch: pa.RecordBatch, hits: list, items: list, n_words: list) -> pa.RecordBatch:
+    now = {"hits": pa.array([np.packbits(x).tobytes() for x in hits], pa.binary()), "items": pa.array(items, pa.list_(pa.string()))}
+    return pa.RecordBatch.from_arrays([now.get(name, batch[name]) for name in batch.schema.names], names=batch.schema.names)
+
+
 def _judge(one_in: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, hits, items in zip(batch["text"], batch["hits"], batch["items"]):
-                n = len(words_of(text.as_py()))
-                hits, items = hits.as_py(), items.as_py() or []
-                hit = np.unpackbits(np.frombuffer(hits or b"", np.uint8), count=n) if hits else np.zeros(n, np.uint8)
-                edge = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
-                n_hit = int(hit.sum())
-                spans = ",".join(f"{a}:{b}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()))
-                rows.append((n, n_hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), n_hit > 0 and one_in * n_hit >= n, spans))
-            cols = list(zip(*rows)) or [()] * 6
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, t) for c, t in zip(cols, types))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "removal_spans"])
+    def finish(batch: pa.RecordBatch, hits: list, items: list, n_words: list) -> pa.RecordBatch:
+        rows = []
+        for hit, listed, n in zip(hits, items, n_words):
+            edge = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
+            n_hit = int(hit.sum())
+            spans = ",".join(f"{a}:{b}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()))
+            rows.append((n, n_hit, len(listed), hashlib.sha256(",".join(listed).encode()).hexdigest(), n_hit > 0 and one_in * n_hit >= n, spans))
+        cols = list(zip(*rows)) or [()] * 6
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string()]
+        return pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, t) for c, t in zip(cols, types))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "removal_spans"])
+
+    return finish
 
-    return run
 
+def _clean(one_in: int):
+    def finish(batch: pa.RecordBatch, hits: list, items: list, n_words: list) -> pa.RecordBatch:
+        return batch.select(["row"]).filter(pa.array([not x.any() or one_in * int(x.sum()) < n for x, n in zip(hits, n_words)], pa.bool_()))
 
-def _marked(rows: DataFrame, benchmark: DataFrame, window: int, part_bytes: int) -> DataFrame:
-    """``rows(doc_id, text, ...)`` with the words hit (bits) and the items found, part by part of the benchmark."""
+    return finish
+
+
+def _searched(rows: DataFrame, benchmark: DataFrame, window: int, part_bytes: int, finish, schema) -> DataFrame:
+    """``rows(doc_id, text, ...)`` with the words hit (bits) and the items found by all parts of the benchmark, as ``finish`` gives them."""
     spark = rows.sparkSession
     items = benchmark.select(benchmark["item_id"].cast("string").alias("item_id"), F.coalesce(benchmark["text"], F.lit("")).cast("binary").alias("text")).distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    parts = max(1, -(-size // part_bytes))
-    state = rows.withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")})
-    for k in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()
-        phrases = spark.sparkContext.broadcast(Phrases([(r["item_id"], bytes(r["text"])) for r in own], window))
-        state = state.mapInArrow(_search(phrases), state.schema)
-        if (k + 1) % PASSES == 0 and k + 1 < parts:
-            state = cut(state, "hits")
-    return state
+    n_parts = max(1, -(-size // part_bytes))
+    state, held = rows.withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")}), []
+    for k in range(n_parts):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)) == k).collect()
+        held.append(spark.sparkContext.broadcast(Phrases([(r["item_id"], bytes(r["text"])) for r in own], window)))
+        if len(held) == PASSES and k + 1 < n_parts:
+            state, held = cut(state.mapInArrow(_search(held, _held), state.schema), "hits"), []
+    return state.mapInArrow(_search(held, finish), schema)
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
     """Per row of ``docs``: its words, those hit, the items found, the verdict, and the merged spans of hit words (from:to)."""
-    return _marked(texts(docs), benchmark, window, part_bytes).mapInArrow(_judge(one_in), RESULT_SCHEMA)
-
-
-def _clean_rows(one_in: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            clean = []
-            for text, hits in zip(batch["text"], batch["hits"]):
-                n_hit = int(np.unpackbits(np.frombuffer(hits.as_py() or b"", np.uint8)).sum())
-                clean.append(not n_hit or one_in * n_hit < len(words_of(text.as_py())))
-            yield batch.select(["row"]).filter(pa.array(clean, pa.bool_()))
-
-    return run
+    return _searched(texts(docs), benchmark, window, part_bytes, _judge(one_in), RESULT_SCHEMA)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
     """The rows of ``docs``, all their columns, that are not contaminated."""
     ship(docs.sparkSession)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"), F.struct("*").alias("row"))
-    marked = _marked(rows, benchmark, window, part_bytes)
-    return marked.mapInArrow(_clean_rows(one_in), marked.select("row").schema).select("row.*")
+    return _searched(rows, benchmark, window, part_bytes, _clean(one_in), rows.select("row").schema).select("row.*")
 
 
 def op7_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
