@@ -349,11 +349,25 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return parts.select("doc_ids", "hashes", "flags", "tokens").mapInArrow(_score_blocks(words, network), RESULT_SCHEMA)
 
 
+def _in_pieces(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The texts of a column (null: empty), so many at once as have a bounded number of bytes, or a single longer one."""
+    held, size = [], 0
+    for t in column:
+        text = (t.as_py() or "").encode()
+        if held and size + len(text) > most_bytes:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
 def _keep_rows(words, network, at: int) -> object:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = network.value.score(_inputs(((t.as_py() or "").encode() for t in batch.column(at)), words))
-            yield batch.filter(pa.array(score >= THRESHOLD))
+            keep = [network.value.score(_inputs(held, words)) >= THRESHOLD for held in _in_pieces(batch.column(at))]
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
         give_back()
 
     return run
