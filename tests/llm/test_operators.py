@@ -227,10 +227,26 @@ def test_secrets_in_a_very_long_text(spark):
 
 
 def test_secret_checksums():
-    words, body = secret_scan.automaton(), b"zQ" * 15
-    good = b"x ghp_" + body + secret_scan.checksum62(body) + b" y"
-    assert [k for _, k, _ in secret_scan.find(good, words)] == ["github"]
-    assert secret_scan.find(b"x ghp_" + body + b"000000 y", words) == []
+    words, body, r = secret_scan.automaton(), b"zQ" * 15, random.Random(12)
+    kinds = lambda token: [k for _, k, _ in secret_scan.find(b"x " + token + b" y", words)]
+    assert kinds(b"ghp_" + body + secret_scan.checksum62(body)) == ["github"] and kinds(b"npm_" + body + secret_scan.checksum62(body)) == ["npm"]
+    assert kinds(b"ghp_" + body + b"000000") == []
+    key = b"xprv9s21ZrQH143K3QTDL4LXw2F7HEK3wJUD2nW2nRk4stbPy6cq3jPPqjiChkVvvNKmPGJxWUtg6LnF5kejMRNNU3TGtRBeJgk33yuGBxrMPHi"
+    assert kinds(key) == ["bip32"] and kinds(key[:-1] + b"j") == [] and kinds(key + b"a") == []
+    assert secret_scan.bech32_check(b"A12UEL5L") and not secret_scan.bech32_check(b"A12UEL5Q")
+    for prefix, kind in ((b"AGE-SECRET-KEY-", "age"), (b"nsec", "nostr")):
+        data = bytes(r.choice(secret_scan.BECH32) for _ in range(52))
+        # Six symbols such that the whole has remainder 1: the remainder of the rest with zeros, turned round.
+        rest = 1
+        low = prefix.lower()
+        for value in (*(c >> 5 for c in low), 0, *(c & 31 for c in low), *map(secret_scan.BECH32.index, data), *[0] * 6):
+            top, rest = rest >> 25, (rest & 0x1FFFFFF) << 5 ^ value
+            for i, g in enumerate(secret_scan._BECH32_GENERATOR):
+                rest ^= g if top >> i & 1 else 0
+        check = bytes(secret_scan.BECH32[(rest ^ 1) >> 5 * (5 - i) & 31] for i in range(6))
+        token = prefix + b"1" + data + check
+        token = token.upper() if kind == "age" else token
+        assert kinds(token) == [kind] and kinds(token[:-1] + (b"Q" if token[-1:] != b"Q" else b"P")) == [] and kinds(token[:-2]) == []
 
 
 def test_packing(spark):
