@@ -16,13 +16,15 @@ from loomchain.streaming import ingest as I
 from loomchain.streaming import positions as P
 
 FILES = 4
+#: Rows of a landed file at most, so that a batch of the stream does not grow with the log.
+FILE_ROWS = 500_000
 
 
 def _land(messages: DataFrame, name: str) -> str:
     """Writes messages into a few files in the order of their heights."""
     at = T.new_path(messages.sparkSession, name)
     columns = [f.name for f in S.struct_of(S.MESSAGES)]
-    messages.withColumn("_h", F.col("key").try_cast("bigint")).repartitionByRange(FILES, "_h", "offset").select(*columns).write.parquet(at)
+    messages.withColumn("_h", F.col("key").try_cast("bigint")).repartitionByRange(FILES, "_h", "offset").select(*columns).write.option("maxRecordsPerFile", FILE_ROWS).parquet(at)
     return at
 
 
