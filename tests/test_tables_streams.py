@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pyarrow.parquet as pq
 import pytest
 
@@ -66,7 +68,7 @@ def test_message_log_in_files(spark, tmp_path):
 
 def test_retries_wait_longer_each_time(spark, tmp_path, monkeypatch):
     waited = []
-    monkeypatch.setattr(P.time, "sleep", waited.append)
+    monkeypatch.setattr(P, "time", SimpleNamespace(sleep=waited.append))
     (tmp_path / "a file").write_text("not a folder")
     batch = spark.createDataFrame([("a", 5)], "chain string, lowest long")
     with pytest.raises(Exception):
