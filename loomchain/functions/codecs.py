@@ -14,6 +14,7 @@ MAX_DIGITS = 78
 #: Largest shift that an exponent may ask for; beyond it no value fits 256 bits.
 MAX_EXPONENT = 400
 
+_CANONICAL = "^(0|[1-9][0-9]*)\\z"
 _PLAIN = "^[+-]?[0-9]+\\z"
 _SCIENTIFIC = "^([+-]?)([0-9]*)[.]?([0-9]*)[eE]([+-]?[0-9]{1,6})\\z"
 #: Both forms, the exponent within its bound.
@@ -52,7 +53,8 @@ def big_integer(text: Column) -> Column:
     digits, length = F.concat(part(2), part(3)), F.length(part(2)) + exponent
     shifted = F.when(length <= 0, "0").otherwise(F.rpad(digits, F.greatest(length, F.lit(0)), "0"))
     return (
-        F.when(text.rlike(_PLAIN), _canonical(F.substring(text, 1, 1), F.regexp_replace(text, "^[+-]", "")))
+        F.when(text.rlike(_CANONICAL), text)  # as nearly all are
+        .when(text.rlike(_PLAIN), _canonical(F.substring(text, 1, 1), F.regexp_replace(text, "^[+-]", "")))
         .when(text.rlike(_SCIENTIFIC) & (digits != "") & (exponent <= MAX_EXPONENT), _canonical(part(1), shifted))
     )
 
