@@ -4,6 +4,7 @@ from loomchain.llm.decontamination import OP7_SQL, op7_benchmark_hits
 from loomchain.llm.licenses import op8_license_scan
 from loomchain.llm.line_dedup import OP10_SQL, op10_line_dedup
 from loomchain.llm.packing import op5_hilbert_packing
+from loomchain.llm.piece_codec import op11_piece_codec
 from loomchain.llm.quality_classifier import op6_quality_classifier
 from loomchain.llm.quality_rules import OP4_SQL, op4_quality_rules
 from loomchain.llm.secret_scan import op9_secret_scan
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_piece_codec": op11_piece_codec,
 }
 
 ORACLES: dict[str, str] = {
