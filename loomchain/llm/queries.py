@@ -11,6 +11,7 @@ from loomchain.llm.secret_scan import op9_secret_scan
 from loomchain.llm.simhash import op3_simhash
 from loomchain.llm.suffix_dedup import OP1_SQL, op1_suffix_dedup
 from loomchain.llm.token_counts import op2_token_counts
+from loomchain.llm.vector_codes import OP13_SQL, op13_vector_codes
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": op10_line_dedup,
     "op11_piece_codec": op11_piece_codec,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
@@ -31,4 +33,5 @@ ORACLES: dict[str, str] = {
     "op4_quality_rules": OP4_SQL,
     "op7_benchmark_hits": OP7_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op13_vector_codes": OP13_SQL,
 }
