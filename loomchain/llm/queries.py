@@ -12,6 +12,7 @@ from loomchain.llm.simhash import op3_simhash
 from loomchain.llm.suffix_dedup import OP1_SQL, op1_suffix_dedup
 from loomchain.llm.token_counts import op2_token_counts
 from loomchain.llm.vector_codes import OP13_SQL, op13_vector_codes
+from loomchain.llm.whitening import op12_embedding_whitening
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": op10_line_dedup,
     "op11_piece_codec": op11_piece_codec,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_vector_codes": op13_vector_codes,
 }
 
