@@ -227,17 +227,19 @@ def decode_ids(v: Vocabulary, ids: list) -> str | None:
     """The text of any ids: one leading space goes, byte pieces form characters where they can."""
     if any(i is None or not 0 <= i < v.n for i in ids):
         return None
-    out, held = [], bytearray()
+    out, held, begun = [], bytearray(), False
     for i in ids:
         if i in v.byte_of:
             held.append(v.byte_of[i])
+            begun = True
             continue
         out.append(_characters(held))
         held.clear()
         if i not in v.control:
             text = v.text_of[i].decode()
-            # The space that stands for the beginning of the text goes, and only there.
-            out.append(text[1:] if text.startswith(" ") and i != v.unknown and not any(out) else text)
+            # The first piece's space stands for the beginning of the text.
+            out.append(text[1:] if not begun and i != v.unknown and text.startswith(" ") else text)
+            begun = True
     out.append(_characters(held))
     return "".join(out)
 

@@ -86,28 +86,29 @@ def assign(tree: Tree, entries: np.ndarray) -> Iterator[tuple[int, int, int, int
     levels = depth(m, 1)
     order = tree_order(entries, levels)
     e = Tree(entries[order], levels)
+    # The levels of the entries' tree, the entries themselves below them, and how many nodes each node has on the next one.
+    boxes = [*zip(e.lo, e.hi), (e.points, e.points)]
+    grow = [*([2] * levels), np.diff(e.cuts[levels])]
     active, near = np.zeros(1, np.int64), np.ones((1, 1), bool)
     for l in range(tree.levels + 1):
-        r = min(l, levels)
-        least, most = box_distances(tree.lo[l][active], tree.hi[l][active], e.lo[r], e.hi[r])
-        beyond = most.max() + 1
-        bound = np.where(near, most, beyond).min(axis=1)
+        r = min(l, levels + 1)
+        least, most = box_distances(tree.lo[l][active], tree.hi[l][active], *boxes[r])
+        bound = np.where(near, most, most.max() + 1).min(axis=1)
         near = near & (least <= bound[:, None])
-        if r == levels:
-            width = np.diff(e.cuts[r])
-            alone = (near.sum(axis=1) == 1) & (width[near.argmax(axis=1)] == 1)
+        if r > levels:
+            alone = near.sum(axis=1) == 1
             for node, k in zip(active[alone].tolist(), near[alone].argmax(axis=1).tolist()):
-                yield l, node, int(order[e.cuts[r][k]]), int(tree.cuts[l][node + 1] - tree.cuts[l][node])
+                yield l, node, int(order[k]), int(tree.cuts[l][node + 1] - tree.cuts[l][node])
             active, near = active[~alone], near[~alone]
         if not len(active):
             return
         if l < tree.levels:
             active, near = np.repeat(active * 2, 2) + np.tile([0, 1], len(active)), np.repeat(near, 2, axis=0)
-            near = np.repeat(near, 2, axis=1) if l < levels else near
+            near = np.repeat(near, grow[r], axis=1) if r <= levels else near
     # What no pair of nodes decided: each part against the entries left to its leaf.
-    while r < levels:
-        r, near = r + 1, np.repeat(near, 2, axis=1)
-    near = np.repeat(near, np.diff(e.cuts[levels]), axis=1)[:, np.argsort(order)]
+    for k in grow[r:]:
+        near = np.repeat(near, k, axis=1)
+    near = near[:, np.argsort(order)]
     leaf, entry = np.nonzero(near)
     per_leaf = np.bincount(leaf, minlength=len(active))
     first = np.cumsum(per_leaf) - per_leaf

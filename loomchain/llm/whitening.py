@@ -290,7 +290,7 @@ class Whitening:
         trace = int(np.trace(a)) if len(a) else 0
         roots = [r for r, _ in found] + [Fraction(0)] * (self.count - len(found))
         self.explained = [float(r / trace) if trace else None for r in roots]
-        self.directions = np.array([v for _, v in found]).reshape(-1, self.width)
+        self.directions = np.array([v for _, v in found]).reshape(len(found), self.width)
         self.scales = np.array([float(r) ** 0.5 for r, _ in found])
 
     def centred(self, x: np.ndarray) -> np.ndarray:
