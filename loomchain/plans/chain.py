@@ -63,12 +63,26 @@ def decode_blocks(spark, d):
 
 @query(with_(MESSAGES, DONE, COMMIT) + """SELECT m.partition, "offset", key, event_id AS height, error_class IS NOT DISTINCT FROM 'nil_message' AS empty FROM messages m JOIN commits c ON c.partition = m.partition AND "offset" > committed""")
 def message_log_scan(spark, d):
-    """From behind each partition's commit to the end that the log has now."""
-    log = L.message_log(spark, d)
-    commits = G.offset_commit(L.processed_offsets(spark, d), log.select("partition").distinct().withColumn("committed", F.lit(-1).cast("bigint")))
-    ends = log.groupBy("partition").agg((F.max("offset") + 1).alias("high"))
-    bounds = ends.join(commits, "partition").select("partition", (F.col("committed") + 1).alias("low"), "high")
-    return M.scan(log, bounds).select("partition", "offset", "key", "height", F.col("value").isNull().alias("empty"))
+    """From behind each partition's commit to the end that the log in files has; no other offset is read."""
+    at = T.new_path(spark, "log")
+    M.write_files(L.messages(spark, d), at, "blocks")
+    commits = G.offset_commit(L.processed_offsets(spark, d), M.ends(spark, at).select("partition", (F.col("low") - 1).alias("committed")))
+    bounds = M.ends(spark, at).join(commits, "partition").select("partition", (F.col("committed") + 1).alias("low"), "high")
+    return M.scan(at, bounds).select("partition", "offset", "key", "height", F.col("value").isNull().alias("empty"))
+
+
+@query(with_(MESSAGES) + """, a AS (SELECT partition, count(*) AS n, count(*) FILTER (WHERE event_id % 3 = 0) AS first FROM messages GROUP BY 1)
+SELECT partition, CAST(0 AS BIGINT) AS low, n AS high, n AS n_messages, first AS first_append, CAST(n * (n - 1) // 2 AS BIGINT) AS offset_sum FROM a""")
+def append_log(spark, d):
+    """A log in two appends: the second goes on behind the first one's offsets, which its index gives."""
+    at, all_ = T.new_path(spark, "log"), L.messages(spark, d)
+    third = F.col("key").cast("bigint") % 3 == 0
+    M.write_files(all_.where(third), at, "blocks")
+    first = M.ends(spark, at).select("partition", F.col("high").alias("first_append"))
+    first = spark.createDataFrame(first.collect(), first.schema)  # one row for each partition, as it is between both
+    M.write_files(all_.where(~third), at, "blocks")
+    found = M.read_files(spark, at, columns=["partition", "offset"]).groupBy("partition").agg(F.count("*").alias("n_messages"), F.sum("offset").alias("offset_sum"))
+    return M.ends(spark, at).join(found, "partition").join(first, "partition").select("partition", "low", "high", "n_messages", "first_append", "offset_sum")
 
 
 _WITHDRAWN = """, w AS (SELECT block_number, count(*) AS n_withdrawals, CAST(sum(amount) AS BIGINT) AS withdrawn, string_agg(index || ':' || validator_index || ':' || address || ':' || amount, ',' ORDER BY index, validator_index, address, amount) AS withdrawals FROM withdrawals GROUP BY 1)"""

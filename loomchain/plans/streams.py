@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomchain.operators import decode as D
+from loomchain.operators import ranges as G
+from loomchain.operators import relations as R
 from loomchain.operators.ranges import numbered
-from loomchain.plans.registry import MESSAGES, query, with_
+from loomchain.plans.registry import COMMIT, DONE, MESSAGES, query, with_
 from loomchain.sources import landed as L
 from loomchain.sources import message_log as M
 from loomchain.sources import schemas as S
@@ -43,12 +45,52 @@ def _stream(spark: SparkSession, d: str, name: str, files_per_trigger: int = 1)
     return M.stream_files(spark, _land(L.message_log(spark, d), name), files_per_trigger)
 
 
+#: Messages that a batch of a log's stream has at most.
+PER_BATCH = 40_000
+
+
+def _log_stream(spark: SparkSession, d: str, name: str, wanted: dict[int, int] | str = "earliest", most: int = PER_BATCH, at: str | None = None) -> DataFrame:
+    """All rows of a log's stream, with their batch.  It runs for one batch, is stopped, and a second run goes on to the log's end."""
+    if at is None:
+        at = T.new_path(spark, f"{name}_log")
+        M.write_files(L.messages(spark, d), at, "blocks")
+    root = T.new_path(spark, name)
+    stream = M.stream_log(spark, at, wanted, most, f"{root}/_admitted").select("partition", "offset", F.col("value").isNotNull().alias("full"))
+    write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{root}/rows/batch_id={n}")
+    _run(stream, root, write)
+    again = P.start(stream, root, write, interval="0 seconds")
+    again.processAllAvailable()
+    again.stop()
+    return spark.read.parquet(f"{root}/rows")
+
+
 @query(with_(MESSAGES) + """SELECT partition, count(*) AS n, count(*) FILTER (WHERE error_class IS NULL OR error_class <> 'nil_message') AS n_values, max("offset") AS last FROM messages GROUP BY 1""")
 def stream_scan(spark, d):
-    rows = _collected(_stream(spark, d, "scan_messages").select("partition", "offset", F.col("value").isNotNull().alias("full")), "scan")
+    rows = _log_stream(spark, d, "scan")
     return rows.groupBy("partition").agg(F.count("*").alias("n"), F.count_if("full").alias("n_values"), F.max("offset").alias("last"))
 
 
+@query(with_(MESSAGES) + f"""SELECT count(*) AS n, (SELECT greatest(1, CAST(ceil(count(*) / {PER_BATCH}.0) AS BIGINT)) FROM messages) AS batches, least(count(*), {PER_BATCH}) AS largest FROM messages""")
+def stream_admission(spark, d):
+    """Batches of a log's stream and the largest one's messages: the limit holds across a restart."""
+    sizes = _log_stream(spark, d, "admission").groupBy("batch_id").agg(F.count("*").alias("n"))
+    return sizes.agg(F.sum("n").alias("n"), F.count("*").alias("batches"), F.max("n").alias("largest"))
+
+
+@query(with_(MESSAGES, DONE, COMMIT) + """, start AS (SELECT c.partition, CASE WHEN c.partition <> 3 AND committed + 1 >= low THEN committed + 1 ELSE low END AS o
+  FROM commits c JOIN (SELECT partition, min("offset") AS low FROM messages GROUP BY 1) m USING (partition))
+SELECT m.partition, count(*) AS n, min("offset") AS first, max("offset") AS last FROM messages m JOIN start s ON s.partition = m.partition AND "offset" >= o GROUP BY 1""")
+def stream_from_offsets(spark, d):
+    """A stream that starts behind each partition's commit; partition 3 has none and starts at the log's first offset."""
+    at = T.new_path(spark, "resumed_log")
+    M.write_files(L.messages(spark, d), at, "blocks")
+    log = M.ends(spark, at)
+    commits = G.offset_commit(L.processed_offsets(spark, d), log.select("partition", F.lit(-1).cast("bigint").alias("committed")))
+    starts = R.start_offsets(commits.select("partition", (F.col("committed") + 1).alias("committed")).where("partition <> 3"), log, "earliest")
+    wanted = {r["partition"]: r["start"] for r in starts.collect()}  # one row for each partition
+    return _log_stream(spark, d, "resumed", wanted, at=at).groupBy("partition").agg(F.count("*").alias("n"), F.min("offset").alias("first"), F.max("offset").alias("last"))
+
+
 _GOOD = """SELECT 'blocks' AS name, count(*) AS n FROM messages WHERE error_class IS NULL UNION ALL SELECT 'transactions', count(*) FROM messages WHERE error_class IS NULL AND event_id % 2 = 1
 UNION ALL SELECT 'logs', count(*) FROM messages WHERE error_class IS NULL AND event_id % 2 = 1 UNION ALL SELECT 'dead_letters', count(*) FROM messages WHERE error_class IS NOT NULL"""
 

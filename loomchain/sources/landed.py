@@ -116,9 +116,17 @@ def log_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs(spark, sf_dir).groupBy("block_number", "tx_index").agg(F.array_sort(F.collect_list(one)).alias("logs"))
 
 
-def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message for each event, in the columns of a message log; some are broken on purpose."""
-    e = table(spark, sf_dir, "events")
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("partition", (F.col("user_id") % 4).cast("int"))
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One message for each event, as it is sent: with its partition, but without an offset; some are broken on purpose."""
+    key, value = _message()
+    return _events(spark, sf_dir).select(key, value, "partition", instant("ts").alias("timestamp"))
+
+
+def _message() -> tuple[Column, Column]:
     chain, kind = F.col("user_id") % 3, F.col("event_id") % 50
     hash_ = F.when(kind == 4, "0xzz").otherwise(F.concat(F.lit("0x"), sha("event_id")))
     log = F.struct(
@@ -137,11 +145,15 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(8000000).alias("gasLimit"), F.col("user_id").alias("gasUsed"), F.lit("25000000000").alias("baseFeePerGas"), seconds("ts").alias("timestamp"), F.lit("1").alias("difficulty"),
         F.col("user_id").alias("nonce"), F.when(F.col("event_id") % 2 == 1, F.array(tx)).alias("transactions"),
     ))
-    return numbered(e.withColumn("partition", (F.col("user_id") % 4).cast("int")), ["partition"], F.floor(F.col("event_id") / LOG_BUCKET), ["event_id"], "offset").select(
-        F.col("event_id").cast("string").alias("key"), F.when(kind == 0, F.lit(None)).when(kind == 1, "not json").otherwise(body).alias("value"), F.lit("blocks").alias("topic"),
-        "partition", "offset", instant("ts").alias("timestamp"),
-        "event_type", "event_id", "user_id",
-    )
+    value = F.when(kind == 0, F.lit(None)).when(kind == 1, "not json").otherwise(body)
+    return F.col("event_id").cast("string").alias("key"), value.alias("value")
+
+
+def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages in the columns of a message log, with their offsets."""
+    key, value = _message()
+    placed = numbered(_events(spark, sf_dir), ["partition"], F.floor(F.col("event_id") / LOG_BUCKET), ["event_id"], "offset")
+    return placed.select(key, value, F.lit("blocks").alias("topic"), "partition", "offset", instant("ts").alias("timestamp"), "event_type", "event_id", "user_id")
 
 
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
