@@ -127,9 +127,9 @@ def _chain_positions(spark: SparkSession, d: str) -> DataFrame:
     return placed.where("event_type <> 'error' OR offset < 50").withColumn("topic", F.col("chain"))
 
 
-def _window_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
+def _window_stream(spark: SparkSession, d: str, name: str, interval: float | None = None, max_gap: int = 0) -> DataFrame:
     stream = M.stream_files(spark, _land(_chain_positions(spark, d), f"{name}_messages"))
-    return P.stream_watermark(stream.select(F.col("topic").alias("chain"), F.col("offset").alias("h")))
+    return P.stream_watermark(stream.select(F.col("topic").alias("chain"), F.col("offset").alias("h")), 0, interval, max_gap)
 
 
 def _windows(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -160,10 +160,27 @@ def stream_checkpoint(spark, d):
 
 @query(with_(MESSAGES, _CHAINS) + _STATE + " SELECT chain, highest - lowest AS gap FROM win WHERE highest - lowest > 100")
 def stream_gap_alerts(spark, d):
-    """Each batch of windows is judged in the stream; of what it said, the newest counts."""
-    said = _collected(P.gap_alerts(_window_stream(spark, d, "gaps"), 100), "gaps", "update")
-    newest = said.groupBy("chain").agg(F.max_by(F.struct("gap", "alert"), "batch_id").alias("w"))
-    return newest.where("w.alert").select("chain", "w.gap")
+    """What the timers said once no message came any more; each key's newest alert counts."""
+    root, windows, last, fired = T.new_path(spark, "gaps"), {}, {}, {}
+
+    def write(batch: DataFrame, n: int) -> None:
+        rows = batch.persist()
+        for r in rows.select("chain", "lowest", "highest", "fired").collect():  # one row for each chain, or two
+            if r["fired"]:
+                fired[r["chain"]] = n
+            else:
+                windows[r["chain"]], last[r["chain"]] = r["highest"] - r["lowest"], n
+        rows.where("fired").write.mode("overwrite").parquet(f"{root}/rows/batch_id={n}")
+        rows.unpersist()
+
+    query = P.start(_window_stream(spark, d, "gaps", 1.0, 100), root, write, "update", "250 milliseconds")
+    silent = lambda: bool(windows) and P.arrived(query) == 0
+    try:
+        P.until(query, lambda: silent() and all(fired.get(c, -1) > last[c] for c, gap in windows.items() if gap > 100))
+    finally:
+        query.stop()
+    said = spark.read.schema(P.RESULT + ", batch_id long").parquet(f"{root}/rows")
+    return said.groupBy("chain").agg(F.max_by(F.col("highest") - F.col("lowest"), "batch_id").alias("gap"))
 
 
 @query(with_(MESSAGES) + "SELECT 'chain-' || CAST(user_id % 3 AS VARCHAR) AS blockchain_id, count(*) AS n, 21000 * count(*) AS gas FROM messages WHERE error_class IS NULL AND event_id % 2 = 1 GROUP BY 1")
