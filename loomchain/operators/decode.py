@@ -82,9 +82,18 @@ def block_rows(decoded: DataFrame) -> DataFrame:
     return _as_table(decoded, rows, S.BLOCKS)
 
 
+#: What a transaction's and a log's row take from their block.
+_OF_BLOCK = ("blockchainId", "evmChainId", "number", "hash", "timestamp")
+
+
+def _with_header(decoded: DataFrame, items: Column) -> DataFrame:
+    """The few fields of each block that its items need, as ``block``, beside the items: the record itself is not copied for each of them."""
+    return decoded.select(F.struct(*(F.col(f"block.{name}").alias(name) for name in _OF_BLOCK)).alias("block"), items.alias("_items"))
+
+
 def explode_transactions(decoded: DataFrame) -> DataFrame:
     """One row for each transaction with its position; blocks without any give none."""
-    return decoded.select("block", F.posexplode("block.transactions").alias("position", "tx"))
+    return _with_header(decoded, F.col("block.transactions")).select("block", F.posexplode("_items").alias("position", "tx"))
 
 
 def transaction_rows(decoded: DataFrame, receipt_status: bool = False) -> DataFrame:
@@ -104,7 +113,8 @@ def transaction_rows(decoded: DataFrame, receipt_status: bool = False) -> DataFr
 
 def explode_logs(decoded: DataFrame) -> DataFrame:
     """One row for each log of each receipt; transactions without receipt or logs give none."""
-    return explode_transactions(decoded).select("block", "position", F.explode("tx.receipt.logs").alias("log"))
+    logs = F.flatten(F.transform("block.transactions", lambda t: F.coalesce(t["receipt"]["logs"], F.array())))
+    return _with_header(decoded, logs).select("block", F.explode("_items").alias("log"))
 
 
 def log_topics(topics: Column) -> dict[str, Column]:

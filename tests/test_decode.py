@@ -61,3 +61,17 @@ def test_records_survive_publishing(spark):
     assert (b.evmChainId, b.number, b.stateRoot, b.logsBloom, b.extraData, b.difficulty, b.excessBlobGas, b.blobGasUsed, b.receiptsRoot) == ("43114", "7", header["state_root"], "0x02", "0x03", "9" * 70, 5, 6, None)
     assert [(w["index"], w.validatorIndex, w.amount) for w in b.withdrawals] == [(1, 8, 3), (2, 9, 4)]
     assert [(t.hash, t.input, t.maxPriorityFeePerGas, t.receipt and t.receipt.contractAddress) for t in b.transactions] == [("0x11", "0x", "", None), ("0x22", "0xffee", "3000000000", "0x" + "0c" * 20)]
+
+
+def test_items_carry_no_whole_block(spark):
+    """A block of 5,000 transactions: rows take the header's fields, and the plan explodes nothing beside the whole record."""
+    logs = [{"index": 0, "address": "", "topics": [], "data": "", "txHash": "", "blockHash": "", "blockNumber": 1, "txIndex": 0}]
+    one = {"hash": "0x" + "ab" * 32, "from": "", "to": "", "value": "1", "input": "0x" + "00" * 200, "receipt": {"status": 1, "logs": logs}}
+    whole = {"blockchainId": "c", "evmChainId": "1", "number": "1", "logsBloom": "0x" + "00" * 4096, "transactions": [one] * 5000 + [{**one, "receipt": None}, {**one, "receipt": {"status": 1}}]}
+    messages = spark.createDataFrame([("1", json.dumps(whole)), ("2", json.dumps({"blockchainId": "c"}))], "key string, value string")
+    decoded = D.decode_blocks(messages)
+    for rows, n, wide in ((D.transaction_rows(decoded), 5002, "logsBloom"), (D.log_rows(decoded), 5000, "logsBloom")):
+        assert rows.count() == n
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[: plan.index("from_json")]
+        assert wide not in above and "block.transactions" not in above.split("Generate")[0]
