@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomchain.functions import codecs as C
 from loomchain.operators import decode as D
 from loomchain.operators import ranges as G
 from loomchain.operators import relations as R
@@ -14,6 +17,7 @@ from loomchain.sources import landed as L
 from loomchain.sources import message_log as M
 from loomchain.sources import schemas as S
 from loomchain.sources import tables as T
+from loomchain.sources.snapshots import SnapshotTable
 from loomchain.streaming import ingest as I
 from loomchain.streaming import positions as P
 
@@ -108,6 +112,57 @@ def stream_ingest(spark, d):
     return counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3])
 
 
+#: Seconds of block time in a span of the queries' snapshot tables, and files of a group from which on it is merged.
+SPAN, MOST_FILES = 5 * 86_400, 2
+
+
+def _snapshots(spark: SparkSession, d: str) -> str:
+    """Tables filled by a stream of several batches, each of which is entered a second time, as after a failure."""
+    root = T.new_path(spark, "snapshots")
+    write = I.snapshot_writer(root, span=SPAN, most_files=MOST_FILES)
+
+    def twice(batch: DataFrame, n: int) -> None:
+        write(batch, n)
+        write(batch, n)
+
+    _run(_stream(spark, d, "snapshot_messages"), root, twice)
+    return root
+
+
+def _snapshot(spark: SparkSession, root: str, name: str) -> SnapshotTable:
+    return SnapshotTable(spark, root, name, SPAN)
+
+
+@query(with_(MESSAGES) + """SELECT 'blocks' AS name, count(*) AS n, true AS bounded FROM messages WHERE error_class IS NULL UNION ALL SELECT unnest(['transactions', 'logs']), count(*), true FROM messages WHERE error_class IS NULL AND event_id % 2 = 1""")
+def snapshot_ingest(spark, d):
+    """Rows of the snapshot tables, and whether no (chain, span) has more files than it may have."""
+    root, parts = _snapshots(spark, d), []
+    for name in ("blocks", "transactions", "logs"):
+        held = _snapshot(spark, root, name)
+        files = held.files().groupBy("chain", "span").agg(F.count("*").alias("k")).agg((F.max("k") <= MOST_FILES).alias("bounded"))
+        parts.append(held.read().agg(F.count("*").alias("n")).crossJoin(files).select(F.lit(name).alias("name"), "n", "bounded"))  # one row each
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@query(with_(MESSAGES) + """, span AS (SELECT max(event_id) // 3 AS lo, max(event_id) // 3 + 99 AS hi FROM messages)
+SELECT event_id AS block_number, 'chain-' || CAST(user_id % 3 AS VARCHAR) AS blockchain_id, '0x' || sha256(CAST(event_id AS VARCHAR)) AS hash FROM messages, span WHERE error_class IS NULL AND event_id BETWEEN lo AND hi""")
+def lookup_by_height(spark, d):
+    """A hundred heights of a snapshot table: files without any of them are not opened."""
+    held = _snapshot(spark, _snapshots(spark, d), "blocks")
+    low = L.messages(spark, d).agg(F.floor(F.max(F.col("key").cast("bigint")) / 3)).first()[0]
+    return held.read(low=low, high=low + 99).select(F.col("block_number").cast("bigint").alias("block_number"), "blockchain_id", C.hex_text(F.col("hash")).alias("hash"))
+
+
+@query(with_(MESSAGES) + """, span AS (SELECT max(event_id) // 3 AS lo, max(event_id) // 3 + 99 AS hi FROM messages)
+SELECT '0x' || sha256(CAST(event_id + 1 AS VARCHAR)) AS hash, event_id AS block_number, user_id AS nonce FROM messages, span WHERE error_class IS NULL AND event_id % 2 = 1 AND event_id BETWEEN lo AND hi""")
+def lookup_by_hash(spark, d):
+    """Transactions by their hashes, from the row groups whose Bloom filters may have them."""
+    held = _snapshot(spark, _snapshots(spark, d), "transactions")
+    low = L.messages(spark, d).agg(F.floor(F.max(F.col("key").cast("bigint")) / 3)).first()[0]
+    wanted = [hashlib.sha256(str(n + 1).encode()).digest() for n in range(low, low + 100)]
+    return held.lookup(wanted).select(C.hex_text(F.col("hash")).alias("hash"), F.col("block_number").cast("bigint").alias("block_number"), F.col("nonce").cast("bigint").alias("nonce"))
+
+
 @query(with_(MESSAGES) + "SELECT error_class, count(*) AS n FROM messages WHERE error_class IS NOT NULL GROUP BY 1")
 def stream_dlq(spark, d):
     return I.table(spark, _ingested(spark, d), "dead_letters").groupBy("error_class").agg(F.count("*").alias("n"))
