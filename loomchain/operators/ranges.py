@@ -1,7 +1,7 @@
 """Positions in sequence: contiguous watermarks, gaps, claims, running values.
 
-A chain may have billions of positions, so no window here orders a whole chain.  Positions fall into buckets of ``BUCKET``; work
-that needs order runs inside buckets, and what crosses their borders is one row for each bucket.
+A chain may have billions of positions, so no window here orders a whole chain.  Positions fall into buckets of ``BUCKET`` and are bitmaps there
+(``bitmaps``); what crosses their borders is one row for each bucket.
 """
 
 from __future__ import annotations
@@ -9,45 +9,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = 100_000
+from loomchain.operators import bitmaps as B
 
+BUCKET = B.SIZE
 
-def _bucket(column: str, size: int) -> Column:
-    return F.floor(F.col(column) / size).cast("bigint")
+
+def _ahead(positions: DataFrame, bounds: DataFrame, size: int) -> DataFrame:
+    """Bitmaps of the positions from each chain's lowest on."""
+    return B.bitmaps(positions.join(bounds.select("chain", "lowest"), "chain").where("h >= lowest").select("chain", "h"), size)
 
 
 def contiguous_watermark(positions: DataFrame, bounds: DataFrame, size: int = BUCKET) -> DataFrame:
-    """(chain, watermark): the smallest h >= lowest that ``positions(chain, h)`` lacks, for each row of ``bounds(chain, lowest)``.
+    """(chain, watermark): the smallest h >= lowest that ``positions(chain, h)`` lacks, for each row of ``bounds(chain, lowest)``."""
+    return _watermark(_ahead(positions, bounds, size), bounds, size)
 
-    Whole buckets are counted; the first one that is not full is found among the counts, and only its rows are ordered.
-    """
-    ahead = positions.join(bounds.select("chain", "lowest"), "chain").where("h >= lowest").select("chain", "lowest", "h").distinct()
-    placed = ahead.withColumn("bucket", F.floor((F.col("h") - F.col("lowest")) / size).cast("bigint"))
-    counts = placed.groupBy("chain", "bucket").agg(F.count("*").alias("n"))
-    # Buckets are full from 0 on as long as the k-th full one is number k: one row for each bucket meets here, not each position.
+
+def _watermark(ahead: DataFrame, bounds: DataFrame, size: int) -> DataFrame:
+    """From bitmaps: whole buckets are counted, and of the first one that is not full the first position that lacks is looked for."""
+    low = bounds.select("chain", "lowest", B.bucket_of("lowest", size).alias("first"))
+    counts = ahead.select("chain", "bucket", "n").join(low, "chain")
+    wanted = F.when(F.col("bucket") == F.col("first"), (F.col("first") + 1) * size - F.col("lowest")).otherwise(F.lit(size))
+    # Buckets are full from the first on as long as the k-th full one is number k: one row for each bucket meets here, not each position.
     by_chain = Window.partitionBy("chain").orderBy("bucket")
-    full = counts.where(F.col("n") == size).withColumn("nth", F.row_number().over(by_chain) - 1).where("nth = bucket")
+    full = counts.where(F.col("n") == wanted).withColumn("nth", F.row_number().over(by_chain) - 1).where("nth = bucket - first")
     done = full.groupBy("chain").agg((F.max("bucket") + 1).alias("open"))
-    first = bounds.select("chain", "lowest").join(done, "chain", "left").select("chain", "lowest", F.coalesce("open", F.lit(0)).alias("bucket"))
-    inside = placed.select("chain", "bucket", "h").join(first, ["chain", "bucket"])
-    order = Window.partitionBy("chain").orderBy("h")
-    run = inside.withColumn("nth", F.row_number().over(order) - 1).where(F.col("h") == F.col("lowest") + F.col("bucket") * size + F.col("nth"))
-    reached = run.groupBy("chain").agg((F.max("h") + 1).alias("reached"))
-    return first.join(reached, "chain", "left").select("chain", F.coalesce("reached", F.col("lowest") + F.col("bucket") * size).cast("bigint").alias("watermark"))
+    at = low.join(done, "chain", "left").select("chain", "lowest", F.coalesce("open", "first").alias("bucket"))
+    at = at.withColumns({"low": F.greatest(F.col("lowest"), F.col("bucket") * size), "high": (F.col("bucket") + 1) * size - 1})
+    lacks = B.absent(at.join(ahead.select("chain", "bucket", "bits"), ["chain", "bucket"], "left"), size)
+    return lacks.groupBy("chain").agg(F.min("h").alias("watermark"))
 
 
 def gap_ranges(positions: DataFrame, bounds: DataFrame, size: int = BUCKET) -> DataFrame:
-    """(chain, first, last) of the missing intervals between lowest and highest of ``bounds``."""
-    inside = positions.join(bounds, "chain").where("h BETWEEN lowest AND highest").select("chain", "h").distinct().withColumn("bucket", _bucket("h", size))
-    order = Window.partitionBy("chain", "bucket").orderBy("h")
-    within = inside.withColumn("next", F.lead("h").over(order)).where("next > h + 1").select("chain", (F.col("h") + 1).alias("first"), (F.col("next") - 1).alias("last"))
-    edges = inside.groupBy("chain", "bucket").agg(F.min("h").alias("low"), F.max("h").alias("high"))
-    # The bounds stand before the first and behind the last bucket.
-    ends = bounds.select("chain", F.lit(-(1 << 62)).alias("bucket"), (F.col("lowest") - 1).alias("low"), (F.col("lowest") - 1).alias("high")).unionByName(
-        bounds.select("chain", F.lit(1 << 62).alias("bucket"), (F.col("highest") + 1).alias("low"), (F.col("highest") + 1).alias("high")))
-    by_chain = Window.partitionBy("chain").orderBy("bucket")
-    between = edges.unionByName(ends).withColumn("next", F.lead("low").over(by_chain)).where("next > high + 1").select("chain", (F.col("high") + 1).alias("first"), (F.col("next") - 1).alias("last"))
-    return within.unionByName(between)
+    """(chain, first, last) of the missing intervals between lowest and highest of ``bounds``, found along one bitmap for each bucket."""
+    # Runs inside a bucket meet where one ends with a bucket and the next begins with one.
+    runs = B.absent_runs(bounds, B.bitmaps(positions, size), size)
+    edge = (F.col("first") == F.col("bucket") * size) | (F.col("last") == (F.col("bucket") + 1) * size - 1)
+    by_chain = Window.partitionBy("chain").orderBy("first")
+    # At most two runs of a bucket touch its borders.
+    ends = runs.where(edge).withColumn("fresh", F.coalesce(F.col("first") != F.lag("last").over(by_chain) + 1, F.lit(True)).cast("int"))
+    joined = ends.withColumn("nth", F.sum("fresh").over(by_chain)).groupBy("chain", "nth").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return runs.where(~edge).select("chain", "first", "last").unionAll(joined.select("chain", "first", "last"))
 
 
 def heights(bounds: DataFrame, size: int = BUCKET) -> DataFrame:
@@ -60,7 +61,7 @@ def heights(bounds: DataFrame, size: int = BUCKET) -> DataFrame:
 
 def missing_heights(bounds: DataFrame, processed: DataFrame, inflight: DataFrame, size: int = BUCKET) -> DataFrame:
     """Heights in the bounds that are neither processed nor in flight."""
-    return heights(bounds, size).join(processed, ["chain", "h"], "left_anti").join(inflight, ["chain", "h"], "left_anti")
+    return B.missing(bounds, B.bitmaps(processed.select("chain", "h").unionAll(inflight.select("chain", "h")), size), size)
 
 
 def claimable(wanted: DataFrame, bounds: DataFrame, processed: DataFrame, inflight: DataFrame) -> DataFrame:
@@ -76,10 +77,19 @@ def height_state(wanted: DataFrame, bounds: DataFrame, processed: DataFrame) ->
     return wanted.join(bounds, "chain").join(done, ["chain", "h"], "left").select("chain", "h", state.alias("state"))
 
 
-def backfill_plan(missing: DataFrame, n: int, chunk: int) -> DataFrame:
-    """The n lowest claimable heights in chunks of work; a top-n report, so only n rows are ordered at the end."""
-    first = missing.orderBy("chain", "h").limit(n)
-    return first.withColumn("nth", F.row_number().over(Window.partitionBy("chain").orderBy("h")) - 1).select("chain", "h", F.floor(F.col("nth") / chunk).cast("bigint").alias("chunk"))
+def backfill_plan(bounds: DataFrame, taken: DataFrame, n: int, chunk: int, size: int = BUCKET) -> DataFrame:
+    """(chain, h, chunk): each chain's n lowest heights that nobody has done or claimed, in chunks of work; ``taken(chain, h)`` are the others.
+
+    Counts by bucket and their running sum say which buckets hold a chain's first n; only these are expanded and ordered.
+    """
+    lacks = B.lacking(bounds, B.bitmaps(taken, size), size)
+    before = Window.partitionBy("chain").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lacks.where("n > 0").select("chain", "bucket", "n").withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    chosen = counts.where(F.col("before") < n).select("chain", "bucket", "before")
+    found = B.absent(lacks.join(chosen, ["chain", "bucket"], "left_semi"), size).withColumn("bucket", B.bucket_of("h", size))
+    # Places are counted inside a bucket, behind those of the buckets before.
+    nth = F.row_number().over(Window.partitionBy("chain", "bucket").orderBy("h")) - 1 + F.col("before")
+    return found.join(chosen, ["chain", "bucket"]).withColumn("nth", nth).where(F.col("nth") < n).select("chain", "h", F.floor(F.col("nth") / chunk).cast("bigint").alias("chunk"))
 
 
 def reset_window(processed: DataFrame, bounds: DataFrame, new_lowest: DataFrame) -> DataFrame:
@@ -90,8 +100,9 @@ def reset_window(processed: DataFrame, bounds: DataFrame, new_lowest: DataFrame)
 
 def window_snapshot(processed: DataFrame, bounds: DataFrame, size: int = BUCKET) -> DataFrame:
     """(chain, lowest, highest, pending): the watermark, the highest height and the processed heights that wait behind a gap."""
-    mark = contiguous_watermark(processed, bounds, size)
-    waiting = processed.distinct().join(mark, "chain").where("h >= watermark").groupBy("chain").agg(F.count("*").alias("pending"))
+    ahead = _ahead(processed, bounds, size)
+    mark = _watermark(ahead, bounds, size)
+    waiting = B.count_from(ahead, mark.select("chain", F.col("watermark").alias("mark")), size).withColumnRenamed("n", "pending")
     return bounds.select("chain", "highest").join(mark, "chain").join(waiting, "chain", "left").select("chain", F.col("watermark").alias("lowest"), "highest", F.coalesce("pending", F.lit(0)).alias("pending"))
 
 
@@ -106,11 +117,12 @@ def offset_commit(offsets: DataFrame, initial: DataFrame, size: int = BUCKET) ->
 
     The watermark never moves back.  ``initial(partition, committed)`` gives the offset committed so far.
     """
-    marks = contiguous_watermark(
-        offsets.select(F.col("partition").alias("chain"), F.col("offset").alias("h")), initial.select(F.col("partition").alias("chain"), (F.col("committed") + 1).alias("lowest")), size)
-    now = marks.select(F.col("chain").alias("partition"), (F.col("watermark") - 1).alias("committed"))
-    waiting = offsets.distinct().join(now, "partition").where("offset > committed").groupBy("partition").agg(F.count("*").alias("pending"))
-    return now.join(waiting, "partition", "left").select("partition", "committed", F.coalesce("pending", F.lit(0)).alias("pending"))
+    bounds = initial.select(F.col("partition").alias("chain"), (F.col("committed") + 1).alias("lowest"))
+    ahead = _ahead(offsets.select(F.col("partition").alias("chain"), F.col("offset").alias("h")), bounds, size)
+    marks = _watermark(ahead, bounds, size)
+    waiting = B.count_from(ahead, marks.select("chain", F.col("watermark").alias("mark")), size)
+    found = marks.join(waiting, "chain", "left")
+    return found.select(F.col("chain").alias("partition"), (F.col("watermark") - 1).alias("committed"), F.coalesce("n", F.lit(0)).alias("pending"))
 
 
 def running(rows: DataFrame, keys: list[str], bucket: Column, order: list[str], value: Column, how: str, name: str) -> DataFrame:

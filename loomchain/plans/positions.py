@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomchain.operators import bitmaps as B
 from loomchain.operators import ranges as G
 from loomchain.operators import relations as R
 from loomchain.plans.registry import ALL_HEIGHTS, CHECKPOINTS, COMMIT, DONE, MESSAGES, MISSING, POSITIONS, query, with_
@@ -33,7 +34,7 @@ def missing_heights(spark, d):
 @query(with_(POSITIONS, ALL_HEIGHTS) + "SELECT h FROM heights WHERE h NOT IN (SELECT h FROM processed) AND h NOT IN (SELECT h FROM inflight)")
 def unprocessed_set(spark, d):
     bounds, processed, inflight = _window(spark, d)
-    return G.heights(bounds).subtract(processed.unionByName(inflight)).select("h")
+    return B.missing(bounds, B.united(B.bitmaps(processed), B.bitmaps(inflight))).select("h")
 
 
 @query(with_(POSITIONS, ALL_HEIGHTS, MISSING) + "SELECT min(h) AS h FROM missing")
@@ -75,7 +76,20 @@ def gap_ranges(spark, d):
 
 @query(with_(POSITIONS, ALL_HEIGHTS, MISSING) + "SELECT h, (row_number() OVER (ORDER BY h) - 1) // 32 AS chunk FROM (SELECT h FROM missing ORDER BY h LIMIT 256)")
 def backfill_plan(spark, d):
-    return G.backfill_plan(_missing(spark, d), 256, 32).select("h", "chunk")
+    bounds, processed, inflight = _window(spark, d)
+    return G.backfill_plan(bounds, processed.unionAll(inflight), 256, 32).select("h", "chunk")
+
+
+_OWN = """own AS (SELECT 'chain-' || CAST(o_orderkey % 3 AS VARCHAR) AS chain, o_orderkey // 3 AS h, o_orderstatus <> 'P' AS done FROM orders),
+lacks AS (SELECT chain, h FROM own GROUP BY 1, 2 HAVING NOT bool_or(done))"""
+
+
+@query(f"WITH {_OWN} SELECT chain, h, (row_number() OVER (PARTITION BY chain ORDER BY h) - 1) // 32 AS chunk FROM lacks QUALIFY row_number() OVER (PARTITION BY chain ORDER BY h) <= 100")
+def backfill_by_chain(spark, d):
+    """Three chains, each with the lowest heights that it lacks."""
+    own = L.headers(spark, d).select(F.concat(F.lit("chain-"), (F.col("block_number") % 3).cast("string")).alias("chain"), F.floor(F.col("block_number") / 3).alias("h"), "status")
+    bounds = own.groupBy("chain").agg(F.min("h").alias("lowest"), F.max("h").alias("highest"))
+    return G.backfill_plan(bounds, own.where("status <> 'P'"), 100, 32)
 
 
 @query(with_(POSITIONS, ALL_HEIGHTS, MISSING) + "SELECT h, h * h AS result FROM missing WHERE h % 10 <> 3 UNION ALL SELECT h, NULL FROM missing WHERE h % 10 = 3")
@@ -137,7 +151,8 @@ def partition_lag(spark, d):
 
 @query(with_(MESSAGES, DONE) + """SELECT DISTINCT partition, o AS "offset" FROM (SELECT partition, o FROM done UNION ALL SELECT partition, "offset" FROM messages WHERE "offset" % 3 = 0)""")
 def merge_offsets(spark, d):
-    return R.merge(L.processed_offsets(spark, d), L.message_log(spark, d).where("offset % 3 = 0"), ["partition", "offset"])
+    sets = [B.bitmaps(o.select(F.col("partition").alias("chain"), F.col("offset").alias("h"))) for o in (L.processed_offsets(spark, d), L.message_log(spark, d).where("offset % 3 = 0"))]
+    return B.members(B.united(*sets)).select(F.col("chain").alias("partition"), F.col("h").alias("offset"))
 
 
 @query(with_(MESSAGES, DONE, COMMIT) + """SELECT c.partition, CASE WHEN c.partition <> 3 AND committed + 1 >= low THEN committed + 1 ELSE low END AS start, NOT (c.partition <> 3 AND committed + 1 >= low) AS reset
