@@ -7,9 +7,9 @@ small row for each task.  Lines whose estimate is near the threshold get an exac
 Up to ``LINES_SENT`` lines found go to the tasks, which clean the texts in place; beyond that each text meets the lines found in it by
 a join on the text's hash.  Both ways give the same rows.
 
-``clean_lines``, which the pipeline runs, also tells near copies by what they are: texts that would lose more than half are linked by
-MinHash bands of five-word shingles from a similarity of about 0.8 on, each class of near copies counts as one site, and only lines that
-still stand on enough sites leave.  Whatever line leaves, leaves every text.
+``clean_lines``, which the pipeline runs, also tells near copies by what they are: of the texts that hold such a line, those that share a MinHash band
+and whose five-word shingles have a similarity of ``SIMILARITY`` or more are linked, each class of near copies counts as one site, and only lines
+that still stand on enough sites leave.  Whatever line leaves, leaves every text.
 
 Null text: no lines.  Lines without anything but white space are neither counted nor removed.  A null source is no site.  What is
 removed depends on the text alone, so repeated rows and null or repeated doc_ids are treated alike; a text of nothing but boilerplate
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from loomchain.llm.common import cut, table
 from loomchain.llm.components import components
+from loomchain.llm.rounds import verified_links
 
 #: Distinct sites from which on a line is boilerplate.
 SITES = 8
@@ -35,8 +36,8 @@ SKETCH_BITS = 8
 BAND = 0.26
 #: Lines (two numbers each) that are sent to the tasks; more are joined.
 LINES_SENT = 20_000
-#: Words in a shingle of near copies; bands and rows of their MinHash.  Texts that share a band are linked if enough of all hashes agree.
-SHINGLE, BANDS, BAND_ROWS = 5, 16, 8
+#: Words in a shingle of near copies; bands and rows of their MinHash.  Texts that share a band are linked if enough of their shingles are the same.
+SHINGLE, BANDS, BAND_ROWS = 5, 20, 5
 SIMILARITY = 0.8
 
 _NOT_BLANK = "[^ \\t\\x0B\\f\\r]"
@@ -111,25 +112,30 @@ def near_copies(texts: DataFrame) -> DataFrame:
     shingles = cut(texts.select("t1", words.alias("words")).select("t1", F.array_distinct(shingled).alias("shingles")), "shingles")
 
     def least_of(k: int) -> Column:
-        return F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.lit(k))))
+        # Hashes are spread evenly, so that the one nearest to a point, by exclusive or, is any of them alike.
+        return F.array_min(F.transform("shingles", lambda x: x.bitwiseXOR(F.xxhash64(F.lit(k)))))
 
-    signed = cut(shingles.select("t1", F.array(*(least_of(k) for k in range(BANDS * BAND_ROWS))).alias("least")), "minima")
+    least = shingles.select("t1", F.array(*(least_of(k) for k in range(BANDS * BAND_ROWS))).alias("least"))
     bands = F.array(*(F.xxhash64(F.lit(b), F.slice("least", b * BAND_ROWS + 1, BAND_ROWS)) for b in range(BANDS)))
-    keyed = signed.select("t1", "least", F.explode(bands).alias("key"))
-    # Each text meets one other of its band, so a group of copies costs its size.
-    first = keyed.groupBy("key").agg(F.min(F.struct("t1", "least")).alias("first"))
-    pairs = keyed.join(first, "key").where(F.col("t1") != F.col("first.t1"))
-    agree = F.size(F.filter(F.arrays_zip("least", F.col("first.least").alias("other")), lambda x: x["least"] == x["other"]))
-    return components(pairs.where(agree >= SIMILARITY * BANDS * BAND_ROWS).select(F.col("t1").alias("a"), F.col("first.t1").alias("b")))
+    buckets = cut(least.select("t1", F.explode(bands).alias("key")), "bands")
+    side = lambda end, name: shingles.select(F.col("t1").alias(end), F.col("shingles").alias(name))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        both = F.size(F.array_intersect("one", "two"))
+        joined = pairs.join(side("a", "one"), "a").join(side("b", "two"), "b")
+        return joined.where(both >= SIMILARITY * (F.size("one") + F.size("two") - both)).select("a", "b")
+
+    return components(verified_links(buckets, verify))
 
 
 def proven_boilerplate(own: DataFrame, lines: DataFrame, sites: int = SITES) -> DataFrame:
     """(h1, h2) of the lines that stand on so many sites when near copies of a text, too, count once."""
     spread = cut(boilerplate_lines(lines, sites), "boilerplate")
-    left = _cleaned(own, lines, spread).select("text", F.array_join("left", "\n").alias("left"))
-    doubtful = left.where(2 * F.length("left") < F.length("text")).select(*(k.alias(n) for k, n in zip(_keys(F.col("text")), ("t1", "t2"))), "text").dropDuplicates(["t1", "t2"])
-    roots = near_copies(doubtful.select("t1", "text"))
     found = cut(lines.join(spread, ["h1", "h2"], "left_semi"), "found")
+    # Every text with such a line is looked at, once.
+    t1, t2 = _keys(F.col("text"))
+    holders = own.select(t1.alias("t1"), t2.alias("t2"), "text").join(found.select("t1", "t2").distinct(), ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"])
+    roots = near_copies(holders.select("t1", "text"))
     classed = found.join(roots, F.col("t1") == F.col("node"), "left").select("h1", "h2", "site", F.coalesce("root", "t1").alias("class"))
     one = classed.groupBy("class").agg(F.min("site").alias("site"))
     return cut(_on_sites(classed.select("h1", "h2", "class").distinct().join(one, "class"), sites), "boilerplate")

@@ -13,9 +13,9 @@ thousands of copies costs its size, not its square, and no bucket lists its pair
 Components come from links between fingerprints.  A node is its smallest document and its fingerprint, and so is a component's root:
 what a fingerprint's component is called comes with its root, and no join gathers a component.
 
-``one_of_each``, which the pipeline runs, also catches near copies that differ in more bits.  ``WORD_PRINTS`` further fingerprints of each
-text are taken of its distinct words, which an edit here and there hardly changes; what is within the threshold by one of them is a
-candidate by the same search, and counts if the texts' five-word shingles have a Jaccard similarity of ``SIMILARITY`` or more.
+``one_of_each``, which the pipeline runs, also catches near copies that differ in more bits: texts whose five-word shingles have a Jaccard similarity of
+``SIMILARITY`` or more.  MinHash bands of these shingles propose them (a pair of that similarity shares a band with a probability of 0.9996), and every
+proposal is verified by the shingles themselves, in rounds (``rounds``).
 
 Null or blank text: fingerprint zero, linked like any other.  A very long text is hashed whole.  Rows are judged alone: repeated rows and
 doc_ids each give their row.  A null doc_id is never a component_id unless its whole component has none.  Other columns, whatever their
@@ -33,8 +33,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import cut, rows_of, table, texts
+from loomchain.llm.common import cut, give_back, rows_of, table, texts
 from loomchain.llm.components import components
+from loomchain.llm.rounds import verified_links
 
 U = np.uint64
 SHINGLE = 4
@@ -48,11 +49,10 @@ SMALL = 48
 #: Keys of rows (28 bytes each at most) that are sent to the tasks; more are joined.
 KEYS_SENT = 1_000_000
 
-#: Fingerprints of words that propose near copies, and the similarity of word shingles that they must have.
-WORD_PRINTS = 3
+#: The similarity that near copies must have, and the words of their shingles.
 SIMILARITY, SIMILAR_SHINGLE = 0.8, 5
-#: Words that a worker's table of hashes may hold before it starts anew.
-CACHE_ENTRIES = 100_000
+#: MinHash bands of near copies, and their rows.
+BANDS, BAND_ROWS = 20, 5
 
 _WIDTHS = [10, 9, 9, 9, 9, 9, 9]
 _SHIFTS = [0, 10, 19, 28, 37, 46, 55]
@@ -82,23 +82,22 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(U)[0])
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word, SEED)
-        return h
+def _pivots(count: int) -> list[int]:
+    """Points of 64 bits, spread by a fixed rule."""
+    return [xxhash.xxh64_intdigest(k.to_bytes(4, "little"), SEED) for k in range(count)]
 
 
-def word_fingerprints(text: bytes, hashes: WordHashes) -> list[int]:
-    """Of the distinct words of a text, by several hashes."""
+def shingle_hashes(text: bytes) -> np.ndarray:
+    """Of the five-word shingles of a text in lower case; a shorter text is one shingle, and one without words has none."""
     words = text.lower().split()
-    own = np.unique(np.fromiter(map(hashes.__getitem__, words), U, len(words)))
-    out = []
-    for k in range(WORD_PRINTS):
-        x = own ^ U((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
-        x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-        out.append(majority(x ^ (x >> U(31))))
-    return out
+    n = max(1, len(words) - SIMILAR_SHINGLE + 1) if words else 0
+    return np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + SIMILAR_SHINGLE]), SEED) for i in range(n)), U, n)
+
+
+def band_keys(hashes: np.ndarray, pivots: list[int]) -> list[int]:
+    """A number for each band: texts that have it in common agree in which hashes are nearest to the band's pivots, by exclusive or."""
+    least = [min(int((hashes[at : at + 8192] ^ U(p)).min()) for at in range(0, len(hashes), 8192)) for p in pivots] if len(hashes) else []
+    return [_signed(xxhash.xxh64_intdigest(np.array([i, *least[i : i + BAND_ROWS]], U).tobytes(), SEED)) for i in range(0, len(least), BAND_ROWS)]
 
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,17 +107,15 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _keyed_fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    pivots = _pivots(BANDS * BAND_ROWS)
     for batch in batches:
-        prints = np.zeros((batch.num_rows, 1 + WORD_PRINTS), U)
+        prints, keys = np.zeros(batch.num_rows, U), []
         for i, text in enumerate(batch["text"]):
             text = text.as_py()
-            prints[i] = [fingerprint(text), *word_fingerprints(text, hashes)]
-        if len(hashes) > CACHE_ENTRIES:
-            hashes.clear()
-        offsets = np.arange(0, prints.size + 1, WORD_PRINTS, dtype=np.int32)[: batch.num_rows + 1]
-        words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(prints[:, 1:].reshape(-1).view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints[:, 0].copy().view(np.int64)), batch["t1"], batch["t2"], words], names=["doc_id", "fp", "t1", "t2", "words"])
+            prints[i] = fingerprint(text)
+            keys.append(band_keys(shingle_hashes(text), pivots))
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64)), batch["t1"], batch["t2"], pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "t1", "t2", "keys"])
+    give_back()
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -248,12 +245,7 @@ def _classes(prints: DataFrame, mark: Column, found: DataFrame) -> DataFrame:
 
 def _shingle_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = []
-        for text in batch["text"]:
-            words = text.as_py().lower().split()
-            n = max(1, len(words) - SIMILAR_SHINGLE + 1) if words else 0
-            hashes = (xxhash.xxh32_intdigest(b" ".join(words[i : i + SIMILAR_SHINGLE]), SEED) for i in range(n))
-            sets.append(np.unique(np.fromiter(hashes, np.uint32, n)).tobytes())
+        sets = [np.unique((shingle_hashes(text.as_py()) >> U(32)).astype(np.uint32)).tobytes() for text in batch["text"]]
         yield pa.RecordBatch.from_arrays([batch["t1"], pa.array(sets, pa.binary())], names=["t1", "shingles"])
 
 
@@ -272,22 +264,19 @@ def _if_small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.limit(KEYS_SENT + 1).count() <= KEYS_SENT else keys
 
 
-def _near_copies(keyed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Links (a, b: t1 of texts) of the near copies that fingerprints of words propose.
-
-    ``keyed(t1, text)`` has the texts, ``nodes(t1, words)`` each distinct one's fingerprints and ``found(kind, a, b)`` the links of these.
-    Of texts with an equal fingerprint the least t1 stands for all: each of the others meets it, and it meets those of near fingerprints.
-    """
-    by_print = nodes.select("t1", F.posexplode("words").alias("kind", "fp"))
-    first = by_print.groupBy("kind", "fp").agg(F.min("t1").alias("first"))
-    equal = by_print.join(first, ["kind", "fp"]).where("t1 <> first").select(F.col("t1").alias("a"), F.col("first").alias("b"))
-    end = lambda name: first.select("kind", F.col("fp").alias(name), F.col("first").alias(f"t_{name}"))
-    near = found.join(end("a"), ["kind", "a"]).join(end("b"), ["kind", "b"]).select(F.col("t_a").alias("a"), F.col("t_b").alias("b"))
-    pairs = cut(equal.unionAll(near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
-    wanted = _if_small(cut(pairs.select(F.explode(F.array("a", "b")).alias("t1")).distinct(), "wanted"))
+def _near_copies(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b: t1 of texts) of near copies; ``keyed(t1, text)`` has the texts and ``nodes(t1, keys)`` each distinct one's bands."""
+    buckets = nodes.select("t1", F.explode("keys").alias("key"))
+    several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    buckets = cut(buckets.join(several, "key", "left_semi"), "buckets")
+    wanted = _if_small(cut(buckets.select("t1").distinct(), "wanted"))
     sets = cut(keyed.join(wanted, "t1", "left_semi").select("t1", "text").mapInArrow(_shingle_sets, "t1 long, shingles binary").dropDuplicates(["t1"]), "shingles")
     side = lambda end, name: sets.select(F.col("t1").alias(end), F.col("shingles").alias(name))
-    return pairs.join(side("a", "one"), "a").join(side("b", "two"), "b").select("a", "b", "one", "two").mapInArrow(_similar, "a long, b long")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return pairs.join(side("a", "one"), "a").join(side("b", "two"), "b").select("a", "b", "one", "two").mapInArrow(_similar, "a long, b long")
+
+    return verified_links(buckets, verify)
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -302,15 +291,13 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all their columns, of which each component keeps one: the smallest doc_id, then the least text hash."""
     keyed = texts(docs).select("doc_id", "text", F.xxhash64(F.col("text").cast("string")).alias("t1"), F.hash(F.col("text").cast("string")).alias("t2"))
-    prints = cut(keyed.mapInArrow(_keyed_fingerprints, "doc_id long, fp long, t1 long, t2 int, words array<long>"), "fingerprints")
-    nodes = cut(prints.groupBy("t1").agg(F.min("fp").alias("fp"), F.min("words").alias("words")), "texts")
-    # All fingerprints are searched together: kind 0 counts as it is, the other kinds are candidates.
-    kinds = nodes.select(F.posexplode(F.concat(F.array("fp"), F.col("words"))).alias("kind", "fp")).distinct()
-    found = cut(links(kinds, threshold).distinct(), "links")
-    near = _near_copies(keyed.select("t1", "text"), nodes, found.where("kind > 0").withColumn("kind", F.col("kind") - 1))
+    prints = cut(keyed.mapInArrow(_keyed_fingerprints, "doc_id long, fp long, t1 long, t2 int, keys array<long>"), "fingerprints")
+    nodes = cut(prints.groupBy("t1").agg(F.min("fp").alias("fp"), F.min("keys").alias("keys")), "texts")
+    found = cut(links(nodes.select(F.lit(0).alias("kind"), "fp").distinct(), threshold).select("a", "b").distinct(), "links")
+    near = _near_copies(keyed.select("t1", "text"), nodes)
     end = lambda name: nodes.select(F.col("t1").alias(name), F.col("fp").alias(f"fp_{name}"))
     copies = near.join(end("a"), "a").join(end("b"), "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).where("a <> b")
-    linked = cut(found.where("kind = 0").select("a", "b").unionAll(copies).distinct(), "links")
+    linked = cut(found.unionAll(copies).distinct(), "links")
     mark = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t1", "t2")
     # Written before the join, which is then one of two plain tables: a frequent fingerprint is a skewed key that Spark splits.
     marked = prints.join(cut(_classes(prints, mark, linked), "classes"), "fp").select("doc_id", "t1", "t2", (~mark.eqNullSafe(F.col("best"))).alias("goes"))
