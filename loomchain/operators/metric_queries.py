@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,16 +54,38 @@ def increases(counter: DataFrame, keys: list[str], order: list[str], bucket_seco
     return found.withColumn("increase", F.when(before.isNull(), 0).when(F.col("v") >= before, F.col("v") - before).otherwise(F.col("v"))).drop("_previous")
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
+
+
+def _seconds(duration: str) -> int:
+    n, unit = duration.split()
+    return int(n) * _UNITS[unit.rstrip("s")]
+
+
+def windowed(samples: DataFrame, keys: list[str], window: str, slide: str, sums: dict[str, Column]) -> DataFrame:
+    """(start, keys, sums) over sliding windows of event time, by panes.
+
+    A pane is as long as window and slide have in common.  A sample is summed once, in its pane, and a pane's few sums go to each window that it is part of.
+    Samples without a time are in no window.
+    """
+    long, step = _seconds(window), _seconds(slide)
+    pane = math.gcd(long, step)
+    at = F.floor(F.unix_timestamp("ts") / pane).cast("bigint") * pane
+    by_pane = samples.where("ts IS NOT NULL").groupBy(at.alias("_pane"), *keys).agg(*(c.alias(name) for name, c in sums.items()))
+    last = F.floor(F.col("_pane") / step).cast("bigint") * step
+    starts = F.filter(F.transform(F.sequence(F.lit(0), F.lit(-(-long // step) - 1)), lambda k: last - k * step), lambda s: s > F.col("_pane") - long)
+    return by_pane.withColumn("start", F.explode(starts)).groupBy("start", *keys).agg(*(F.sum(name).alias(name) for name in sums))
+
+
 def rate(increased: DataFrame, keys: list[str], window: str, slide: str, seconds: int) -> DataFrame:
     """Increase per second over sliding windows of event time, without extrapolation at the edges."""
-    by_window = increased.groupBy(F.window("ts", window, slide), *keys).agg(F.sum("increase").alias("increase"))
-    return by_window.select(F.unix_timestamp("window.start").alias("start"), *keys, "increase", F.round(F.col("increase") / seconds, 6).alias("rate"))
+    return windowed(increased, keys, window, slide, {"increase": F.sum("increase")}).withColumn("rate", F.round(F.col("increase") / seconds, 6))
 
 
-def ratio(samples: DataFrame, window: str, condition: Column, keys: list[str]) -> DataFrame:
-    """Share of the samples that meet a condition, per tumbling window."""
-    by_window = samples.groupBy(F.window("ts", window), *keys).agg(F.count_if(condition).alias("part"), F.count("*").alias("n"))
-    return by_window.select(F.unix_timestamp("window.start").alias("start"), *keys, "part", "n", F.round(F.col("part") / F.col("n"), 6).alias("ratio"))
+def ratio(samples: DataFrame, window: str, condition: Column, keys: list[str], slide: str | None = None) -> DataFrame:
+    """Share of the samples that meet a condition, per window; windows tumble unless they have a ``slide``."""
+    by_window = windowed(samples, keys, window, slide or window, {"part": F.count_if(condition), "n": F.count("*")})
+    return by_window.select("start", *keys, "part", "n", F.round(F.col("part") / F.col("n"), 6).alias("ratio"))
 
 
 def in_flight(changes: DataFrame, keys: list[str], bucket_seconds: int = 3600) -> DataFrame:

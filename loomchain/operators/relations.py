@@ -28,6 +28,42 @@ def reconcile(expected: DataFrame, stored: DataFrame, key: str, fields: list[str
     return both.select(key, status.alias("status"), F.when(status == "mismatch", differing).otherwise("").alias("fields"))
 
 
+def range_digests(rows: DataFrame, key: str, fields: list[str], span: int = 4096) -> DataFrame:
+    """(range, n, h1, h2): order-free sums of row hashes for each range of ``span`` keys.  They can be kept with a table and added up, batch by batch."""
+    # A NULL leaves no mark in a hash, so that which fields are NULL is hashed as well.
+    content = [F.col(key), *(F.col(f) for f in fields), *(F.col(f).isNull() for f in fields)]
+    hashed = rows.select(F.floor(F.col(key) / span).cast("bigint").alias("range"), F.xxhash64(*content).alias("a"), F.xxhash64(F.lit(1), *content).alias("b"))
+    return hashed.groupBy("range").agg(F.count("*").alias("n"), F.sum(F.col("a").cast("decimal(38,0)")).alias("h1"), F.sum(F.col("b").cast("decimal(38,0)")).alias("h2"))
+
+
+def differing_ranges(expected: DataFrame, stored: DataFrame, widths: tuple[int, ...] = (4096, 64, 1)) -> DataFrame:
+    """(range) of those whose digests differ, from the top of a tree down: below a node that agrees nothing is compared."""
+
+    def level(digests: DataFrame, width: int, within: DataFrame | None, above: int) -> DataFrame:
+        if within is not None:
+            digests = digests.withColumn("_above", F.floor(F.col("range") / above).cast("bigint")).join(within, F.col("_above").eqNullSafe(F.col("node")), "left_semi").drop("_above")
+        return digests.groupBy(F.floor(F.col("range") / width).cast("bigint").alias("node")).agg(*(F.sum(c).alias(c) for c in ("n", "h1", "h2")))
+
+    differ, above = None, 1
+    for width in widths:
+        e, s = level(expected, width, differ, above), level(stored, width, differ, above).select(*(F.col(c).alias(f"_{c}") for c in ("node", "n", "h1", "h2")))
+        both = e.join(s, F.col("node").eqNullSafe(F.col("_node")), "full_outer")
+        same = F.col("n").eqNullSafe(F.col("_n")) & F.col("h1").eqNullSafe(F.col("_h1")) & F.col("h2").eqNullSafe(F.col("_h2"))
+        differ, above = both.where(~same).select(F.coalesce("node", "_node").alias("node")), width
+    return differ.select(F.col("node").alias("range"))
+
+
+def reconcile_ranges(expected: DataFrame, stored: DataFrame, key: str, fields: list[str], digests: tuple[DataFrame, DataFrame] | None = None, span: int = 4096) -> DataFrame:
+    """(key, status, differing fields) of the keys that are not alike on both sides; only ranges whose digests differ are joined.
+
+    ``digests`` are those of both sides where they are kept; else both tables are read once more for them, by key and fields.
+    """
+    e, s = digests or (range_digests(expected, key, fields, span), range_digests(stored, key, fields, span))
+    differ = differing_ranges(e, s)
+    inside = lambda rows: rows.withColumn("_range", F.floor(F.col(key) / span).cast("bigint")).join(differ, F.col("_range").eqNullSafe(F.col("range")), "left_semi").drop("_range")
+    return reconcile(inside(expected), inside(stored), key, fields).where("status <> 'ok'")
+
+
 def with_header(children: DataFrame, headers: DataFrame, columns: list[str]) -> DataFrame:
     """Block fields on each child row.  The planner sends the headers if their size allows it and shuffles them otherwise."""
     return children.join(headers.select("block_number", *columns), "block_number")

@@ -271,6 +271,24 @@ def reconcile_blocks(spark, d):
     return found.groupBy("status", "fields").agg(F.count("*").alias("n"))
 
 
+@query(with_(HEADERS) + """, e AS (SELECT max(block_number) AS top FROM headers)
+SELECT block_number, CASE WHEN block_number % 4999 = 17 THEN 'missing' ELSE 'mismatch' END AS status, CASE WHEN block_number % 4999 = 17 THEN '' ELSE 'base_fee_per_gas' END AS fields FROM headers
+WHERE block_number % 4999 = 17 OR block_number % 7001 = 5 AND base_fee_per_gas IS NOT NULL UNION ALL SELECT top + 1, 'extra', '' FROM e""")
+def reconcile_ranges(spark, d):
+    """Stored blocks lack a few, have lost a few fees, and have one beyond the expected ones.  Digests of both sides are written, as a table would keep them."""
+    fields = ["hash", "parent_hash", "evm_chain_id", "gas_used", "base_fee_per_gas"]
+    h = L.headers(spark, d).select("block_number", *fields)
+    fee = F.when((F.col("block_number") % 7001 != 5) | (F.col("block_number") % 4999 == 17), F.col("base_fee_per_gas"))
+    extra = h.orderBy(F.desc("block_number")).limit(1).withColumn("block_number", F.col("block_number") + 1)
+    stored = h.where("block_number % 4999 <> 17").withColumn("base_fee_per_gas", fee).unionByName(extra)
+    held = []
+    for name, rows in (("expected", h), ("stored", stored)):
+        at = T.new_path(spark, f"{name}_digests")
+        R.range_digests(rows, "block_number", fields, 256).write.parquet(at)
+        held.append(spark.read.parquet(at))
+    return R.reconcile_ranges(h, stored, "block_number", fields, tuple(held), 256)
+
+
 @query(with_(HEADERS, TX) + "SELECT t.block_number, transaction_index, h.blockchain_id, h.timestamp FROM tx t JOIN headers h USING (block_number)")
 def child_header_join(spark, d):
     return R.with_header(L.transactions(spark, d).select("block_number", "transaction_index"), L.headers(spark, d), ["blockchain_id", "timestamp"])

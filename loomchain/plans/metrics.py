@@ -85,6 +85,13 @@ def m_error_ratio(spark, d):
     return Q.ratio(L.samples(spark, d), "1 hour", F.col("status") == "error", [])
 
 
+@query(with_(SAMPLES) + """, w AS (SELECT event_type, status, CAST(floor(epoch(ts) / 900) AS BIGINT) * 900 - 900 * k AS start FROM samples, (SELECT unnest(range(0, 8)) AS k))
+SELECT start, event_type, count(*) FILTER (WHERE status = 'error') AS part, count(*) AS n, round(count(*) FILTER (WHERE status = 'error') / count(*), 6) AS ratio FROM w GROUP BY ALL""")
+def m_sliding_ratio(spark, d):
+    """Share of errors over two hours, every quarter of an hour, for each type."""
+    return Q.ratio(L.samples(spark, d), "2 hours", F.col("status") == "error", ["event_type"], "15 minutes")
+
+
 @query(with_(SAMPLES, _histogram("", Q.BOUNDS)) + _quantile("", 0.99))
 def m_quantile(spark, d):
     s = L.samples(spark, d).withColumn("everything", F.lit(1))
