@@ -9,6 +9,7 @@ from loomchain.functions import codecs as C
 from loomchain.operators import decode as D
 from loomchain.operators import ranges as G
 from loomchain.operators import relations as R
+from loomchain.operators import typed as Y
 from loomchain.plans.registry import COMMIT, DONE, FULL_HEADERS, HEADERS, LOGS, MESSAGES, TX, WITHDRAWALS, query, with_
 from loomchain.sources import landed as L
 from loomchain.sources import message_log as M
@@ -167,6 +168,23 @@ def classify_messages(spark, d):
     return D.classify(L.message_log(spark, d)).groupBy(F.coalesce("error_class", F.lit("good")).alias("error_class")).agg(F.count("*").alias("n"))
 
 
+_LARGE = "123456789012345678901234567890"
+
+
+@query(with_(MESSAGES) + f"""SELECT event_id, CASE WHEN event_id % 6 IN (0, 2) THEN 'malformed_json' END AS error_class, CASE WHEN event_id % 6 NOT IN (0, 2) THEN
+  CASE event_id % 6 WHEN 1 THEN '{int(float(_LARGE))}' WHEN 3 THEN '{_LARGE}' WHEN 4 THEN CAST(event_id AS VARCHAR) || '{"0" * 21}' ELSE '{int(1e23)}' END END AS difficulty FROM messages""")
+def typed_messages(spark, d):
+    """Headers whose limit or hash is written as another type, and whose difficulty is text or a number."""
+    kind = F.col("event_id") % 6
+    limit = F.when(kind == 0, '"5"').otherwise("5")
+    hash_ = F.when(kind == 2, "7").otherwise(F.concat(F.lit('"0x'), L.sha("event_id"), F.lit('"')))
+    difficulty = F.when(kind == 1, _LARGE).when(kind == 3, f'"{_LARGE}"').when(kind == 4, F.concat(F.lit('"'), "event_id", F.lit('e21"'))).when(kind == 5, "1e23").otherwise('"1"')
+    value = F.concat(F.lit('{"blockchainId":"c","number":"'), "event_id", F.lit('","gasLimit":'), limit, F.lit(',"hash":'), hash_, F.lit(',"difficulty":'), difficulty, F.lit("}"))
+    sent = L.table(spark, d, "events").select("event_id", F.col("event_id").cast("string").alias("key"), value.alias("value"))
+    found = Y.with_doubles(Y.classify(sent))
+    return found.select("event_id", "error_class", F.when(F.col("error_class").isNull(), C.big_integer(F.col("block.difficulty"))).alias("difficulty"))
+
+
 @query(with_(MESSAGES) + "SELECT key, error_class, CASE WHEN error_class = 'nil_message' THEN NULL WHEN error_class = 'malformed_json' THEN 'not json' ELSE 'json' END AS value FROM messages WHERE error_class IS NOT NULL")
 def dead_letters(spark, d):
     dead = D.route(L.message_log(spark, d))[1]
