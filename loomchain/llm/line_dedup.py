@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import cut, table
+from loomchain.llm.common import cut, free, table
 from loomchain.llm.components import components
 from loomchain.llm.rounds import verified_links
 
@@ -125,7 +125,10 @@ def near_copies(texts: DataFrame) -> DataFrame:
         joined = pairs.join(side("a", "one"), "a").join(side("b", "two"), "b")
         return joined.where(both >= SIMILARITY * (F.size("one") + F.size("two") - both)).select("a", "b")
 
-    return components(verified_links(buckets, verify))
+    found = verified_links(buckets, verify)
+    free(buckets)
+    free(shingles)
+    return components(found)
 
 
 def proven_boilerplate(own: DataFrame, lines: DataFrame, sites: int = SITES) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import cut, give_back, rows_of, table, texts
+from loomchain.llm.common import cut, free, give_back, rows_of, table, texts
 from loomchain.llm.components import components
 from loomchain.llm.rounds import verified_links
 
@@ -276,7 +276,10 @@ def _near_copies(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     def verify(pairs: DataFrame) -> DataFrame:
         return pairs.join(side("a", "one"), "a").join(side("b", "two"), "b").select("a", "b", "one", "two").mapInArrow(_similar, "a long, b long")
 
-    return verified_links(buckets, verify)
+    found = verified_links(buckets, verify)
+    free(sets)
+    free(buckets)
+    return found
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
