@@ -5,9 +5,9 @@ runs of known words shorter than the shortest phrase go: neither can lie in a ph
 Burrows-Wheeler transform, held as a wavelet matrix; all phrases are searched backward together through its ranks, and the rows
 found are walked to the next sampled suffix to locate them.  Occurrences become per-document removal spans, merged by a running sum.
 
-The benchmark goes to the tasks in parts of at most ``part_bytes`` bytes of text (a longer item is a part of its own), ``PASSES`` of them
-for each pass over the documents, so what is sent at once is bounded however large the benchmark is.  Between passes the documents are
-written with what was found so far.  They are never shuffled.
+The benchmark goes to the tasks in parts of at most ``part_windows`` windows (a longer item stands in several), ``PASSES`` of them for each pass over the
+documents, so what the driver builds and sends at once is bounded however large the benchmark is.  The words of a pass are numbered together, so
+that a shard has one index in it, which all its phrases are searched in.  Between passes the documents are written with what was found so far.  They are never shuffled.
 
 Null text: no words, no hits, not contaminated.  Items without words match nothing.  Items with a null item_id mark words but are
 not listed; rows that repeat an item_id count as one item.  Repeated documents and null doc_ids each give their row.  An empty
@@ -18,7 +18,6 @@ handed through or not read.  Empty table: empty result.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import blocks, cut, table, texts
+from loomchain.llm.common import blocks, cut, free, table, texts
 from loomchain.shipping import ship
 
 WINDOW = 13
-#: Bytes of benchmark text that are sent to the tasks at once.
-PART_BYTES = 8 << 20
+#: Windows of a part of the benchmark: 13 numbers of 32 bits each.
+PART_WINDOWS = 1 << 17
 #: Parts that one pass over the documents searches for.
 PASSES = 8
 #: Every how many-th text position keeps its suffix position.
@@ -50,23 +49,46 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Phrases:
-    """The distinct windows of one part of the benchmark, as rows of word numbers; number 0 ends, 1 separates."""
-
-    def __init__(self, items: Iterable[tuple[object, bytes | None]], window: int = WINDOW):
-        self.vocabulary: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set] = defaultdict(set)
-        for item_id, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 2) for w in words_of(text or b"")]
-            for at in range(max(1, len(ids) - window + 1) if ids else 0):
-                found[tuple(ids[at : at + window])].add(item_id)
-        self.rows = np.zeros((len(found), window), np.int64)
-        self.lengths = np.zeros(len(found), np.int64)
-        self.items: list[list[str]] = []
-        for i, (ids, own) in enumerate(found.items()):
-            self.rows[i, : len(ids)] = ids
-            self.lengths[i] = len(ids)
-            self.items.append([str(x) for x in own if x is not None])
-        self.shortest = int(self.lengths.min()) if len(found) else 0
+    """The distinct windows of one part of the benchmark, as rows of word numbers; number 0 ends, 1 separates.
+
+    ``pieces`` are (item_id, word numbers), ``words`` those that no part before it in the pass had, numbered from ``first`` on.
+    """
+
+    def __init__(self, pieces: list[tuple[object, np.ndarray]], words: list[bytes], first: int, window: int = WINDOW):
+        self.words, self.first = words, first
+        found = [np.lib.stride_tricks.sliding_window_view(ids, window) if len(ids) >= window else np.pad(ids, (0, window - len(ids)))[None] for _, ids in pieces]
+        self.rows, row = np.unique(np.concatenate([np.zeros((0, window), np.int32), *found]), axis=0, return_inverse=True)
+        self.lengths = (self.rows > 0).sum(axis=1)
+        self.names = [None if item is None else str(item) for item, _ in pieces]
+        # The pieces of each row stand together, from its edge to the next row's.
+        row = row.reshape(-1)
+        self.pieces = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])[np.argsort(row, kind="stable")]
+        self.edges = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(self.rows)))])
+
+    def items(self, row: int) -> set[str]:
+        """The ids of the items that have a row, but for null ones."""
+        return {self.names[i] for i in self.pieces[self.edges[row] : self.edges[row + 1]].tolist()} - {None}
+
+
+def passes(items: Iterable[tuple[object, bytes]], window: int = WINDOW, part_windows: int = PART_WINDOWS, parts: int = 8) -> Iterator[list[Phrases]]:
+    """The parts of each pass over the documents, filled one after another by their count of windows."""
+    numbers: dict[bytes, int] = {}
+    held: list[Phrases] = []
+    pieces, size, known = [], 0, 0
+    for item_id, text in items:
+        words = words_of(text)
+        for at in range(0, max(1, len(words) - window + 1) if words else 0, part_windows):
+            piece = words[at : at + part_windows + window - 1]
+            n = max(1, len(piece) - window + 1)
+            if pieces and size + n > part_windows:
+                held.append(Phrases(pieces, list(numbers)[known:], known + 2, window))
+                pieces, size, known = [], 0, len(numbers)
+                if len(held) == parts:
+                    yield held
+                    numbers, held, known = {}, [], 0
+            pieces.append((item_id, np.fromiter((numbers.setdefault(w, len(numbers) + 2) for w in piece), np.int32, len(piece))))
+            size += n
+    yield [*held, Phrases(pieces, list(numbers)[known:], known + 2, window)]
 
 
 def suffix_array(seq: np.ndarray) -> np.ndarray:
@@ -143,55 +165,55 @@ class FmIndex:
         return self.samples[self.sample_rank[row]] + steps
 
 
-def occurrences(found: list[np.ndarray], phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase, word position in the concatenated documents) of all occurrences in a shard."""
+def occurrences(found: list[np.ndarray], parts: list[Phrases]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(phrase, word position in the concatenated documents) of all occurrences of each part's phrases in a shard, which has one index."""
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not len(phrases.rows):
-        return none
+    shortest = min((int(p.lengths.min()) for p in parts if len(p.rows)), default=0)
     # A separator before each document and at the end, so that no run crosses a border.
     gap = np.ones(1, np.int64)
     seq = np.concatenate([x for f in found for x in (gap, f)] + [gap])
     edges = np.flatnonzero(seq == 1)
-    runs = np.diff(edges) - 1
-    keep = runs >= phrases.shortest
-    if not keep.any():
-        return none
+    keep = np.diff(edges) - 1 >= max(1, shortest)
+    if not shortest or not keep.any():
+        yield from (none for _ in parts)
+        return
     mask = np.zeros(len(seq) + 1, np.int64)
     np.add.at(mask, edges[:-1][keep], 1)
     np.add.at(mask, edges[1:][keep], -1)
     at = np.flatnonzero(np.cumsum(mask)[:-1] > 0)  # a separator, then the run, for each run kept
     index = FmIndex(np.concatenate([seq[at], [1, 0]]))
-    phrase, lo, hi = index.search(phrases.rows, phrases.lengths)
-    if not len(phrase):
-        return none
-    count = hi - lo
-    row = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    where = at[index.locate(row)]
-    document = np.searchsorted(np.cumsum([len(f) + 1 for f in found]), where, "right")
-    return np.repeat(phrase, count), where - document - 1
+    ends = np.cumsum([len(f) + 1 for f in found])
+    for part in parts:
+        phrase, lo, hi = index.search(part.rows, part.lengths)
+        count = hi - lo
+        row = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        where = at[index.locate(row)]
+        yield np.repeat(phrase, count), where - np.searchsorted(ends, where, "right") - 1
 
 
-def _hits(found: list[list[bytes]], phrases: Phrases) -> tuple[list[np.ndarray], list[set]]:
+def _hits(found: list[list[bytes]], parts: list[Phrases], numbers: dict[bytes, int]) -> tuple[list[np.ndarray], list[set]]:
     """Of texts as words: which words occurrences of the phrases cover, and whose these are."""
-    number = phrases.vocabulary.get
-    numbers = [np.fromiter((number(w, 1) for w in words), np.int64, len(words)) for words in found]
-    phrase, where = occurrences(numbers, phrases)
+    number = numbers.get
+    shard = [np.fromiter((number(w, 1) for w in words), np.int64, len(words)) for words in found]
     starts = np.concatenate([[0], np.cumsum([len(f) for f in found])])
     delta = np.zeros(starts[-1] + 1, np.int64)
-    np.add.at(delta, where, 1)
-    np.add.at(delta, where + phrases.lengths[phrase], -1)
-    hit = np.cumsum(delta)[:-1] > 0
-    document = np.searchsorted(starts, where, "right") - 1
     items: list[set] = [set() for _ in found]
-    for d, p in set(zip(document.tolist(), phrase.tolist())):
-        items[d].update(phrases.items[p])
+    for part, (phrase, where) in zip(parts, occurrences(shard, parts)):
+        np.add.at(delta, where, 1)
+        np.add.at(delta, where + part.lengths[phrase], -1)
+        document = np.searchsorted(starts, where, "right") - 1
+        for d, p in set(zip(document.tolist(), phrase.tolist())):
+            items[d] |= part.items(p)
+    hit = np.cumsum(delta)[:-1] > 0
     return [hit[a:z] for a, z in zip(starts[:-1], starts[1:])], items
 
 
 def _search(parts: list, finish):
-    """Searches parts of the benchmark one after another in each block, and hands what is found so far to ``finish``."""
+    """Searches for the parts of a pass in each block, and hands what is found so far to ``finish``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_parts = [part.value for part in parts]
+        numbers = {w: i for part in held_parts for i, w in enumerate(part.words, part.first)}
         for batch in batches:
             state, hits, items, n_words = iter(zip(batch["hits"], batch["items"])), [], [], []
             for _, _, held in blocks([batch.select(["doc_id", "text"])]):
@@ -199,10 +221,9 @@ def _search(parts: list, finish):
                 before = [next(state) for _ in held]
                 hit = [np.unpackbits(np.frombuffer(h.as_py() or b"", np.uint8), count=len(w)).astype(bool) if h.as_py() else np.zeros(len(w), bool) for (h, _), w in zip(before, found)]
                 listed = [set(x.as_py() or ()) for _, x in before]
-                for part in parts:
-                    for i, (now, own) in enumerate(zip(*_hits(found, part.value))):
-                        hit[i] = hit[i] | now
-                        listed[i] |= own
+                for i, (now, own) in enumerate(zip(*_hits(found, held_parts, numbers))):
+                    hit[i] = hit[i] | now
+                    listed[i] |= own
                 hits += hit
                 items += [sorted(x) for x in listed]
                 n_words += [len(w) for w in found]
@@ -238,31 +259,32 @@ def _clean(one_in: int):
     return finish
 
 
-def _searched(rows: DataFrame, benchmark: DataFrame, window: int, part_bytes: int, finish, schema) -> DataFrame:
+def _searched(rows: DataFrame, benchmark: DataFrame, window: int, part_windows: int, finish, schema) -> DataFrame:
     """``rows(doc_id, text, ...)`` with the words hit (bits) and the items found by all parts of the benchmark, as ``finish`` gives them."""
-    spark = rows.sparkSession
+    context = rows.sparkSession.sparkContext
     items = benchmark.select(benchmark["item_id"].cast("string").alias("item_id"), F.coalesce(benchmark["text"], F.lit("")).cast("binary").alias("text")).distinct()
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    n_parts = max(1, -(-size // part_bytes))
     state, held = rows.withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")}), []
-    for k in range(n_parts):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)) == k).collect()
-        held.append(spark.sparkContext.broadcast(Phrases([(r["item_id"], bytes(r["text"])) for r in own], window)))
-        if len(held) == PASSES and k + 1 < n_parts:
-            state, held = cut(state.mapInArrow(_search(held, _held), state.schema), "hits"), []
+    # A partition of the items comes at a time, and becomes windows as they come.
+    for parts in passes(((r["item_id"], bytes(r["text"])) for r in items.toLocalIterator()), window, part_windows, PASSES):
+        if held:
+            last, state = state, cut(state.mapInArrow(_search(held, _held), state.schema), "hits")
+            free(last)
+            for part in held:
+                part.unpersist()
+        held = [context.broadcast(part) for part in parts]
     return state.mapInArrow(_search(held, finish), schema)
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_windows: int = PART_WINDOWS, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
     """Per row of ``docs``: its words, those hit, the items found, the verdict, and the merged spans of hit words (from:to)."""
-    return _searched(texts(docs), benchmark, window, part_bytes, _judge(one_in), RESULT_SCHEMA)
+    return _searched(texts(docs), benchmark, window, part_windows, _judge(one_in), RESULT_SCHEMA)
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_windows: int = PART_WINDOWS, one_in: int = CONTAMINATED_ONE_IN) -> DataFrame:
     """The rows of ``docs``, all their columns, that are not contaminated."""
     ship(docs.sparkSession)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"), F.struct("*").alias("row"))
-    return _searched(rows, benchmark, window, part_bytes, _clean(one_in), rows.select("row").schema).select("row.*")
+    return _searched(rows, benchmark, window, part_windows, _clean(one_in), rows.select("row").schema).select("row.*")
 
 
 def op7_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,6 +186,29 @@ def test_simhash_large_buckets_are_dealt_by_a_third_segment(spark):
         assert {r.node: r.root for r in components(spark.createDataFrame([tuple(map(simhash._signed, p)) for p in got], "a long, b long")).collect()} == {r.node: r.root for r in components(spark.createDataFrame([tuple(map(simhash._signed, p)) for p in want], "a long, b long")).collect()}
 
 
+def test_benchmark_parts():
+    """Windows of all items, repeated ones once for each part; parts of bounded size, a long item in several; numbers that agree within a pass."""
+    r = random.Random(4)
+    items = [(str(i) if i % 5 else None, " ".join(r.choice("abcdefgh") for _ in range(r.choice([0, 2, 3, 9, 70]))).encode()) for i in range(40)]
+    want = {(tuple(w[at : at + 3]), item) for item, t in items if (w := t.split()) for at in range(max(1, len(w) - 2))}
+    got = set()
+    for held in decontamination.passes(items, 3, 20, 4):
+        assert len(held) <= 4
+        words = {i: w for p in held for i, w in enumerate(p.words, p.first)}
+        assert len(words) == sum(len(p.words) for p in held)
+        for p in held:
+            assert len(p.rows) <= len(p.pieces) <= 20
+            got |= {(tuple(words[x] for x in row[:n]), item) for k, (row, n) in enumerate(zip(p.rows.tolist(), p.lengths)) for item in {p.names[i] for i in p.pieces[p.edges[k] : p.edges[k + 1]]}}
+    assert got == want
+    assert [len(p.rows) for held in decontamination.passes([], 3) for p in held] == [0]
+
+
+def test_benchmark_items_without_an_id(spark):
+    bench = spark.createDataFrame([(None, "one two three four"), (7, "three four five")], "item_id long, text string")
+    got = decontamination.benchmark_hits(frame(spark, [(1, "zero one two three four five six")]), bench, 3, 1).first()
+    assert (got.n_hit, got.n_items, got.removal_spans) == (5, 1, "1:6")
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, 90), (90, 95), (95, 95)] + [(200, i) for i in range(201, 260)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
