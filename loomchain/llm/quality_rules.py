@@ -3,11 +3,11 @@
 Each line is judged alone, and passes if it breaks no rule:
 
 * Punctuation: it ends with a terminal mark of any of several scripts, closing quotes and brackets after it allowed.  A line without one
-  passes if it is a list item of some words, if it looks like code, or if it is long, as lines of wrapped prose are.  No line may pile
+  passes if it is a list item of some words, if it has marks of code (an indent alone is none), or if it is long, as lines of wrapped prose are.  No line may pile
   exclamation or question marks up, and each has a letter.
 * Navigation: it is not cut up by separators, not mostly links, not dense with symbols, and, where it has no terminal mark, no run of
   capitalised words, as menus and breadcrumbs are.
-* Boilerplate: a line of usual length holds none of the phrases that pages repeat.  Very long lines are prose that may mention them.
+* Boilerplate: a line of usual length has no notice of copyright and a year, and holds none of the phrases that pages repeat.  Very long lines are prose that may mention them.
 
 Lines that fail go, as does a line that stands earlier in the text, and a document that loses more than ``MOST_LOST`` percent of its word
 characters is rejected.  The base statistics of the whole text come first, and a document that fails by them is rejected in any case.
@@ -31,9 +31,9 @@ from loomchain.llm.common import table
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 PHRASES = (
-    "accept all cookies", "add to cart", "all rights reserved", "alle rechte vorbehalten", "back to top", "click here", "cookie policy", "cookies to improve", "datenschutzerklärung",
-    "enable javascript", "follow us on", "forgot your password", "leave a comment", "licensed under", "lorem ipsum", "mentions légales", "newsletter", "política de privacidad",
-    "politique de confidentialité", "powered by wordpress", "privacy policy", "read more", "released under the", "share this", "sign in to", "skip to content", "terms and conditions",
+    "about us", "accept all cookies", "add to cart", "all rights reserved", "alle rechte vorbehalten", "back to top", "click here", "contact us", "cookie policy", "cookies to improve", "datenschutzerklärung",
+    "enable javascript", "follow us on", "forgot your password", "leave a comment", "licensed under", "lorem ipsum", "mentions légales", "newsletter", "page links", "política de privacidad",
+    "politique de confidentialité", "powered by wordpress", "privacy policy", "privacy settings", "read more", "released under the", "share this", "sign in to", "skip to content", "subscribe now", "terms and conditions",
     "terms of service", "terms of use", "todos los derechos reservados", "tous droits réservés",
 )
 MIN_WORDS = 50
@@ -49,9 +49,10 @@ PHRASE_LINE = 200
 TERMINAL = "[.!?…。！？؟।॥۔։။។፡።]([ \u00a0]?[\"')\\]}»”’」』])*\\z"
 TAIL = 8
 LIST_ITEM = "^[ \\t]*([*•‣·–-]|[0-9]{1,3}[.)])[ \\t]+([^ \\t]+[ \\t]+){2}[^ \\t]"
-CODE = "^(\\t|    )|[{};]\\z|^(//|#include|def |class |return |import |from [a-z.]+ import )"
+CODE = "[{};]\\z|^[ \\t]*(//|#include|def |class |return |import |from [a-z.]+ import )|^[ \\t]+.*([=(){}\\[\\];]|->|::|[a-z0-9]_[a-z0-9])"
 LONG = "^([^ \\t]*[ \\t]+){11}[^ \\t]"
 CAPITALISED = "^[ \\t]*(\\p{Lu}[^ \\t]*[ \\t]+)+\\p{Lu}[^ \\t]*\\z"
+NOTICE = "(?i)^[ \\t]*(copyright|©|\\(c\\))[^.]{0,20}[0-9]{4}"
 LINK = "(https?://|www[.])[^ \\t]*"
 
 
@@ -75,7 +76,7 @@ def line_passes(line: Column) -> Column:
     for phrase in PHRASES:
         phrases = phrases | F.contains(low, F.lit(phrase))
     piled = _times(line, "!!") + _times(line, "??") >= PILES
-    return line.rlike("\\p{L}") & (ended | open_) & ~piled & ~separated & (SYMBOL_ONE_IN * symbols <= F.length(line)) & ~links & ~((F.length(line) <= PHRASE_LINE) & phrases)
+    return line.rlike("\\p{L}") & (ended | open_) & ~piled & ~separated & (SYMBOL_ONE_IN * symbols <= F.length(line)) & ~links & ~((F.length(line) <= PHRASE_LINE) & (phrases | line.rlike(NOTICE)))
 
 
 def repeated_words(rows: DataFrame) -> DataFrame:
@@ -126,7 +127,7 @@ _SQL_PASSES = f"""regexp_matches(line, '\\p{{L}}')
   AND {_sql_times("!!")} + {_sql_times("??")} < {PILES} AND NOT ({_SQL_SEPARATED})
   AND {SYMBOL_ONE_IN} * (length(line) - length(translate(line, '{SYMBOLS}', ''))) <= length(line)
   AND NOT ((contains(line, '://') OR contains(line, 'www.')) AND 2 * length(regexp_replace(line, {_quoted(LINK)}, '', 'g')) < length(line))
-  AND NOT (length(line) <= {PHRASE_LINE} AND ({_SQL_PHRASES}))"""
+  AND NOT (length(line) <= {PHRASE_LINE} AND ({_SQL_PHRASES} OR regexp_matches(line, {_quoted(NOTICE)})))"""
 OP4_SQL = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
