@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from loomchain.llm.common import cut, free, table
 from loomchain.llm.components import components
-from loomchain.llm.rounds import needed, signature_near, verified_links
+from loomchain.llm.rounds import SIGNATURE, SIGNATURE_BITS, needed, signature_near, verified_links
 
 #: Distinct sites from which on a line is boilerplate.
 SITES = 8
@@ -118,8 +118,9 @@ def near_copies(texts: DataFrame) -> DataFrame:
     least = shingles.select("t1", F.array(*(least_of(k) for k in range(BANDS * BAND_ROWS))).alias("least"))
     bands = F.array(*(F.xxhash64(F.lit(b), F.slice("least", b * BAND_ROWS + 1, BAND_ROWS)) for b in range(BANDS)))
     half = BANDS * BAND_ROWS // 2
-    bits = lambda at: F.aggregate(F.slice("least", at + 1, half), F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 1).bitwiseOR(x.bitwiseAND(F.lit(1))))
-    buckets = cut(least.select("t1", bits(0).alias("s1"), bits(half).alias("s2"), F.explode(bands).alias("key")), "bands")
+    bits = lambda at, b: F.aggregate(F.slice("least", at + 1, half), F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 1).bitwiseOR(F.shiftright(x, b).bitwiseAND(F.lit(1))))
+    signature = [bits(at, b) for at in (0, half) for b in range(SIGNATURE_BITS)]
+    buckets = cut(least.select("t1", *(x.alias(c) for x, c in zip(signature, SIGNATURE)), F.explode(bands).alias("key")), "bands")
     # Half of each hash is enough to compare two texts.
     halves = shingles.select("t1", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("shingles"))
 

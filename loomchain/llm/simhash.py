@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from loomchain.llm.common import cut, free, give_back, rows_of, table, texts
 from loomchain.llm.components import components
-from loomchain.llm.rounds import needed, signature_near, verified_links
+from loomchain.llm.rounds import SIGNATURE, SIGNATURE_BITS, needed, signature_near, verified_links
 
 U = np.uint64
 SHINGLE = 4
@@ -97,11 +97,11 @@ def shingle_hashes(text: bytes) -> np.ndarray:
 def band_keys(hashes: np.ndarray, pivots: list[int]) -> list[int]:
     """A number for each band: texts that have it in common agree in which hashes are nearest to the band's pivots, by exclusive or.
 
-    Two numbers follow, with one bit of each of these nearest hashes: the text's signature.
+    The numbers of ``SIGNATURE`` follow, with the low bits of these nearest hashes.
     """
     least = [min(int((hashes[at : at + 8192] ^ U(p)).min()) for at in range(0, len(hashes), 8192)) for p in pivots] if len(hashes) else []
     half = (len(least) + 1) // 2
-    signature = [sum((x & 1) << i for i, x in enumerate(part)) for part in (least[:half], least[half:])] if least else []
+    signature = [sum((x >> b & 1) << i for i, x in enumerate(part)) for part in (least[:half], least[half:]) for b in range(SIGNATURE_BITS)] if least else []
     return [_signed(xxhash.xxh64_intdigest(np.array([i, *least[i : i + BAND_ROWS]], U).tobytes(), SEED)) for i in range(0, len(least), BAND_ROWS)] + signature
 
 
@@ -271,7 +271,7 @@ def _if_small(keys: DataFrame) -> DataFrame:
 
 def _near_copies(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links (a, b: t1 of texts) of near copies; ``keyed(t1, text)`` has the texts and ``nodes(t1, keys)`` each distinct one's bands and signature."""
-    buckets = nodes.select("t1", F.explode(F.slice("keys", 1, BANDS)).alias("key"), F.get("keys", F.lit(BANDS)).alias("s1"), F.get("keys", F.lit(BANDS + 1)).alias("s2"))
+    buckets = nodes.select("t1", F.explode(F.slice("keys", 1, BANDS)).alias("key"), *(F.get("keys", F.lit(BANDS + i)).alias(c) for i, c in enumerate(SIGNATURE)))
     several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = cut(buckets.join(several, "key", "left_semi"), "buckets")
     wanted = _if_small(cut(buckets.select("t1").distinct(), "wanted"))

@@ -89,6 +89,24 @@ def test_a_group_of_copies_costs_its_size(spark):
     assert len(set(classes([(r.a, r.b) for r in found.collect()]).values())) == 1 and sum(asked) <= 3 * 2000 + 5
 
 
+def test_a_pair_in_many_buckets_is_asked_about_once(spark):
+    """Members that are linked in one bucket leave only the buckets where they met whom they are linked to."""
+    r = random.Random(4)
+    members = {key: r.sample(range(90), 40) for key in range(12)}
+    want = {(a, b) for m in members.values() for a in m for b in m if a > b and (a - b) % 7 == 0}
+    asked = []
+
+    def verify(pairs):
+        asked.append([(x.a, x.b) for x in pairs.collect()])
+        return pairs.where("(a - b) % 7 = 0")
+
+    buckets = spark.createDataFrame([(k, x) for k, m in members.items() for x in m for _ in range(2)], "key int, t1 long").repartition(4)
+    links = [(x.a, x.b) for x in rounds.verified_links(buckets, verify).collect()]
+    assert all(len(set(a)) == len(a) for a in asked) and set(links) <= want
+    got, right = classes(links), classes(want)
+    assert all(got[a] == got[b] for a, b in want) and all(right[a] == right[b] for a, b in links)
+
+
 def test_nothing_to_link(spark):
     assert rounds.verified_links(spark.createDataFrame([], "key long, t1 long"), lambda p: p).count() == 0
     assert rounds.verified_links(spark.createDataFrame([(1, 1), (2, 2), (2, 3)], "key long, t1 long"), lambda p: p.where("false")).count() == 0
