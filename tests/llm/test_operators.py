@@ -491,6 +491,19 @@ def test_lines_of_pages_whatever_their_indent(spark):
         assert [r.text for r in got if r.passes != want] == []
 
 
+def test_long_lines_of_capitalised_words(spark):
+    """The pattern's repeats are no calls inside each other, and it says the same as the one of the SQL."""
+    many = "Wort " * 100_000
+    texts = [many + "Ende", many + "ende", many + "ende.", "x " + many + "Ende", "\t" + many.replace(" ", " \t ") + "Ende", "Menu Home", "Menu home", "Menu", "Ärger Öl  Übel", "Menu Home "]
+    df = frame(spark, list(enumerate(texts)))
+    got = [r.cap for r in df.orderBy("doc_id").select(F.col("text").rlike(quality_rules.CAPITALISED_HERE).alias("cap")).collect()]
+    import duckdb
+
+    c = duckdb.connect()
+    assert got == [c.execute("SELECT regexp_matches(?, ?)", [t, quality_rules.CAPITALISED]).fetchone()[0] for t in texts]
+    assert rows(quality_rules.judged(df).where("row.doc_id < 4").select("row.doc_id", "n_words", "kept_chars")) == [(0, 100_001, 0), (1, 100_001, 400_004), (2, 100_001, 400_005), (3, 100_002, 400_005)]
+
+
 def test_quality_rules_edges(spark):
     """Nulls, repeated rows and ids, lines that repeat, a very long text; against the SQL."""
     good = "\n".join(" ".join(f"word{i}x{j}" for j in range(9)) + "." for i in range(10))
