@@ -23,21 +23,26 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return near.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, passes: int | None = None) -> DataFrame:
     """(node, root) for every node of ``edges(a, b)``, numbers or structs of them; root is the smallest node reachable.
 
     Each round shortens paths by half at least and is written to the shared folder; the driver only compares two numbers.
     Self-links and repeated edges do no harm; an empty table gives an empty one.  A node with very many links is a star that
-    the joins' skew handling splits; links only grow fewer from round to round.
+    the joins' skew handling splits; links only grow fewer from round to round.  With ``passes`` there are so many rounds: what has one root is connected,
+    but a component may still have several.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
+    before, done = None, 0
+    while done != passes:
         last, now = now, cut(_small_star(_large_star(now)), "stars")
         free(last)
+        done += 1
+        if passes:
+            continue
         mark = tuple(now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
         if mark == before:
             break
         before = mark
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
+    named = roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
+    return named.groupBy("node").agg(F.min("root").alias("root")) if passes else named

@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomchain.llm.common import cut, free, table
-from loomchain.llm.components import components
-from loomchain.llm.rounds import SIGNATURE, SIGNATURE_BITS, needed, signature_near, verified_links
+from loomchain.llm.rounds import SKETCH, linked, needed
 
 #: Distinct sites from which on a line is boilerplate.
 SITES = 8
@@ -104,6 +103,13 @@ def without_boilerplate(docs: DataFrame, sites: int = SITES, most_sent: int = LI
     return cleaned.select("row", n_lines.cast("long").alias("n_lines"), (F.size("lines") - F.size("left")).cast("long").alias("n_removed"), F.array_join("left", "\n").alias("kept"))
 
 
+def sketch(hashes: str) -> list[Column]:
+    """The columns ``SKETCH`` of a column of hashes: for each bit of eight numbers, whether an odd number of the hashes name it by their upper bits."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 55).bitwiseAND(F.lit(63)).cast("int"))
+    odd = lambda i: F.aggregate(hashes, F.lit(0).cast("long"), lambda a, x: F.when(F.shiftrightunsigned(x, 61) == i, a.bitwiseXOR(bit(x))).otherwise(a))
+    return [x.alias(c) for x, c in zip([F.size(hashes).cast("long"), *(odd(i) for i in range(len(SKETCH) - 1))], SKETCH)]
+
+
 def near_copies(texts: DataFrame) -> DataFrame:
     """(node: t1, root) of the texts of ``texts(t1, text)`` that are near copies of others."""
     words = F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
@@ -115,27 +121,23 @@ def near_copies(texts: DataFrame) -> DataFrame:
         # Hashes are spread evenly, so that the one nearest to a point, by exclusive or, is any of them alike.
         return F.array_min(F.transform("shingles", lambda x: x.bitwiseXOR(F.xxhash64(F.lit(k)))))
 
-    least = shingles.select("t1", F.array(*(least_of(k) for k in range(BANDS * BAND_ROWS))).alias("least"))
+    sketched = shingles.select("t1", F.array(*(least_of(k) for k in range(BANDS * BAND_ROWS))).alias("least"), *sketch("shingles"))
     bands = F.array(*(F.xxhash64(F.lit(b), F.slice("least", b * BAND_ROWS + 1, BAND_ROWS)) for b in range(BANDS)))
-    half = BANDS * BAND_ROWS // 2
-    bits = lambda at, b: F.aggregate(F.slice("least", at + 1, half), F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 1).bitwiseOR(F.shiftright(x, b).bitwiseAND(F.lit(1))))
-    signature = [bits(at, b) for at in (0, half) for b in range(SIGNATURE_BITS)]
-    buckets = cut(least.select("t1", *(x.alias(c) for x, c in zip(signature, SIGNATURE)), F.explode(bands).alias("key")), "bands")
+    buckets = cut(sketched.select("t1", *SKETCH, F.explode(bands).alias("key")), "bands")
     # Half of each hash is enough to compare two texts.
     halves = shingles.select("t1", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("shingles"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs, "pairs")
         own = needed(halves, pairs)
         side = lambda end, name: own.select(F.col("t1").alias(end), F.col("shingles").alias(name))
         both = F.size(F.array_intersect("one", "two"))
         joined = pairs.join(side("a", "one"), "a").join(side("b", "two"), "b")
         return joined.where(both >= SIMILARITY * (F.size("one") + F.size("two") - both)).select("a", "b")
 
-    found = verified_links(buckets, verify, signature_near)
+    _, classes = linked(buckets, verify, SIMILARITY)
     free(buckets)
     free(shingles)
-    return components(found)
+    return classes
 
 
 def proven_boilerplate(own: DataFrame, lines: DataFrame, sites: int = SITES) -> DataFrame:

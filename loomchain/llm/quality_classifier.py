@@ -339,7 +339,9 @@ def _fitted(docs: DataFrame, labels: DataFrame, parts: DataFrame) -> tuple:
     """(words: rows, vectors and weights; network), both broadcast, from the texts ``docs`` that ``parts`` holds as numbers."""
     context, rows = docs.sparkSession.sparkContext, Rows(frequent_words(parts))
     words = context.broadcast((rows, *word_vectors(parts, rows)))
-    return words, context.broadcast(fit(docs, labels, words))
+    network = context.broadcast(fit(docs, labels, words))
+    give_back()  # the driver, too, lives on
+    return words, network
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

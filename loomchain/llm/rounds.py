@@ -2,59 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomchain.llm.common import cut, free
+from loomchain.llm.components import components
 
-#: Members of a bucket that all others are compared with: in the first round, in the second, and in those that follow.
-REPRESENTATIVES = (3, 64, 512)
-#: Bits that a signature has of each minimum; their columns; minima that may differ in them.
-SIGNATURE_BITS = 4
-SIGNATURE = [f"s{half}{bit}" for half in range(2) for bit in range(SIGNATURE_BITS)]
-FAR = 35
+#: Members of a bucket that all others are compared with in the rounds before the last, in which all others are.
+REPRESENTATIVES = (3, 64)
+#: What a member may have beside its number: how many elements its set has, and of each of 512 cells whether it holds an odd number of them.
+#: The cells are told by the upper half of an element's hash, of which sets are compared.
+SKETCH = ["n", *(f"s{i}" for i in range(8))]
 
+#: Rounds of contraction that name classes before the last round.
+PASSES = 2
+#: Pairs that a task gathers before it gives them.
+PAIRS_HELD = 8192
 
-def verified_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], alike: Callable[[Column, Column], Column] | None = None) -> DataFrame:
-    """Links (a, b) among the members of ``buckets(key, t1, ...)``; ``verify`` keeps of pairs (a, b) those that count.
 
-    In a round a bucket's members meet representatives, least by hashes that are the same in all buckets.  These leave the bucket, and so does who is
-    linked to one of them; the others go on with new representatives, until buckets are empty.  The first round has few, so a group of copies costs its
-    size; the next ones have more, so that members that are like each other, but not like whom they met first, still meet after few rounds.  ``alike`` says of
-    two members, as structs of the columns of ``buckets`` but ``key``, whether they are worth verifying: in a bucket of texts that only share a band, next to no pair
-    leaves the task.  All is done when this returns: ``buckets`` is read no more.
+def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(links (a, b), classes (node, root)) among the members of ``buckets(key, t1, ...)``, numbers; ``verify`` keeps of pairs (a, b) those that count.
+
+    Two members of a bucket are asked about unless they are in one class already, or can't have the ``similarity`` by their ``SKETCH``, so classes are those of
+    all pairs.  The first rounds ask about a few representatives of each bucket, least by hashes that are the same in all buckets; so a group of copies
+    is one class at the cost of its size, and the last round, which asks about whatever is left, has little to ask.  All is done when this returns: ``buckets`` is
+    read no more.
     """
-    kind = buckets.schema["t1"].dataType.simpleString()
-    found = buckets.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
-    member = F.struct(*(c for c in buckets.columns if c != "key"))
-    left, nth = cut(_several(buckets.distinct().select("key", member.alias("one"))), "buckets"), 0
-    while not left.isEmpty():
-        most = REPRESENTATIVES[min(nth, len(REPRESENTATIVES) - 1)]
-        order = Window.partitionBy("key").orderBy(F.xxhash64("one.t1", F.lit(nth)), "one.t1")
-        first = left.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most).groupBy("key").agg(F.collect_list("one").alias("first"))
-        near = lambda x: alike(x, F.col("one")) if alike else F.lit(True)
-        is_first = F.exists("first", lambda x: x["t1"] == F.col("one.t1"))
-        # Of two representatives the larger asks about the smaller.
-        others = F.when(is_first, F.filter("first", lambda x: (x["t1"] < F.col("one.t1")) & near(x))).otherwise(F.filter("first", near))
-        met = cut(left.join(first, "key").select("key", "one", is_first.alias("is_first"), F.transform(others, lambda x: x["t1"]).alias("first")), "met")
-        # A pair that shares many buckets is asked about once: a member has a bounded number of representatives in each of its buckets.
-        asked = cut(met.where(F.size("first") > 0).groupBy(F.col("one.t1").alias("t1")).agg(F.array_distinct(F.flatten(F.collect_list("first"))).alias("first")), "asked")
-        pairs = asked.select("t1", F.explode("first").alias("first"))
-        good = cut(verify(pairs.select(F.greatest("t1", "first").alias("a"), F.least("t1", "first").alias("b")).distinct()), "verified")
-        found = found.unionAll(good)
-        both = good.select(F.col("a").alias("t1"), F.col("b").alias("f")).unionAll(good.select(F.col("b").alias("t1"), F.col("a").alias("f")))
-        linked = both.join(asked, "t1").where(F.array_contains("first", F.col("f"))).groupBy("t1").agg(F.collect_set("f").alias("linked"))
-        waiting = met.where("NOT is_first").select("key", "one", "first", F.col("one.t1").alias("t1"))
-        rest = waiting.join(linked, "t1", "left").where(F.col("linked").isNull() | ~F.arrays_overlap("first", "linked")).select("key", "one")
-        last, left, nth = left, cut(_several(rest), "buckets"), nth + 1
-        free(last)
-        free(met)
-        free(asked)
-    free(left)
-    return found
+    spark = buckets.sparkSession
+    found, classes = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "node long, root long")
+    members = buckets.select("key", F.col("t1").cast("long").alias("t1"), *(SKETCH if similarity else [])).distinct()
+    several = members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+    members = cut(members.join(several, "key", "left_semi"), "buckets")
+    for nth, most in enumerate([*REPRESENTATIVES, None]):
+        placed = members.join(classes, F.col("t1") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "t1"))
+        dealt = placed.withColumn("key", F.xxhash64("key")).repartition("key").sortWithinPartitions("key")
+        pairs = cut(dealt.mapInArrow(_across(most, nth, similarity), "a long, b long").distinct(), "pairs")
+        if not pairs.isEmpty():
+            good = cut(verify(pairs), "verified")
+            found = found.unionAll(good)
+            if most:
+                # Until the last round it is enough that what has one root is connected.
+                last, links = classes, classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(good)
+                classes = cut(components(links, PASSES), "classes")
+                free(last)
+        free(pairs)
+    free(members)
+    free(classes)
+    return found, components(found)
+
+
+def verified_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float | None = None) -> DataFrame:
+    return linked(buckets, verify, similarity)[0]
 
 
 def needed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -63,16 +66,56 @@ def needed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return sets.join(named, "t1", "left_semi")
 
 
-def signature_near(x: Column, y: Column) -> Column:
-    """Whether two members may be similar enough, by the columns ``SIGNATURE``: the low bits of each of 100 minima, half of the minima in a number.
+def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Columns t1, root and SKETCH of each bucket, from batches sorted by key; a batch's last bucket waits for the next."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        rows = np.stack([batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.schema.names], axis=1)
+        for part in np.split(rows, np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1):
+            if held and len(part) and held[0][0, 0] != part[0, 0]:
+                yield np.concatenate(held)
+                held = []
+            if len(part):
+                held.append(part)
+    if held:
+        yield np.concatenate(held)
+
+
+def pairs_across(t1: np.ndarray, root: np.ndarray, sketch: np.ndarray, most: int | None, nth: int, similarity: float | None) -> Iterator[tuple[int, np.ndarray]]:
+    """(a member, others) that may be similar and are not in one class; with ``most``, of so many representatives with all others."""
+    if (root == root[0]).all():
+        return
+    if most is None:
+        # The largest class comes last, and its members are compared with no other from here.
+        _, at, sizes = np.unique(root, return_inverse=True, return_counts=True)
+        order = np.lexsort((root, sizes[at]))
+        asking = int((root[order] != root[order[-1]]).sum())
+    else:
+        order = np.argsort([xxhash.xxh64_intdigest(int(x).to_bytes(8, "little", signed=True), nth) for x in t1])
+        asking = min(most, len(t1))
+    t1, root, n, bits = t1[order], root[order], sketch[order, :1].ravel(), np.ascontiguousarray(sketch[order, 1:]).view(np.uint64)
+    for i in range(asking):
+        at = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
+        if similarity and len(at):
+            # Sets of these sizes and of this similarity differ in so many elements at most, and each cell that differs holds one of them.
+            apart = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            at = at[apart * (1 + similarity) <= (n[at] + n[i]) * (1 - similarity) + 1e-6]
+        if len(at):
+            yield t1[i], t1[at]
 
-    At a similarity of 0.8, 18.75 of the minima differ in these bits on average, and more than FAR in one pair of some 27,000 (binomial).
-    """
-    apart = [reduce(Column.bitwiseOR, (x[f"s{n}{b}"].bitwiseXOR(y[f"s{n}{b}"]) for b in range(SIGNATURE_BITS))) for n in range(2)]
-    return F.bit_count(apart[0]) + F.bit_count(apart[1]) <= FAR
 
+def _across(most: int | None, nth: int, similarity: float | None) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b, held = [], [], 0
+        for rows in _buckets(batch.select(["key", "t1", "root", *(SKETCH if similarity else [])]) for batch in batches):
+            for one, others in pairs_across(rows[:, 1], rows[:, 2], rows[:, 3:], most, nth, similarity):
+                a.append(np.maximum(one, others))
+                b.append(np.minimum(one, others))
+                held += len(others)
+                if held >= PAIRS_HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                    a, b, held = [], [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-def _several(buckets: DataFrame) -> DataFrame:
-    """Buckets with two members or more."""
-    several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return buckets.join(several, "key", "left_semi")
+    return run

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from loomchain.llm.common import cut, free, give_back, rows_of, table, texts
 from loomchain.llm.components import components
-from loomchain.llm.rounds import SIGNATURE, SIGNATURE_BITS, needed, signature_near, verified_links
+from loomchain.llm.rounds import SKETCH, linked, needed
 
 U = np.uint64
 SHINGLE = 4
@@ -95,14 +95,20 @@ def shingle_hashes(text: bytes) -> np.ndarray:
 
 
 def band_keys(hashes: np.ndarray, pivots: list[int]) -> list[int]:
-    """A number for each band: texts that have it in common agree in which hashes are nearest to the band's pivots, by exclusive or.
-
-    The numbers of ``SIGNATURE`` follow, with the low bits of these nearest hashes.
-    """
+    """A number for each band: texts that have it in common agree in which hashes are nearest to the band's pivots, by exclusive or."""
     least = [min(int((hashes[at : at + 8192] ^ U(p)).min()) for at in range(0, len(hashes), 8192)) for p in pivots] if len(hashes) else []
-    half = (len(least) + 1) // 2
-    signature = [sum((x >> b & 1) << i for i, x in enumerate(part)) for part in (least[:half], least[half:]) for b in range(SIGNATURE_BITS)] if least else []
-    return [_signed(xxhash.xxh64_intdigest(np.array([i, *least[i : i + BAND_ROWS]], U).tobytes(), SEED)) for i in range(0, len(least), BAND_ROWS)] + signature
+    return [_signed(xxhash.xxh64_intdigest(np.array([i, *least[i : i + BAND_ROWS]], U).tobytes(), SEED)) for i in range(0, len(least), BAND_ROWS)]
+
+
+def compared(hashes: np.ndarray) -> np.ndarray:
+    """What of a text's shingles is compared with those of another text: half of each hash."""
+    return np.unique((hashes >> U(32)).astype(np.uint32))
+
+
+def sketched(some: np.ndarray) -> list[int]:
+    """The numbers of ``SKETCH``: how many there are, and for each cell whether it holds an odd number of them."""
+    odd = np.bincount(some >> np.uint32(23), minlength=512) & 1
+    return [len(some), *np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()]
 
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +124,8 @@ def _keyed_fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Record
         for i, text in enumerate(batch["text"]):
             text = text.as_py()
             prints[i] = fingerprint(text)
-            keys.append(band_keys(shingle_hashes(text), pivots))
+            hashes = shingle_hashes(text)
+            keys.append(band_keys(hashes, pivots) + sketched(compared(hashes)) if len(hashes) else [])
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64)), batch["t1"], batch["t2"], pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "t1", "t2", "keys"])
     give_back()
 
@@ -250,7 +257,7 @@ def _classes(prints: DataFrame, mark: Column, found: DataFrame) -> DataFrame:
 
 def _shingle_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [np.unique((shingle_hashes(text.as_py()) >> U(32)).astype(np.uint32)).tobytes() for text in batch["text"]]
+        sets = [compared(shingle_hashes(text.as_py())).tobytes() for text in batch["text"]]
         yield pa.RecordBatch.from_arrays([batch["t1"], pa.array(sets, pa.binary())], names=["t1", "shingles"])
 
 
@@ -270,23 +277,22 @@ def _if_small(keys: DataFrame) -> DataFrame:
 
 
 def _near_copies(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links (a, b: t1 of texts) of near copies; ``keyed(t1, text)`` has the texts and ``nodes(t1, keys)`` each distinct one's bands and signature."""
-    buckets = nodes.select("t1", F.explode(F.slice("keys", 1, BANDS)).alias("key"), *(F.get("keys", F.lit(BANDS + i)).alias(c) for i, c in enumerate(SIGNATURE)))
+    """Links (a, b: t1 of texts) that connect near copies; ``keyed(t1, text)`` has the texts and ``nodes(t1, keys)`` each distinct one's bands and sketch."""
+    buckets = nodes.select("t1", F.explode(F.slice("keys", 1, BANDS)).alias("key"), *(F.get("keys", F.lit(BANDS + i)).alias(c) for i, c in enumerate(SKETCH)))
     several = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = cut(buckets.join(several, "key", "left_semi"), "buckets")
     wanted = _if_small(cut(buckets.select("t1").distinct(), "wanted"))
     sets = cut(keyed.join(wanted, "t1", "left_semi").select("t1", "text").mapInArrow(_shingle_sets, "t1 long, shingles binary").dropDuplicates(["t1"]), "shingles")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs, "pairs")
         own = needed(sets, pairs)
         side = lambda end, name: own.select(F.col("t1").alias(end), F.col("shingles").alias(name))
         return pairs.join(side("a", "one"), "a").join(side("b", "two"), "b").select("a", "b", "one", "two").mapInArrow(_similar, "a long, b long")
 
-    found = verified_links(buckets, verify, signature_near)
+    _, classes = linked(buckets, verify, SIMILARITY)
     free(sets)
     free(buckets)
-    return found
+    return classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,43 @@ def test_a_pair_in_many_buckets_is_asked_about_once(spark):
     assert all(got[a] == got[b] for a, b in want) and all(right[a] == right[b] for a, b in links)
 
 
+def test_who_is_linked_to_a_representative_still_meets_the_others(spark):
+    """A bucket of chains: each text is like its neighbours alone, so that most links are between members that are linked to someone else already."""
+    n = 3000
+    buckets = spark.range(n).select(F.lit(7).alias("key"), F.col("id").alias("t1"))
+    asked = []
+
+    def verify(pairs):
+        asked.append(pairs.count())
+        return pairs.where("a = b + 1 AND a % 30 <> 0")
+
+    links = [(x.a, x.b) for x in rounds.verified_links(buckets, verify).collect()]
+    got = classes(links)
+    assert all(got[x] == got[x - 1] for x in range(n) if x % 30) and len(set(got.values())) == n // 30
+
+
+def test_sketches_let_all_similar_pairs_pass(spark):
+    """Of pairs at the bound itself, none is dropped by its sketch; most that are less similar are."""
+    r = np.random.default_rng(3)
+    for n, differ in ((90, 10), (450, 50), (4500, 500)):
+        for _ in range(50):
+            pool = np.unique(r.integers(0, 1 << 32, n + 2 * differ, dtype=np.uint32))
+            r.shuffle(pool)
+            sets = [pool[: n - differ], pool[: n - 2 * differ], pool[: n - differ][::-1][: n - 2 * differ], pool[differ:n]]
+            sketch = np.array([simhash.sketched(np.sort(x)) for x in sets])
+            numbers = np.arange(len(sets))
+            passed = {(int(a), int(b)) for a, others in rounds.pairs_across(numbers, numbers, sketch, None, 0, 0.8) for b in others}
+            for a in numbers:
+                for b in numbers[:a]:
+                    both = len(np.intersect1d(sets[a], sets[b]))
+                    assert both < 0.8 * (len(sets[a]) + len(sets[b]) - both) or {(a, b), (b, a)} & passed
+    strangers = np.array([simhash.sketched(np.unique(r.integers(0, 1 << 32, 300, dtype=np.uint32))) for _ in range(50)])
+    assert not list(rounds.pairs_across(np.arange(50), np.arange(50), strangers, None, 0, 0.8))
+    # The stage that has its sketches from Spark's functions makes the same of the same hashes.
+    some = [int(x) for x in np.unique(r.integers(-(1 << 63), 1 << 63, 200))]
+    assert [list(x) for x in spark.createDataFrame([(some,)], "shingles array<long>").select(*line_dedup.sketch("shingles")).collect()] == [simhash.sketched(simhash.compared(np.array(some).view(np.uint64)))]
+
+
 def test_nothing_to_link(spark):
     assert rounds.verified_links(spark.createDataFrame([], "key long, t1 long"), lambda p: p).count() == 0
     assert rounds.verified_links(spark.createDataFrame([(1, 1), (2, 2), (2, 3)], "key long, t1 long"), lambda p: p.where("false")).count() == 0
