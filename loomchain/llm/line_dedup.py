@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import cut, free, table
+from loomchain.llm.common import cut, free, is_small, sent, table
 from loomchain.llm.rounds import SKETCH, linked, needed
 
 #: Distinct sites from which on a line is boilerplate.
@@ -148,7 +148,7 @@ def proven_boilerplate(own: DataFrame, lines: DataFrame, sites: int = SITES) ->
     t1, t2 = _keys(F.col("text"))
     holders = own.select(t1.alias("t1"), t2.alias("t2"), "text").join(found.select("t1", "t2").distinct(), ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"])
     roots = near_copies(holders.select("t1", "text"))
-    classed = found.join(roots, F.col("t1") == F.col("node"), "left").select("h1", "h2", "site", F.coalesce("root", "t1").alias("class"))
+    classed = found.join(sent(roots, is_small(roots)), F.col("t1") == F.col("node"), "left").select("h1", "h2", "site", F.coalesce("root", "t1").alias("class"))
     one = classed.groupBy("class").agg(F.min("site").alias("site"))
     return cut(_on_sites(classed.select("h1", "h2", "class").distinct().join(one, "class"), sites), "boilerplate")
 

@@ -10,8 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomchain.llm.common import cut, free
-from loomchain.llm.components import components
+from loomchain.llm.common import cut, free, is_small, sent
+from loomchain.llm.components import components, contracted, named
 
 #: Members of a bucket that all others are compared with in the rounds before the last, in which all others are.
 REPRESENTATIVES = (3, 64)
@@ -35,25 +35,29 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], similar
     """
     spark = buckets.sparkSession
     found, classes = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "node long, root long")
+    links = found
     members = buckets.select("key", F.col("t1").cast("long").alias("t1"), *(SKETCH if similarity else [])).distinct()
     several = members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
     members = cut(members.join(several, "key", "left_semi"), "buckets")
     for nth, most in enumerate([*REPRESENTATIVES, None]):
-        placed = members.join(classes, F.col("t1") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "t1"))
+        placed = members.join(sent(classes, is_small(classes)), F.col("t1") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "t1"))
         dealt = placed.withColumn("key", F.xxhash64("key")).repartition("key").sortWithinPartitions("key")
         pairs = cut(dealt.mapInArrow(_across(most, nth, similarity), "a long, b long").distinct(), "pairs")
         if not pairs.isEmpty():
             good = cut(verify(pairs), "verified")
-            found = found.unionAll(good)
-            if most:
-                # Until the last round it is enough that what has one root is connected.
-                last, links = classes, classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(good)
-                classes = cut(components(links, PASSES), "classes")
-                free(last)
+            if not good.isEmpty():
+                found = found.unionAll(good)
+                # The links so far are kept as stars, which connect the same.  Until the last round it is enough that what has one root is connected.
+                last, links = (links, classes), contracted(links.unionAll(good), PASSES)
+                classes = cut(named(links).groupBy("node").agg(F.min("root").alias("root")), "classes")
+                for held in last:
+                    free(held)
         free(pairs)
     free(members)
     free(classes)
-    return found, components(found)
+    classes = cut(components(links), "classes")
+    free(links)
+    return found, classes
 
 
 def verified_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float | None = None) -> DataFrame:
@@ -61,9 +65,9 @@ def verified_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
 
 
 def needed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The rows of ``sets(t1, ...)`` that ``pairs(a, b)`` name."""
-    named = pairs.select(F.col("a").alias("t1")).distinct().unionAll(pairs.select(F.col("b").alias("t1")).distinct())
-    return sets.join(named, "t1", "left_semi")
+    """The rows of ``sets(t1, ...)`` that ``pairs(a, b)``, a written table, name."""
+    ends = pairs.select(F.col("a").alias("t1")).distinct().unionAll(pairs.select(F.col("b").alias("t1")).distinct())
+    return sets.join(sent(ends, is_small(pairs)), "t1", "left_semi")
 
 
 def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomchain.llm import line_dedup, rounds, simhash
+from loomchain.llm.components import components
 
 
 def shingles(text):
@@ -145,6 +146,47 @@ def test_sketches_let_all_similar_pairs_pass(spark):
     assert [list(x) for x in spark.createDataFrame([(some,)], "shingles array<long>").select(*line_dedup.sketch("shingles")).collect()] == [simhash.sketched(simhash.compared(np.array(some).view(np.uint64)))]
 
 
+def test_few_links_cost_few_tasks(spark):
+    """What a driver keeps of its tasks grows with their number, which is set by the shuffles where links are few."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    buckets = spark.range(400).select((F.col("id") % 40).alias("key"), F.col("id").alias("t1"))
+    context = spark.sparkContext
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few links", "few links")
+        found, named = rounds.linked(buckets, lambda p: p.where("(a - b) % 80 = 0"))
+        status = context.statusTracker()
+        stages = {i for job in status.getJobIdsForGroup("few links") for i in status.getJobInfo(job).stageIds}
+        tasks = sum(info.numCompletedTasks for i in stages if (info := status.getStageInfo(i)))
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert {r.node: r.root for r in named.collect()} == {x: x % 80 for x in range(400)}
+        assert len(set(classes([(r.a, r.b) for r in found.collect()]).values())) == 80
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tasks < 45 * 40, tasks
+
+
+def test_components_by_either_join(spark, monkeypatch):
+    """Links sent to the tasks and links joined by shuffles name the same components: chains, stars, trees, numbers below zero."""
+    r = random.Random(9)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(500, -x) for x in range(1, 60)] + [(r.randrange(1000, 1300), r.randrange(1000, 1300)) for _ in range(200)] + [(7, 7)]
+    found = []
+    for most in (1 << 16, 10):
+        monkeypatch.setattr("loomchain.llm.common.ROWS_SENT", most)
+        rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert len({x.node for x in rows}) == len(rows)
+        found.append({x.node: x.root for x in rows})
+    right = classes([e for e in edges if e[0] != e[1]])
+    least = {}
+    for x, root in right.items():
+        least[root] = min(x, least.get(root, x))
+    assert found == [{x: least[root] for x, root in right.items()}] * 2
+
+
 def test_nothing_to_link(spark):
     assert rounds.verified_links(spark.createDataFrame([], "key long, t1 long"), lambda p: p).count() == 0
     assert rounds.verified_links(spark.createDataFrame([(1, 1), (2, 2), (2, 3)], "key long, t1 long"), lambda p: p.where("false")).count() == 0
