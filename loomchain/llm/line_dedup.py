@@ -134,7 +134,7 @@ def near_copies(texts: DataFrame) -> DataFrame:
         joined = pairs.join(side("a", "one"), "a").join(side("b", "two"), "b")
         return joined.where(both >= SIMILARITY * (F.size("one") + F.size("two") - both)).select("a", "b")
 
-    _, classes = linked(buckets, verify, SIMILARITY)
+    _, classes = linked(buckets, verify, SIMILARITY, native=True)
     free(buckets)
     free(shingles)
     return classes

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomchain.llm.common import cut, free, is_small, sent
@@ -25,13 +25,13 @@ PASSES = 2
 PAIRS_HELD = 8192
 
 
-def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float | None = None) -> tuple[DataFrame, DataFrame]:
+def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float | None = None, native: bool = False) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), classes (node, root)) among the members of ``buckets(key, t1, ...)``, numbers; ``verify`` keeps of pairs (a, b) those that count.
 
     Two members of a bucket are asked about unless they are in one class already, or can't have the ``similarity`` by their ``SKETCH``, so classes are those of
     all pairs.  The first rounds ask about a few representatives of each bucket, least by hashes that are the same in all buckets; so a group of copies
-    is one class at the cost of its size, and the last round, which asks about whatever is left, has little to ask.  All is done when this returns: ``buckets`` is
-    read no more.
+    is one class at the cost of its size, and the last round, which asks about whatever is left, has little to ask.  With ``native`` the pairs come from joins instead of Python.  All is done
+    when this returns: ``buckets`` is read no more.
     """
     spark = buckets.sparkSession
     found, classes = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "node long, root long")
@@ -41,8 +41,12 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], similar
     members = cut(members.join(several, "key", "left_semi"), "buckets")
     for nth, most in enumerate([*REPRESENTATIVES, None]):
         placed = members.join(sent(classes, is_small(classes)), F.col("t1") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "t1"))
-        dealt = placed.withColumn("key", F.xxhash64("key")).repartition("key").sortWithinPartitions("key")
-        pairs = cut(dealt.mapInArrow(_across(most, nth, similarity), "a long, b long").distinct(), "pairs")
+        if native:
+            asked = pairs_by_joins(placed, most, nth, similarity)
+        else:
+            dealt = placed.withColumn("key", F.xxhash64("key")).repartition("key").sortWithinPartitions("key")
+            asked = dealt.mapInArrow(_across(most, nth, similarity), "a long, b long")
+        pairs = cut(asked.distinct(), "pairs")
         if not pairs.isEmpty():
             good = cut(verify(pairs), "verified")
             if not good.isEmpty():
@@ -108,6 +112,24 @@ def pairs_across(t1: np.ndarray, root: np.ndarray, sketch: np.ndarray, most: int
             yield t1[i], t1[at]
 
 
+def pairs_by_joins(placed: DataFrame, most: int | None, nth: int, similarity: float | None) -> DataFrame:
+    """What ``pairs_across`` gives for all buckets of ``placed(key, t1, root, ...)``, as (a, b), a > b, by DataFrame functions; pairs may repeat."""
+    if most:
+        order = Window.partitionBy("key").orderBy(F.xxhash64("t1", F.lit(nth)), "t1")
+        asking = placed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+    else:
+        sizes = placed.groupBy("key", "root").agg(F.count("*").alias("size"))
+        largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("largest"))
+        asking = placed.join(largest, "key").where("root <> largest")
+    columns = SKETCH if similarity else []
+    asking = asking.select("key", *(F.col(c).alias(f"{c}_asking") for c in ["t1", "root", *columns]))
+    meet = F.col("root") != F.col("root_asking")
+    if similarity:
+        apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_asking"))) for c in SKETCH[1:]), F.lit(0))
+        meet = meet & (apart * (1 + similarity) <= (F.col("n") + F.col("n_asking")) * (1 - similarity) + 1e-6)
+    return placed.join(asking, "key").where(meet).select(F.greatest("t1", "t1_asking").alias("a"), F.least("t1", "t1_asking").alias("b"))
+
+
 def _across(most: int | None, nth: int, similarity: float | None) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, held = [], [], 0

@@ -170,6 +170,29 @@ def test_few_links_cost_few_tasks(spark):
     assert tasks < 45 * 40, tasks
 
 
+def test_pairs_by_joins_are_those_of_python(spark):
+    """The last round's pairs, and with representatives no other ones; line dedup, which takes them, runs no Python."""
+    r = np.random.default_rng(8)
+    base = np.unique(r.integers(0, 1 << 32, 200, dtype=np.uint32))
+    rows = []
+    for key in range(4):
+        for t1 in r.choice(60, 25, replace=False).tolist():
+            some = np.unique(np.concatenate([base[t1 % 12 :], r.integers(0, 1 << 32, t1 % 12, dtype=np.uint32)]))
+            rows.append((key, t1, t1 % 9, *simhash.sketched(some)))
+    placed = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in ["key", "t1", "root", *rounds.SKETCH]))
+    want = {}
+    for most in (None, 25, 3):
+        want[most] = set()
+        for key in range(4):
+            own = np.array([x[1:] for x in rows if x[0] == key])
+            want[most] |= {(max(int(one), int(x)), min(int(one), int(x))) for one, others in rounds.pairs_across(own[:, 0], own[:, 1], own[:, 2:], most, 1, 0.8) for x in others}
+        got = rounds.pairs_by_joins(placed, most, 1, 0.8)
+        assert "Arrow" not in got._jdf.queryExecution().toString() and "Python" not in got._jdf.queryExecution().toString()
+        found = {(x.a, x.b) for x in got.collect()}
+        assert found == want[most] if most != 3 else found and found <= want[None]
+    assert 0 < len(want[None]) < len({(a, b) for a in range(60) for b in range(a)})
+
+
 def test_components_by_either_join(spark, monkeypatch):
     """Links sent to the tasks and links joined by shuffles name the same components: chains, stars, trees, numbers below zero."""
     r = random.Random(9)
