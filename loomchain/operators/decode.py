@@ -169,14 +169,17 @@ def _in_order(rows: DataFrame, order: list[str], one: Column, name: str) -> Data
 def assemble_blocks(headers: DataFrame, transactions: DataFrame, logs: DataFrame | None = None, withdrawals: DataFrame | None = None) -> DataFrame:
     """Flat rows to nested message records (block_number, record): transactions, their receipts' logs and withdrawals in their order.
 
-    Logs meet their transactions first, then transactions and withdrawals their header: shuffles on block keys, and no payload twice.
+    Logs meet their transactions first, then transactions and withdrawals their header.  Inputs that are dealt by block move no more; others move once, by their
+    block.
     """
     tx = transactions
     if logs is None:
         tx = tx.withColumn("logs", F.lit(None).cast(f"array<{S.LOG}>"))
     else:
-        own = logs.withColumnRenamed("tx_index", "transaction_index")
-        tx = tx.join(own, ["block_number", "transaction_index"], "left")
+        # Met by block alone, so that transactions stay where and in the order in which they are.
+        own = logs.groupBy("block_number").agg(F.collect_list(F.struct("tx_index", "logs")).alias("_own"))
+        mine = F.filter("_own", lambda x: x["tx_index"] == F.col("transaction_index"))
+        tx = tx.join(own, "block_number", "left").withColumn("logs", F.flatten(F.transform(mine, lambda x: x["logs"]))).drop("_own")
     contract = [F.col("contract_address").alias("contractAddress")] if "contract_address" in tx.columns else []
     receipt = F.when(F.col("has_receipt"), F.struct(*contract, "status", F.col("gas").alias("gasUsed"), F.coalesce("logs", F.array().cast(tx.schema["logs"].dataType)).alias("logs")))
     nested = _in_order(tx, ["transaction_index"], F.struct(*record(TRANSACTION_FIELDS, tx.columns), receipt.alias("receipt")), "transactions")

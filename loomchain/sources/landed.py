@@ -31,9 +31,14 @@ def sha(column: Column | str) -> Column:
     return F.sha2(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"), 256)
 
 
-def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One block header for each order."""
-    o = table(spark, sf_dir, "orders")
+def _dealt(rows: DataFrame, key: str, dealt: bool) -> DataFrame:
+    """Landed rows by block, if asked for: they move as they landed, and texts and hashes are made behind the move."""
+    return rows.repartition(key) if dealt else rows
+
+
+def headers(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """One block header for each order; ``dealt`` ones come by block."""
+    o = _dealt(table(spark, sf_dir, "orders"), "o_orderkey", dealt)
     chain = F.col("o_custkey") % 3
     return o.select(
         F.col("o_orderkey").alias("block_number"), F.concat(F.lit("chain-"), chain.cast("string")).alias("blockchain_id"), (43112 + chain).alias("evm_chain_id"),
@@ -44,9 +49,9 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def full_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def full_headers(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """Headers with every field that a message carries."""
-    h = headers(spark, sf_dir)
+    h = headers(spark, sf_dir, dealt)
     of = lambda what: F.concat(F.lit("0x"), sha(F.concat_ws("-", F.lit(what), F.col("block_number"))))
     return h.withColumns({
         "state_root": of("state"), "transactions_root": of("transactions"), "receipts_root": of("receipts"), "sha3_uncles": of("uncles"), "mix_hash": of("mix"), "logs_bloom": of("bloom"),
@@ -56,9 +61,9 @@ def full_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def withdrawals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def withdrawals(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """One withdrawal for each returned line."""
-    l = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    l = _dealt(table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'"), "l_orderkey", dealt)
     return l.select(
         F.col("l_orderkey").alias("block_number"), F.col("l_linenumber").cast("bigint").alias("index"), F.col("l_suppkey").cast("bigint").alias("validator_index"),
         F.concat(F.lit("0x"), F.substring(sha("l_partkey"), 1, 40)).alias("address"), F.col("l_quantity").cast("bigint").alias("amount"),
@@ -79,12 +84,14 @@ def height_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One transaction for each line; hashes collide on purpose where a line number repeats in an order."""
+    """One transaction for each line, dealt by block; hashes collide on purpose where a line number repeats in an order."""
     l = table(spark, sf_dir, "lineitem")
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
+    # In a projection of its own: beside the texts and hashes it would have the window move and sort these too.
+    placed = l.withColumn("nth", F.row_number().over(order))
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
-    return l.select(
-        F.col("l_orderkey").alias("block_number"), (F.row_number().over(order) - 1).cast("bigint").alias("transaction_index"),
+    return placed.select(
+        F.col("l_orderkey").alias("block_number"), (F.col("nth") - 1).cast("bigint").alias("transaction_index"),
         F.concat(F.lit("0x"), sha(F.concat_ws("-", "l_orderkey", "l_linenumber"))).alias("hash"), F.concat(F.lit("0x"), F.substring(sha("l_suppkey"), 1, 40)).alias("from_address"),
         F.when(F.col("l_returnflag") == "R", "").otherwise(F.concat(F.lit("0x"), F.substring(sha("l_partkey"), 1, 40))).alias("to_address"),
         F.col("l_partkey").alias("nonce"), F.concat(cents, F.lit("0" * 16)).alias("value"), cents.alias("cents"), (21000 + F.col("l_quantity").cast("bigint")).alias("gas"),
@@ -95,25 +102,25 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def logs(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """One log for each event."""
-    e = table(spark, sf_dir, "events")
+    e = _dealt(table(spark, sf_dir, "events").withColumn("block", F.col("event_id") % 1000), "block", dealt)
     topics = F.array(*(F.concat(F.lit("0x"), sha(c)) for c in ("event_type", "user_id", "value", "event_id")))
     return e.select(
-        (F.col("event_id") % 1000).alias("block_number"), (F.col("user_id") % 4).alias("tx_index"), F.col("event_id").alias("log_index"),
+        F.col("block").alias("block_number"), (F.col("user_id") % 4).alias("tx_index"), F.col("event_id").alias("log_index"),
         F.slice(topics, 1, (F.col("event_id") % 5).cast("int")).alias("topics"), F.base64(F.col("props").cast("binary")).alias("data"), "props",
         (F.col("event_type") == "error").alias("removed"), F.concat(F.lit("0x"), F.substring(sha("user_id"), 1, 40)).alias("address"),
     )
 
 
-def log_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_structs(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """(block_number, tx_index, logs in the order of their index) as a message carries them."""
     one = F.struct(
         F.col("log_index").alias("index"), "address", "topics", "data", F.col("block_number").cast("decimal(20,0)").alias("blockNumber"),
         F.concat(F.lit("0x"), sha(F.concat_ws("-", "block_number", "tx_index"))).alias("txHash"), F.col("tx_index").alias("txIndex"),
         F.concat(F.lit("0x"), sha("block_number")).alias("blockHash"), "removed",
     )
-    return logs(spark, sf_dir).groupBy("block_number", "tx_index").agg(F.array_sort(F.collect_list(one)).alias("logs"))
+    return logs(spark, sf_dir, dealt).groupBy("block_number", "tx_index").agg(F.array_sort(F.collect_list(one)).alias("logs"))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
