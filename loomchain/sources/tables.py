@@ -57,7 +57,7 @@ def append(rows: DataFrame, table: str, name: str) -> None:
 
 def write_sorted(rows: DataFrame, path: str, name: str, mode: str = "append") -> None:
     """By chain, and sorted by key inside each file, so that readers skip row groups by their ranges."""
-    rows.sortWithinPartitions(*S.KEYS[name]).write.mode(mode).partitionBy(CHAIN_COLUMN[name]).parquet(path)
+    rows.sortWithinPartitions(*S.KEYS[name]).write.mode(mode).option("compression", "zstd").partitionBy(CHAIN_COLUMN[name]).parquet(path)
 
 
 def read(spark: SparkSession, path: str, name: str) -> DataFrame:

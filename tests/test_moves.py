@@ -1,11 +1,14 @@
 """What is shuffled: landed rows move once, as they landed; texts and hashes are made behind the move, and bodies stay where they are."""
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from loomchain import catalog
 from loomchain.operators import decode as D
 from loomchain.plans import chain
 from loomchain.sources import message_log as M
+from loomchain.sources import tables as T
 
 
 @pytest.fixture
@@ -71,3 +74,22 @@ def test_publishing_moves_no_body(spark, sf, monkeypatch, joins_by_shuffle):
     with pytest.raises(InterruptedError):
         chain.publish_messages(spark, sf)
     assert written[0][1] == {"moved": False} and not any("to_json" in part.lower() or "structstojson" in part.lower() for part in moves(written[0][0]))
+
+
+#: Queries, the exchanges of each, and how many of these move hashes.
+MOVES = {
+    "write_transactions": (2, 0),
+}
+
+
+@pytest.mark.parametrize("name", sorted(MOVES))
+def test_query_moves_landed_rows_without_hashes(spark, sf, joins_by_shuffle, monkeypatch, name):
+    monkeypatch.setattr(T, "written", lambda rows, table: rows)  # what is written is not moved
+    found = moves(catalog.queries()[name](spark, sf))
+    assert (len(found), sum("sha2" in part for part in found)) == MOVES[name]
+
+
+def test_tables_are_compressed_by_zstd(spark, tmp_path):
+    rows = spark.createDataFrame([("c", n) for n in range(9)], "blockchain_id string, n bigint").selectExpr("blockchain_id", "timestamp_seconds(n) AS block_time", "cast(n AS string) AS hash")
+    T.write_sorted(rows, f"file://{tmp_path}/t", "transactions")
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in tmp_path.glob("t/*/*.parquet")} == {"ZSTD"}
