@@ -78,6 +78,7 @@ def test_publishing_moves_no_body(spark, sf, monkeypatch, joins_by_shuffle):
 
 #: Queries, the exchanges of each, and how many of these move hashes.
 MOVES = {
+    "explode_logs": (4, 1),
     "block_activity": (3, 0),
     "log_rows": (3, 0),
     "write_logs": (3, 0),
