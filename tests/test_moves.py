@@ -78,6 +78,7 @@ def test_publishing_moves_no_body(spark, sf, monkeypatch, joins_by_shuffle):
 
 #: Queries, the exchanges of each, and how many of these move hashes.
 MOVES = {
+    "explode_transactions": (2, 0),
     "flagship": (4, 1),
     "transaction_rows": (2, 0),
     "explode_logs": (4, 1),
