@@ -112,14 +112,17 @@ def stream_ingest(spark, d):
     return counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3])
 
 
-#: Seconds of block time in a span of the queries' snapshot tables, and files of a group from which on it is merged.
+#: Seconds of block time in a span of the queries' snapshot tables, and files of a group from which on it is merged in the end.
 SPAN, MOST_FILES = 5 * 86_400, 1
 
 
-def _snapshots(spark: SparkSession, d: str) -> str:
-    """Tables filled by a stream of several batches, one of which is entered a second time, as after a failure."""
+def _snapshots(spark: SparkSession, d: str, names: tuple[str, ...] = ("blocks", "transactions", "logs")) -> str:
+    """The named tables filled by a stream of several batches, one of which is entered a second time, as after a failure.
+
+    Groups of many files are merged meanwhile, the others once in the end: merged after each batch, a group would be written again as often as it gets rows.
+    """
     root = T.new_path(spark, "snapshots")
-    write = I.snapshot_writer(root, span=SPAN, most_files=MOST_FILES)
+    write = I.snapshot_writer(root, lambda classified: {k: rows for k, rows in I.chain_tables(classified).items() if k in (*names, "dead_letters")}, span=SPAN)
 
     def twice(batch: DataFrame, n: int) -> None:
         write(batch, n)
@@ -127,6 +130,8 @@ def _snapshots(spark: SparkSession, d: str) -> str:
             write(batch, n)
 
     _run(_stream(spark, d, "snapshot_messages", FILES // 2), root, twice)
+    for name in names:
+        _snapshot(spark, root, name).compact(MOST_FILES)
     return root
 
 
@@ -149,7 +154,7 @@ def snapshot_ingest(spark, d):
 SELECT event_id AS block_number, 'chain-' || CAST(user_id % 3 AS VARCHAR) AS blockchain_id, '0x' || sha256(CAST(event_id AS VARCHAR)) AS hash FROM messages, span WHERE error_class IS NULL AND event_id BETWEEN lo AND hi""")
 def lookup_by_height(spark, d):
     """A hundred heights of a snapshot table: files without any of them are not opened."""
-    held = _snapshot(spark, _snapshots(spark, d), "blocks")
+    held = _snapshot(spark, _snapshots(spark, d, ("blocks",)), "blocks")
     low = L.messages(spark, d).agg(F.floor(F.max(F.col("key").cast("bigint")) / 3)).first()[0]
     return held.read(low=low, high=low + 99).select(F.col("block_number").cast("bigint").alias("block_number"), "blockchain_id", C.hex_text(F.col("hash")).alias("hash"))
 
@@ -158,7 +163,7 @@ def lookup_by_height(spark, d):
 SELECT '0x' || sha256(CAST(event_id + 1 AS VARCHAR)) AS hash, event_id AS block_number, user_id AS nonce FROM messages, span WHERE error_class IS NULL AND event_id % 2 = 1 AND event_id BETWEEN lo AND hi""")
 def lookup_by_hash(spark, d):
     """Transactions by their hashes, from the row groups whose Bloom filters may have them."""
-    held = _snapshot(spark, _snapshots(spark, d), "transactions")
+    held = _snapshot(spark, _snapshots(spark, d, ("transactions",)), "transactions")
     low = L.messages(spark, d).agg(F.floor(F.max(F.col("key").cast("bigint")) / 3)).first()[0]
     wanted = [hashlib.sha256(str(n + 1).encode()).digest() for n in range(low, low + 100)]
     return held.lookup(wanted).select(C.hex_text(F.col("hash")).alias("hash"), F.col("block_number").cast("bigint").alias("block_number"), F.col("nonce").cast("bigint").alias("nonce"))
