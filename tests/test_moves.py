@@ -100,3 +100,12 @@ def test_tables_are_compressed_by_zstd(spark, tmp_path):
     rows = spark.createDataFrame([("c", n) for n in range(9)], "blockchain_id string, n bigint").selectExpr("blockchain_id", "timestamp_seconds(n) AS block_time", "cast(n AS string) AS hash")
     T.write_sorted(rows, f"file://{tmp_path}/t", "transactions")
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in tmp_path.glob("t/*/*.parquet")} == {"ZSTD"}
+
+
+def test_storage_order_writes_rows_that_moved_once(spark, sf, monkeypatch, joins_by_shuffle):
+    written = []
+    monkeypatch.setattr(T, "write_sorted", lambda rows, *a: written.append(rows) or (_ for _ in ()).throw(InterruptedError))
+    with pytest.raises(InterruptedError):
+        chain.storage_order(spark, sf)
+    found = moves(written[0])
+    assert len(found) == 2 and not any("sha2" in part for part in found)
